@@ -215,7 +215,10 @@ def event_message(df: DataFrame) -> Column:
 
 
 def loan_layout() -> dict:
-    """Order + customer + nation columns shaped as a loan application."""
+    """Order + customer + nation columns shaped as a loan application.
+
+    Money and ratios are JSON numbers; a text flatten (``get_json_object``)
+    returns them as Spark prints a double (``9295.3`` for ``9295.30``)."""
     score = F.lit(300) + (F.col("o_custkey") % 551)
     return {
         "application_id": F.format_string("loan_%07d", F.col("o_orderkey")),
@@ -235,8 +238,8 @@ def loan_layout() -> dict:
         "scoring": {
             "score": score,
             "risk_level": F.when(score < 500, "high").when(score < 700, "medium").otherwise("low"),
-            "pd": (F.abs(F.col("c_acctbal")) / 100000).cast("decimal(10,4)"),
-            "lgd": (F.col("o_totalprice") / 1000000).cast("decimal(10,4)"),
+            "pd": (F.abs(F.col("c_acctbal")) / 100000 + 0.001).cast("decimal(10,4)"),
+            "lgd": (F.col("o_totalprice") / 1000000 + 0.001).cast("decimal(10,4)"),
         },
         "documents": F.array(
             F.struct(F.lit("status").alias("type"), F.col("o_orderstatus").alias("status")),

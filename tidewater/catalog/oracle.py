@@ -144,22 +144,24 @@ SELECT p_name AS name, p_brand AS manufacturer,
        CAST(p_size + 1 AS INTEGER) AS calcium, CAST(NULL AS INTEGER) AS iron
 FROM part
 """,
+    # A text flatten prints JSON numbers as doubles: decimals lose trailing
+    # zeros (values are kept >= 0.001, where both engines print plainly).
     "nested_messages": """
 SELECT printf('loan_%07d', o_orderkey) AS application_id,
        'cust_' || CAST(c_custkey AS VARCHAR) AS customer_id,
        n_name AS region,
        CAST(c_nationkey + 18 AS VARCHAR) AS age,
-       CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS income,
+       CAST(CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS VARCHAR) AS income,
        lower(c_mktsegment) AS employment,
-       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS loan_amount,
+       CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS VARCHAR) AS loan_amount,
        CAST((o_orderkey % 9 + 1) * 12 AS VARCHAR) AS term_months,
        o_orderpriority AS loan_purpose,
        'USD' AS currency,
        CAST(300 + o_custkey % 551 AS VARCHAR) AS score,
        CASE WHEN 300 + o_custkey % 551 < 500 THEN 'high'
             WHEN 300 + o_custkey % 551 < 700 THEN 'medium' ELSE 'low' END AS risk_level,
-       CAST(CAST(abs(c_acctbal) / 100000 AS DECIMAL(10,4)) AS VARCHAR) AS pd,
-       CAST(CAST(o_totalprice / 1000000 AS DECIMAL(10,4)) AS VARCHAR) AS lgd,
+       CAST(CAST(CAST(abs(c_acctbal) / 100000 + 0.001::DOUBLE AS DECIMAL(10,4)) AS DOUBLE) AS VARCHAR) AS pd,
+       CAST(CAST(CAST(o_totalprice / 1000000 + 0.001::DOUBLE AS DECIMAL(10,4)) AS DOUBLE) AS VARCHAR) AS lgd,
        o_orderstatus AS decision_status,
        strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS submitted_at
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
@@ -305,7 +307,7 @@ UNION ALL SELECT 'customers', COUNT(*) FROM customer
 UNION ALL SELECT 'customer_actions', 2 * COUNT(*) FROM customer
 UNION ALL SELECT 'delivery_drivers', COUNT(*) FROM part
 UNION ALL SELECT 'orders', COUNT(*) FROM clean
-UNION ALL SELECT 'orderreviews', COUNT(*) FROM lineitem
+UNION ALL SELECT 'orderreviews', COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
 UNION ALL SELECT 'mart_customer_activity', COUNT(DISTINCT customer_id) FROM clean
 UNION ALL SELECT 'mart_restaurant_performance', COUNT(DISTINCT restaurant_id) FROM clean
 """,
