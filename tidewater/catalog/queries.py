@@ -93,7 +93,7 @@ def json_array_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nested_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order + customer + nation rows as nested loan
     messages, flattened back to the 16 text fields."""
-    o = I.table(spark, sf_dir, "orders")
+    o = I.table(spark, sf_dir, "orders", spread_rows=True)
     c = I.table(spark, sf_dir, "customer")
     n = I.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     rows = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)

@@ -6,11 +6,12 @@ the documents.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Timestamp layouts used when rows go to JSON text and back.
 # The default layout keeps milliseconds only; these keep microseconds.
@@ -59,6 +60,36 @@ def explode_json(
     return rows.select(*keep, *[json_text(element, key).alias(name) for name, key in fields.items()])
 
 
+_SIMPLE_PATH = re.compile(r"^\$(\.[A-Za-z_][A-Za-z0-9_]*)+$")
+
+
+def text_schema(paths: Sequence[str]) -> StructType | None:
+    """A nested all-text schema holding every path (``$.a.b`` -> a.b STRING),
+    or None when a path is not a plain dotted path or is both a leaf and a
+    parent of another path."""
+    tree: dict = {}
+    for p in paths:
+        if not _SIMPLE_PATH.match(p):
+            return None
+        node = tree
+        steps = p[2:].split(".")
+        for step in steps[:-1]:
+            child = node.setdefault(step, {})
+            if child is None:
+                return None
+            node = child
+        if steps[-1] in node:
+            return None
+        node[steps[-1]] = None
+
+    def build(node: dict) -> StructType:
+        return StructType(
+            [StructField(k, StringType() if v is None else build(v)) for k, v in node.items()]
+        )
+
+    return build(tree)
+
+
 def flatten_json(
     df: DataFrame,
     col: str,
@@ -68,15 +99,27 @@ def flatten_json(
 ) -> DataFrame:
     """Flat columns from JSON paths.
 
-    Default: every column is text (``get_json_object`` per path).  With a
-    ``schema`` the document is parsed once (``from_json``) and ``paths`` are
-    dotted field names into it, giving typed columns.
+    Default: every column is text, with the same values ``get_json_object``
+    gives per path (a nested value keeps its JSON text, a missing key or a
+    document that is not JSON gives NULL).  Plain dotted paths are read with
+    one ``from_json`` parse per document against an all-text schema, instead
+    of one parse per path; other paths fall back to ``get_json_object``.
+
+    With a ``schema`` the columns are typed by it (D3: parsed once).
     """
     if schema is None:
-        return df.select(*keep, *[F.get_json_object(F.col(col), p).alias(n) for n, p in paths.items()])
+        schema = text_schema(list(paths.values()))
+        if schema is None:
+            return df.select(*keep, *[F.get_json_object(F.col(col), p).alias(n) for n, p in paths.items()])
     parsed = F.from_json(F.col(col), schema, JSON_OPTIONS)
     staged = df.select(*keep, parsed.alias("_doc"))
-    return staged.select(*keep, *[F.col("_doc." + p.removeprefix("$.")).alias(n) for n, p in paths.items()])
+    out = []
+    for name, path in paths.items():
+        field = F.col("_doc")
+        for step in path[2:].split("."):
+            field = field[step]
+        out.append(field.alias(name))
+    return staged.select(*keep, *out)
 
 
 def to_value(df: DataFrame, name: str = "value") -> DataFrame:
