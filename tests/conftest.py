@@ -29,7 +29,10 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
+    # The cluster names its shared folder in spark.checkpoint.dir; use our
+    # own only when the session has none.
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
     yield session
     session.stop()
 
