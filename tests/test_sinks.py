@@ -79,6 +79,20 @@ def test_key_checks(spark):
     assert quality.check_fk(orders, cust, "o_custkey", "c_custkey") == 1
 
 
+def test_fk_counts_agree_with_rows_on_a_hot_key(spark):
+    # key 7 is dangling and holds most child rows; NULL keys are not orphans
+    child = spark.range(0, 500).selectExpr("CASE WHEN id % 10 < 7 THEN 7 WHEN id % 10 = 7 THEN NULL ELSE id % 3 END AS k")
+    parent = spark.createDataFrame([(0,), (1,)], "k bigint")
+    keys = [7 if i % 10 < 7 else None if i % 10 == 7 else i % 3 for i in range(500)]
+    expected: dict[int, int] = {}
+    for k in keys:
+        if k is not None and k not in (0, 1):
+            expected[k] = expected.get(k, 0) + 1
+    counts = {r.k: r.n for r in quality.fk_orphan_counts(child, parent, "k").collect()}
+    assert counts == expected and expected[7] == 350
+    assert quality.check_fk(child, parent, "k") == quality.fk_orphans(child, parent, "k").count() == sum(expected.values())
+
+
 def test_jdbc_options():
     opts = tsink.jdbc_options("jdbc:postgresql://db/x", "orders", user="u", password="p", truncate=True, cascade=True)
     assert opts["truncate"] == "true" and opts["cascadeTruncate"] == "true" and opts["dbtable"] == "orders"
