@@ -39,6 +39,21 @@ def test_quantiles_match_numpy(spark, values, probs, buckets):
     assert got == pytest.approx(want, rel=1e-12, abs=1e-12)
 
 
+@settings(max_examples=12, deadline=None)
+@given(
+    values=st.lists(st.integers(min_value=-1000, max_value=1000), min_size=1, max_size=400),
+    probs=st.lists(st.floats(min_value=0, max_value=1), min_size=1, max_size=3),
+    buckets=st.integers(min_value=2, max_value=5),
+    cap=st.integers(min_value=1, max_value=8),
+)
+def test_quantiles_narrow_large_ranges(spark, values, probs, buckets, cap):
+    # A tiny per-task bound forces ranges to be split again (several rounds).
+    df = spark.createDataFrame([(float(v),) for v in values], "t double")
+    got = A.exact_quantiles(df, "t", probs, buckets=buckets, max_values_per_task=cap)
+    want = [float(np.quantile(np.array(values, dtype=float), p)) for p in probs]
+    assert got == pytest.approx(want, rel=1e-12, abs=1e-12)
+
+
 def test_band_keeps_both_ends(spark):
     df = spark.createDataFrame([(float(i),) for i in range(21)], "t double")
     kept = sorted(r.t for r in A.percentile_band(df, "t", 0.05, 0.95).collect())

@@ -20,7 +20,30 @@ def _col(c: Column | str) -> Column:
 # --------------------------------------------------------------------------
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], buckets: int | None = None) -> list[float | None]:
+# Largest number of distinct values whose running count one task computes;
+# a value range holding more is range-split again before the final step.
+MAX_VALUES_PER_TASK = 4_000_000
+
+
+def _value_ranges(hist: DataFrame, n_buckets: int) -> list[tuple[float, float, int, int]]:
+    """``hist`` (v, c) range-partitioned into at most ``n_buckets`` disjoint
+    value ranges: one (lo, hi, rows, distinct values) line per range, sorted."""
+    lines = (
+        hist.repartitionByRange(n_buckets, "v")
+        .groupBy(F.spark_partition_id().alias("b"))
+        .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("d"))
+        .collect()
+    )
+    return sorted((r["lo"], r["hi"], int(r["n"]), int(r["d"])) for r in lines)
+
+
+def exact_quantiles(
+    df: DataFrame,
+    column: str,
+    probs: Sequence[float],
+    buckets: int | None = None,
+    max_values_per_task: int = MAX_VALUES_PER_TASK,
+) -> list[float | None]:
     """Exact percentiles of ``column`` with linear interpolation; NULL and
     NaN are skipped (the same definition as ``quantile_cont`` /
     ``percentile`` / a data-frame ``quantile``).
@@ -28,13 +51,16 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], buckets:
     A one-task ``percentile`` aggregate keeps every distinct value of the
     column in the final task.  Instead:
 
-    1. count rows per distinct value (partial aggregation, shuffled);
+    1. count rows per distinct value (partial aggregation, shuffled), so a
+       value held by a third of all rows is one line;
     2. range-partition those counts into ``buckets`` value ranges and take
-       one (min, max, rows) line per range - at most ``buckets`` lines reach
-       the driver, however big the data;
-    3. from the running totals of the ranges, find which range holds each
-       wanted rank, and only inside those ranges compute running counts to
-       pick the exact values.
+       one (min, max, rows, values) line per range - at most ``buckets``
+       lines reach the driver, however big the data;
+    3. find the range holding each wanted rank from the running totals; a
+       range with more than ``max_values_per_task`` distinct values is
+       range-split again (only its slice is read), until it is small;
+    4. inside those small ranges only, compute running counts to pick the
+       exact values (a few rows reach the driver).
 
     Returns one float (or None for an empty input) per probability.
     """
@@ -50,55 +76,58 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], buckets:
         .agg(F.count(F.lit(1)).alias("c"))
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n_buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-        ranges = (
-            hist.repartitionByRange(n_buckets, "v")
-            .groupBy(F.spark_partition_id().alias("b"))
-            .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
-            .collect()
-        )
-        ranges = sorted((r["lo"], r["hi"], int(r["n"])) for r in ranges)
-        total = sum(r[2] for r in ranges)
+        n_buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+        top = _value_ranges(hist, n_buckets)
+        total = sum(r[2] for r in top)
         if total == 0:
             return [None for _ in probs]
 
-        # 0-based ranks each probability needs, and the range holding each.
-        wanted: dict[int, tuple[int, int]] = {}
+        # 0-based ranks each probability needs.
         plans = []
         for p in probs:
             pos = (total - 1) * p
             lo_rank, hi_rank = math.floor(pos), math.ceil(pos)
             plans.append((lo_rank, hi_rank, pos - lo_rank))
-            for rank in (lo_rank, hi_rank):
-                before = 0
-                for idx, (_, _, n) in enumerate(ranges):
-                    if rank < before + n:
-                        wanted[rank] = (idx, rank - before)
-                        break
-                    before += n
-
-        used = sorted({idx for idx, _ in wanted.values()})
+        ranks = sorted({r for lo_rank, hi_rank, _ in plans for r in (lo_rank, hi_rank)})
+
+        # Narrow each rank to a value range small enough for one task.
+        # Work items: (ranges of a slice, rows below the slice, ranks in it).
+        final: list[tuple[float, float, dict[int, int]]] = []
+        work = [(top, 0, ranks)]
+        while work:
+            ranges, offset, wanted = work.pop()
+            before = offset
+            for lo, hi, n, d in ranges:
+                inside = [r for r in wanted if before <= r < before + n]
+                if inside:
+                    if d > max_values_per_task and len(ranges) > 1:
+                        part = hist.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
+                        work.append((_value_ranges(part, n_buckets), before, inside))
+                    else:
+                        final.append((lo, hi, {r: r - before for r in inside}))
+                before += n
+
         bucket = None
-        for idx in used:
-            lo, hi, _ = ranges[idx]
+        for idx, (lo, hi, _) in enumerate(final):
             cond = (F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi))
             bucket = F.when(cond, F.lit(idx)) if bucket is None else bucket.when(cond, F.lit(idx))
         w = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         within = hist.select("v", "c", bucket.alias("b")).where(F.col("b").isNotNull())
         within = within.withColumn("upto", F.sum("c").over(w))
         pick = None
-        for idx, local in set(wanted.values()):
-            cond = (F.col("b") == idx) & (F.col("upto") - F.col("c") <= local) & (F.col("upto") > local)
-            pick = cond if pick is None else (pick | cond)
-        found = {}
-        for r in within.where(pick).select("b", "v", "upto", "c").collect():
-            found[(r["b"], r["upto"] - r["c"], r["upto"])] = r["v"]
+        for idx, (_, _, local) in enumerate(final):
+            for k in local.values():
+                cond = (F.col("b") == idx) & (F.col("upto") - F.col("c") <= k) & (F.col("upto") > k)
+                pick = cond if pick is None else (pick | cond)
+        found = [(r["b"], r["upto"] - r["c"], r["upto"], r["v"]) for r in within.where(pick).select("b", "v", "upto", "c").collect()]
 
         def value_at(rank: int) -> float:
-            idx, local = wanted[rank]
-            for (b, start, end), val in found.items():
-                if b == idx and start <= local < end:
-                    return val
+            for idx, (_, _, local) in enumerate(final):
+                if rank in local:
+                    k = local[rank]
+                    for b, start, end, val in found:
+                        if b == idx and start <= k < end:
+                            return val
             raise RuntimeError("rank not found")  # pragma: no cover
 
         out = []
