@@ -14,7 +14,7 @@ from tidewater.operators.analytics import count_where, money_mean
 from tidewater.operators.cleaning import clean_collection, drop_array_columns, drop_if_present, type_by_name
 from tidewater.operators.nested import explode_structs
 from tidewater.sinks.tables import create_tables, replicate, skip_if_empty
-from tidewater.sources.files import preview
+from tidewater.sources.files import preview, read_collection
 
 # The status that counts as a delivered order.
 DELIVERED = "Доставлен"
@@ -33,6 +33,32 @@ TARGET_TABLES = {
 }
 
 
+# The source collections, their target tables and keys.
+COLLECTIONS = (
+    ("Restaurants", "restaurants", "restaurant_id"),
+    ("Customers", "customers", "customer_id"),
+    ("DeliveryDrivers", "delivery_drivers", "driver_id"),
+    ("Orders", "orders", "order_id"),
+    ("OrderReviews", "orderreviews", "review_id"),
+)
+
+# Document layouts as read from JSON lines (extended-JSON ids;
+# numbers and times may arrive as text and are typed by the load).
+_OID = "_id STRUCT<`$oid`: STRING>"
+COLLECTION_SCHEMAS = {
+    "Restaurants": f"{_OID}, restaurant_id STRING, name STRING, city STRING, cuisine STRING, rating STRING, created_at STRING",
+    "Customers": f"{_OID}, customer_id STRING, name STRING, email STRING, address STRING, city STRING, "
+    "registered_at STRING, actions ARRAY<STRUCT<action: STRING, timestamp: STRING>>",
+    "DeliveryDrivers": f"{_OID}, driver_id STRING, name STRING, vehicle_type STRING, rating STRING, active BOOLEAN",
+    "Orders": f"{_OID}, order_id STRING, customer_id STRING, restaurant_id STRING, driver_id STRING, "
+    "items ARRAY<STRUCT<name: STRING, price: STRING, qty: BIGINT>>, order_amount STRING, status STRING, order_time STRING",
+    "OrderReviews": f"{_OID}, review_id STRING, order_id STRING, rating STRING, comment STRING, created_at STRING",
+}
+
+# Per-collection types that the name rule does not give.
+COLLECTION_TYPES = {"OrderReviews": {"rating": "int"}}
+
+
 def ids_to_text(df: DataFrame) -> DataFrame:
     """object ids to their 24-hex text.  In extended JSON an id is a
     struct with one ``$oid`` field; such columns become that string."""
@@ -166,3 +192,32 @@ def preview_marts(spark: SparkSession, tables: Sequence[str], n: int = 10, order
     """The first ``n`` rows of each mart (by key when ``order_by``
     names one); a table that fails is reported and the rest still run."""
     return preview(spark, tables, n=n, order_by=order_by)
+
+
+def read_collections(spark: SparkSession, folder: str, schemas: Mapping[str, str] | None = None, database: str | None = None) -> list[Collection]:
+    """The five collections as JSON lines under ``folder/<Collection>``,
+    read with their declared layouts, each paired with its target table."""
+    schemas = schemas or COLLECTION_SCHEMAS
+    prefix = f"{database}." if database else ""
+    out = []
+    for name, table, key in COLLECTIONS:
+        df = read_collection(spark, f"{folder.rstrip('/')}/{name}", schemas[name])
+        out.append(Collection(df, f"{prefix}{table}", key=key, types=COLLECTION_TYPES.get(name)))
+    return out
+
+
+def run_replication(spark: SparkSession, folder: str, database: str | None = None, location: str | None = None) -> DataFrame:
+    """M18 end to end: create the target tables if absent, replicate the five
+    collections read from ``folder`` (customer actions exploded on the way),
+    then rebuild both marts.  Returns the row count per table."""
+    prefix = f"{database}." if database else ""
+    return load_all(
+        spark,
+        read_collections(spark, folder, database=database),
+        customers_table=f"{prefix}customers",
+        actions_table=f"{prefix}customer_actions",
+        orders_table=f"{prefix}orders",
+        marts=(f"{prefix}mart_customer_activity", f"{prefix}mart_restaurant_performance"),
+        location=location,
+        tables={f"{prefix}{k}": v for k, v in TARGET_TABLES.items()},
+    )

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.nested import explode_json, explode_xml, xml_attr, xml_node_text, xml_text
+from tidewater.sinks.tables import create_if_absent
+from tidewater.sources.files import read_table
 
 # Pet fields taken from each element of "$.pets".
 PET_FIELDS = ("name", "species", "favFoods", "birthYear", "photo")
@@ -70,3 +72,17 @@ def flatten_foods(df: DataFrame, col: str = "xml_content", keep: Sequence[str] =
             value = xml_text("food", src)
         out.append(value.cast(dtype).alias(name))
     return nodes.select(*keep, *out)
+
+
+def run_pets_table(spark: SparkSession, source_table: str, target_table: str, col: str = "json_data", path: str | None = None) -> bool:
+    """M1 end to end: the JSON column of ``source_table`` flattened into
+    ``target_table``, created only if absent and never refreshed (K7, D15).
+    Returns True when the table was created."""
+    return create_if_absent(flatten_pets(read_table(spark, source_table), col), target_table, path)
+
+
+def run_foods_table(spark: SparkSession, source_table: str, target_table: str, col: str = "xml_content", path: str | None = None) -> bool:
+    """M2 end to end: the XML column of ``source_table`` flattened into
+    ``target_table``, created only if absent (K7).  Returns True when the
+    table was created."""
+    return create_if_absent(flatten_foods(read_table(spark, source_table), col), target_table, path)

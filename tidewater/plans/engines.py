@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.exprs import absolute, first_match, flag, per_hundred, round_half_up
 from tidewater.operators.analytics import sum_flag
 from tidewater.operators.cleaning import keep_positive
+from tidewater.session import legacy_parquet_conf
+from tidewater.sinks.tables import save_external
+from tidewater.sources.files import read_parquet
 
 RPM = "Engine_RPM_RPM"
 SPEED = "Vehicle_Speed_km_per_h"
@@ -86,3 +89,13 @@ def engine_profile(df: DataFrame, sort: bool = True) -> DataFrame:
     aggs.append(sum_flag("fuel_trim_anomaly").alias("fuel_trim_anomaly_count"))
     out = enriched.groupBy(*GROUP_KEYS).agg(*aggs)
     return out.orderBy(*GROUP_KEYS) if sort else out
+
+
+def run_engine_profile(spark: SparkSession, input_path: str, table: str, output_path: str) -> DataFrame:
+    """M12 end to end: legacy Parquet read rules (S5), all files under
+    ``input_path`` with their schemas merged (S4), the profile, saved as an
+    external table at ``output_path`` (K6).  Returns the saved table."""
+    legacy_parquet_conf(spark)
+    out = engine_profile(read_parquet(spark, input_path, merge_schema=True))
+    save_external(out, table, output_path)
+    return spark.table(table)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.nested import to_nested_value, to_value
-from tidewater.sinks.files import write_text
+from tidewater.sinks.files import write_csv, write_text
 from tidewater.sinks.topic import write_topic
 from tidewater.streaming.drain import drain_to_table
 
@@ -77,3 +77,45 @@ def send_rows(df: DataFrame, options: dict[str, str]) -> None:
 def send_nested(df: DataFrame, layout: Mapping[str, object], options: dict[str, str]) -> None:
     """Table rows shaped into nested JSON messages, written to a topic."""
     write_topic(to_nested_value(df, layout), options)
+
+
+def run_messages_to_csv(spark: SparkSession, raw: DataFrame, out_path: str, paths=LOAN_PATHS, view: str = "loan_messages") -> DataFrame:
+    """M14 end to end: a bounded read of messages (``raw`` has a ``value``
+    column, e.g. from :func:`tidewater.sources.topic.read_topic`), payloads
+    as text, NULLs dropped, flattened with SQL, written as CSV with a header
+    (K2).  Returns the flat frame."""
+    flat = flat_messages(spark, message_values(raw), view=view, paths=paths)
+    write_csv(flat, out_path)
+    return flat
+
+
+def run_stream_to_csv(
+    spark: SparkSession,
+    sdf: DataFrame,
+    out_path: str,
+    drained_path: str,
+    checkpoint: str,
+    paths=LOAN_PATHS,
+    view: str = "received_messages",
+    timeout: float | None = None,
+) -> DataFrame:
+    """M15 end to end: drain the stream once (checkpointed file sink), flatten
+    the drained table with SQL, write it as CSV with a header (K2)."""
+    flat = stream_flat(spark, sdf, drained_path, checkpoint, view=view, paths=paths, timeout=timeout)
+    write_csv(flat, out_path)
+    return flat
+
+
+def run_stream_to_text(
+    sdf: DataFrame,
+    out_path: str,
+    drained_path: str,
+    checkpoint: str,
+    mode: str = "error",
+    view: str = "received_messages",
+    timeout: float | None = None,
+) -> DataFrame:
+    """M16 end to end: drain the stream once and write the payloads as text
+    lines to ``out_path`` (fails if it exists unless ``mode`` says otherwise,
+    K3)."""
+    return stream_text(sdf, drained_path, checkpoint, out_path, view=view, mode=mode, timeout=timeout)

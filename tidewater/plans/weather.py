@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tidewater.functions.exprs import day_of, parse_ts, round_half_even, year_of
 from tidewater.operators.analytics import exact_mean, percentile_band, top_n, union_all
 from tidewater.operators.cleaning import since
+from tidewater.sinks.tables import append_incremental, append_table, full_refresh, table_exists
+from tidewater.sources.files import read_csv
 
 # Reading format and defaults of the job.
 READING_FORMAT = "dd-MM-yyyy HH:mm"
 INSIDE = "In"
 
+# The columns of a sensor reading file, and of the target table.
+READINGS_SCHEMA = "id STRING, `room_id/id` STRING, noted_date STRING, temp DOUBLE, `out/in` STRING"
+TARGET_COLUMNS = ("noted_date", "temp", "out_in")
+
 
 def daily_extremes(
     df: DataFrame,
@@ -57,3 +63,44 @@ def daily_extremes(
     hottest = top_n(daily, ["_year"], [F.col("temp").desc(), F.col("noted_date").asc()], n)
     coldest = top_n(daily, ["_year"], [F.col("temp").asc(), F.col("noted_date").asc()], n)
     return union_all(hottest, coldest).select("noted_date", "temp", out_side)
+
+
+def read_readings(spark: SparkSession, path: str, schema: str = READINGS_SCHEMA) -> DataFrame:
+    """A sensor reading CSV with a header; ``noted_date`` stays text and
+    is parsed by :func:`daily_extremes`."""
+    return read_csv(spark, path, schema=schema)
+
+
+def run_daily_extremes(spark: SparkSession, csv_path: str, table: str, path: str | None = None) -> DataFrame:
+    """M3 end to end: readings file -> daily extremes -> appended to
+    ``table`` (a rerun appends again, as the job does; D4)."""
+    out = daily_extremes(read_readings(spark, csv_path))
+    append_table(out, table, list(TARGET_COLUMNS), path)
+    return out
+
+
+def run_full_or_incremental(
+    spark: SparkSession,
+    csv_path: str,
+    full_table: str,
+    incremental_table: str,
+    days: int = 3,
+    as_of: Column | None = None,
+    keys: list[str] | None = None,
+    full_path: str | None = None,
+    incremental_path: str | None = None,
+) -> str:
+    """M5 with M3 / M4: the first run (``full_table`` absent or empty)
+    replaces ``full_table`` with the extremes of all readings; later runs
+    append the extremes of the last ``days`` days before ``as_of`` to
+    ``incremental_table`` (the band is computed on that window only, D5).
+    ``keys`` makes the append idempotent.  Returns "full" or "incremental".
+    """
+    readings = read_readings(spark, csv_path)
+    cols = list(TARGET_COLUMNS)
+    if not table_exists(spark, full_table) or spark.table(full_table).isEmpty():
+        full_refresh(daily_extremes(readings), full_table, cols, full_path)
+        return "full"
+    recent = daily_extremes(readings, days=days, as_of=as_of)
+    append_incremental(recent, incremental_table, cols, keys, incremental_path)
+    return "incremental"
