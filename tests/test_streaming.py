@@ -55,3 +55,16 @@ def test_topic_source_needs_connector(spark):
     # The connector jar is not bundled: the read fails cleanly.
     with pytest.raises(Exception):
         topic.read_topic(spark, topic.topic_options("localhost:1", "t")).schema
+
+
+def test_drain_timeout_stops_and_rerun_completes(spark, tmp_dir):
+    sdf = drain.file_stream(spark, SF_SMALL, EVENTS, glob="events.parquet")
+    values = messages.message_values(sdf.select(F.to_json(F.struct("event_id")).alias("value")))
+    out, ckpt = f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    with pytest.raises(TimeoutError):
+        drain.drain_to_files(values, out, ckpt, timeout=0.001)
+    assert not any(q.isActive for q in spark.streams.active)
+    drain.drain_to_files(values, out, ckpt)
+    got = sorted(r.value for r in spark.read.parquet(out).collect())
+    want = sorted(r.value for r in spark.read.parquet(f"{SF_SMALL}/events.parquet").select(F.to_json(F.struct("event_id")).alias("value")).collect())
+    assert got == want

@@ -43,8 +43,9 @@ def drain_to_files(
 ) -> StreamingQuery:
     """Append what is available to files at ``path`` and stop.
 
-    Blocks until the drain ends (or ``timeout`` seconds pass) and re-raises a
-    failure of the stream."""
+    Blocks until the drain ends and re-raises a failure of the stream.  When
+    ``timeout`` seconds pass first, the query is stopped and TimeoutError is
+    raised (committed batches stay in the checkpoint)."""
     writer = (
         sdf.writeStream.format(fmt)
         .outputMode("append")
@@ -56,9 +57,14 @@ def drain_to_files(
     if name:
         writer = writer.queryName(name)
     query = writer.start(path)
-    query.awaitTermination(timeout)
+    finished = query.awaitTermination(timeout)
     if query.exception() is not None:
         raise RuntimeError(f"stream failed: {query.exception()}")
+    if finished is False and query.isActive:
+        # Not drained in time: stop it rather than hand back partial output.
+        # The checkpoint keeps the committed batches, so a rerun continues.
+        query.stop()
+        raise TimeoutError(f"stream not drained within {timeout} s; rerun to continue from the checkpoint")
     return query
 
 
