@@ -99,6 +99,23 @@ def test_flatten_parse_once_equals_per_path(spark):
     assert [tuple(r) for r in once] == [tuple(r) for r in each]
 
 
+def test_flat_sql_parse_once_equals_per_path(spark):
+    docs = [
+        (json.dumps(LOAN),),
+        ('{"customer": "flat", "loan": {"amount": 1.50, "term_months": null}}',),
+        ('{"application_id": {"nested": [1, 2.50]}, "scoring": {"pd": 1e-3, "lgd": "0.20"}}',),
+        ("[1,2]",),
+        ("not json",),
+        ("{}",),
+    ]
+    view = "flat_sql_docs"
+    spark.createDataFrame(docs, "value string").createOrReplaceTempView(view)
+    once = spark.sql(messages.flat_sql(view)).collect()
+    each = spark.sql(f"SELECT {', '.join(f"get_json_object(value, '{p}') AS `{n}`" for n, p in messages.LOAN_PATHS)} FROM {view}").collect()
+    assert [tuple(r) for r in once] == [tuple(r) for r in each]
+    assert "from_json" in messages.flat_sql(view) and "get_json_object" in messages.flat_sql(view, [("x", "$.a[0]")])
+
+
 def test_json_get_and_text(spark):
     df = spark.createDataFrame([('{"a": {"b": [1, 2]}, "c": null}',)], "j string")
     r = df.select(N.json_get("j", "$.a"), N.json_text("j", "c"), N.json_text("j", "zz")).first()

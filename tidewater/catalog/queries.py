@@ -322,7 +322,7 @@ def column_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event messages through a view, flattened by SQL, written as CSV
     with a header and read back (all text)."""
-    ev = I.table(spark, sf_dir, "events")
+    ev = I.table(spark, sf_dir, "events", spread_rows=True)
     values = messages.message_values(ev.select(I.event_message(ev).alias("value")))
     flat = messages.flat_messages(spark, values, view=_name("messages"), paths=I.EVENT_PATHS)
     path = scratch_path(spark, "flat_csv")

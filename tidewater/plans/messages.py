@@ -6,8 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidewater.operators.nested import to_nested_value, to_value
+from tidewater.operators.nested import text_schema, to_nested_value, to_value
 from tidewater.sinks.files import write_csv, write_text
 from tidewater.sinks.topic import write_topic
 from tidewater.streaming.drain import drain_to_table
@@ -40,11 +41,33 @@ def message_values(df: DataFrame) -> DataFrame:
     return df.selectExpr("CAST(value AS STRING) AS value").where(F.col("value").isNotNull())
 
 
+def _ddl(schema: StructType, top: bool = True) -> str:
+    """DDL of an all-text layout (``a STRING, b STRUCT<c: STRING>``)."""
+    sep = " " if top else ": "
+    parts = []
+    for f in schema.fields:
+        kind = f"STRUCT<{_ddl(f.dataType, top=False)}>" if isinstance(f.dataType, StructType) else "STRING"
+        parts.append(f"`{f.name}`{sep}{kind}")
+    return ", ".join(parts)
+
+
 def flat_sql(view: str, paths=LOAN_PATHS, keep: tuple[str, ...] = ()) -> str:
-    """SQL text that flattens JSON ``value`` of ``view`` into text columns."""
-    cols = [f"`{k}`" for k in keep]
-    cols += [f"get_json_object(value, '{path}') AS `{name}`" for name, path in paths]
-    return f"SELECT {', '.join(cols)} FROM `{view}`"
+    """SQL text that flattens JSON ``value`` of ``view`` into text columns.
+
+    Plain dotted paths are read from one ``from_json`` parse per message
+    against an all-text layout (the same text ``get_json_object`` gives per
+    path); other paths fall back to one ``get_json_object`` each."""
+    kept = [f"`{k}`" for k in keep]
+    schema = text_schema([path for _, path in paths])
+    if schema is None:
+        cols = kept + [f"get_json_object(value, '{path}') AS `{name}`" for name, path in paths]
+        return f"SELECT {', '.join(cols)} FROM `{view}`"
+    fields = []
+    for name, path in paths:
+        steps = ".".join(f"`{step}`" for step in path[2:].split("."))
+        fields.append(f"`_doc`.{steps} AS `{name}`")
+    inner = ", ".join(kept + [f"from_json(value, '{_ddl(schema)}') AS `_doc`"])
+    return f"SELECT {', '.join(kept + fields)} FROM (SELECT {inner} FROM `{view}`)"
 
 
 def flat_messages(spark: SparkSession, df: DataFrame, view: str = "messages", paths=LOAN_PATHS, keep: tuple[str, ...] = ()) -> DataFrame:
