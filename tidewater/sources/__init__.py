@@ -10,12 +10,14 @@ from tidewater.sources.files import (
     rows,
     sql,
 )
+from tidewater.sources.jdbc import read_jdbc
 from tidewater.sources.topic import read_topic, stream_topic, topic_options, topic_security
 
 __all__ = [
     "preview",
     "read_collection",
     "read_csv",
+    "read_jdbc",
     "read_parquet",
     "read_table",
     "register",
