@@ -96,3 +96,29 @@ def test_fk_counts_agree_with_rows_on_a_hot_key(spark):
 def test_jdbc_options():
     opts = tsink.jdbc_options("jdbc:postgresql://db/x", "orders", user="u", password="p", truncate=True, cascade=True)
     assert opts["truncate"] == "true" and opts["cascadeTruncate"] == "true" and opts["dbtable"] == "orders"
+
+
+def test_bucketed_target_is_not_shuffled_by_incremental_loads(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS tw_bucketed")
+    t = "tw_bucketed.target"
+    df = spark.range(200).toDF("k").withColumn("v", F.col("k") * 2)
+    assert tsink.load(df.where("k < 100"), t, ["k", "v"], keys=["k"], buckets=4) == "full"
+    assert tsink.load(df, t, ["k", "v"], keys=["k"], buckets=4) == "incremental"
+    assert tsink.load(df, t, ["k", "v"], keys=["k"], buckets=4) == "incremental"
+    assert sorted(r.k for r in spark.table(t).collect()) == list(range(200))
+    with _no_broadcast(spark):  # the plan must not depend on a broadcast
+        plan = tsink.new_rows(df, spark.table(t), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # the incoming rows only
+
+
+class _no_broadcast:
+    def __init__(self, spark):
+        self.spark = spark
+
+    def __enter__(self):
+        self.old = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        self.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", self.old)

@@ -244,16 +244,20 @@ def message_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First run full (orders before 1998), then incremental
-    with keys (all orders) twice; the second adds nothing."""
+    """First run full (orders before 1998) into a table
+    bucketed by the order key, then incremental with keys (all orders)
+    twice; the second adds nothing."""
     o = I.table(spark, sf_dir, "orders")
     db = _database(spark)
     target = f"{db}.orders_loaded"
     path = scratch_path(spark, "orders_loaded")
     cols = o.columns
-    first = tsink.load(o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")), target, cols, path=path)
-    second = tsink.load(o, target, cols, keys=["o_orderkey"], path=path)
-    third = tsink.load(o, target, cols, keys=["o_orderkey"], path=path)
+    # Bucketed by the load key, so the incremental anti joins read the
+    # target without shuffling it.
+    keys, buckets = ["o_orderkey"], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = tsink.load(o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")), target, cols, keys=keys, path=path, buckets=buckets)
+    second = tsink.load(o, target, cols, keys=keys, path=path, buckets=buckets)
+    third = tsink.load(o, target, cols, keys=keys, path=path, buckets=buckets)
     assert (first, second, third) == ("full", "incremental", "incremental")
     return spark.table(target)
 

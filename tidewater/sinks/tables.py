@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def _writer(df: DataFrame, mode: str, path: str | None):
+def _writer(df: DataFrame, mode: str, path: str | None, buckets: int | None = None, bucket_by: Sequence[str] | None = None):
     writer = df.write.mode(mode).format("parquet")
     if path:
         writer = writer.option("path", path)
+    if buckets and bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by)
     return writer
 
 
@@ -44,14 +46,22 @@ def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
     _writer(df, "overwrite", path).saveAsTable(table)
 
 
-def append_table(df: DataFrame, table: str, cols: Sequence[str] | None = None, path: str | None = None) -> None:
-    """K9: append rows (set-based; the table is created on first use)."""
+def append_table(
+    df: DataFrame,
+    table: str,
+    cols: Sequence[str] | None = None,
+    path: str | None = None,
+    buckets: int | None = None,
+    bucket_by: Sequence[str] | None = None,
+) -> None:
+    """K9: append rows (set-based; the table is created on first use,
+    bucketed by ``bucket_by`` when ``buckets`` is given)."""
     if cols:
         df = df.select(*cols)
     if table_exists(df.sparkSession, table):
         _append_by_name(df, table)
     else:
-        _writer(df, "append", path).saveAsTable(table)
+        _writer(df, "append", path, buckets, bucket_by).saveAsTable(table)
 
 
 def _append_by_name(df: DataFrame, table: str) -> None:
@@ -59,10 +69,18 @@ def _append_by_name(df: DataFrame, table: str) -> None:
     df.select(*target).write.mode("append").insertInto(table)
 
 
-def full_refresh(df: DataFrame, table: str, cols: Sequence[str], path: str | None = None) -> None:
+def full_refresh(
+    df: DataFrame,
+    table: str,
+    cols: Sequence[str],
+    path: str | None = None,
+    buckets: int | None = None,
+    bucket_by: Sequence[str] | None = None,
+) -> None:
     """Empty the table, then load ``df``'s ``cols`` (an overwrite; on a
-    JDBC target use :func:`jdbc_options` with ``truncate=True``)."""
-    _writer(df.select(*cols), "overwrite", path).saveAsTable(table)
+    JDBC target use :func:`jdbc_options` with ``truncate=True``).  With
+    ``buckets`` the table is bucketed by ``bucket_by``."""
+    _writer(df.select(*cols), "overwrite", path, buckets, bucket_by).saveAsTable(table)
 
 
 def new_rows(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -70,32 +88,52 @@ def new_rows(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame
     return df.join(target.select(*keys).distinct(), on=list(keys), how="left_anti")
 
 
-def append_incremental(df: DataFrame, table: str, cols: Sequence[str], keys: Sequence[str] | None = None, path: str | None = None) -> None:
+def append_incremental(
+    df: DataFrame,
+    table: str,
+    cols: Sequence[str],
+    keys: Sequence[str] | None = None,
+    path: str | None = None,
+    buckets: int | None = None,
+) -> None:
     """Append without truncating.  Without ``keys`` rows are appended as
     they are (a rerun repeats them); with ``keys`` only rows whose key is new
     are appended, so a rerun adds nothing.
 
     The new rows are staged to the session checkpoint folder before the
     append, because the append changes the very table the anti-join reads.
+    A target bucketed by ``keys`` (``buckets``, set when the table is made)
+    is read for the anti join without a shuffle: only the incoming rows
+    move, however large the target grows.
     """
     spark = df.sparkSession
     df = df.select(*cols)
     if keys and table_exists(spark, table):
         df = new_rows(df, spark.table(table), keys).checkpoint(eager=True)
-    append_table(df, table, None, path)
-
-
-def load(df: DataFrame, table: str, cols: Sequence[str], mode: str = "auto", keys: Sequence[str] | None = None, path: str | None = None) -> str:
+    append_table(df, table, None, path, buckets, keys)
+
+
+def load(
+    df: DataFrame,
+    table: str,
+    cols: Sequence[str],
+    mode: str = "auto",
+    keys: Sequence[str] | None = None,
+    path: str | None = None,
+    buckets: int | None = None,
+) -> str:
     """M5: pick the load.  ``auto`` runs a full refresh when the target is
-    absent or empty and an incremental append otherwise.  Returns the mode
-    used ("full" or "incremental")."""
+    absent or empty and an incremental append otherwise.  With ``keys`` and
+    ``buckets`` the target is bucketed by the keys when it is (re)made, so
+    later incremental runs do not shuffle it.  Returns the mode used
+    ("full" or "incremental")."""
     spark = df.sparkSession
     if mode == "auto":
         mode = "full" if (not table_exists(spark, table) or spark.table(table).isEmpty()) else "incremental"
     if mode == "full":
-        full_refresh(df, table, cols, path)
+        full_refresh(df, table, cols, path, buckets, keys)
     elif mode == "incremental":
-        append_incremental(df, table, cols, keys, path)
+        append_incremental(df, table, cols, keys, path, buckets)
     else:
         raise ValueError(f"unknown load mode {mode!r}")
     return mode
