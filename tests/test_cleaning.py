@@ -55,6 +55,19 @@ def test_dedup_keep_first_is_ordered(spark):
     assert out == {"k": "early", "j": "only"}
 
 
+def test_dedup_ties_pick_the_same_row_in_any_order(spark):
+    rows = [("k", 1, "b"), ("k", 1, "a"), ("k", 1, "c"), ("j", 2, "z")]
+    picks = set()
+    for parts in (1, 3):
+        for perm in (rows, rows[::-1]):
+            df = spark.createDataFrame(perm, "k string, v int, s string").repartition(parts)
+            picks.add(tuple(sorted((r.k, r.s) for r in C.dedup_keep_first(df, ["k"], ["v"]).collect())))
+    assert picks == {(("j", "z"), ("k", "a"))}
+    # a map column cannot be ordered: still one row per key
+    m = spark.createDataFrame([("k", {"a": 1}), ("k", {"b": 2})], "k string, m map<string,int>")
+    assert C.dedup_keep_first(m, ["k"], ["k"]).count() == 1
+
+
 def test_full_row_dedup_and_drop_nulls(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "x int, y string")
     assert C.dedup_rows(df).count() == 2

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType, VariantType
 
 from tidewater.functions.exprs import days_before, try_number, try_timestamp
 
@@ -91,20 +91,35 @@ def keep_positive_if_present(df: DataFrame, col: str) -> DataFrame:
     return df.where(c > 0)
 
 
+def _orderable(dt: DataType) -> bool:
+    if isinstance(dt, (MapType, VariantType)):
+        return False
+    if isinstance(dt, ArrayType):
+        return _orderable(dt.elementType)
+    if isinstance(dt, StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    return True
+
+
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
     """One row per key, the first by ``order_by``.
 
     Done as an aggregate (``min_by`` over a struct of the row), so each task
     pre-aggregates before the shuffle: a key holding a third of all rows is
-    reduced map-side instead of landing whole in one task.  ``order_by``
-    should be a total order (add a tie-breaker) for a repeatable result.
+    reduced map-side instead of landing whole in one task.  Rows that tie on
+    ``order_by`` are told apart by the row itself (when all its columns can
+    be ordered), so the pick does not depend on the order rows arrive in and
+    a recomputed task picks the same row.
     """
     keys = list(keys)
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.dropDuplicates(keys)
-    order = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_by])
     row = F.struct(*[F.col(c) for c in others])
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    if all(_orderable(df.schema[c].dataType) for c in others):
+        order_cols.append(row)
+    order = F.struct(*order_cols)
     picked = df.groupBy(*keys).agg(F.min_by(row, order).alias("_row"))
     return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in others]).select(*df.columns)
 
