@@ -151,3 +151,25 @@ def test_load_all_and_empty_collection(spark, tmp_dir):
     )
     got = {r.table_name.split(".")[-1]: r.row_count for r in counts.collect()}
     assert got == {"restaurants": 0, "customers": 1, "customer_actions": 1, "orders": 1, "mart_a": 1, "mart_b": 1}
+
+
+def test_load_all_raises_a_failed_load_after_the_others_finish(spark, tmp_dir):
+    import pytest
+
+    db = "tw_test_failing_loads"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    good = spark.createDataFrame([("r1", "Cafe")], "restaurant_id string, name string")
+    bad = spark.range(3).select(F.raise_error(F.lit("broken source")).cast("string").alias("driver_id"))
+    tables = {f"{db}.{k}": v for k, v in delivery.TARGET_TABLES.items()}
+    with pytest.raises(Exception, match="broken source"):
+        delivery.load_all(
+            spark,
+            [delivery.Collection(bad, f"{db}.delivery_drivers"), delivery.Collection(good, f"{db}.restaurants", key="restaurant_id")],
+            customers_table=None,
+            actions_table=f"{db}.customer_actions",
+            orders_table=f"{db}.orders",
+            marts=(f"{db}.mart_a", f"{db}.mart_b"),
+            location=f"{tmp_dir}/dwh",
+            tables=tables,
+        )
+    assert [r.name for r in spark.table(f"{db}.restaurants").collect()] == ["Cafe"]
