@@ -14,11 +14,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Defaults every session gets: adaptive execution re-plans joins, coalesces
-# small shuffle partitions and splits skewed ones at run time.
+# small shuffle partitions and splits skewed ones at run time; staged
+# checkpoint files are removed from the shared folder once unreferenced.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
