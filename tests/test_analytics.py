@@ -113,3 +113,15 @@ def test_bad_date_text_raises(spark):
 def test_union_all_keeps_duplicates(spark):
     a = spark.createDataFrame([(1, "x")], "k int, v string")
     assert A.union_all(a, a.select("v", "k")).count() == 2
+
+
+def test_approx_band_is_close_to_exact(spark):
+    df = spark.range(0, 10001).selectExpr("CAST(id AS DOUBLE) AS t")
+    exact = A.exact_quantiles(df, "t", [0.05, 0.95])
+    approx = A.approx_quantiles(df, "t", [0.05, 0.95], accuracy=10000)
+    assert all(abs(a - e) <= 10001 / 10000 + 1 for a, e in zip(approx, exact))
+    kept = A.percentile_band(df, "t", method="approx").count()
+    assert abs(kept - A.percentile_band(df, "t").count()) <= 4
+    assert A.approx_quantiles(df.where("t < 0"), "t", [0.5]) == [None]
+    with pytest.raises(ValueError):
+        A.percentile_band(df, "t", method="nearest")

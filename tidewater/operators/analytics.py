@@ -140,15 +140,40 @@ def exact_quantiles(
         hist.unpersist()
 
 
-def percentile_band(df: DataFrame, column: str, lo: float = 0.05, hi: float = 0.95) -> DataFrame:
+def approx_quantiles(df: DataFrame, column: str, probs: Sequence[float], accuracy: int = 10000) -> list[float | None]:
+    """Percentiles from ``approx_percentile`` (one aggregate job, a bounded
+    sketch per task): each result is a value of the column whose rank is
+    within about ``1 / accuracy`` of the wanted one.  NULL and NaN are
+    skipped."""
+    v = F.col(column).cast("double")
+    row = (
+        df.select(v.alias("v"))
+        .where(F.col("v").isNotNull() & ~F.isnan("v"))
+        .agg(F.percentile_approx("v", [float(p) for p in probs], accuracy).alias("q"))
+        .first()
+    )
+    if row is None or row["q"] is None:
+        return [None for _ in probs]
+    return [float(x) for x in row["q"]]
+
+
+def percentile_band(df: DataFrame, column: str, lo: float = 0.05, hi: float = 0.95, method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """Keep rows whose ``column`` lies between its ``lo`` and ``hi``
     percentiles, both ends kept; NULLs drop out.
 
-    The two cut points are computed by :func:`exact_quantiles` (a separate,
-    small job) and enter the plan as literals, so the filter is pushed into
-    the scan like any other comparison.
+    The two cut points are computed by a separate, small job and enter the
+    plan as literals, so the filter is pushed into the scan like any other
+    comparison.  ``method="exact"`` (the default) interpolates like the
+    job's data-frame quantile (:func:`exact_quantiles`); ``"approx"`` is the
+    opt-in for very large inputs (:func:`approx_quantiles`: one pass, no
+    interpolation, rank error about ``1 / accuracy``).
     """
-    p_lo, p_hi = exact_quantiles(df, column, [lo, hi])
+    if method == "exact":
+        p_lo, p_hi = exact_quantiles(df, column, [lo, hi])
+    elif method == "approx":
+        p_lo, p_hi = approx_quantiles(df, column, [lo, hi], accuracy)
+    else:
+        raise ValueError(f"unknown percentile method {method!r}")
     if p_lo is None:
         return df.where(F.lit(False))
     c = F.col(column)

@@ -34,6 +34,7 @@ def daily_extremes(
     days: int | None = None,
     as_of: Column | None = None,
     out_side: str = "out_in",
+    band_method: str = "exact",
 ) -> DataFrame:
     """M3 (and M4 with ``days``): the ``n`` hottest and ``n`` coldest days
     of every year.
@@ -43,7 +44,8 @@ def daily_extremes(
     window only; drop readings outside the [lo, hi] percentile band (both
     ends kept); mean per day, rounded half-to-even to ``digits``; per year
     the top and bottom ``n`` days (equal means: earlier day first), hottest
-    list then coldest list, a day kept twice when in both.
+    list then coldest list, a day kept twice when in both.  ``band_method``
+    "approx" computes the band in one pass for very large inputs.
 
     Output: ``noted_date`` DATE, ``temp`` DOUBLE, ``out_side`` STRING.
     """
@@ -55,7 +57,7 @@ def daily_extremes(
     )
     if days is not None:
         x = since(x, "_ts", days, as_of)
-    x = percentile_band(x, "temp", lo, hi)
+    x = percentile_band(x, "temp", lo, hi, method=band_method)
     daily = x.groupBy(day_of("_ts").alias("noted_date"), out_side).agg(
         round_half_even(exact_mean("temp"), digits).alias("temp")
     )
