@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidewater.operators.nested import explode_json, explode_xml, xml_attr, xml_node_text, xml_text
 from tidewater.sinks.tables import create_if_absent
