@@ -21,8 +21,11 @@ def _col(c: Column | str) -> Column:
 
 
 # Largest number of distinct values whose running count one task computes;
-# a value range holding more is range-split again before the final step.
+# a value range holding more is range-split again before the final step
+# (at most MAX_SPLIT_ROUNDS times: each round divides a range by about the
+# bucket count, so a few rounds cover any data size).
 MAX_VALUES_PER_TASK = 4_000_000
+MAX_SPLIT_ROUNDS = 6
 
 
 def _value_ranges(hist: DataFrame, n_buckets: int) -> list[tuple[float, float, int, int]]:
@@ -91,18 +94,18 @@ def exact_quantiles(
         ranks = sorted({r for lo_rank, hi_rank, _ in plans for r in (lo_rank, hi_rank)})
 
         # Narrow each rank to a value range small enough for one task.
-        # Work items: (ranges of a slice, rows below the slice, ranks in it).
+        # Work items: (ranges of a slice, rows below it, ranks in it, round).
         final: list[tuple[float, float, dict[int, int]]] = []
-        work = [(top, 0, ranks)]
+        work = [(top, 0, ranks, 0)]
         while work:
-            ranges, offset, wanted = work.pop()
+            ranges, offset, wanted, depth = work.pop()
             before = offset
             for lo, hi, n, d in ranges:
                 inside = [r for r in wanted if before <= r < before + n]
                 if inside:
-                    if d > max_values_per_task and len(ranges) > 1:
+                    if d > max_values_per_task and len(ranges) > 1 and depth < MAX_SPLIT_ROUNDS:
                         part = hist.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
-                        work.append((_value_ranges(part, n_buckets), before, inside))
+                        work.append((_value_ranges(part, n_buckets), before, inside, depth + 1))
                     else:
                         final.append((lo, hi, {r: r - before for r in inside}))
                 before += n
