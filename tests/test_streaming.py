@@ -68,3 +68,19 @@ def test_drain_timeout_stops_and_rerun_completes(spark, tmp_dir):
     got = sorted(r.value for r in spark.read.parquet(out).collect())
     want = sorted(r.value for r in spark.read.parquet(f"{SF_SMALL}/events.parquet").select(F.to_json(F.struct("event_id")).alias("value")).collect())
     assert got == want
+
+
+def test_send_jobs_hand_json_values_to_the_topic_writer(spark, monkeypatch):
+    import json
+
+    sent = []
+    monkeypatch.setattr(messages, "write_topic", lambda df, options: sent.append((df, options)))
+    opts = topic.topic_options("broker:9093", "loans", subscribe=False)
+    rows = spark.createDataFrame([(1, "a"), (2, None)], "id BIGINT, name STRING")
+    messages.send_rows(rows, opts)
+    messages.send_nested(rows, {"application": {"id": "id"}, "who": "name"}, opts)
+    (flat, o1), (nested, o2) = sent
+    assert o1 == o2 == opts and flat.columns == ["value"] and nested.columns == ["value"]
+    assert sorted(json.loads(r.value)["id"] for r in flat.collect()) == [1, 2]
+    docs = sorted((json.loads(r.value) for r in nested.collect()), key=lambda d: d["application"]["id"])
+    assert docs == [{"application": {"id": 1}, "who": "a"}, {"application": {"id": 2}}]
