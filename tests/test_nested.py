@@ -116,6 +116,21 @@ def test_flat_sql_parse_once_equals_per_path(spark):
     assert "from_json" in messages.flat_sql(view) and "get_json_object" in messages.flat_sql(view, [("x", "$.a[0]")])
 
 
+def test_explode_json_parses_each_element_once_with_the_same_text(spark):
+    docs = [
+        ('{"pets":[{"name":"a","favFoods":["x", "y"],"birthYear":2001,"photo":null},"just text",7,{"name":{"n":1.50}},{}]}',),
+        ('{"pets":[{"name":"first","name":"last"}]}',),
+    ]
+    df = spark.createDataFrame(docs, "json_data string")
+    once = N.explode_json(df, "json_data", "$.pets", ["name", "favFoods", "birthYear", "photo"]).collect()
+    elems = df.select(F.explode(F.from_json(F.get_json_object("json_data", "$.pets"), "array<string>")).alias("e"))
+    each = elems.select(*[F.get_json_object("e", f"$.{k}").alias(k) for k in ["name", "favFoods", "birthYear", "photo"]]).collect()
+    assert [tuple(r) for r in once[:5]] == [tuple(r) for r in each[:5]]
+    assert tuple(once[0]) == ("a", '["x","y"]', "2001", None)
+    # a repeated key keeps its last value, as a jsonb column does
+    assert once[5].name == "last"
+
+
 def test_json_get_and_text(spark):
     df = spark.createDataFrame([('{"a": {"b": [1, 2]}, "c": null}',)], "j string")
     r = df.select(N.json_get("j", "$.a"), N.json_text("j", "c"), N.json_text("j", "zz")).first()

@@ -57,10 +57,19 @@ def explode_json(
         fields = {f: f for f in fields}
     arr = F.from_json(F.get_json_object(F.col(col), path), "array<string>")
     rows = df.select(*keep, F.explode(arr).alias(element))
-    return rows.select(*keep, *[json_text(element, key).alias(name) for name, key in fields.items()])
+    keys = list(dict.fromkeys(fields.values()))
+    if not all(_KEY.match(k) for k in keys):
+        return rows.select(*keep, *[json_text(element, key).alias(name) for name, key in fields.items()])
+    # One parse per element against an all-text layout (the text each field
+    # gets is the one get_json_object gives; a repeated key keeps its last
+    # value); an element that is not an object gives NULL fields.
+    layout = StructType([StructField(k, StringType()) for k in keys])
+    parsed = rows.select(*keep, F.from_json(F.col(element), layout).alias("_el"))
+    return parsed.select(*keep, *[F.col("_el")[key].alias(name) for name, key in fields.items()])
 
 
 _SIMPLE_PATH = re.compile(r"^\$(\.[A-Za-z_][A-Za-z0-9_]*)+$")
+_KEY = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
 def text_schema(paths: Sequence[str]) -> StructType | None:
