@@ -367,12 +367,8 @@ def stream_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         out,
         view=_name("received_text"),
     )
-    lines = spark.read.text(out)
-    return lines.select(
-        F.get_json_object("value", "$.conv_id").cast("bigint").alias("conv_id"),
-        F.get_json_object("value", "$.turn").cast("bigint").alias("turn"),
-        F.get_json_object("value", "$.text").alias("text"),
-    )
+    lines = nested.flatten_json(spark.read.text(out), "value", {"conv_id": "$.conv_id", "turn": "$.turn", "text": "$.text"})
+    return lines.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "text")
 
 
 # --------------------------- M17, M18 -------------------------------------
