@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -138,16 +139,27 @@ class Collection:
     extra: dict = field(default_factory=dict)
 
 
-def replicate_collection(c: Collection, path: str | None = None) -> DataFrame | None:
+def replicate_collection(c: Collection, path: str | None = None, keep: bool = False) -> DataFrame | None:
     """M7: prepare a collection and replace its table's rows (K12).  An
-    empty source leaves the table as it was (K15) and returns None."""
+    empty source leaves the table as it was (K15) and returns None.
+
+    With ``keep`` the prepared rows are persisted (memory, then disk) for a
+    second output such as the customer actions, so the source is not read
+    and deduplicated twice; the caller unpersists them."""
     if skip_if_empty(c.df):
         return None
     prepared = prepare_collection(c.df, c.key, c.order_by, c.types)
+    if keep:
+        prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     main = drop_array_columns(prepared)
     if c.columns:
         main = main.select(*c.columns)
-    replicate(main, c.table, path=path)
+    try:
+        replicate(main, c.table, path=path)
+    except Exception:
+        if keep:
+            prepared.unpersist()
+        raise
     return prepared
 
 
@@ -180,10 +192,14 @@ def load_all(
         return f"{location}/{name}" if location else None
 
     def load_one(c: Collection) -> list[str]:
-        prepared = replicate_collection(c, where(c.table))
+        with_actions = c.table == customers_table and "actions" in c.df.columns
+        prepared = replicate_collection(c, where(c.table), keep=with_actions)
         done = [c.table]
-        if c.table == customers_table and prepared is not None and "actions" in prepared.columns:
-            replicate(customer_actions(prepared), actions_table, path=where(actions_table))
+        if with_actions and prepared is not None:
+            try:
+                replicate(customer_actions(prepared), actions_table, path=where(actions_table))
+            finally:
+                prepared.unpersist()
             done.append(actions_table)
         return done
 
