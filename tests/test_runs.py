@@ -135,3 +135,16 @@ def test_options_file_keeps_secrets_out_of_arguments(tmp_dir):
     with open(path, "w", encoding="utf-8") as fh:
         fh.write("# security\nkafka.security.protocol=SASL_SSL\nkafka.sasl.mechanism = SCRAM-SHA-512\n")
     assert submit._options_file(path) == {"kafka.security.protocol": "SASL_SSL", "kafka.sasl.mechanism": "SCRAM-SHA-512"}
+
+
+def test_command_line_temperature_load_full_then_incremental(spark, tmp_dir, capsys):
+    src = _readings(spark, f"{tmp_dir}/readings")
+    db = _db(spark)
+    args = ["temperature-load", "--csv", f"{tmp_dir}/readings", "--full-table", f"{db}.full", "--incremental-table", f"{db}.incr"]
+    submit.main(args)
+    submit.main(args)
+    out = capsys.readouterr().out
+    assert '"result": "full"' in out and '"result": "incremental"' in out
+    assert _rows(spark.table(f"{db}.full")) == _rows(weather.daily_extremes(src))
+    # the window ends now and the readings are from 2024: nothing appended
+    assert spark.table(f"{db}.incr").count() == 0
