@@ -108,3 +108,28 @@ def test_jdbc_partitioned_read_gets_every_row(spark, derby_url):
     assert sorted(r[0] for r in back.select("id").collect()) == list(range(1000))
     # a pushed-down filter (Derby stores strings as CLOB, so filter on a number)
     assert read_jdbc(spark, opts).where("id >= 990").count() == 10
+
+
+def test_hive_catalog_session_in_its_own_process(tmp_dir):
+    # A catalog cannot be switched inside a running session, so S14 runs in
+    # a fresh process; its embedded metastore lives in tmp_dir (no server).
+    import os
+    import subprocess
+    import sys
+    import textwrap
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = textwrap.dedent(f"""
+        from tidewater.session import session
+        from tidewater.sinks.tables import save_external
+        s = session("hive-check", master="local[1]", hive=True,
+                    conf={{"spark.sql.warehouse.dir": "{tmp_dir}/wh"}})
+        assert s.conf.get("spark.sql.catalogImplementation") == "hive"
+        save_external(s.range(3).toDF("id"), "default.hive_ext", "{tmp_dir}/ext")
+        kind = s.sql("DESCRIBE TABLE EXTENDED default.hive_ext").where("col_name = 'Type'").first().data_type
+        print("RESULT", kind, s.table("default.hive_ext").count())
+        s.stop()
+    """)
+    env = {**os.environ, "PYTHONPATH": repo}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_dir, env=env, capture_output=True, text=True, timeout=300)
+    assert "RESULT EXTERNAL 3" in done.stdout, done.stderr[-2000:]
