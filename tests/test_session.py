@@ -133,3 +133,36 @@ def test_hive_catalog_session_in_its_own_process(tmp_dir):
     env = {**os.environ, "PYTHONPATH": repo}
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_dir, env=env, capture_output=True, text=True, timeout=300)
     assert "RESULT EXTERNAL 3" in done.stdout, done.stderr[-2000:]
+
+
+def test_legacy_parquet_rules_read_old_writers_files(spark, tmp_dir):
+    import datetime as dt
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    old = pa.table({"ts": pa.array([dt.datetime(1500, 3, 1, 12, 0)], pa.timestamp("us"))})
+    pq.write_table(old, f"{tmp_dir}/int96.parquet", use_deprecated_int96_timestamps=True)
+    nanos = pa.table({"ts": pa.array([1_700_000_000_123_456_789], pa.timestamp("ns"))})
+    pq.write_table(nanos, f"{tmp_dir}/nanos.parquet", coerce_timestamps=None, version="2.6")
+
+    before = {k: spark.conf.get(k, None) for k in LEGACY_PARQUET_CONF}
+    try:
+        for key in LEGACY_PARQUET_CONF:
+            spark.conf.unset(key)
+        with pytest.raises(Exception):  # nanosecond timestamps are refused by default
+            spark.read.parquet(f"{tmp_dir}/nanos.parquet").collect()
+        # older defaults refused pre-1900 INT96 from other writers; the job
+        # pins the mode instead of relying on the version's default
+        spark.conf.set("spark.sql.parquet.int96RebaseModeInRead", "EXCEPTION")
+        with pytest.raises(Exception):
+            spark.read.parquet(f"{tmp_dir}/int96.parquet").collect()
+        legacy_parquet_conf(spark)
+        assert spark.read.parquet(f"{tmp_dir}/int96.parquet").first().ts.year == 1500
+        assert spark.read.parquet(f"{tmp_dir}/nanos.parquet").first().ts == 1_700_000_000_123_456_789
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
