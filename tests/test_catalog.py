@@ -13,6 +13,9 @@ import __spark_entry__ as E
 
 from conftest import SF_SMALL
 
+# Physical operators that would mean rows leave the JVM for Python.
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "FlatMapCoGroupsInPandas")
+
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -55,6 +58,8 @@ def test_query_matches_oracle(spark, duck, name):
     want = _rows(cols, rel.fetchall())
     assert sorted(df.columns) == sorted(cols)
     assert got == want
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in PYTHON_NODES), plan
 
 
 def test_entry_runs(spark):
@@ -66,7 +71,7 @@ def test_entry_runs(spark):
 @pytest.mark.parametrize("name", ["customer_activity", "supplier_performance", "engine_profile", "nested_messages", "clean_orders", "xml_rows"])
 def test_no_python_udf_in_plans(spark, name):
     plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert not any(node in plan for node in PYTHON_NODES)
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
