@@ -49,6 +49,8 @@ def test_topic_options():
     assert read["subscribe"] == "t" and read["startingOffsets"] == "earliest" and "topic" not in read
     write = topic.topic_options("broker:9091", "t", sec, subscribe=False)
     assert write["topic"] == "t" and "subscribe" not in write and "startingOffsets" not in write
+    assert "maxOffsetsPerTrigger" not in read
+    assert topic.topic_options("broker:9091", "t", max_offsets_per_batch=500000)["maxOffsetsPerTrigger"] == "500000"
 
 
 def test_topic_source_needs_connector(spark):

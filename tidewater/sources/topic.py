@@ -37,16 +37,21 @@ def topic_options(
     security: dict[str, str] | None = None,
     starting: str | None = "earliest",
     subscribe: bool = True,
+    max_offsets_per_batch: int | None = None,
 ) -> dict[str, str]:
     """Options for a topic read (``subscribe``) or write (``topic``).
 
-    T5: reads start at ``starting`` ("earliest" by default).
+    T5: reads start at ``starting`` ("earliest" by default).  For a stream
+    drain, ``max_offsets_per_batch`` caps each micro-batch, so a large
+    backlog is taken in bounded, separately checkpointed batches.
     """
     opts = {"kafka.bootstrap.servers": servers}
     if subscribe:
         opts["subscribe"] = topic
         if starting is not None:
             opts["startingOffsets"] = starting
+        if max_offsets_per_batch:
+            opts["maxOffsetsPerTrigger"] = str(max_offsets_per_batch)
     else:
         opts["topic"] = topic
     opts.update(security or {})
