@@ -37,7 +37,8 @@ def _options_file(path: str | None) -> dict[str, str]:
 def _topic(args: argparse.Namespace, subscribe: bool = True) -> dict[str, str]:
     from tidewater.sources.topic import topic_options
 
-    return topic_options(args.servers, args.topic, security=_options_file(args.options_file), subscribe=subscribe)
+    cap = getattr(args, "max_offsets_per_batch", None)
+    return topic_options(args.servers, args.topic, security=_options_file(args.options_file), subscribe=subscribe, max_offsets_per_batch=cap)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -90,6 +91,7 @@ def _parser() -> argparse.ArgumentParser:
         if name != "topic-to-csv":
             j.add_argument("--drained", required=True)
             j.add_argument("--checkpoint", required=True)
+            j.add_argument("--max-offsets-per-batch", type=int, help="cap on offsets per micro-batch of the drain")
 
     j = sub.add_parser("send-rows", help="M13: table rows as JSON messages to a topic")
     j.add_argument("--source-table", required=True)
