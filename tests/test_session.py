@@ -166,3 +166,29 @@ def test_legacy_parquet_rules_read_old_writers_files(spark, tmp_dir):
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def test_jdbc_replicate_keeps_the_table_definition(spark, derby_url):
+    from tidewater.sinks.tables import replicate_jdbc
+
+    # The database owns the definition (a key and a VARCHAR size Spark would not pick).
+    jvm = spark.sparkContext._jvm
+    conn = jvm.java.sql.DriverManager.getConnection(derby_url)
+    conn.createStatement().execute("CREATE TABLE REVIEWS (REVIEW_ID VARCHAR(20) PRIMARY KEY, RATING INT)")
+    conn.close()
+    opts = {"url": derby_url, "dbtable": "REVIEWS", "driver": DERBY}
+    first = spark.createDataFrame([("a", "5"), ("b", "3")], "review_id string, rating string")
+    replicate_jdbc(first, opts, types={"rating": "int"})
+    replicate_jdbc(first.where("review_id = 'b'"), opts, types={"rating": "int"})
+    back = read_jdbc_rows(spark, opts)
+    assert back == [("b", 3)]
+    conn = jvm.java.sql.DriverManager.getConnection(derby_url)
+    meta = conn.getMetaData().getPrimaryKeys(None, None, "REVIEWS")
+    assert meta.next() and meta.getString("COLUMN_NAME") == "REVIEW_ID"
+    conn.close()
+
+
+def read_jdbc_rows(spark, opts):
+    from tidewater.sources import read_jdbc
+
+    return sorted((r[0], r[1]) for r in read_jdbc(spark, opts).collect())

@@ -180,3 +180,18 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
 def write_jdbc(df: DataFrame, options: Mapping[str, str], mode: str = "append") -> None:
     """Write to a JDBC table (needs the driver jar on the classpath)."""
     df.write.format("jdbc").options(**options).mode(mode).save()
+
+
+def replicate_jdbc(df: DataFrame, options: Mapping[str, str], types: Mapping[str, str] | None = None, cascade: bool = False) -> None:
+    """K12 on a relational target: cast columns by ``types``, then empty the
+    table and load the rows.  The table is truncated, not dropped, so the
+    definition the database holds (types, keys) stays; ``cascade`` also
+    empties tables that reference it, where the database supports that.
+    Rows are written by every task in parallel, in batches."""
+    if types:
+        df = df.select(*[(F.col(c).cast(types[c]) if c in types else F.col(c)).alias(c) for c in df.columns])
+    opts = dict(options)
+    opts["truncate"] = "true"
+    if cascade:
+        opts["cascadeTruncate"] = "true"
+    write_jdbc(df, opts, mode="overwrite")
