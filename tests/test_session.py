@@ -192,3 +192,14 @@ def read_jdbc_rows(spark, opts):
     from tidewater.sources import read_jdbc
 
     return sorted((r[0], r[1]) for r in read_jdbc(spark, opts).collect())
+
+
+def test_scratch_needs_a_shared_folder_off_local(monkeypatch, spark):
+    import importlib
+
+    S = importlib.import_module("tidewater.session")  # the module, not the re-exported function
+
+    monkeypatch.setattr(S, "_configured_checkpoint_dir", lambda s: None)
+    monkeypatch.setattr(S, "_is_local", lambda s: False)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        S.scratch_root(spark)

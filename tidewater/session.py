@@ -76,16 +76,27 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:  # noqa: BLE001 - Spark Connect: the server side decides
+        return False
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate data: the session's checkpoint folder.
 
-    When none is configured (local runs, tests), a fresh local folder is made
-    and registered as the checkpoint folder, so ``DataFrame.checkpoint`` and
-    this function agree.
+    When none is configured and the master is local (tests, single-machine
+    runs), a fresh local folder is made and registered as the checkpoint
+    folder, so ``DataFrame.checkpoint`` and this function agree.  On a
+    cluster a machine-local folder would be invisible to the executors, so
+    an unset ``spark.checkpoint.dir`` is an error there.
     """
     root = _configured_checkpoint_dir(spark)
     if root:
         return root.rstrip("/")
+    if not _is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage for intermediate data")
     root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     try:
         spark.sparkContext.setCheckpointDir(root)
