@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -378,8 +379,9 @@ def mart_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both marts saved as tables, first 10 rows of each by key."""
     db = _database(spark)
     t1, t2 = f"{db}.mart_customer_activity", f"{db}.mart_restaurant_performance"
-    tsink.replace_table(delivery.customer_activity(I.delivery_orders(spark, sf_dir)), t1)
-    tsink.replace_table(delivery.restaurant_performance(I.supplier_orders(spark, sf_dir)), t2)
+    builds = [(delivery.customer_activity(I.delivery_orders(spark, sf_dir)), t1), (delivery.restaurant_performance(I.supplier_orders(spark, sf_dir)), t2)]
+    with ThreadPoolExecutor(max_workers=2) as pool:  # independent marts, concurrent jobs
+        list(pool.map(lambda b: tsink.replace_table(*b), builds))
     shown = delivery.preview_marts(spark, [t1, t2, f"{db}.missing_mart"], n=10, order_by={t1: ["customer_id"], t2: ["restaurant_id"]})
     assert isinstance(shown[f"{db}.missing_mart"], Exception)
     a = shown[t1].select(F.lit("customer_activity").alias("mart"), F.col("customer_id").alias("mart_key"), "total_orders")
