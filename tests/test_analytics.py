@@ -125,3 +125,13 @@ def test_approx_band_is_close_to_exact(spark):
     assert A.approx_quantiles(df.where("t < 0"), "t", [0.5]) == [None]
     with pytest.raises(ValueError):
         A.percentile_band(df, "t", method="nearest")
+
+
+def test_daily_extremes_with_approx_band(spark):
+    # 101 distinct readings: the 5 % and 95 % points are exact values, so
+    # the approximate band keeps the same rows and the days agree.
+    rows = [(f"{(i % 28) + 1:02d}-0{(i // 28) % 3 + 1}-2020 10:00", float(i), "In") for i in range(101)]
+    df = spark.createDataFrame(rows, "noted_date string, temp double, `out/in` string")
+    exact = sorted(tuple(r) for r in daily_extremes(df).collect())
+    approx = sorted(tuple(r) for r in daily_extremes(df, band_method="approx").collect())
+    assert exact and approx == exact
