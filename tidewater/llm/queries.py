@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, packing, sharding, simhash
+from tidewater.llm import decontaminate, html_text, packing, sharding, simhash, topk
 from tidewater.llm.common import table
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best other vectors of every vector whose id divides by 100."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document against the benchmark."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,6 +58,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html": op1_html,
+    "op2_topk": op2_topk,
     "op4_decontamination": op4_decontamination,
     "op5_simhash": op5_simhash,
     "op7_sharding": op7_sharding,
