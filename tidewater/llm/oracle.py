@@ -49,3 +49,49 @@ WITH v AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+ORACLE["op6_chats"] = r"""
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS turns FROM t GROUP BY conv_id
+), p AS (
+  SELECT DISTINCT list_slice(turns, 1, k) AS turns FROM (SELECT turns, unnest(generate_series(1, len(turns) - 1)) AS k FROM c WHERE len(turns) > 1)
+), kept AS (
+  SELECT min(conv_id) AS conv_id, CAST(count(*) AS BIGINT) AS n_copies, turns FROM c ANTI JOIN p USING (turns) GROUP BY turns
+)
+SELECT k.conv_id, CAST(coalesce(floor(t.turn / 1024), -1) AS BIGINT) AS part, CAST(any_value(len(turns)) AS BIGINT) AS n_turns, any_value(n_copies) AS n_copies,
+       string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS chat
+FROM kept k JOIN t USING (conv_id) GROUP BY 1, 2
+"""
+
+
+def _license_sql() -> str:
+    from tidewater.llm.licenses import LEAST, NOTICES
+
+    values = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in NOTICES)
+    words = r"list_filter(string_split(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> '')"
+    return rf"""
+WITH notices(license, text) AS (VALUES {values}), t AS (
+  SELECT DISTINCT license, w, CAST(pow(2, ceil(log2(len(w) - 4))) AS BIGINT) AS m FROM (SELECT license, {words.format("text")} AS w FROM notices) WHERE len(w) >= 5
+), ts AS (
+  SELECT DISTINCT license, w, m, list_slice(w, i, i + 4) AS s FROM (SELECT *, unnest(generate_series(1, len(w) - 4)) AS i FROM t)
+), tn AS (
+  SELECT license, w, m, count(*) AS n FROM ts GROUP BY ALL
+), d AS (
+  SELECT doc_id, {words.format("text")} AS w FROM documents
+), ds AS (
+  SELECT doc_id, i - 1 AS p, list_slice(w, i, i + 4) AS s FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d WHERE len(w) >= 5)
+), hit AS (
+  SELECT doc_id, license, w, m, p, s FROM ds JOIN ts USING (s)
+), win AS (
+  SELECT doc_id, license, w, m, s, k FROM (SELECT *, unnest([p // m - 1, p // m]) AS k FROM hit) WHERE k >= 0
+), share AS (
+  SELECT doc_id, license, k, m, w, count(DISTINCT s) AS c FROM win GROUP BY ALL
+)
+SELECT doc_id, license, max(CAST(c AS DOUBLE) / n) AS containment FROM share JOIN tn USING (license, w, m)
+WHERE CAST(c AS DOUBLE) / n >= {LEAST} GROUP BY ALL
+"""
+
+
+ORACLE["op3_licenses"] = _license_sql()

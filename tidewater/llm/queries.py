@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, html_text, packing, sharding, simhash, topk
+from tidewater.llm import chat, decontaminate, html_text, licenses, packing, sharding, simhash, topk
 from tidewater.llm.common import table
 
 
@@ -21,6 +21,11 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices that every document holds."""
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.notices(spark))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document against the benchmark."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -42,6 +47,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex64().alias("fingerprint"), "component_id")
 
 
+def op6_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations, rendered."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document, shard sizes near equal."""
     placed = sharding.assign_shards(table(spark, sf_dir, "documents"))
@@ -60,8 +70,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_topk": op2_topk,
+    "op3_licenses": op3_licenses,
     "op4_decontamination": op4_decontamination,
     "op5_simhash": op5_simhash,
+    "op6_chats": op6_chats,
     "op7_sharding": op7_sharding,
     "op9_packing": op9_packing,
 }
