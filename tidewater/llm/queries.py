@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontaminate, html_text, licenses, packing, sharding, simhash, topk
+from tidewater.llm import chat, decontaminate, html_text, licenses, packing, sharding, simhash, topk, toxicity
 from tidewater.llm.common import table
+from tidewater.llm.labelled import remainder
 
 
 def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +62,15 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt without the held-out third."""
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    held_out = remainder("doc_id", 3) == 1
+    model = toxicity.train(docs, labels, ~held_out)
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document's pieces in the packed sequences."""
     placed = packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -75,5 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op6_chats": op6_chats,
     "op7_sharding": op7_sharding,
+    "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
 }
