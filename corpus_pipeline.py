@@ -10,10 +10,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import decontaminate, packing, simhash
+from tidewater.llm import decontaminate, packing, quality, simhash, toxicity
 from tidewater.llm.common import stage, table
 
 
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored toxic (0.7 or more) go; learnt from all labels."""
+    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored of low quality (under 0.3) go; learnt from the
+    labels of the documents left."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays (3 words, 2 bits)."""
     return simhash.dedup(docs, shingle=3, radius=2)
@@ -31,6 +42,8 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
+    ("toxicity", toxicity_filter),
+    ("quality classifier", quality_filter),
     ("SimHash near-dedup", near_dedup),
     ("benchmark decontamination", decontamination),
     ("best-fit packing", best_fit_packing),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontaminate, html_text, licenses, packing, sharding, simhash, topk, toxicity
+from tidewater.llm import chat, decontaminate, html_text, licenses, packing, quality, sharding, simhash, topk, toxicity
 from tidewater.llm.common import table
 from tidewater.llm.labelled import remainder
 
@@ -77,6 +77,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt without the held-out fifth."""
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    held_out = remainder("doc_id", 5) == 0
+    scorer = quality.train(docs, labels, ~held_out)
+    scored = quality.score(docs.select("doc_id", "text"), scorer)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_topk": op2_topk,
@@ -87,4 +96,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sharding": op7_sharding,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
+    "op10_quality": op10_quality,
 }
