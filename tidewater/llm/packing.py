@@ -43,7 +43,7 @@ from tidewater.llm.common import map_batches, stage
 SEQUENCE = 2048
 END_ID = 0
 NEARLY_FULL = 32
-TASK_ITEMS = 50_000
+TASK_ITEMS = 100_000
 FAN_IN = 8
 LEAST_GAIN = 0.002
 CACHE = 400_000
@@ -235,7 +235,6 @@ def _level(sequence: int, level: int, nearly_full: int):
 def pack(items: DataFrame, sequence: int = SEQUENCE, nearly_full: int = NEARLY_FULL, task_items: int = TASK_ITEMS, fan_in: int = FAN_IN, least_gain: float = LEAST_GAIN) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to rows with a ``length`` of at
     most ``sequence``."""
-    spark = items.sparkSession
     rows = items.withColumns({"bin": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint"), "done": F.lit(False)})
     schema, level, emitted = rows.schema, 0, []
     whole = rows.where(F.col("length") >= sequence)
@@ -243,8 +242,6 @@ def pack(items: DataFrame, sequence: int = SEQUENCE, nearly_full: int = NEARLY_F
     left = rows.where(F.col("length") < sequence)
     count = left.count()
     parts = max(1, -(-count // task_items))
-    if spark.conf.get("spark.sql.shuffle.partitions").isdigit():
-        parts = max(parts, min(int(spark.conf.get("spark.sql.shuffle.partitions")), count // 2000))
     while count:
         # Rows are dealt evenly; later the rows of a bin go together.
         dealt = left.repartition(parts, F.xxhash64("bin", F.lit(level))) if level else left.repartition(parts)
