@@ -7,10 +7,11 @@ hashes of the turns so far, each salted with its place (two independent
 longer conversation goes by an anti-join; of equal conversations the smallest
 id stays.  The conversations left are rendered.
 
-Turns are ranked within blocks of ``BLOCK_TURNS`` turn numbers and shifted by
+Turns are ranked within blocks of 256 (``BLOCK_BITS``) turn numbers and shifted by
 the turns of earlier blocks, so a conversation of any length is spread over
 tasks.  Only hashes travel until the end; the texts of the conversations that
-stay are shuffled once, in parts of at most ``PART_TURNS`` turn numbers.
+stay are shuffled once, in parts of at most 1024 (``PART_BITS``) turn
+numbers.
 
 Edge cases: a row without a conversation id belongs to no conversation and
 is left out; a null role or text counts as empty; repeated rows of a
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import stage
 
-BLOCK_TURNS = 256
-PART_TURNS = 1024
+BLOCK_BITS = 8
+PART_BITS = 10
 #: Below every block number of a turn.
 _NO_TURN = -(1 << 62)
 
@@ -41,14 +42,14 @@ def _named(conversations: DataFrame, conv_col: str, turn_col: str, role_col: str
     )
 
 
-def _block(turns: int) -> Column:
-    return F.coalesce(F.floor(F.col("turn") / turns), F.lit(_NO_TURN))
+def _block(bits: int) -> Column:
+    return F.coalesce(F.shiftright("turn", bits), F.lit(_NO_TURN))
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
     """``(conv_id, place, p1, p2)``: rolling hashes of every prefix, from
     distinct ``(conv_id, turn, h1, h2)``."""
-    rows = turns.select("conv_id", "turn", "h1", "h2").distinct().withColumn("block", _block(BLOCK_TURNS))
+    rows = turns.select("conv_id", "turn", "h1", "h2").distinct().withColumn("block", _block(BLOCK_BITS))
     within = Window.partitionBy("conv_id", "block").orderBy("turn", "h1", "h2")
     earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy("conv_id", "block").count()
@@ -84,11 +85,12 @@ def render_turn(role: Column, text: Column) -> Column:
 def format_chats(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """``(conv_id, part, n_turns, n_copies, chat)`` of the conversations that
     stay: ``chat`` is the rendered text, ``n_turns`` the turns of the whole
-    conversation and ``part`` the turn number over ``PART_TURNS``."""
+    conversation and ``part`` the turn number over 1024 (null, and first, for
+    turns without a number)."""
     turns = _named(conversations, conv_col, turn_col, role_col, text_col)
     kept = stage(maximal(turns), "maximal-conversations")
-    rows = turns.withColumn("part", _block(PART_TURNS)).join(kept, "conv_id")
+    rows = turns.withColumn("part", _block(PART_BITS)).join(kept, "conv_id")
     said = F.array_sort(F.collect_set(F.struct("turn", "h1", "h2", "role", "text")))
     parts = rows.groupBy("conv_id", "part", "n_turns", "n_copies").agg(said.alias("said"))
     chat = F.array_join(F.transform("said", lambda t: render_turn(t["role"], t["text"])), "")
-    return parts.select("conv_id", F.when(F.col("part") == _NO_TURN, F.lit(-1).cast("bigint")).otherwise(F.col("part")).alias("part"), "n_turns", "n_copies", chat.alias("chat"))
+    return parts.select("conv_id", F.when(F.col("part") != _NO_TURN, F.col("part")).alias("part"), "n_turns", "n_copies", chat.alias("chat"))

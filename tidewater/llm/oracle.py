@@ -60,7 +60,7 @@ WITH t AS (
 ), kept AS (
   SELECT min(conv_id) AS conv_id, CAST(count(*) AS BIGINT) AS n_copies, turns FROM c ANTI JOIN p USING (turns) GROUP BY turns
 )
-SELECT k.conv_id, CAST(coalesce(floor(t.turn / 1024), -1) AS BIGINT) AS part, CAST(any_value(len(turns)) AS BIGINT) AS n_turns, any_value(n_copies) AS n_copies,
+SELECT k.conv_id, t.turn >> 10 AS part, CAST(any_value(len(turns)) AS BIGINT) AS n_turns, any_value(n_copies) AS n_copies,
        string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS chat
 FROM kept k JOIN t USING (conv_id) GROUP BY 1, 2
 """
