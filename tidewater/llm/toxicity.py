@@ -2,11 +2,12 @@
 
 Terms of a word (a run of letters, lower-cased) are the word and its
 prefixes of 4 to 6 letters, hashed into ``2 ** HASH_BITS`` buckets.  The
-buckets whose presence differs most between the labels are the features; a
-text has for each the value 1 if it is there, and another value for its
-share of the words.  The machine adds to the linear weights an inner product
-of learned factors for every pair of features that meet in a text, so an
-insult beside a group mention can weigh more than both alone.
+buckets whose presence differs most between the labels (by four standard
+deviations at least) are the features; a text has for each the value 1 if it
+is there, and another value for its share of the words.  The machine adds to
+the linear weights an inner product of learned factors for every pair of
+features that meet in a text, so an insult beside a group mention can weigh
+more than both alone.
 
 Learning: bucket counts are summed in Spark over a sample of labelled rows
 of about ``SAMPLE_ROWS`` at most, the ``FEATURES`` buckets with the largest
@@ -36,7 +37,8 @@ from tidewater.llm.labelled import sample
 SAMPLE_ROWS = 20_000
 HASH_BITS = 18
 FEATURES = 4096
-LEAST_DOCS = 5
+LEAST_DOCS = 3
+LEAST_APART = 4.0
 PREFIXES = (4, 5, 6)
 FACTORS = 8
 EPOCHS = 15
@@ -180,8 +182,9 @@ def _choose(rows: DataFrame, features: int) -> tuple[np.ndarray, int, int]:
         sums.unpersist()
         return np.empty(0, np.int64), zeros, ones
     share = (F.col("zeros") + F.col("ones")) / (zeros + ones)
-    apart = F.abs(F.col("ones") / ones - F.col("zeros") / zeros) / F.sqrt(share * (1 - share) + 1e-9)
-    best = sums.where(F.col("bucket") >= 0).where(F.col("zeros") + F.col("ones") >= LEAST_DOCS).orderBy(apart.desc(), "bucket").limit(features)
+    # Difference of the two shares, in standard deviations.
+    apart = F.abs(F.col("ones") / ones - F.col("zeros") / zeros) / F.sqrt(share * (1 - share) * (1 / ones + 1 / zeros) + 1e-12)
+    best = sums.where(F.col("bucket") >= 0).where(F.col("zeros") + F.col("ones") >= LEAST_DOCS).where(apart >= LEAST_APART).orderBy(apart.desc(), "bucket").limit(features)
     found = np.array(sorted(r["bucket"] for r in best.select("bucket").collect()), np.int64)
     sums.unpersist()
     return found, zeros, ones
