@@ -1,0 +1,77 @@
+"""Sharding over virtual slots: the law, places, and edits of the map."""
+
+from __future__ import annotations
+
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewater.llm import sharding as S
+
+
+def check(frame, docs, shards):
+    rows = frame.collect()
+    want = sorted((str(d), len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in docs)
+    assert sorted((str(r["doc_id"]), r["size"], r["text_crc32"]) for r in rows) == want
+    places, load = defaultdict(list), [0] * shards
+    for r in rows:
+        places[r["shard"]].append(r["slot"])
+        load[r["shard"]] += r["size"]
+    for taken in places.values():
+        assert sorted(taken) == list(range(len(taken)))
+    return rows, load
+
+
+def test_near_equal_bytes_and_gapless_places(spark):
+    docs = [(i, "é" * (i * 37 % 900)) for i in range(5000)] + [(5, "again"), (None, "x"), (6, None), (7, "")]
+    frame = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id bigint, text string, slot int")
+    _, load = check(S.assign_shards(frame, shards=7), docs, 7)
+    assert max(load) <= 1.01 * min(load)
+
+
+def test_a_hot_id_does_not_fill_a_shard(spark):
+    docs = [(1, "same row")] * 4000 + [(None, "no id")] * 2000 + [(i, f"row {i}") for i in range(4000)]
+    rows, load = check(S.assign_shards(spark.createDataFrame(docs, "doc_id bigint, text string"), shards=8), docs, 8)
+    assert max(load) <= 1.05 * min(load)
+
+
+def test_empty_table(spark):
+    assert S.assign_shards(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_growing_takes_rows_only_into_the_new_shard():
+    size = [(s * 7919) % 1000 for s in range(S.SLOTS)]
+    old = S.plan_map(size, 24)
+    new = S.grow(old, size)
+    moved = [(a, b) for a, b in zip(old.shard_of, new.shard_of, strict=True) if a != b]
+    assert new.version == 2 and moved and {b for _, b in moved} == {24}
+    load = new.loads(size)
+    assert max(load) <= 1.05 * min(load)
+
+
+def test_rebalancing_moves_few_slots():
+    size = [100] * S.SLOTS
+    old = S.plan_map(size, 10)
+    for slot in range(0, S.SLOTS, 40):
+        size[slot] = 2000
+    new = S.rebalance(old, size)
+    load = new.loads(size)
+    assert max(load) - min(load) <= 0.02 * sum(load) / 10
+    assert sum(a != b for a, b in zip(old.shard_of, new.shard_of, strict=True)) < S.SLOTS / 4
+
+
+def test_versions_are_stored_and_read(spark, tmp_dir):
+    first = S.plan_map([3, 1, 2, 5, 0, 0, 7, 1], 3)
+    second = S.rebalance(first, [9, 1, 2, 5, 0, 0, 7, 1])
+    for m in (first, second):
+        S.save_map(spark, m, f"{tmp_dir}/map")
+    assert S.load_map(spark, f"{tmp_dir}/map", 1) == first and S.load_map(spark, f"{tmp_dir}/map") == second
+
+
+@pytest.mark.parametrize("columns", [["doc_id", "text"]])
+def test_no_python_in_the_plan(spark, columns):
+    frame = spark.createDataFrame([(1, "a")], "doc_id bigint, text string").select(*columns).withColumn("shard", F.lit("x"))
+    plan = S.assign_shards(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
