@@ -9,6 +9,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Exact numbers parsed from text (F9): 20 digits before the point, 18 after.
+NUMBER_PRECISION, NUMBER_SCALE = 38, 18
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -76,18 +80,29 @@ def lower_text(col: Column | str) -> Column:
     return F.lower(_c(col).cast("string"))
 
 
-def try_number(col: Column | str, precision: int = 18, scale: int = 2) -> Column:
+def try_number(col: Column | str, precision: int = NUMBER_PRECISION, scale: int = NUMBER_SCALE) -> Column:
     """exact number or NULL for bad text.  NaN becomes NULL too, so a
-    later ``> 0`` test drops it (Spark orders NaN above every number)."""
+    later ``> 0`` test drops it (Spark orders NaN above every number).
+
+    A readable number that does not fit (too large, or so small that nothing
+    would be left of it) raises: it is never turned into NULL or zero."""
+    text = _c(col).cast("string")
     # 'NaN', 'Infinity' and non-numbers all fail the decimal cast.
-    return _c(col).cast("string").try_cast(f"decimal({precision},{scale})")
+    kind = f"decimal({precision},{scale})"
+    number, rough = text.try_cast(kind), text.try_cast("double")
+    finite = rough.isNotNull() & ~F.isnan(rough) & (F.abs(rough) < F.lit(float("inf")))
+    lost = finite & (number.isNull() | ((number == 0) & (rough != 0)))
+    return F.when(lost, F.raise_error(F.concat(F.lit(f"number does not fit {kind}: "), text)).cast(kind)).otherwise(number)
 
 
 def try_timestamp(col: Column | str, fmt: str | None = None) -> Column:
     """timestamp without zone, or NULL for text that is not one."""
     c = _c(col).cast("string")
-    parsed = F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
-    return parsed.cast("timestamp_ntz")
+    if fmt is None:
+        return c.try_cast("timestamp_ntz")
+    # Read without a zone, so the session's zone cannot move a value.
+    doc = F.to_json(F.struct(c.alias("t")))
+    return F.from_json(doc, "t TIMESTAMP_NTZ", {"timestampNTZFormat": fmt})["t"]
 
 
 def parse_ts(col: Column | str, fmt: str = "dd-MM-yyyy HH:mm") -> Column:
@@ -123,8 +138,9 @@ def key_default(col: Column | str, default: str = "unknown") -> Column:
 
 def surrogate_id(*cols: Column | str) -> Column:
     """a stable 64-bit row id from the row's content (same input, same
-    id on every rerun).  Use ``monotonically_increasing_id`` when only
-    uniqueness within one run is needed."""
+    id on every rerun).  Include what tells equal rows apart, such as the
+    position in the parent's list.  Use ``monotonically_increasing_id`` when
+    only uniqueness within one run is needed."""
     return F.xxhash64(*[_c(c) for c in cols])
 
 

@@ -6,7 +6,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,127 +19,98 @@ def _col(c: Column | str) -> Column:
 # --------------------------------------------------------------------------
 
 
-# Largest number of distinct values whose running count one task computes;
-# a value range holding more is range-split again before the final step
-# (at most MAX_SPLIT_ROUNDS times: each round divides a range by about the
-# bucket count, so a few rounds cover any data size).
-MAX_VALUES_PER_TASK = 4_000_000
-MAX_SPLIT_ROUNDS = 6
+# Rows of a bracket that are counted by value on the driver.
+PICK_ROWS = 10_000
 
 
-def _value_ranges(hist: DataFrame, n_buckets: int) -> list[tuple[float, float, int, int]]:
-    """``hist`` (v, c) range-partitioned into at most ``n_buckets`` disjoint
-    value ranges: one (lo, hi, rows, distinct values) line per range, sorted."""
-    lines = (
-        hist.repartitionByRange(n_buckets, "v")
-        .groupBy(F.spark_partition_id().alias("b"))
-        .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("d"))
-        .collect()
-    )
-    return sorted((r["lo"], r["hi"], int(r["n"]), int(r["d"])) for r in lines)
+def _aside(v: Column, lo: float, hi: float) -> tuple[Column, Column]:
+    """Rows below a bracket, and rows in it."""
+    return F.count(F.when(v < F.lit(lo), 1)), F.count(F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), 1))
 
 
-def exact_quantiles(
-    df: DataFrame,
-    column: str,
-    probs: Sequence[float],
-    buckets: int | None = None,
-    max_values_per_task: int = MAX_VALUES_PER_TASK,
-) -> list[float | None]:
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], accuracy: int = 10_000, pick_rows: int = PICK_ROWS) -> list[float | None]:
     """Exact percentiles of ``column`` with linear interpolation; NULL and
     NaN are skipped (the same definition as ``quantile_cont`` /
     ``percentile`` / a data-frame ``quantile``).
 
-    A one-task ``percentile`` aggregate keeps every distinct value of the
-    column in the final task.  Instead:
+    No pass shuffles the column or gathers it in one task:
 
-    1. count rows per distinct value (partial aggregation, shuffled), so a
-       value held by a third of all rows is one line;
-    2. range-partition those counts into ``buckets`` value ranges and take
-       one (min, max, rows, values) line per range - at most ``buckets``
-       lines reach the driver, however big the data;
-    3. find the range holding each wanted rank from the running totals; a
-       range with more than ``max_values_per_task`` distinct values is
-       range-split again (only its slice is read), until it is small;
-    4. inside those small ranges only, compute running counts to pick the
-       exact values (a few rows reach the driver).
+    1. one pass counts the rows and takes ``percentile_approx`` sketches just
+       below and above each wanted rank: a bracket for each;
+    2. one pass counts, for every bracket, the rows below and inside it (a
+       bracket that misses its rank is opened on that side);
+    3. a bracket with more than ``pick_rows`` rows is narrowed by sketches of
+       its own rows, which divides them by about ``accuracy`` each time, so
+       two or three passes do for any size; one whose ends are equal is done;
+    4. the few rows inside are counted by value and the ranks are picked.
 
     Returns one float (or None for an empty input) per probability.
     """
-    spark = df.sparkSession
     probs = [float(p) for p in probs]
     if any(p < 0 or p > 1 for p in probs):
         raise ValueError("probabilities must be in [0, 1]")
-    v = F.col(column).cast("double")
-    hist = (
-        df.select(v.alias("v"))
-        .where(F.col("v").isNotNull() & ~F.isnan("v"))
-        .groupBy("v")
-        .agg(F.count(F.lit(1)).alias("c"))
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n_buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
-        top = _value_ranges(hist, n_buckets)
-        total = sum(r[2] for r in top)
-        if total == 0:
-            return [None for _ in probs]
-
-        # 0-based ranks each probability needs.
-        plans = []
-        for p in probs:
-            pos = (total - 1) * p
-            lo_rank, hi_rank = math.floor(pos), math.ceil(pos)
-            plans.append((lo_rank, hi_rank, pos - lo_rank))
-        ranks = sorted({r for lo_rank, hi_rank, _ in plans for r in (lo_rank, hi_rank)})
-
-        # Narrow each rank to a value range small enough for one task.
-        # Work items: (ranges of a slice, rows below it, ranks in it, round).
-        final: list[tuple[float, float, dict[int, int]]] = []
-        work = [(top, 0, ranks, 0)]
-        while work:
-            ranges, offset, wanted, depth = work.pop()
-            before = offset
-            for lo, hi, n, d in ranges:
-                inside = [r for r in wanted if before <= r < before + n]
-                if inside:
-                    if d > max_values_per_task and len(ranges) > 1 and depth < MAX_SPLIT_ROUNDS:
-                        part = hist.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
-                        work.append((_value_ranges(part, n_buckets), before, inside, depth + 1))
-                    else:
-                        final.append((lo, hi, {r: r - before for r in inside}))
+    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    v = F.col("v")
+    margin = 2.0 / accuracy
+    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)})
+    first = values.agg(F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"), F.percentile_approx(v, edges, accuracy).alias("q")).first()
+    total = int(first["n"])
+    if not total:
+        return [None for _ in probs]
+    at = dict(zip(edges, first["q"], strict=True))
+    ranks = {p: ((total - 1) * p) for p in probs}
+    found: dict[int, float] = {}
+    wanted = sorted({r for pos in ranks.values() for r in (math.floor(pos), math.ceil(pos))})
+    # Rank -> its bracket.
+    open_ = {}
+    for p, pos in ranks.items():
+        for r in (math.floor(pos), math.ceil(pos)):
+            open_[r] = (at[min(1.0, max(0.0, p - margin))], at[min(1.0, max(0.0, p + margin))])
+    while open_:
+        brackets = sorted(set(open_.values()))
+        counts = values.agg(*[c.alias(f"{k}{i}") for i, (lo, hi) in enumerate(brackets) for k, c in zip("bi", _aside(v, lo, hi), strict=True)]).first()
+        below = {x: (int(counts[f"b{i}"]), int(counts[f"i{i}"])) for i, x in enumerate(brackets)}
+        narrow: dict[tuple[float, float], list[int]] = {}
+        for r, (lo, hi) in list(open_.items()):
+            before, inside = below[lo, hi]
+            if r < before:
+                open_[r] = (first["lo"], lo)
+            elif r >= before + inside:
+                open_[r] = (hi, first["hi"])
+            elif lo == hi:
+                found[r] = lo
+                del open_[r]
+            elif inside <= pick_rows:
+                narrow.setdefault((lo, hi), []).append(r)
+            else:
+                part = values.where((v >= F.lit(lo)) & (v <= F.lit(hi)))
+                share = (r - before) / max(1, inside - 1)
+                q = part.agg(F.percentile_approx(v, [max(0.0, share - margin), min(1.0, share + margin)], accuracy).alias("q")).first()["q"]
+                open_[r] = (q[0], q[1]) if (q[0], q[1]) != (lo, hi) else _halved(part, r - before, lo, hi)
+        for (lo, hi), some in narrow.items():
+            before = below[lo, hi][0]
+            steps = values.where((v >= F.lit(lo)) & (v <= F.lit(hi))).groupBy("v").count().collect()
+            for value, n in sorted((x["v"], x["count"]) for x in steps):
+                for r in some:
+                    if before <= r < before + n:
+                        found[r] = value
+                        open_.pop(r)
                 before += n
+    assert all(r in found for r in wanted)
+    out = []
+    for p in probs:
+        lo_rank, hi_rank = math.floor(ranks[p]), math.ceil(ranks[p])
+        lo_v, hi_v = found[lo_rank], found[hi_rank]
+        out.append(lo_v if lo_rank == hi_rank else lo_v + (hi_v - lo_v) * (ranks[p] - lo_rank))
+    return out
+
 
-        bucket = None
-        for idx, (lo, hi, _) in enumerate(final):
-            cond = (F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi))
-            bucket = F.when(cond, F.lit(idx)) if bucket is None else bucket.when(cond, F.lit(idx))
-        w = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        within = hist.select("v", "c", bucket.alias("b")).where(F.col("b").isNotNull())
-        within = within.withColumn("upto", F.sum("c").over(w))
-        pick = None
-        for idx, (_, _, local) in enumerate(final):
-            for k in local.values():
-                cond = (F.col("b") == idx) & (F.col("upto") - F.col("c") <= k) & (F.col("upto") > k)
-                pick = cond if pick is None else (pick | cond)
-        found = [(r["b"], r["upto"] - r["c"], r["upto"], r["v"]) for r in within.where(pick).select("b", "v", "upto", "c").collect()]
-
-        def value_at(rank: int) -> float:
-            for idx, (_, _, local) in enumerate(final):
-                if rank in local:
-                    k = local[rank]
-                    for b, start, end, val in found:
-                        if b == idx and start <= k < end:
-                            return val
-            raise RuntimeError("rank not found")  # pragma: no cover
-
-        out = []
-        for lo_rank, hi_rank, frac in plans:
-            lo_v = value_at(lo_rank)
-            hi_v = value_at(hi_rank)
-            out.append(lo_v if lo_rank == hi_rank else lo_v + (hi_v - lo_v) * frac)
-        return out
-    finally:
-        hist.unpersist()
+def _halved(part: DataFrame, rank: int, lo: float, hi: float) -> tuple[float, float]:
+    """Half of a bracket that its sketch could not narrow (values in few
+    clumps): the ends move to values that are there."""
+    v, middle = F.col("v"), lo / 2 + hi / 2
+    got = part.agg(F.count(F.when(v <= middle, 1)).alias("n"), F.max(F.when(v <= middle, v)).alias("under"), F.min(F.when(v > middle, v)).alias("over")).first()
+    return (lo, got["under"]) if rank < got["n"] else (got["over"], hi)
 
 
 def approx_quantiles(df: DataFrame, column: str, probs: Sequence[float], accuracy: int = 10000) -> list[float | None]:
@@ -212,10 +182,11 @@ def exact_mean(col: Column | str, scale: int = 9) -> Column:
     return total.cast("double") / F.count(c)
 
 
-def money_mean(col: Column | str) -> Column:
-    """A8 for money: exact decimal sum, then ``sum / count`` as double."""
+def money_mean(col: Column | str, kind: str = "decimal(22,6)") -> Column:
+    """A8 for money: exact decimal sum over the count, as a decimal (the
+    default is Spark's type for the mean of ``decimal(18,2)``)."""
     c = _col(col)
-    return F.sum(c).cast("double") / F.count(c)
+    return (F.sum(c) / F.count(c)).cast(kind)
 
 
 def count_where(cond: Column) -> Column:

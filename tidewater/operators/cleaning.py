@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType, VariantType
 
 from tidewater.functions.exprs import days_before, try_number, try_timestamp
+from tidewater.operators.analytics import top_n
 
 # Id texts (lower-cased, not trimmed) that count as missing.
 PLACEHOLDER_IDS = ("unknown", "none", "nan", "", "null")
@@ -91,37 +92,31 @@ def keep_positive_if_present(df: DataFrame, col: str) -> DataFrame:
     return df.where(c > 0)
 
 
-def _orderable(dt: DataType) -> bool:
+def _hashable(dt: DataType) -> bool:
     if isinstance(dt, (MapType, VariantType)):
         return False
     if isinstance(dt, ArrayType):
-        return _orderable(dt.elementType)
+        return _hashable(dt.elementType)
     if isinstance(dt, StructType):
-        return all(_orderable(f.dataType) for f in dt.fields)
+        return all(_hashable(f.dataType) for f in dt.fields)
     return True
 
 
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
     """One row per key, the first by ``order_by``.
 
-    Done as an aggregate (``min_by`` over a struct of the row), so each task
-    pre-aggregates before the shuffle: a key holding a third of all rows is
-    reduced map-side instead of landing whole in one task.  Rows that tie on
-    ``order_by`` are told apart by the row itself (when all its columns can
-    be ordered), so the pick does not depend on the order rows arrive in and
-    a recomputed task picks the same row.
+    A rank of one within the key, which Spark limits per task before the
+    shuffle: a key holding a third of all rows leaves one row of each task,
+    and every row travels once.  Rows that tie on ``order_by`` are told
+    apart by a hash of the whole row, so the pick does not depend on the
+    order rows arrive in and a recomputed task picks the same row.
     """
     keys = list(keys)
-    others = [c for c in df.columns if c not in keys]
-    if not others:
+    if all(c in keys for c in df.columns):
         return df.dropDuplicates(keys)
-    row = F.struct(*[F.col(c) for c in others])
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    if all(_orderable(df.schema[c].dataType) for c in others):
-        order_cols.append(row)
-    order = F.struct(*order_cols)
-    picked = df.groupBy(*keys).agg(F.min_by(row, order).alias("_row"))
-    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in others]).select(*df.columns)
+    hashed = [F.col(c) for c in df.columns if _hashable(df.schema[c].dataType)]
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    return top_n(df, keys, [*order, F.xxhash64(*hashed), F.hash(*hashed)], 1)
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
@@ -139,8 +134,9 @@ def clean_collection(df: DataFrame, key: str | None = None, order_by: Sequence[C
     """M6: the cleaning steps a replicated collection goes through.
 
     1. keyed dedup on ``key`` (first by ``order_by``), when the column exists;
-    2. ``order_amount`` and ``rating`` to exact numbers (bad text -> NULL);
-    3. ``order_amount > 0`` when present;
+    2. ``order_amount`` and ``rating`` to exact numbers (bad text -> NULL, a
+       number that does not fit raises);
+    3. ``order_amount > 0`` when present, on the number as parsed;
     4. critical id columns: not NULL and not a placeholder text;
     5. NULL text -> "unknown".
     """

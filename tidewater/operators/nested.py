@@ -21,6 +21,10 @@ JSON_OPTIONS = {
 }
 
 
+# JSON text has no NaN or Infinity; a document that writes them bare is bad.
+STRICT_NUMBERS = {"allowNonNumericNumbers": "false"}
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -46,16 +50,20 @@ def explode_json(
     fields: Mapping[str, str] | Sequence[str],
     keep: Sequence[str] = (),
     element: str = "_elem",
+    bad: str = "fail",
 ) -> DataFrame:
     """One row per element of the JSON array at ``path``, with the
     element's ``fields`` as text (lateral join of a row with its own array).
 
     An empty, absent or NULL array gives no rows.  ``fields`` maps output
-    name -> key in the element (a list uses the keys as names).
+    name -> key in the element (a list uses the keys as names).  A document
+    that is not JSON raises; ``bad="skip"`` leaves it out instead (list such
+    documents with :func:`bad_json`).
     """
     if not isinstance(fields, Mapping):
         fields = {f: f for f in fields}
-    arr = F.from_json(F.get_json_object(F.col(col), path), "array<string>")
+    doc = _fail_on(is_bad_json(col), col, "not a JSON document: ") if bad == "fail" else F.col(col)
+    arr = F.from_json(F.get_json_object(doc, path), "array<string>")
     rows = df.select(*keep, F.explode(arr).alias(element))
     keys = list(dict.fromkeys(fields.values()))
     if not all(_KEY.match(k) for k in keys):
@@ -68,6 +76,22 @@ def explode_json(
     return parsed.select(*keep, *[F.col("_el")[key].alias(name) for name, key in fields.items()])
 
 
+def is_bad_json(col: Column | str) -> Column:
+    """Whether a text is there but is not a JSON document."""
+    c = _c(col)
+    return c.isNotNull() & F.get_json_object(c, "$").isNull() & (F.trim(c) != "null")
+
+
+def bad_json(df: DataFrame, col: str) -> DataFrame:
+    """The rows whose ``col`` is not a JSON document."""
+    return df.where(is_bad_json(col))
+
+
+def _fail_on(cond: Column, col: str, message: str) -> Column:
+    start = F.substring(F.col(col), 1, 80)
+    return F.when(cond, F.raise_error(F.concat(F.lit(message), start)).cast("string")).otherwise(F.col(col))
+
+
 _SIMPLE_PATH = re.compile(r"^\$(\.[A-Za-z_][A-Za-z0-9_]*)+$")
 _KEY = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -113,6 +137,10 @@ def flatten_json(
     document that is not JSON gives NULL).  Plain dotted paths are read with
     one ``from_json`` parse per document against an all-text schema, instead
     of one parse per path; other paths fall back to ``get_json_object``.
+    Bare ``NaN`` is not JSON and gives NULL, as ``get_json_object`` does.  A
+    key that a document repeats keeps its last value, as JSON parsers do
+    (``get_json_object`` takes the first); a document that needs the first
+    is read with a path of another form, such as ``$['a']``.
 
     With a ``schema`` the columns are typed by it (D3: parsed once).
     """
@@ -120,7 +148,7 @@ def flatten_json(
         schema = text_schema(list(paths.values()))
         if schema is None:
             return df.select(*keep, *[F.get_json_object(F.col(col), p).alias(n) for n, p in paths.items()])
-    parsed = F.from_json(F.col(col), schema, JSON_OPTIONS)
+    parsed = F.from_json(F.col(col), schema, {**JSON_OPTIONS, **STRICT_NUMBERS})
     staged = df.select(*keep, parsed.alias("_doc"))
     out = []
     for name, path in paths.items():
@@ -179,26 +207,31 @@ def pack_rows(
 
 # -------------------------------- XML ------------------------------------
 
+# A start tag inside a text.
+_MARKUP = r"<[A-Za-z_][^<>]*>"
+
 
-def explode_xml(df: DataFrame, col: str, row: str, schema: StructType | str, keep: Sequence[str] = (), name: str = "node") -> DataFrame:
+def explode_xml(df: DataFrame, col: str, row: str, schema: StructType | str, keep: Sequence[str] = (), name: str = "node", bad: str = "fail") -> DataFrame:
     """One row per ``row`` element of each XML document.
 
     ``schema`` describes the document's children; declare every element that
-    may repeat as an array (a scalar field keeps the last repeat).
+    may repeat as an array (a scalar field keeps the last repeat).  A
+    document that is not XML raises; ``bad="skip"`` leaves it out instead.
     """
-    doc = F.from_xml(F.col(col), schema)
+    doc = F.from_xml(F.col(col), schema, {"mode": "FAILFAST" if bad == "fail" else "PERMISSIVE"})
     return df.select(*keep, F.explode(doc[row]).alias(name))
 
 
 def xml_text(node: Column | str, path: str) -> Column:
     """First text under a child path ("a/b" = child a, then b); the
-    leaf must be declared as an array in the schema."""
+    leaf must be declared as an array in the schema.  The text ends where a
+    child element of the leaf begins."""
     steps = path.split("/")
     c = _c(node)
     for step in steps[:-1]:
         c = c[step]
-    leaf = c[steps[-1]]
-    return F.get(leaf, 0)
+    leaf = F.get(c[steps[-1]], 0)
+    return F.when(leaf.rlike(_MARKUP), F.regexp_extract(leaf, rf"(?s)^(.*?){_MARKUP}", 1)).otherwise(leaf)
 
 
 def xml_node_text(node: Column | str, path: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.exprs import absolute, first_match, flag, per_hundred, round_half_up
-from tidewater.operators.analytics import sum_flag
+from tidewater.operators.analytics import exact_mean, sum_flag
 from tidewater.operators.cleaning import keep_positive
 from tidewater.session import legacy_parquet_conf
 from tidewater.sinks.tables import save_external
@@ -43,7 +43,7 @@ PROFILE_COLUMNS = (
     ("avg_fuel_consumption_proxy", "avg", "fuel_consumption_proxy", 4),
 )
 
-_AGGS = {"avg": F.avg, "max": F.max}
+_AGGS = {"avg": exact_mean, "max": F.max}
 
 
 def driving_mode(speed: str = SPEED, load: str = LOAD):

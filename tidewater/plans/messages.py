@@ -56,7 +56,7 @@ def flat_sql(view: str, paths=LOAN_PATHS, keep: tuple[str, ...] = ()) -> str:
 
     Plain dotted paths are read from one ``from_json`` parse per message
     against an all-text layout (the same text ``get_json_object`` gives per
-    path); other paths fall back to one ``get_json_object`` each."""
+    path; of a repeated key the last value); other paths fall back to one ``get_json_object`` each."""
     kept = [f"`{k}`" for k in keep]
     schema = text_schema([path for _, path in paths])
     if schema is None:
@@ -66,7 +66,7 @@ def flat_sql(view: str, paths=LOAN_PATHS, keep: tuple[str, ...] = ()) -> str:
     for name, path in paths:
         steps = ".".join(f"`{step}`" for step in path[2:].split("."))
         fields.append(f"`_doc`.{steps} AS `{name}`")
-    inner = ", ".join(kept + [f"from_json(value, '{_ddl(schema)}') AS `_doc`"])
+    inner = ", ".join(kept + [f"from_json(value, '{_ddl(schema)}', map('allowNonNumericNumbers', 'false')) AS `_doc`"])
     return f"SELECT {', '.join(kept + fields)} FROM (SELECT {inner} FROM `{view}`)"
 
 

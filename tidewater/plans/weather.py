@@ -10,7 +10,7 @@ from tidewater.functions.exprs import day_of, parse_ts, round_half_even, year_of
 from tidewater.operators.analytics import exact_mean, percentile_band, top_n, union_all
 from tidewater.operators.cleaning import since
 from tidewater.sinks.tables import append_incremental, append_table, full_refresh, table_exists
-from tidewater.sources.files import read_csv
+from tidewater.sources.files import read_csv_by_name
 
 # Reading format and defaults of the job.
 READING_FORMAT = "dd-MM-yyyy HH:mm"
@@ -68,9 +68,9 @@ def daily_extremes(
 
 
 def read_readings(spark: SparkSession, path: str, schema: str = READINGS_SCHEMA) -> DataFrame:
-    """A sensor reading CSV with a header; ``noted_date`` stays text and
-    is parsed by :func:`daily_extremes`."""
-    return read_csv(spark, path, schema=schema)
+    """A sensor reading CSV with a header, read by the header's names;
+    ``noted_date`` stays text and is parsed by :func:`daily_extremes`."""
+    return read_csv_by_name(spark, path, schema)
 
 
 def run_daily_extremes(spark: SparkSession, csv_path: str, table: str, path: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(
@@ -26,7 +26,24 @@ def read_csv(
         reader = reader.option(key, value)
     if schema is not None:
         return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", "true").csv(path)
+    if "inferSchema" not in options:
+        reader = reader.option("inferSchema", "true")
+    return reader.csv(path)
+
+
+def read_csv_by_name(spark: SparkSession, path: str, schema: StructType | str, **options: str) -> DataFrame:
+    """A CSV scan whose declared columns are found by the header's names,
+    in any order.  Undeclared columns are left out; a declared column that
+    the header lacks raises, and so does a file whose header differs from
+    the first one's."""
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    header = read_csv(spark, path, schema=None, inferSchema="false", **options).columns
+    missing = [f.name for f in declared if f.name not in header]
+    if missing:
+        raise ValueError(f"columns not in the header of {path}: {missing}")
+    types = {f.name: f.dataType for f in declared}
+    found = StructType([StructField(name, types.get(name, StringType())) for name in header])
+    return read_csv(spark, path, schema=found, enforceSchema="false", **options).select(*[f"`{f.name}`" for f in declared])
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], merge_schema: bool = False) -> DataFrame:
@@ -78,7 +95,8 @@ def sql(spark: SparkSession, query: str) -> DataFrame:
 def preview(spark: SparkSession, tables: Sequence[str], n: int = 10, order_by: dict[str, Sequence[str]] | None = None) -> dict[str, DataFrame | Exception]:
     """The first ``n`` rows of each table.
 
-    A table that cannot be read is reported as its exception and the loop
+    The at most ``n`` rows are fetched here, so a table that is missing or
+    whose files cannot be read is reported as its exception and the loop
     goes on with the next one.  With ``order_by`` the rows are the first by
     that key (a top-k, not a full sort) rather than whatever comes first.
     """
@@ -89,7 +107,7 @@ def preview(spark: SparkSession, tables: Sequence[str], n: int = 10, order_by: d
             keys = (order_by or {}).get(name)
             if keys:
                 df = df.orderBy(*keys)
-            out[name] = df.limit(n)
+            out[name] = spark.createDataFrame(df.limit(n).collect(), df.schema)
         except Exception as exc:  # noqa: BLE001 - reported per table
             out[name] = exc
     return out
