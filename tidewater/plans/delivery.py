@@ -9,12 +9,13 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, StructType
 
-from tidewater.functions.exprs import key_default, surrogate_id, try_timestamp
-from tidewater.operators.analytics import count_where, money_mean
+from tidewater.functions.exprs import key_default, surrogate_id, try_timestamp, year_of
+from tidewater.operators.analytics import count_where, money_mean, union_all
 from tidewater.operators.cleaning import clean_collection, drop_array_columns, drop_if_present, type_by_name
 from tidewater.operators.nested import explode_structs
+from tidewater.operators.quality import fk_orphan_counts, key_violations
 from tidewater.sinks.tables import create_tables, replicate, skip_if_empty
 from tidewater.sources.files import preview, read_collection
 
@@ -24,17 +25,31 @@ DELIVERED = "Доставлен"
 # Target table layouts.
 TARGET_TABLES = {
     "orders": "order_id STRING, customer_id STRING, restaurant_id STRING, driver_id STRING, "
-    "order_amount DECIMAL(18,2), status STRING, order_time TIMESTAMP_NTZ",
+    "order_amount DECIMAL(38,18), status STRING, order_time TIMESTAMP_NTZ, order_year STRING",
     "restaurants": "restaurant_id STRING, name STRING, city STRING, cuisine STRING, "
-    "rating DECIMAL(18,2), created_at TIMESTAMP_NTZ",
+    "rating DECIMAL(38,18), created_at TIMESTAMP_NTZ",
     "customers": "customer_id STRING, name STRING, email STRING, address STRING, city STRING, "
     "registered_at TIMESTAMP_NTZ",
-    "delivery_drivers": "driver_id STRING, name STRING, vehicle_type STRING, rating DECIMAL(18,2), active BOOLEAN",
+    "delivery_drivers": "driver_id STRING, name STRING, vehicle_type STRING, rating DECIMAL(38,18), active BOOLEAN",
     "orderreviews": "review_id STRING, order_id STRING, rating INT, comment STRING, created_at TIMESTAMP_NTZ",
     "customer_actions": "action_id BIGINT, customer_id STRING, action_type STRING, action_timestamp TIMESTAMP_NTZ",
 }
 
 
+# Partition column of a target, and the timestamp whose year it holds
+# ("default" without one), so a filter on the year prunes the table.
+TARGET_PARTITIONS = {"orders": ("order_year", "order_time")}
+
+# Keys of the targets, and the columns that point at another target's key.
+TARGET_KEYS = {
+    "orders": "order_id", "restaurants": "restaurant_id", "customers": "customer_id",
+    "delivery_drivers": "driver_id", "orderreviews": "review_id", "customer_actions": "action_id",
+}
+TARGET_REFERENCES = (
+    ("orders", "customer_id", "customers"), ("orders", "restaurant_id", "restaurants"), ("orders", "driver_id", "delivery_drivers"),
+    ("orderreviews", "order_id", "orders"), ("customer_actions", "customer_id", "customers"),
+)
+
 # The source collections, their target tables and keys.
 COLLECTIONS = (
     ("Restaurants", "restaurants", "restaurant_id"),
@@ -90,28 +105,44 @@ def prepare_collection(
 def customer_actions(customers: DataFrame, key: str = "customer_id") -> DataFrame:
     """M8: one row per action of each customer.  A missing action name
     gives "unknown"; customers with empty or NULL action lists give no rows;
-    ``action_id`` is a stable id from the row's content."""
+    ``action_id`` is a stable id from the row's content and its position in
+    the list, so equal actions of a customer differ."""
+    numbered = customers.select(key, F.transform("actions", lambda a, i: F.struct(a.alias("a"), i.alias("at"))).alias("actions"))
+    item = F.col("_item")["a"]
     rows = explode_structs(
-        customers,
+        numbered,
         key,
         "actions",
         {
-            "action_type": key_default(F.col("_item")["action"]),
-            "action_timestamp": try_timestamp(F.col("_item")["timestamp"]),
+            "action_type": key_default(item["action"]),
+            "action_timestamp": try_timestamp(item["timestamp"]),
+            "_at": F.col("_item")["at"],
         },
     )
-    rows = rows.withColumn("action_id", surrogate_id(key, "action_type", "action_timestamp"))
+    rows = rows.withColumn("action_id", surrogate_id(key, "_at", "action_type", "action_timestamp"))
     return rows.select("action_id", key, "action_type", "action_timestamp")
 
 
+def _money_total(df: DataFrame, col: str) -> Column:
+    """Exact sum with the scale of the column."""
+    kind = df.schema[col].dataType
+    return F.sum(col).cast(f"decimal(38,{getattr(kind, 'scale', 2)})")
+
+
+def _mean_type(df: DataFrame, col: str) -> str:
+    """Six decimals, and as many digits before them as the column has."""
+    kind = df.schema[col].dataType
+    return f"decimal({min(38, kind.precision - kind.scale + 6)},6)" if isinstance(kind, DecimalType) else "decimal(38,6)"
+
+
 def customer_activity(orders: DataFrame) -> DataFrame:
     """M9: per customer: orders, total spent, mean check, last order time
     (orders with a positive amount only)."""
     paid = orders.where(F.col("order_amount") > 0)
     return paid.groupBy("customer_id").agg(
         F.count("order_id").alias("total_orders"),
-        F.sum("order_amount").cast("decimal(38,2)").alias("total_spent"),
-        money_mean("order_amount").alias("avg_check"),
+        _money_total(paid, "order_amount").alias("total_spent"),
+        money_mean("order_amount", _mean_type(paid, "order_amount")).alias("avg_check"),
         F.max("order_time").alias("last_order_timestamp"),
     )
 
@@ -121,7 +152,7 @@ def restaurant_performance(orders: DataFrame, delivered: str = DELIVERED) -> Dat
     paid = orders.where(F.col("order_amount") > 0)
     return paid.groupBy("restaurant_id").agg(
         F.count("order_id").alias("total_orders"),
-        F.sum("order_amount").cast("decimal(38,2)").alias("total_revenue"),
+        _money_total(paid, "order_amount").alias("total_revenue"),
         count_where(F.col("status") == F.lit(delivered)).alias("successful_orders"),
     )
 
@@ -154,6 +185,10 @@ def replicate_collection(c: Collection, path: str | None = None, keep: bool = Fa
     main = drop_array_columns(prepared)
     if c.columns:
         main = main.select(*c.columns)
+    base = c.table.rsplit(".", 1)[-1]
+    if base in TARGET_PARTITIONS:
+        column, ts = TARGET_PARTITIONS[base]
+        main = main.withColumn(column, F.coalesce(year_of(ts).cast("string"), F.lit("default")))
     try:
         replicate(main, c.table, path=path)
     except Exception:
@@ -186,7 +221,9 @@ def load_all(
 
     Returns one row per table: ``table_name``, ``row_count``.
     """
-    create_tables(spark, tables or TARGET_TABLES, location=location, replace=False)
+    tables = tables or TARGET_TABLES
+    by = {name: TARGET_PARTITIONS[name.rsplit(".", 1)[-1]][0] for name in tables if name.rsplit(".", 1)[-1] in TARGET_PARTITIONS}
+    create_tables(spark, tables, location=location, replace=False, partitions=by)
 
     def where(name: str) -> str | None:
         return f"{location}/{name}" if location else None
@@ -197,7 +234,9 @@ def load_all(
         done = [c.table]
         if with_actions and prepared is not None:
             try:
-                replicate(customer_actions(prepared), actions_table, path=where(actions_table))
+                actions = customer_actions(prepared)
+                if not skip_if_empty(actions):  # no actions leave the table as it was (K15)
+                    replicate(actions, actions_table, path=where(actions_table))
             finally:
                 prepared.unpersist()
             done.append(actions_table)
@@ -207,10 +246,7 @@ def load_all(
         loaded = list(pool.map(load_one, collections))
     names = [name for group in loaded for name in group]
 
-    orders = spark.table(orders_table)
-    builds = [(customer_activity(orders), marts[0]), (restaurant_performance(orders), marts[1])]
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(builds)))) as pool:
-        list(pool.map(lambda b: replicate(b[0], b[1], path=where(b[1])), builds))
+    rebuild_marts(spark, orders_table, marts, location, parallel)
     names.extend(marts)
 
     counts = [spark.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n in names]
@@ -220,6 +256,26 @@ def load_all(
     return out
 
 
+def key_report(spark: SparkSession, prefix: str = "") -> DataFrame:
+    """K18 over the loaded targets: ``check_name, bad_rows`` for every key
+    and every reference between them."""
+    checks = []
+    for name, key in TARGET_KEYS.items():
+        checks.append((f"{name}.{key} is a key", key_violations(spark.table(f"{prefix}{name}"), [key])))
+    for child, col, parent in TARGET_REFERENCES:
+        checks.append((f"{child}.{col} in {parent}", fk_orphan_counts(spark.table(f"{prefix}{child}"), spark.table(f"{prefix}{parent}"), col, TARGET_KEYS[parent])))
+    bad = F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("bad_rows")
+    return union_all(*[df.agg(bad).select(F.lit(name).alias("check_name"), "bad_rows") for name, df in checks])
+
+
+def rebuild_marts(spark: SparkSession, orders_table: str = "orders", marts: Sequence[str] = ("mart_customer_activity", "mart_restaurant_performance"), location: str | None = None, parallel: int = 2) -> None:
+    """Both marts from the loaded orders, concurrently."""
+    orders = spark.table(orders_table)
+    builds = [(customer_activity(orders), marts[0]), (restaurant_performance(orders), marts[1])]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(builds)))) as pool:
+        list(pool.map(lambda b: replicate(b[0], b[1], path=f"{location}/{b[1]}" if location else None), builds))
+
+
 def preview_marts(spark: SparkSession, tables: Sequence[str], n: int = 10, order_by: Mapping[str, Sequence[str]] | None = None) -> dict[str, DataFrame | Exception]:
     """The first ``n`` rows of each mart (by key when ``order_by``
     names one); a table that fails is reported and the rest still run."""

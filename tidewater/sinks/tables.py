@@ -13,8 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidewater.operators.analytics import top_n
+from tidewater.session import scratch_path
+
 
 def _writer(df: DataFrame, mode: str, path: str | None, buckets: int | None = None, bucket_by: Sequence[str] | None = None):
+    if buckets and bucket_by:
+        # Rows of a bucket meet in one task, which writes one file for it.
+        df = df.repartition(buckets, *bucket_by)
     writer = df.write.mode(mode).format("parquet")
     if path:
         writer = writer.option("path", path)
@@ -23,6 +29,14 @@ def _writer(df: DataFrame, mode: str, path: str | None, buckets: int | None = No
     return writer
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back, so the
+    target is touched only once its new rows are whole."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
@@ -55,10 +69,14 @@ def append_table(
     bucket_by: Sequence[str] | None = None,
 ) -> None:
     """K9: append rows (set-based; the table is created on first use,
-    bucketed by ``bucket_by`` when ``buckets`` is given)."""
+    bucketed by ``bucket_by`` when ``buckets`` is given).  Columns go by
+    name; ``cols`` picks them.  A column that the table lacks, or one of the
+    table's that the rows lack, raises."""
     if cols:
         df = df.select(*cols)
     if table_exists(df.sparkSession, table):
+        if buckets and bucket_by:
+            df = df.repartition(buckets, *bucket_by)
         _append_by_name(df, table)
     else:
         _writer(df, "append", path, buckets, bucket_by).saveAsTable(table)
@@ -66,7 +84,10 @@ def append_table(
 
 def _append_by_name(df: DataFrame, table: str) -> None:
     target = df.sparkSession.table(table).columns
-    df.select(*target).write.mode("append").insertInto(table)
+    have, known = {c.lower() for c in df.columns}, {c.lower() for c in target}
+    if have != known:
+        raise ValueError(f"columns do not match {table}: not in the table {sorted(have - known)}, not in the rows {sorted(known - have)}")
+    df.select(*[f"`{c}`" for c in target]).write.mode("append").insertInto(table)
 
 
 def full_refresh(
@@ -84,8 +105,22 @@ def full_refresh(
 
 
 def new_rows(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not yet in ``target`` (``left_anti``)."""
-    return df.join(target.select(*keys).distinct(), on=list(keys), how="left_anti")
+    """Rows of ``df`` whose key is not yet in ``target`` (``left_anti``; a
+    NULL key part equals NULL), one for each key: of several
+    rows with one new key, the first by a hash of the row."""
+    keys = list(keys)
+    odd = F.lit(False)
+    for k in keys:
+        odd = odd | F.col(k).isNull()
+    # Whole keys meet by equality, so a bucketed target is read without a
+    # shuffle; the few with a NULL part meet the target's by a null-safe test.
+    rows = df.where(~odd).join(target.select(*keys), keys, "left_anti").select(*df.columns)
+    held = target.where(odd).select(*[F.col(k).alias(f"_t_{k}") for k in keys]).distinct()
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
+    rows = rows.unionByName(df.where(odd).join(held, same, "left_anti"))
+    return top_n(rows, keys, [F.xxhash64(*[F.col(c) for c in df.columns])], 1)
 
 
 def append_incremental(
@@ -98,9 +133,10 @@ def append_incremental(
 ) -> None:
     """Append without truncating.  Without ``keys`` rows are appended as
     they are (a rerun repeats them); with ``keys`` only rows whose key is new
-    are appended, so a rerun adds nothing.
+    are appended, one for each key (NULL counts as a key value), so a rerun
+    adds nothing.
 
-    The new rows are staged to the session checkpoint folder before the
+    The new rows are staged to the shared scratch folder before the
     append, because the append changes the very table the anti-join reads.
     A target bucketed by ``keys`` (``buckets``, set when the table is made)
     is read for the anti join without a shuffle: only the incoming rows
@@ -109,7 +145,9 @@ def append_incremental(
     spark = df.sparkSession
     df = df.select(*cols)
     if keys and table_exists(spark, table):
-        df = new_rows(df, spark.table(table), keys).checkpoint(eager=True)
+        df = _staged(new_rows(df, spark.table(table), keys), "new-rows")
+    elif keys:
+        df = top_n(df, list(keys), [F.xxhash64(*[F.col(c) for c in df.columns])], 1)
     append_table(df, table, None, path, buckets, keys)
 
 
@@ -140,21 +178,39 @@ def load(
 
 
 def replicate(df: DataFrame, table: str, types: Mapping[str, str] | None = None, path: str | None = None) -> None:
-    """Cast columns by a type map, then replace the table's rows."""
+    """Cast columns by a type map, then replace the table's rows.
+
+    A table that is there keeps its definition (columns, types, partitions):
+    the rows are cast to its columns, a column the rows lack is NULL, one the
+    table lacks raises.  The new rows are staged first, so a source that
+    fails leaves the old rows in place.  A table that is not there is made
+    from the rows."""
     if types:
         df = df.select(*[(F.col(c).cast(types[c]) if c in types else F.col(c)).alias(c) for c in df.columns])
-    _writer(df, "overwrite", path).saveAsTable(table)
-
-
-def create_tables(spark: SparkSession, schemas: Mapping[str, StructType | str], location: str | None = None, replace: bool = True) -> None:
+    spark = df.sparkSession
+    if not table_exists(spark, table):
+        _writer(df, "overwrite", path).saveAsTable(table)
+        return
+    target = spark.table(table).schema
+    have = {c.lower(): c for c in df.columns}
+    unknown = sorted(set(have) - {f.name.lower() for f in target})
+    if unknown:
+        raise ValueError(f"columns not declared in {table}: {unknown}")
+    typed = [(F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in target]
+    _staged(df.select(*typed), "replicate").write.mode("overwrite").insertInto(table)
+
+
+def create_tables(spark: SparkSession, schemas: Mapping[str, StructType | str], location: str | None = None, replace: bool = True, partitions: Mapping[str, str] | None = None) -> None:
     """(re)create empty tables with the given schemas.  ``replace=False``
-    keeps tables that already exist (CREATE TABLE IF NOT EXISTS)."""
+    keeps tables that already exist (CREATE TABLE IF NOT EXISTS).
+    ``partitions`` names the partition column of a table, by table."""
     for name, schema in schemas.items():
         ddl = schema if isinstance(schema, str) else schema.toDDL()
         if replace:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
         where = f" LOCATION '{location}/{name}'" if location else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{where}")
+        by = f" PARTITIONED BY ({partitions[name]})" if partitions and name in partitions else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{by}{where}")
 
 
 def skip_if_empty(df: DataFrame) -> bool:

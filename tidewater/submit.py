@@ -1,10 +1,14 @@
 """Command line for the jobs, for ``spark-submit`` or ``python -m``:
 
-    spark-submit tidewater/submit.py engine-profile --input s3a://b/engine/ \\
-        --table engine_aggregated --output s3a://b/engine_processed/
-
-Each sub-command builds (or joins) a session and runs one job.  Topic
-credentials are read from a ``key=value`` file given with
+    spark-submit tidewater/submit.py engine-profile --input /data/readings/ \\
+        --table profile_by_engine --output /data/profile/
+
+Each sub-command builds (or joins) a session and runs one job.  Jobs that
+read or write tables use the lasting catalog (the Hive metastore that the
+session is configured for), so a later process finds the tables an earlier
+one made; ``--catalog in-memory`` gives one that ends with the process.
+``--location`` puts a new table's files in a folder of the shared store.
+Topic credentials are read from a ``key=value`` file given with
 ``--options-file``, never from the command line or the code.
 """
 
@@ -48,12 +52,15 @@ def _parser() -> argparse.ArgumentParser:
     j = sub.add_parser("daily-extremes", help="M3: readings CSV -> daily extremes appended to a table")
     j.add_argument("--csv", required=True)
     j.add_argument("--table", required=True)
+    j.add_argument("--location", help="folder for the table's files")
 
     j = sub.add_parser("temperature-load", help="M5: full load on the first run, last n days after")
     j.add_argument("--csv", required=True)
     j.add_argument("--full-table", required=True)
     j.add_argument("--incremental-table", required=True)
     j.add_argument("--days", type=int, default=3)
+    j.add_argument("--key", nargs="+", help="key columns that make the incremental append idempotent")
+    j.add_argument("--location", help="folder for the tables' files (a sub-folder each)")
 
     j = sub.add_parser("engine-profile", help="M12: engine readings -> external profile table")
     j.add_argument("--input", required=True)
@@ -68,12 +75,20 @@ def _parser() -> argparse.ArgumentParser:
         j = sub.add_parser(name, help=help_text)
         j.add_argument("--source-table", required=True)
         j.add_argument("--target-table", required=True)
+        j.add_argument("--location", help="folder for the target's files")
 
     j = sub.add_parser("replicate", help="M18: five JSON collections -> tables and marts")
     j.add_argument("--folder", required=True)
     j.add_argument("--database")
     j.add_argument("--location")
 
+    j = sub.add_parser("rebuild-marts", help="M9, M10: both marts from the loaded orders")
+    j.add_argument("--database")
+    j.add_argument("--location")
+
+    j = sub.add_parser("check-keys", help="K18: key and reference checks over the loaded tables")
+    j.add_argument("--database")
+
     j = sub.add_parser("preview-marts", help="M17: first rows of each mart")
     j.add_argument("--tables", nargs="+", required=True)
     j.add_argument("-n", type=int, default=10)
@@ -93,28 +108,45 @@ def _parser() -> argparse.ArgumentParser:
             j.add_argument("--checkpoint", required=True)
             j.add_argument("--max-offsets-per-batch", type=int, help="cap on offsets per micro-batch of the drain")
 
-    j = sub.add_parser("send-rows", help="M13: table rows as JSON messages to a topic")
-    j.add_argument("--source-table", required=True)
-    j.add_argument("--servers", required=True)
-    j.add_argument("--topic", required=True)
-    j.add_argument("--options-file")
+    for name, help_text in (("send-rows", "M13: table rows as JSON messages to a topic"), ("send-nested", "M19: table rows as nested JSON messages to a topic")):
+        j = sub.add_parser(name, help=help_text)
+        j.add_argument("--source-table", required=True)
+        j.add_argument("--servers", required=True)
+        j.add_argument("--topic", required=True)
+        j.add_argument("--options-file")
+        if name == "send-nested":
+            j.add_argument("--layout", required=True, help="JSON file: field -> column name, or field -> object of such fields")
+    for name in TABLE_JOBS:
+        sub.choices[name].add_argument("--catalog", choices=("hive", "in-memory"), default="hive")
     return p
 
 
+# Jobs that read or write catalog tables.
+TABLE_JOBS = (
+    "daily-extremes", "temperature-load", "engine-profile", "pets-table", "foods-table", "replicate", "rebuild-marts",
+    "check-keys", "preview-marts", "send-rows", "send-nested",
+)
+
+
+def _prefix(args: argparse.Namespace) -> str:
+    return f"{args.database}." if args.database else ""
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    hive = args.job in ("engine-profile",)
+    hive = getattr(args, "catalog", None) == "hive"
     spark = session(f"tidewater-{args.job}", hive=hive, legacy_parquet=args.job == "engine-profile")
     result: object = None
     if args.job == "daily-extremes":
         from tidewater.plans.weather import run_daily_extremes
 
-        run_daily_extremes(spark, args.csv, args.table)
+        run_daily_extremes(spark, args.csv, args.table, args.location)
         result = args.table
     elif args.job == "temperature-load":
         from tidewater.plans.weather import run_full_or_incremental
 
-        result = run_full_or_incremental(spark, args.csv, args.full_table, args.incremental_table, days=args.days)
+        at = {f"{k}_path": f"{args.location.rstrip('/')}/{t}" for k, t in (("full", args.full_table), ("incremental", args.incremental_table))} if args.location else {}
+        result = run_full_or_incremental(spark, args.csv, args.full_table, args.incremental_table, days=args.days, keys=args.key, **at)
     elif args.job == "engine-profile":
         from tidewater.plans.engines import run_engine_profile
 
@@ -128,16 +160,27 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "pets-table":
         from tidewater.plans.documents import run_pets_table
 
-        result = run_pets_table(spark, args.source_table, args.target_table)
+        result = run_pets_table(spark, args.source_table, args.target_table, path=args.location)
     elif args.job == "foods-table":
         from tidewater.plans.documents import run_foods_table
 
-        result = run_foods_table(spark, args.source_table, args.target_table)
+        result = run_foods_table(spark, args.source_table, args.target_table, path=args.location)
     elif args.job == "replicate":
         from tidewater.plans.delivery import run_replication
 
         counts = run_replication(spark, args.folder, database=args.database, location=args.location)
         result = {r["table_name"]: r["row_count"] for r in counts.collect()}
+    elif args.job == "rebuild-marts":
+        from tidewater.plans.delivery import rebuild_marts
+
+        p = _prefix(args)
+        marts = (f"{p}mart_customer_activity", f"{p}mart_restaurant_performance")
+        rebuild_marts(spark, f"{p}orders", marts, args.location)
+        result = list(marts)
+    elif args.job == "check-keys":
+        from tidewater.plans.delivery import key_report
+
+        result = {r["check_name"]: r["bad_rows"] for r in key_report(spark, _prefix(args)).collect()}
     elif args.job == "preview-marts":
         from tidewater.plans.delivery import preview_marts
 
@@ -168,6 +211,13 @@ def main(argv: list[str] | None = None) -> int:
 
         send_rows(spark.table(args.source_table), _topic(args, subscribe=False))
         result = args.topic
+    elif args.job == "send-nested":
+        from tidewater.plans.messages import send_nested
+
+        with open(args.layout, encoding="utf-8") as fh:
+            layout = json.load(fh)
+        send_nested(spark.table(args.source_table), layout, _topic(args, subscribe=False))
+        result = args.topic
     if result is not None:
         print(json.dumps({"job": args.job, "result": result}, default=str))
     return 0
