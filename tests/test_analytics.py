@@ -29,12 +29,12 @@ def test_quantiles_skip_null_nan_and_empty(spark):
 @given(
     values=st.lists(st.integers(min_value=-50, max_value=50), min_size=1, max_size=300),
     probs=st.lists(st.floats(min_value=0, max_value=1), min_size=1, max_size=4),
-    buckets=st.integers(min_value=1, max_value=7),
+    accuracy=st.sampled_from([2, 10, 10_000]),
 )
-def test_quantiles_match_numpy(spark, values, probs, buckets):
-    # Heavy duplicates (a few dozen distinct values) and any bucket count.
+def test_quantiles_match_numpy(spark, values, probs, accuracy):
+    # Heavy duplicates (a few dozen distinct values) and any sketch size.
     df = spark.createDataFrame([(float(v),) for v in values], "t double")
-    got = A.exact_quantiles(df, "t", probs, buckets=buckets)
+    got = A.exact_quantiles(df, "t", probs, accuracy=accuracy)
     want = [float(np.quantile(np.array(values, dtype=float), p)) for p in probs]
     assert got == pytest.approx(want, rel=1e-12, abs=1e-12)
 
@@ -43,13 +43,13 @@ def test_quantiles_match_numpy(spark, values, probs, buckets):
 @given(
     values=st.lists(st.integers(min_value=-1000, max_value=1000), min_size=1, max_size=400),
     probs=st.lists(st.floats(min_value=0, max_value=1), min_size=1, max_size=3),
-    buckets=st.integers(min_value=2, max_value=5),
-    cap=st.integers(min_value=1, max_value=8),
+    accuracy=st.integers(min_value=2, max_value=20),
+    pick=st.integers(min_value=1, max_value=8),
 )
-def test_quantiles_narrow_large_ranges(spark, values, probs, buckets, cap):
-    # A tiny per-task bound forces ranges to be split again (several rounds).
+def test_quantiles_narrow_large_brackets(spark, values, probs, accuracy, pick):
+    # Coarse sketches and a tiny last bracket force several narrowing rounds.
     df = spark.createDataFrame([(float(v),) for v in values], "t double")
-    got = A.exact_quantiles(df, "t", probs, buckets=buckets, max_values_per_task=cap)
+    got = A.exact_quantiles(df, "t", probs, accuracy=accuracy, pick_rows=pick)
     want = [float(np.quantile(np.array(values, dtype=float), p)) for p in probs]
     assert got == pytest.approx(want, rel=1e-12, abs=1e-12)
 

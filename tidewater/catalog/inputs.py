@@ -56,7 +56,8 @@ def supplier_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a raw collection with dirt injected by expression: missing
-    and placeholder customer ids, bad amounts, missing status, a list
+    and placeholder customer ids, bad, tiny, huge and three-decimal amounts,
+    missing status, a list
     column, and every document present twice (``_v`` 0 and 1)."""
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
@@ -73,6 +74,9 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 19 == 0, F.lit("-1"))
         .when(k % 23 == 0, F.lit("NaN"))
         .when(k % 37 == 0, F.lit("0"))
+        .when(k % 41 == 0, F.lit("0.004"))
+        .when(k % 43 == 0, F.lit("99999999999999999.5"))
+        .when(k % 47 == 0, F.lit("12.345"))
         .otherwise(F.col("o_totalprice").cast("string"))
         .alias("order_amount"),
         F.when(k % 5 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderstatus")).alias("status"),
@@ -82,6 +86,16 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc.withColumn("_v", F.lit(0)).unionByName(doc.withColumn("_v", F.lit(1)))
 
 
+def keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders, and for every order of the lowest priority an equal row
+    without a key."""
+    o = table(spark, sf_dir, "orders")
+    blank = {"o_orderkey": None, "o_custkey": None, "o_orderstatus": "N", "o_totalprice": 0.0, "o_orderdate": "1999-01-01", "o_orderpriority": "none"}
+    types = dict(o.dtypes)
+    keyless = o.where(F.col("o_orderpriority") == "5-LOW").select(*[F.lit(v).cast(types[c]).alias(c) for c, v in blank.items()])
+    return o.unionByName(keyless)
+
+
 def text_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as documents whose dates arrived as text (some unreadable)
     and whose id is an extended-JSON object id."""
@@ -182,7 +196,7 @@ def food_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def action_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations packed as customer documents: customer = conversation,
     one action per turn (action = role, timestamp text = 2024-01-01 plus
-    ``turn`` minutes)."""
+    ``turn`` minutes); the third action of a list is there twice."""
     conv = table(spark, sf_dir, "conversations")
     acts = conv.select(
         "conv_id",
@@ -191,7 +205,8 @@ def action_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(F.expr("timestampadd(MINUTE, turn, TIMESTAMP_NTZ'2024-01-01 00:00:00')"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
     )
     packed = pack_rows(acts, ["conv_id"], "turn", ["action", "timestamp"], "actions")
-    return packed.select(F.col("conv_id").alias("customer_id"), "actions")
+    again = F.filter(F.slice("actions", 3, 1), lambda a: F.size("actions") >= 3)
+    return packed.select(F.col("conv_id").alias("customer_id"), F.concat("actions", again).alias("actions"))
 
 
 # ------------------------------ messages ----------------------------------
@@ -258,7 +273,7 @@ def loan_layout() -> dict:
 
 # --------------------------- delivery documents ----------------------------
 
-# Order status texts of the delivery documents.
+# Order status texts of the delivery documents (own choice).
 IN_TRANSIT = "В пути"
 CANCELLED = "Отменен"
 
@@ -349,6 +364,8 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(F.col("o_orderpriority").alias("name"), money("o_totalprice").alias("price"), F.lit(1).alias("qty"))).alias("items"),
         F.when(k % 17 == 0, F.lit("abc"))
         .when(k % 19 == 0, F.lit("-1"))
+        .when(k % 41 == 0, F.lit("0.004"))
+        .when(k % 43 == 0, F.lit("99999999999999999.5"))
         .otherwise(F.col("o_totalprice").cast("string"))
         .alias("order_amount"),
         F.when(k % 5 == 0, F.lit(None).cast("string")).otherwise(order_status(F.col("o_orderstatus"))).alias("status"),

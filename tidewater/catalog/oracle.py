@@ -13,6 +13,11 @@ def half_up(expr: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
+def half_up_decimal(expr: str, digits: int) -> str:
+    """The same as an exact number of six decimals."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DECIMAL(38,6))"
+
+
 MONEY = "CAST({} AS DECIMAL(18,2))"
 
 _ENGINE_AGGS = [
@@ -31,6 +36,8 @@ _ENGINE_AGGS = [
     ("avg_fuel_consumption_proxy", "avg", "proxy", 4),
 ]
 
+_AGG = {"avg": "CAST(SUM(CAST({0} AS DECIMAL(38,9))) AS DOUBLE) / COUNT({0})", "max": "max({0})"}
+
 ENGINE_PROFILE = f"""
 WITH r AS (
   SELECT l_returnflag AS EngineType, l_linestatus AS Generalized_Weight,
@@ -51,7 +58,7 @@ WITH r AS (
   WHERE rpm IS NOT NULL AND rpm > 0 AND speed IS NOT NULL AND speed > 0
 )
 SELECT EngineType, Generalized_Weight, driving_mode, COUNT(*) AS record_count,
-       {", ".join(f"{half_up(f'{fn}({col})', d)} AS {name}" for name, fn, col, d in _ENGINE_AGGS)},
+       {", ".join(f"{half_up(_AGG[fn].format(col), d)} AS {name}" for name, fn, col, d in _ENGINE_AGGS)},
        CAST(SUM(anomaly) AS BIGINT) AS fuel_trim_anomaly_count
 FROM e
 GROUP BY EngineType, Generalized_Weight, driving_mode
@@ -91,12 +98,18 @@ _DIRTY_CUSTOMER = """CASE WHEN o_orderkey % 7 = 0 THEN NULL
 
 _PLACEHOLDERS = "('unknown', 'none', 'nan', '', 'null')"
 
+def money_mean(total: str, count: str) -> str:
+    """Mean of two-decimal money to six decimals, half up, in whole numbers."""
+    millionths = f"((CAST({total} * 100 AS HUGEINT) * 20000 + {count}) // (2 * {count}))"
+    return f"CAST(CAST({millionths} // 1000000 AS VARCHAR) || '.' || lpad(CAST({millionths} % 1000000 AS VARCHAR), 6, '0') AS DECIMAL(22,6))"
+
+
 ORACLE: dict[str, str] = {
-    "customer_activity": """
+    "customer_activity": f"""
 SELECT o_custkey AS customer_id,
        COUNT(o_orderkey) AS total_orders,
        CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_spent,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice) AS avg_check,
+       {money_mean("SUM(CAST(o_totalprice AS DECIMAL(18,2)))", "COUNT(o_totalprice)")} AS avg_check,
        MAX(o_orderdate) AS last_order_timestamp
 FROM orders
 WHERE CAST(o_totalprice AS DECIMAL(18,2)) > 0
@@ -168,8 +181,11 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 """,
     "struct_rows": """
 SELECT conv_id AS customer_id, role AS action_type,
-       TIMESTAMP '2024-01-01 00:00:00' + turn * INTERVAL 1 MINUTE AS action_timestamp
+       TIMESTAMP '2024-01-01 00:00:00' + turn * INTERVAL 1 MINUTE AS action_timestamp,
+       CAST(0 AS BIGINT) AS rows_sharing_an_id
 FROM conversations
+UNION ALL
+SELECT conv_id, role, TIMESTAMP '2024-01-01 00:00:00' + turn * INTERVAL 1 MINUTE, 0 FROM conversations WHERE turn = 2
 """,
     "clean_orders": f"""
 WITH d AS (
@@ -180,7 +196,10 @@ WITH d AS (
                    WHEN o_orderkey % 19 = 0 THEN -1
                    WHEN o_orderkey % 23 = 0 THEN NULL
                    WHEN o_orderkey % 37 = 0 THEN 0
-                   ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DECIMAL(18,2)) AS order_amount,
+                   WHEN o_orderkey % 41 = 0 THEN 0.004
+                   WHEN o_orderkey % 43 = 0 THEN 99999999999999999.5
+                   WHEN o_orderkey % 47 = 0 THEN 12.345
+                   ELSE CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(38,18)) END AS DECIMAL(38,18)) AS order_amount,
          COALESCE(CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END, 'unknown') AS status,
          o_orderdate AS order_time
   FROM orders
@@ -189,8 +208,9 @@ SELECT * FROM d
 WHERE order_amount > 0 AND customer_id IS NOT NULL AND lower(customer_id) NOT IN {_PLACEHOLDERS}
 """,
     "typed_by_name": """
-SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
-       CAST(o_totalprice AS DECIMAL(18,2)) AS order_amount, o_orderstatus AS status,
+SELECT upper(lpad(printf('%x', o_orderkey), 24, '0')) AS document_id,
+       CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+       CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(38,18)) AS order_amount, o_orderstatus AS status,
        CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE o_orderdate END AS order_time,
        CAST(CAST(o_orderdate + INTERVAL 1 DAY AS DATE) AS TIMESTAMP) AS created_at
 FROM orders
@@ -227,11 +247,16 @@ SELECT CASE WHEN year(o_orderdate) IN (1996, 1997, 1998) THEN CAST(year(o_orderd
        CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_price
 FROM orders GROUP BY 1
 """,
-    "load_modes": "SELECT * FROM orders",
+    "load_modes": """
+SELECT * FROM orders UNION ALL SELECT NULL, NULL, 'N', 0.0, TIMESTAMP '1999-01-01', 'none'
+""",
     "table_modes": """
-SELECT 'external' AS mode, COUNT(*) AS row_count FROM customer
-UNION ALL SELECT 'if_absent', COUNT(*) FROM supplier
-UNION ALL SELECT 'replace', COUNT(*) FROM orders
+SELECT mode, row_count, CAST(key_sum AS BIGINT) AS key_sum, CAST(amount AS DECIMAL(38,2)) AS amount FROM (
+SELECT 'external' AS mode, COUNT(*) AS row_count, CAST(SUM(c_custkey) AS BIGINT) AS key_sum,
+       CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS amount FROM customer
+UNION ALL SELECT 'if_absent', COUNT(*), SUM(s_suppkey), SUM(CAST(s_acctbal AS DECIMAL(18,2))) FROM supplier
+UNION ALL SELECT 'replace', COUNT(*), SUM(o_orderkey), SUM(CAST(o_totalprice AS DECIMAL(18,2))) FROM orders
+)
 """,
     "key_checks": """
 SELECT 'orders_pk' AS check_name, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS bad_rows
@@ -253,6 +278,15 @@ WHERE l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partk
 UNION ALL
 SELECT 'lineitem_supplier_fk', COUNT(*) FROM lineitem l
 WHERE l_suppkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_suppkey)
+UNION ALL
+SELECT 'conversations_pk', CAST(COALESCE(SUM(n), 0) AS BIGINT)
+FROM (SELECT conv_id, COUNT(*) AS n FROM conversations GROUP BY conv_id HAVING COUNT(*) > 1 OR conv_id IS NULL)
+UNION ALL
+SELECT 'customer_orders_fk', COUNT(*) FROM customer c
+WHERE c_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
+UNION ALL
+SELECT 'documents_labels_fk', COUNT(*) FROM documents d
+WHERE doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
 """,
     "column_ops": """
 SELECT c_custkey AS customer_id, n_name AS nation, r_name AS region, c_acctbal AS balance,
@@ -293,22 +327,30 @@ UNION ALL
 """,
     "all_loads": f"""
 WITH o AS (
-  SELECT {_DIRTY_CUSTOMER.format(extra="")} AS customer_id,
+  SELECT o_orderkey, {_DIRTY_CUSTOMER.format(extra="")} AS customer_id,
          CAST(o_custkey % 100 + 1 AS VARCHAR) AS restaurant_id,
-         CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 19 = 0 THEN -1
-              ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS amount
+         CAST(CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 19 = 0 THEN -1
+              WHEN o_orderkey % 41 = 0 THEN 0.004 WHEN o_orderkey % 43 = 0 THEN 99999999999999999.5
+              ELSE CAST(o_totalprice AS DECIMAL(38,6)) END AS DECIMAL(38,6)) AS amount
   FROM orders
 ), clean AS (
   SELECT * FROM o
   WHERE amount > 0 AND customer_id IS NOT NULL AND lower(customer_id) NOT IN {_PLACEHOLDERS}
+), keys AS (
+  SELECT *, TRY_CAST(customer_id AS BIGINT) AS customer_key, CAST(restaurant_id AS BIGINT) AS restaurant_key FROM clean
+)
+SELECT table_name, CAST(row_count AS BIGINT) AS row_count, CAST(key_sum AS BIGINT) AS key_sum, CAST(amount AS DECIMAL(38,6)) AS amount FROM (
+SELECT 'restaurants' AS table_name, COUNT(*) AS row_count, CAST(SUM(s_suppkey) AS BIGINT) AS key_sum,
+       CAST(SUM({half_up_decimal("s_acctbal / 2000 + 2.5::DOUBLE", 2)}) AS DECIMAL(38,6)) AS amount FROM supplier
+UNION ALL SELECT 'customers', COUNT(*), SUM(c_custkey), NULL FROM customer
+UNION ALL SELECT 'customer_actions', 2 * COUNT(*), 2 * SUM(c_custkey), NULL FROM customer
+UNION ALL SELECT 'delivery_drivers', COUNT(*), SUM(p_partkey), SUM({half_up_decimal("p_retailprice / 400", 6)}) FROM part
+UNION ALL SELECT 'orders', COUNT(*), SUM(o_orderkey), SUM(amount) FROM clean
+UNION ALL SELECT 'orderreviews', COUNT(*), SUM(l_orderkey), NULL FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
+UNION ALL SELECT 'mart_customer_activity', COUNT(*), SUM(customer_key), SUM(total)
+  FROM (SELECT customer_id, any_value(customer_key) AS customer_key, SUM(amount) AS total FROM keys GROUP BY customer_id)
+UNION ALL SELECT 'mart_restaurant_performance', COUNT(*), SUM(restaurant_key), SUM(total)
+  FROM (SELECT restaurant_id, any_value(restaurant_key) AS restaurant_key, SUM(amount) AS total FROM keys GROUP BY restaurant_id)
 )
-SELECT 'restaurants' AS table_name, COUNT(*) AS row_count FROM supplier
-UNION ALL SELECT 'customers', COUNT(*) FROM customer
-UNION ALL SELECT 'customer_actions', 2 * COUNT(*) FROM customer
-UNION ALL SELECT 'delivery_drivers', COUNT(*) FROM part
-UNION ALL SELECT 'orders', COUNT(*) FROM clean
-UNION ALL SELECT 'orderreviews', COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
-UNION ALL SELECT 'mart_customer_activity', COUNT(DISTINCT customer_id) FROM clean
-UNION ALL SELECT 'mart_restaurant_performance', COUNT(DISTINCT restaurant_id) FROM clean
 """,
 }

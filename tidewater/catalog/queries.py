@@ -31,11 +31,24 @@ def _name(prefix: str) -> str:
 
 
 def _database(spark: SparkSession, prefix: str = "tw") -> str:
+    """A database for one run, kept under the shared scratch folder, so its
+    tables never land in a folder of the driver's machine.  The tables are
+    what the query returns; :func:`drop_databases` removes them after use."""
     db = _name(prefix)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
+    _made.append(db)
     return db
 
 
+_made: list[str] = []
+
+
+def drop_databases(spark: SparkSession) -> None:
+    """Drop the databases that queries of this process have made."""
+    while _made:
+        spark.sql(f"DROP DATABASE IF EXISTS {_made.pop()} CASCADE")
+
+
 # --------------------------- marts (M9, M10) ------------------------------
 
 
@@ -103,9 +116,13 @@ def nested_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def struct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M8, J10, F17 (F18's id is computed but not compared)."""
+    """M8, J10, F17, and that F18's ids are distinct: rows that share one.
+    The third action of a list is there twice, so equal actions meet."""
     customers = I.action_documents(spark, sf_dir)
-    return delivery.customer_actions(customers).drop("action_id")
+    rows = delivery.customer_actions(customers)
+    shared = F.sum("n").cast("bigint").alias("same_id")
+    ids = rows.groupBy("action_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").agg(F.coalesce(shared, F.lit(0)).alias("rows_sharing_an_id"))
+    return rows.drop("action_id").crossJoin(F.broadcast(ids))
 
 
 # ------------------------------ XML ---------------------------------------
@@ -129,7 +146,8 @@ def clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def typed_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7 (P3, F10, F15, K12): typed by column name, replicated to a table,
     read back."""
-    prepared = delivery.prepare_collection(I.text_orders(spark, sf_dir), key="order_id", order_by=["order_id"])
+    raw = delivery.ids_to_text(I.text_orders(spark, sf_dir))
+    prepared = delivery.prepare_collection(raw.withColumn("document_id", F.col("_id")), key="order_id", order_by=["order_id"])
     db = _database(spark)
     table = f"{db}.orders_typed"
     tsink.replicate(cleaning.drop_array_columns(prepared), table, path=scratch_path(spark, "orders_typed"))
@@ -247,25 +265,30 @@ def message_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First run full (orders before 1998) into a table
     bucketed by the order key, then incremental with keys (all orders)
-    twice; the second adds nothing."""
-    o = I.table(spark, sf_dir, "orders")
+    twice; the second adds nothing.  Some rows have no key
+    and every row is there twice: NULL is one key value, and a new key is
+    appended once."""
+    o = I.keyed_orders(spark, sf_dir)
+    o = o.unionByName(o)
     db = _database(spark)
     target = f"{db}.orders_loaded"
     path = scratch_path(spark, "orders_loaded")
     cols = o.columns
     # Bucketed by the load key, so the incremental anti joins read the
     # target without shuffling it.
-    keys, buckets = ["o_orderkey"], int(spark.conf.get("spark.sql.shuffle.partitions"))
-    first = tsink.load(o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")), target, cols, keys=keys, path=path, buckets=buckets)
+    keys, buckets = ["o_orderkey"], 16
+    early = o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")).dropDuplicates()
+    first = tsink.load(early, target, cols, keys=keys, path=path, buckets=buckets)
     second = tsink.load(o, target, cols, keys=keys, path=path, buckets=buckets)
-    third = tsink.load(o, target, cols, keys=keys, path=path, buckets=buckets)
+    third = tsink.load(o.repartition(5), target, cols, keys=keys, path=path, buckets=buckets)
     assert (first, second, third) == ("full", "incremental", "incremental")
     return spark.table(target)
 
 
 def table_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6, K7, K8: an external table, a create-if-absent run twice (the
-    second is a no-op) and a replace run twice; rows per table."""
+    second is a no-op) and a replace run twice; rows, keys and amounts of
+    each table."""
     db = _database(spark)
     cust, supp, orders = (I.table(spark, sf_dir, t) for t in ("customer", "supplier", "orders"))
     tsink.save_external(cust, f"{db}.ext_customer", scratch_path(spark, "ext_customer"))
@@ -274,17 +297,23 @@ def table_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     tsink.replace_table(orders.unionByName(orders), f"{db}.orders_replaced")
     tsink.replace_table(orders, f"{db}.orders_replaced")
     parts = [
-        ("external", f"{db}.ext_customer"),
-        ("if_absent", f"{db}.supplier_once"),
-        ("replace", f"{db}.orders_replaced"),
+        ("external", f"{db}.ext_customer", "c_custkey", "c_acctbal"),
+        ("if_absent", f"{db}.supplier_once", "s_suppkey", "s_acctbal"),
+        ("replace", f"{db}.orders_replaced", "o_orderkey", "o_totalprice"),
     ]
-    out = [spark.table(t).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(m).alias("mode"), "row_count") for m, t in parts]
+    out = []
+    for mode, name, key, amount in parts:
+        total = F.sum(I.money(amount)).cast("decimal(38,2)").alias("amount")
+        sums = spark.table(name).agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col(key).cast("bigint")).alias("key_sum"), total)
+        out.append(sums.select(F.lit(mode).alias("mode"), "row_count", "key_sum", "amount"))
     return analytics.union_all(*out)
 
 
 def key_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Primary and foreign key checks, violating rows per check."""
-    o, c, li, p, s = (I.table(spark, sf_dir, t) for t in ("orders", "customer", "lineitem", "part", "supplier"))
+    """Primary and foreign key checks, violating rows per check; the
+    last three do not hold (turns share a conversation, customers without
+    orders, documents without labels)."""
+    o, c, li, p, s, conv, d, lab = (I.table(spark, sf_dir, t) for t in ("orders", "customer", "lineitem", "part", "supplier", "conversations", "documents", "labels"))
 
     def bad(name: str, df: DataFrame) -> DataFrame:
         n = F.coalesce(F.sum("n"), F.lit(0))
@@ -297,6 +326,9 @@ def key_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         bad("lineitem_orders_fk", quality.fk_orphan_counts(li, o, "l_orderkey", "o_orderkey")),
         bad("lineitem_part_fk", quality.fk_orphan_counts(li, p, "l_partkey", "p_partkey")),
         bad("lineitem_supplier_fk", quality.fk_orphan_counts(li, s, "l_suppkey", "s_suppkey")),
+        bad("conversations_pk", quality.key_violations(conv, ["conv_id"])),
+        bad("customer_orders_fk", quality.fk_orphan_counts(c, o, "c_custkey", "o_custkey")),
+        bad("documents_labels_fk", quality.fk_orphan_counts(d, lab, "doc_id")),
     ]
     return analytics.union_all(*checks)
 
@@ -391,7 +423,7 @@ def mart_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five collections loaded, customer actions exploded, both marts
-    rebuilt; rows per table."""
+    rebuilt; rows, sum of the keys and amounts of every table."""
     db = _database(spark)
     loc = scratch_path(spark, "delivery_dwh")
     collections = [
@@ -412,7 +444,19 @@ def all_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
         location=loc,
         tables=tables,
     )
-    return counts.select(F.substring_index("table_name", ".", -1).alias("table_name"), "row_count")
+    numbers = {
+        "restaurants": ("restaurant_id", "rating"), "customers": ("customer_id", None), "customer_actions": ("customer_id", None),
+        "delivery_drivers": ("driver_id", "rating"), "orders": ("order_id", "order_amount"), "orderreviews": ("order_id", None),
+        "mart_customer_activity": ("customer_id", "total_spent"), "mart_restaurant_performance": ("restaurant_id", "total_revenue"),
+    }
+    sums = []
+    for name, (key, amount) in numbers.items():
+        digits = F.regexp_replace(F.col(key), "[^0-9]", "")
+        total = F.sum(F.col(amount).cast("decimal(38,6)")) if amount else F.lit(None)
+        row = spark.table(f"{db}.{name}").agg(F.sum(F.when(digits != "", digits).cast("bigint")).alias("key_sum"), total.cast("decimal(38,6)").alias("amount"))
+        sums.append(row.select(F.lit(name).alias("table_name"), "key_sum", "amount"))
+    short = counts.select(F.substring_index("table_name", ".", -1).alias("table_name"), "row_count")
+    return short.join(analytics.union_all(*sums), "table_name")
 
 
 QUERIES: dict[str, Query] = {
