@@ -41,10 +41,10 @@ LEAST_DOCS = 3
 LEAST_APART = 4.0
 PREFIXES = (4, 5, 6)
 FACTORS = 8
-EPOCHS = 15
+EPOCHS = 40
 BATCH = 256
 RATE = 0.1
-DECAY = 1e-4
+DECAY = 1e-5
 SHARE_SCALE = 25.0
 THRESHOLD = 0.7
 _CACHE = 500_000
