@@ -46,6 +46,7 @@ RATE = 0.01
 DECAY = 1e-5
 THRESHOLD = 0.3
 PORTION = 1 << 16
+LONG = 256
 _CACHE = 300_000
 
 _RUN = re.compile(r"(.)\1+")
@@ -60,14 +61,32 @@ class Descriptions:
 
     def __init__(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.kinds: dict[bytes, int] = {}
         self.rows: list[tuple[float, ...]] = []
         self.row_of: dict[tuple[float, ...], int] = {}
+        self.table = np.empty((0, 10))
         self.age = 0
 
     def _learn(self, word: bytes) -> int:
+        """Row of a word, which its kinds of characters decide alone."""
         kinds = word.translate(_KIND)
+        at = self.kinds.get(kinds)
+        if at is None:
+            at = self._describe(kinds)
+            if len(self.kinds) >= _CACHE:
+                self.kinds.clear()
+            self.kinds[kinds] = at
+        if len(word) > LONG:  # not worth remembering
+            del self.kinds[kinds]
+            return at
+        if len(self.known) >= _CACHE:
+            self.known.clear()
+        self.known[word] = at
+        return at
+
+    def _describe(self, kinds: bytes) -> int:
         shape = _RUN.sub(r"\1", kinds[:64].decode("latin-1"))
-        n = len(word)
+        n = len(kinds)
         letters, capitals, digits = kinds.count(b"a"), kinds.count(b"A"), kinds.count(b"0")
         signs = n - letters - capitals - digits
         row = (
@@ -79,14 +98,19 @@ class Descriptions:
                 self._forget()
             self.row_of[row] = len(self.rows)
             self.rows.append(row)
-        if len(self.known) >= _CACHE:
-            self.known.clear()
-        self.known[word] = at = self.row_of[row]
-        return at
+        return self.row_of[row]
+
+    def _rows_of(self, codes: np.ndarray) -> np.ndarray:
+        """Shape rows of word codes; the table grows with the shapes met."""
+        if len(self.table) < len(self.rows):
+            self.table = np.concatenate((self.table, np.array(self.rows[len(self.table) :])))
+        return self.table[codes]
 
     def _forget(self) -> None:
         self.age += 1
+        self.table = self.table[:0]
         self.known.clear()
+        self.kinds.clear()
         self.rows.clear()
         self.row_of.clear()
 
@@ -114,7 +138,7 @@ class Descriptions:
             passage[passage == count - 1] -= 1
             count -= 1
         size = np.bincount(passage).astype(float)
-        table = np.array(self.rows)[codes]
+        table = self._rows_of(codes)
         shapes = np.bincount(passage * SHAPES + table[:, 0].astype(np.int64), minlength=count * SHAPES).reshape(count, SHAPES) / size[:, None]
         means = np.stack([np.bincount(passage, weights=table[:, k]) for k in range(1, table.shape[1])], axis=1) / size[:, None]
         beside = np.concatenate(([False], (same[1:] == same[:-1]) & (passage[1:] == passage[:-1])))
