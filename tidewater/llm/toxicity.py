@@ -47,6 +47,7 @@ RATE = 0.1
 DECAY = 1e-5
 SHARE_SCALE = 25.0
 THRESHOLD = 0.7
+LONG = 256
 _CACHE = 500_000
 
 _LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -78,9 +79,11 @@ class Features:
         if found not in self.set_number:
             self.set_number[found] = len(self.sets)
             self.sets.append(np.array(found, np.int64))
-        if len(self.known) >= _CACHE:
-            self.known.clear()
-        self.known[word] = at = self.set_number[found]
+        at = self.set_number[found]
+        if len(word) <= LONG:  # longer ones are not worth remembering
+            if len(self.known) >= _CACHE:
+                self.known.clear()
+            self.known[word] = at
         return at
 
     def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -162,11 +165,15 @@ def _choose(rows: DataFrame, features: int) -> tuple[np.ndarray, int, int]:
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 met: set[int] = set()
                 for word in set(words_of(text)):
-                    if word not in known:
+                    if word in known:
+                        met.update(known[word])
+                        continue
+                    buckets = buckets_of(word)
+                    met.update(buckets)
+                    if len(word) <= LONG:
                         if len(known) >= _CACHE:
                             known.clear()
-                        known[word] = buckets_of(word)
-                    met.update(known[word])
+                        known[word] = buckets
                 kind = int(label > 0)
                 with_bucket[kind, np.fromiter(met, np.int64, len(met))] += 1
                 docs[kind] += 1
