@@ -38,7 +38,8 @@ def vectors(n, size, seed=1):
     return [(i, [draw.uniform(-0.5, 0.5) for _ in range(size)], 7) for i in range(n)]
 
 
-def test_random_vectors_over_blocks_and_query_blocks(spark):
+def test_random_vectors_over_blocks_and_query_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_ROWS", 5)
     rows = vectors(700, 12)
     frame = spark.createDataFrame(rows, SCHEMA)
     want = brute(rows, lambda i: i % 50 == 0)

@@ -8,7 +8,7 @@ components at the far end of their list) and an upper bound (unread
 components at the list's frontier).  Candidates whose upper bound is under
 the k-th best lower bound (or the k-th score of earlier blocks) cannot
 qualify; reading stops for a query once few are left, and their final scores
-are resolved.  All queries of a block are bounded together, as matrix
+are resolved.  Up to ``QUERY_ROWS`` queries are bounded together, as matrix
 products over the clipped lists.
 
 Queries are broadcast in blocks of at most ``query_bytes`` each, however
@@ -42,6 +42,7 @@ K = 10
 SCALE = 1024
 BLOCK = 4096
 QUERY_BYTES = 16 << 20
+QUERY_ROWS = 512
 FEW = 64
 DEPTHS = (0.125, 0.5)
 _EXACT = 2.0**52
@@ -135,7 +136,10 @@ def _searcher(held, k: int, block: int):
                     pick = some[i : i + block]
                     x = flat[(ends[pick] - size)[:, None] + np.arange(size)].reshape(len(pick), size)
                     most = max(1, size) * np.abs(x).max(initial=0) * np.abs(q).max(initial=0)
-                    (search_block if size and most < _EXACT else _exact_block)(best, at, q, q_rows[at], x, rows[pick], ids[pick])
+                    search = search_block if size and most < _EXACT else _exact_block
+                    for j in range(0, len(at), QUERY_ROWS):
+                        part = at[j : j + QUERY_ROWS]
+                        search(best, part, q[j : j + QUERY_ROWS], q_rows[part], x, rows[pick], ids[pick])
         count = [len(s) for s in best.scores]
         if sum(count):
             query = np.repeat(np.arange(len(count)), count)
