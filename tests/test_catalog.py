@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tidewater.catalog import ORACLE, QUERIES
 
 from conftest import SF_SMALL
 
@@ -45,15 +46,16 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 27
+    assert set(QUERIES) == set(ORACLE)
+    assert len(QUERIES) >= 27
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     got = _rows(df.columns, df.collect())
-    rel = duck.execute(E.oracle_sql()[name])
+    rel = duck.execute(ORACLE[name])
     cols = [d[0] for d in rel.description]
     want = _rows(cols, rel.fetchall())
     assert sorted(df.columns) == sorted(cols)
@@ -70,7 +72,7 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", ["customer_activity", "supplier_performance", "engine_profile", "nested_messages", "clean_orders", "xml_rows"])
 def test_no_python_udf_in_plans(spark, name):
-    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not any(node in plan for node in PYTHON_NODES)
 
 
