@@ -54,6 +54,9 @@ _PLAIN = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 # The vocabulary's own split pattern, for the plain characters above (fixed).
 _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z\xdf-\xf6\xf8-\xff0-9]+")
 
+# Most chunks: one word, perhaps with a point or a comma.
+_SIMPLE = re.compile(r"([a-z\xdf-\xf6\xf8-\xff]+)([.,]?)")
+
 PIECES = "doc_id {id}, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -106,7 +109,10 @@ class ChunkTokenizer:
         new: dict[str, None] = {}
         for chunk in chunks:
             text = chunk.decode()
-            if len(chunk) > LONG or "<|" in text or not _PLAIN.fullmatch(text):
+            if len(chunk) <= LONG and (simple := _SIMPLE.fullmatch(text.lower())):
+                split[chunk] = parts = [simple[1], simple[2]] if simple[2] else [simple[1]]
+                new.update((p, None) for p in parts if p not in self.words)
+            elif len(chunk) > LONG or "<|" in text or not _PLAIN.fullmatch(text):
                 held = long if len(chunk) > LONG else self.chunks
                 held[chunk] = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
             else:
