@@ -55,3 +55,18 @@ def test_extract_keeps_rows_and_replaces_clashing_columns(spark):
     assert sorted((r["text"], r["n_chars"]) for r in got.collect()) == [("", 0), (LONG, len(LONG)), (LONG, len(LONG))]
     empty = extract(spark.createDataFrame([], "page_id bigint, html string"), keep=["page_id"])
     assert empty.columns == ["page_id", "text", "n_chars"] and empty.count() == 0
+
+
+def test_text_beside_the_best_container_is_kept():
+    six = "".join(f"<p>{i} {LONG}</p>" for i in range(6))
+    whole = " ".join(f"{i} {LONG}" for i in range(6))
+    links = "<h3>More</h3><ul><li><a href=1>one</a><li><a href=2>two</a><li><a href=3>three</a></ul>"
+    got = main_text(page(f"<div><h1>Head</h1><p>Lead: {LONG}</p><div>{six}</div><p>End.</p>{links}</div>"))
+    assert got == f"Head Lead: {LONG} {whole} End."
+    # A short section beside a long one, and text above a wrapper.
+    got = main_text(page(f"<div><section><h2>S1</h2>{six}</section><section><h2>S2</h2><p>{LONG}</p></section></div>"))
+    assert got == f"S1 {whole} S2 {LONG}"
+    got = main_text(page(f"<h1>Head</h1><p>Lead: {LONG}</p><div><div>{six}</div></div><div><a href=1>{LONG}</a></div>"))
+    assert got == f"Head Lead: {LONG} {whole}"
+    got = main_text(page(f"<div>Loose <b>lead</b>, without any element of its own.<div>{six}</div></div>"))
+    assert got == f"Loose lead, without any element of its own. {whole}"

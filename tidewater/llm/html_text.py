@@ -2,11 +2,14 @@
 
 Paragraphs earn points for their length and their commas; the points pass
 up to the ancestors (whole to the parent, half to the next, less above) and
-are discounted by the ancestor's link density.  The best container is kept,
-with siblings that score well beside it; if it stands in an ``article`` or
-``main`` element, that whole element is the container.  Menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments are left out wherever they stand.
+are discounted by the ancestor's link density.  If the best container stands
+in an ``article`` or ``main`` element, that whole element is the container,
+with siblings that score well beside it.  Else the best container is kept
+with the running text beside it: paragraphs, lists and sections by their own
+text and link density, headings of what is kept, loose text of the parent;
+and so on upwards while most of the text beside it is running text.  Menus,
+headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+reader comments are left out wherever they stand.
 
 Markup may be broken: missing end tags are implied, stray ones ignored, and
 unclosed scripts or comments run to the end of the page.
@@ -37,6 +40,8 @@ CHARS_PER_POINT = 100
 MOST_LENGTH_POINTS = 3
 SIBLING_SHARE = 0.2
 LINK_LIST = 0.6
+#: A block with a larger share of linked text is no running text.
+MOST_LINKED = 0.5
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -58,6 +63,7 @@ LEFT_OUT = {
     "aside", "audio", "button", "canvas", "dialog", "embed", "footer", "form", "head", "header", "input", "map", "menu", "nav", "object", "option", "select", "video", *RAW,
 }
 PARAGRAPH = {"p", "pre", "td", "blockquote", "li", "dd"}
+HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: An opening tag of the key ends open elements of the values.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
 #: Elements that an implied end does not reach beyond.
@@ -175,8 +181,9 @@ class Page:
         return " ".join("".join(" " if run is None else run for node, run in self.runs if kept[node]).split())
 
 
-def _scores(page: Page) -> tuple[list[float], list[int], list[int], list[int]]:
-    """Points, text length, linked text length and links of each element."""
+def _scores(page: Page) -> tuple[list[float], list[int], list[int], list[int], list[int]]:
+    """Points, text length, linked text length, links and own text length
+    (without that of blocks inside) of each element."""
     n = len(page.tag)
     chars, linked, links, commas = [0] * n, [0] * n, [0] * n, [0] * n
     home = list(range(n))  # the paragraph or block that inline text belongs to
@@ -213,7 +220,7 @@ def _scores(page: Page) -> tuple[list[float], list[int], list[int], list[int]]:
             chars[above] += chars[i]
             linked[above] += linked[i]
             links[above] += links[i]
-    return [s * (1 - linked[i] / max(1, chars[i])) for i, s in enumerate(score)], chars, linked, links
+    return [s * (1 - linked[i] / max(1, chars[i])) for i, s in enumerate(score)], chars, linked, links, own
 
 
 def main_text(source: str | None) -> str:
@@ -222,34 +229,91 @@ def main_text(source: str | None) -> str:
         return ""
     page = Page(source)
     n = len(page.tag)
-    score, chars, linked, links = _scores(page)
+    score, chars, linked, links, own = _scores(page)
     best = max(range(n), key=lambda i: (score[i] if not page.out[i] else -1.0, -i))
-    keep = _container(page, best, score, chars)
-    kept = [False] * n
+    keep, loose = _container(page, best, score, chars, linked, own)
+    kept, whole = [False] * n, [False] * n
     for i in range(n):
+        above = page.parent[i]
         if page.out[i]:
             continue
-        list_of_links = i not in keep and page.tag[i] in ("ul", "ol", "div", "section", "table") and links[i] >= 3 and linked[i] > LINK_LIST * chars[i]
-        kept[i] = i in keep or (i > 0 and kept[page.parent[i]] and not list_of_links)
+        list_of_links = page.tag[i] in ("ul", "ol", "div", "section", "table") and links[i] >= 3 and linked[i] > LINK_LIST * chars[i]
+        whole[i] = i in keep or (i > 0 and whole[above] and not list_of_links)
+        kept[i] = whole[i] or i in loose or (i > 0 and kept[above] and not whole[above] and page.tag[i] in INLINE)
     return page.text(kept)
 
 
-def _container(page: Page, best: int, score: list[float], chars: list[int]) -> set[int]:
-    """The best container, and siblings that belong to it."""
+def _container(page: Page, best: int, score: list[float], chars: list[int], linked: list[int], own: list[int]) -> tuple[set[int], set[int]]:
+    """Elements kept whole (the best container and what belongs to it), and
+    those of which only the loose text between their blocks is kept."""
     n = len(page.tag)
     if score[best] <= 0:
         whole = [i for i in range(n) if page.tag[i] in ("article", "main") and not page.out[i]]
-        return {max(whole, key=lambda i: (chars[i], -i))} if whole else {0}
+        return {max(whole, key=lambda i: (chars[i], -i))} if whole else {0}, set()
     at, named = best, None
     while at:
         if page.tag[at] == "article" or page.tag[at] == "main" and named is None:
             named = at
         at = page.parent[at]
-    best = best if named is None else named
-    above, bar = page.parent[best], max(10.0, SIBLING_SHARE * score[best])
-    if best == 0:
-        return {0}
-    return {best} | {i for i in range(1, n) if page.parent[i] == above and not page.out[i] and score[i] >= bar}
+    if named is not None:
+        above, bar = page.parent[named], max(10.0, SIBLING_SHARE * score[named])
+        return {named} | {i for i in range(1, n) if page.parent[i] == above and not page.out[i] and score[i] >= bar}, set()
+    return _beside(page, best, chars, linked, own)
+
+
+def _beside(page: Page, best: int, chars: list[int], linked: list[int], own: list[int]) -> tuple[set[int], set[int]]:
+    """The best container, and the running text beside it and above."""
+    n = len(page.tag)
+    path, at = set(), best
+    while at:
+        at = page.parent[at]
+        path.add(at)
+    below: dict[int, list[int]] = {i: [] for i in path}
+    running = [0] * n  # text of an element's blocks that are running text
+    plain = page.tag[best] if own[best] >= LEAST_PARAGRAPH else ""  # paragraphs are such elements here
+    for i in range(n - 1, 0, -1):
+        above = page.parent[i]
+        if page.out[i]:
+            continue
+        if above in below and chars[i]:
+            below[above].append(i)
+        if linked[i] <= MOST_LINKED * chars[i]:
+            least = 1 if page.tag[i] in HEADING else LEAST_PARAGRAPH if page.tag[i] in PARAGRAPH or page.tag[i] == plain else CHARS_PER_POINT
+            running[i] += own[i] * (own[i] >= least)
+        running[above] += running[i]
+    keep, loose, at = {best}, set(), best
+    while at:
+        above, beside, headed = page.parent[at], 0, False
+        for i in below[above]:  # the last one first
+            if i == at:
+                headed = True
+            elif page.tag[i] in HEADING:
+                if headed and linked[i] <= MOST_LINKED * chars[i]:
+                    keep.add(i)
+                    beside += chars[i]
+            elif page.tag[i] not in INLINE or running[i]:
+                headed = _is_text(page.tag[i], chars[i], linked[i], own[i], running[i])
+                if headed:
+                    keep.add(i)
+                    beside += chars[i]
+        if own[above] >= LEAST_PARAGRAPH and linked[above] <= MOST_LINKED * chars[above]:
+            loose.add(above)
+            beside += own[above]
+        if 2 * beside < chars[above] - chars[at]:
+            break
+        at = above
+    return keep, loose
+
+
+def _is_text(tag: str, chars: int, linked: int, own: int, running: int) -> bool:
+    """Whether a block beside the best container belongs to the text."""
+    if linked > MOST_LINKED * chars:
+        return False
+    if tag in PARAGRAPH and own == chars and not linked:
+        return True
+    if tag in PARAGRAPH or tag in ("ul", "ol", "dl"):
+        return chars >= LEAST_PARAGRAPH
+    return 2 * running >= chars
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
