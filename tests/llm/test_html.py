@@ -70,3 +70,19 @@ def test_text_beside_the_best_container_is_kept():
     assert got == f"Head Lead: {LONG} {whole}"
     got = main_text(page(f"<div>Loose <b>lead</b>, without any element of its own.<div>{six}</div></div>"))
     assert got == f"Loose lead, without any element of its own. {whole}"
+
+
+def test_a_furniture_word_wins_over_a_content_word():
+    for name in ("page-header", "main-menu", "post-share", "content-sidebar", "article-footer", "page-nav"):
+        for where in (f"class={name}", f"id='{name}'"):
+            assert main_text(page(f"<div class=post><p>{LONG}</p><div {where}><p>{LONG} Not this.</p></div><p>{LONG}</p></div>")) == f"{LONG} {LONG}"
+    for name in ("with-sidebar", "has-menu", "no-sidebar post", "layout-sidebar", "post category-social"):
+        assert main_text(page(f"<div class='{name}'><p>{LONG}</p></div>")) == LONG
+
+
+def test_link_lists_of_an_article_go_only_if_marked():
+    links = "".join(f"<li><a href={i}>Source {i}</a>" for i in range(4))
+    rows = "".join(f"<tr><td><a href={i}>Row {i}</a>" for i in range(4))
+    got = main_text(page(f"<article><p>{LONG}</p><ul>{links}</ul><table>{rows}</table><ul class=page-nav>{links}</ul><nav>{links}</nav></article>"))
+    assert got == " ".join([LONG, *(f"Source {i}" for i in range(4)), *(f"Row {i}" for i in range(4))])
+    assert main_text(page(f"<main><p>{LONG}</p><div><ol>{links}</ol></div></main>")).endswith("Source 3")

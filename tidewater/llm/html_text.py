@@ -76,7 +76,9 @@ FURNITURE = {
     "subscribe", "subscription", "tags", "toolbar", "widget", "widgets",
 }
 READERS = {"comment", "commentlist", "comments", "discussion", "disqus", "replies", "reply", "respond", "responses"}
-CONTENT = {"article", "body", "content", "entry", "main", "page", "post", "story", "text", "wrapper", "container", "layout", "with", "has", "no"}
+#: A class of these words tells of the page's layout or the post's data, and
+#: its furniture words (with-sidebar, has-menu, category-social) mark nothing.
+LAYOUT = {"category", "disabled", "enabled", "format", "has", "have", "layout", "no", "tag", "type", "with", "without"}
 KEPT_ANYWAY = {"html", "body", "article", "main"}
 
 
@@ -91,12 +93,13 @@ def _furniture(tag: str, attributes: str) -> bool:
     if not attributes.strip():
         return False
     found = _attributes(attributes)
-    words = {w for k in ("class", "id", "role") for w in _NAME.findall(found.get(k, ""))}
+    names = [set(_NAME.findall(name)) for k in ("class", "id", "role") for name in found.get(k, "").split()]
+    words = set().union(*(n for n in names if not n & LAYOUT))
     if tag in ("html", "body", "main"):
         return False
     if words & READERS:
         return True
-    if tag not in KEPT_ANYWAY and words & FURNITURE and not words & CONTENT:
+    if tag not in KEPT_ANYWAY and words & FURNITURE:
         return True
     return "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
 
@@ -232,12 +235,14 @@ def main_text(source: str | None) -> str:
     score, chars, linked, links, own = _scores(page)
     best = max(range(n), key=lambda i: (score[i] if not page.out[i] else -1.0, -i))
     keep, loose = _container(page, best, score, chars, linked, own)
-    kept, whole = [False] * n, [False] * n
+    kept, whole, named = [False] * n, [False] * n, [False] * n
     for i in range(n):
         above = page.parent[i]
+        named[i] = named[above] or page.tag[i] in ("article", "main")
         if page.out[i]:
             continue
-        list_of_links = page.tag[i] in ("ul", "ol", "div", "section", "table") and links[i] >= 3 and linked[i] > LINK_LIST * chars[i]
+        # In an article or main, only lists marked as navigation go.
+        list_of_links = not named[i] and page.tag[i] in ("ul", "ol", "div", "section", "table") and links[i] >= 3 and linked[i] > LINK_LIST * chars[i]
         whole[i] = i in keep or (i > 0 and whole[above] and not list_of_links)
         kept[i] = whole[i] or i in loose or (i > 0 and kept[above] and not whole[above] and page.tag[i] in INLINE)
     return page.text(kept)
