@@ -90,3 +90,10 @@ def test_the_sample_is_bounded_and_keeps_out_rows(spark):
     got = sample(docs, labels, "toxic", labels["doc_id"] % 5 != 0, 500)
     texts = [r["text"] for r in got.collect()]
     assert 380 <= len(texts) <= 620 and all(int(t[1:]) % 5 for t in texts)
+
+
+def test_a_repeated_labelled_id_is_one_row_of_the_sample(spark):
+    docs = spark.range(900).selectExpr("if(id < 600, 7, id) AS doc_id", "concat('t', id) AS text")
+    labels = spark.range(900).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    got = sample(docs, labels, "toxic", labels["doc_id"] >= 0, 1000).collect()
+    assert len(got) == 301 and sum(int(r["text"][1:]) < 600 for r in got) == 1

@@ -20,7 +20,8 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, ro
     or a label are not; an id labelled twice has its larger label.  The rows
     are drawn by a hash of the id, at the rate that makes their expected
     number ``rows`` (all of them if there are fewer), so the labels that are
-    broadcast are bounded by ``rows`` and the texts are not shuffled.
+    broadcast are bounded by ``rows``; of a repeated id the text with the
+    smallest hash counts, found before the shuffle as far as it can be.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & learn)
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
@@ -29,4 +30,6 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, ro
     if count > rows:
         known = known.where(F.pmod(F.xxhash64("_id", F.lit("draw")), F.lit(1 << 30)) < int(rows / count * (1 << 30)))
     texts = docs.select(F.col(id_col).alias("_doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return stage(texts.join(F.broadcast(known), F.col("_doc") == F.col("_id")).select("label", "text"), "labelled-sample")
+    drawn = texts.join(F.broadcast(known), F.col("_doc") == F.col("_id"))
+    once = drawn.groupBy("_id").agg(F.max("label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    return stage(once.select("label", "text"), "labelled-sample")
