@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pytest
 
@@ -42,6 +44,51 @@ def test_pairs_are_learnt_that_no_linear_weights_can_show():
     assert auc(scores, np.array(labels)) > 0.99
 
 
+def test_a_pair_of_neutral_words_is_learnt_from_texts(spark):
+    draw = np.random.default_rng(4)
+    noise = [f"{a}{b}{c}" for a in "bcdfgh" for b in "aeiou" for c in "klmnpr"]
+    rows = []
+    for i in range(1600):  # toxic only if both words or neither are there
+        a, b = draw.integers(0, 2, 2)
+        words = [*draw.choice(noise, 12), *["zork"] * a, *["quum"] * b]
+        rows.append((i, " ".join(draw.permutation(words)), int(a == b)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    model = T.train(docs, labels, labels["doc_id"] < 1200)
+    got = T.score(docs.where("doc_id >= 1200"), model).join(labels, "doc_id").toPandas()
+    assert auc(got["score"].to_numpy(), got["toxic"].to_numpy()) > 0.95
+
+
+def test_pairs_are_counted_as_by_brute_force(monkeypatch):
+    monkeypatch.setattr(T, "LEAST_PAIR", 4.0)
+    monkeypatch.setattr(T, "_PORTION", 50)
+    draw = np.random.default_rng(9)
+    held = draw.random((120, 14)) < draw.uniform(0.1, 0.7, 14)
+    held[:, 13] = held[:, 2]  # of the same documents
+    labels = (held[:, 0] ^ held[:, 1]).astype(int)
+    made = T.Pairs([np.flatnonzero(h).astype(np.int32) for h in held], labels, 14)
+    pairs = pickle.loads(pickle.dumps(made))
+    pairs.number = made.number
+    got = {(k, int(o)) for k in range(pairs.size) for o in pairs.found(k)}
+    want = set()
+    for a in range(13):
+        for b in range(a):
+            both, one, other = held[:, a] & held[:, b], held[:, a] & ~held[:, b], held[:, b] & ~held[:, a]
+            ratio = [T._likelihood_ratio(*(np.array([f(m)]) for m in (both, x) for f in (lambda m: labels[m].sum(), np.sum)))[0] for x in (one, other)]
+            if both.sum() >= T.PAIR_DOCS and min(ratio) >= 4:
+                want.add(tuple(sorted((int(pairs.number[a]), int(pairs.number[b])))))
+    assert got == want and tuple(sorted(pairs.number[:2].tolist())) in got and pairs.number[13] == pairs.number[2]
+
+
+def test_rare_cues_of_a_small_balanced_sample_are_features(spark):
+    rows = [(i, f"common words here {'vileness' if i in (1, 3, 5) else 'other'}", i % 2) for i in range(24)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    buckets, machine = T.train(docs, labels)
+    assert set(T.buckets_of(b"vileness")) <= set(buckets.tolist())
+    found = T.Features(buckets)
+    assert machine.score(*found.of("vileness common")) > machine.score(*found.of("other common"))
+
+
 def test_attention_finds_the_one_bad_passage():
     draw = np.random.default_rng(1)
     bags, labels = [], []

@@ -1,19 +1,31 @@
 """Toxicity scores by a factorization machine over hashed terms.
 
 Terms of a word (a run of letters, lower-cased) are the word and its
-prefixes of 4 to 6 letters, hashed into ``2 ** HASH_BITS`` buckets.  The
-buckets whose presence differs most between the labels (by four standard
-deviations at least) are the features; a text has for each the value 1 if it
-is there, and another value for its share of the words.  The machine adds to
-the linear weights an inner product of learned factors for every pair of
-features that meet in a text, so an insult beside a group mention can weigh
-more than both alone.
+prefixes of 4 to 6 letters, hashed into ``2 ** HASH_BITS`` buckets.  Every
+bucket in ``LEAST_DOCS`` documents is weighed by its evidence: by how many
+standard deviations its presence differs between the labels, in full from
+``FULL_APART`` and falling with the cube below it (under ``LEAST_APART``, a
+weight below 1/64, it is left out), or in full if it tells the labels apart
+together with another bucket.  A text has for each bucket a value for its
+presence and one for its share of the words.  The machine adds to the linear
+weights an inner product of learned factors for every pair of features in
+full weight that meet in a text (no pair of the others has shown anything), so an insult beside a group mention can weigh more than both
+alone, also where neither tells anything alone.
+
+A pair counts if the documents with both differ from those with the first
+alone and from those with the second alone, by a likelihood ratio of
+``LEAST_PAIR`` in each case; equal documents count once.  All pairs that meet
+in ``PAIR_DOCS`` documents are counted exactly, bucket by bucket in Spark
+tasks (buckets of the same documents are one); the work is the sum of the
+squares of the terms of the sample's documents, the memory of a task the
+sample's terms.
 
 Learning: bucket counts are summed in Spark over a sample of labelled rows
-of about ``SAMPLE_ROWS`` at most, the ``FEATURES`` buckets with the largest
-scores come to the driver, then the sample's sparse features (bounded by the
-same number of rows), and the weights are fitted there.  The model is about
-a megabyte whatever the input.  Scoring reads every whole text once.
+of about ``SAMPLE_ROWS`` at most, the counts (``2 ** HASH_BITS`` at most)
+come to the driver, the sample's buckets go from there to the tasks that
+count pairs, then its sparse features (bounded by the same number of rows)
+come to the driver, and the weights are fitted there.  The model has at most
+18 numbers a bucket whatever the input.  Scoring reads every whole text once.
 
 Edge cases: a null or wordless text has the score of no features; without
 labels of both kinds every score is the share of label 1 (0.5 without any);
@@ -23,6 +35,7 @@ named like an added column are replaced, others pass through.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +49,13 @@ from tidewater.llm.labelled import sample
 
 SAMPLE_ROWS = 20_000
 HASH_BITS = 18
-FEATURES = 4096
+FEATURES = 1 << HASH_BITS
 LEAST_DOCS = 3
-LEAST_APART = 4.0
+LEAST_APART = 1.0
+FULL_APART = 4.0
+PAIR_DOCS = 8
+LEAST_PAIR = 36.0
+PAIR_TASKS = 48
 PREFIXES = (4, 5, 6)
 FACTORS = 8
 EPOCHS = 40
@@ -49,6 +66,8 @@ SHARE_SCALE = 25.0
 THRESHOLD = 0.7
 LONG = 256
 _CACHE = 500_000
+_SETS = 200_000
+_PORTION = 1 << 21
 
 _LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -70,6 +89,9 @@ class Features:
     def __init__(self, buckets: np.ndarray):
         self.number = {int(b): i for i, b in enumerate(buckets)}
         self.size = len(buckets)
+        self._forget()
+
+    def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.sets: list[np.ndarray] = [np.empty(0, np.int64)]
         self.set_number: dict[tuple[int, ...], int] = {(): 0}
@@ -89,6 +111,8 @@ class Features:
     def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Feature numbers and values: presence, then share of the words."""
         words = words_of(text)
+        if len(self.sets) >= _SETS:
+            self._forget()
         get, learn = self.known.get, self._learn
         codes = np.array([get(w, -1) for w in words], np.int64)
         for i in np.flatnonzero(codes < 0):
@@ -104,20 +128,29 @@ class Features:
         return np.concatenate((numbers, numbers + self.size)), np.concatenate((np.ones(len(numbers)), share))
 
 
+def _by(owner: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows of ``values`` that have the same owner."""
+    return np.stack([np.bincount(owner, weights=values[:, f], minlength=size) for f in range(values.shape[1])], axis=1)
+
+
 class FactorizationMachine:
-    """Second-order factorization machine with a logistic output."""
+    """Second-order factorization machine with a logistic output.  Features
+    that ``paired`` leaves out have no factors."""
 
-    def __init__(self, size: int, prior: float, factors: int = FACTORS, seed: int = 7):
+    def __init__(self, size: int, prior: float, factors: int = FACTORS, seed: int = 7, paired: np.ndarray | None = None):
         draw = np.random.default_rng(seed)
         self.bias = float(np.log(prior / (1 - prior)))
         self.weight = np.zeros(size)
-        self.factor = draw.normal(0, 0.02, (size, factors))
+        self.slot = np.arange(size) if paired is None else np.where(paired, np.cumsum(paired) - 1, -1)
+        self.factor = draw.normal(0, 0.02, (int((self.slot >= 0).sum()), factors))
 
     def margins(self, at: np.ndarray, value: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Margin of each row and the sums of its factors; no row is empty."""
-        scaled = self.factor[at] * value[:, None]
-        sums = np.add.reduceat(scaled, starts)
-        pairs = 0.5 * (sums**2 - np.add.reduceat(scaled**2, starts)).sum(axis=1)
+        owner = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(at)))
+        has = np.flatnonzero(self.slot[at] >= 0)
+        scaled, mine = self.factor[self.slot[at[has]]] * value[has, None], owner[has]
+        sums = _by(mine, scaled, len(starts))
+        pairs = 0.5 * (sums**2 - _by(mine, scaled**2, len(starts))).sum(axis=1)
         return self.bias + np.add.reduceat(self.weight[at] * value, starts) + pairs, sums
 
     def score(self, at: np.ndarray, value: np.ndarray) -> float:
@@ -127,6 +160,7 @@ class FactorizationMachine:
     def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> None:
         """AdaGrad over mini-batches of the sparse rows."""
         draw, size = np.random.default_rng(seed), len(self.weight)
+        number = np.zeros(size, np.int64)
         seen_w, seen_v, seen_b = np.full(size, 1e-8), np.full(self.factor.shape, 1e-8), 1e-8
         for _ in range(epochs):
             order = draw.permutation(len(rows))
@@ -141,22 +175,138 @@ class FactorizationMachine:
                     margin, sums = self.margins(at, value, starts)
                     error = 1 / (1 + np.exp(-np.clip(margin, -40, 40))) - labels[full]
                     error_b += error.sum()
-                    met, place = np.unique(at, return_inverse=True)
+                    number[at] = 1
+                    met = np.flatnonzero(number)
+                    number[met] = np.arange(len(met))
+                    place = number[at]
+                    number[met] = 0
                     push = error[owner] * value
                     g_w = np.bincount(place, weights=push) / len(some) + DECAY * self.weight[met]
-                    each = push[:, None] * (sums[owner] - self.factor[at] * value[:, None])
-                    g_v = np.stack([np.bincount(place, weights=each[:, f]) for f in range(each.shape[1])], axis=1) / len(some) + DECAY * self.factor[met]
+                    has = np.flatnonzero(self.slot[at] >= 0)
+                    mine = self.slot[at[has]]
+                    paired = met[self.slot[met] >= 0]
+                    number[paired] = np.arange(len(paired))
+                    each = push[has, None] * (sums[owner[has]] - self.factor[mine] * value[has, None])
+                    g_v = _by(number[at[has]], each, len(paired)) / len(some) + DECAY * self.factor[self.slot[paired]]
+                    number[paired] = 0
+                    slots = self.slot[paired]
                     seen_w[met] += g_w**2
-                    seen_v[met] += g_v**2
+                    seen_v[slots] += g_v**2
                     self.weight[met] -= RATE * g_w / np.sqrt(seen_w[met])
-                    self.factor[met] -= 0.2 * RATE * g_v / np.sqrt(seen_v[met])
+                    self.factor[slots] -= 0.2 * RATE * g_v / np.sqrt(seen_v[slots])
                 g_b = error_b / len(some)
                 seen_b += g_b**2
                 self.bias -= RATE * g_b / np.sqrt(seen_b)
 
 
-def _choose(rows: DataFrame, features: int) -> tuple[np.ndarray, int, int]:
-    """Buckets whose presence tells the labels apart, and the label counts."""
+def _likelihood_ratio(ones: np.ndarray, docs: np.ndarray, other_ones: np.ndarray, other_docs: np.ndarray) -> np.ndarray:
+    """Twice the log likelihood ratio of two label shares against one."""
+
+    def fits(k: np.ndarray, n: np.ndarray) -> np.ndarray:
+        share = k / np.maximum(n, 1)
+        return k * np.log(np.maximum(share, 1e-300)) + (n - k) * np.log(np.maximum(1 - share, 1e-300))
+
+    return 2 * (fits(ones, docs) + fits(other_ones, other_docs) - fits(ones + other_ones, docs + other_docs))
+
+
+class Pairs:
+    """Documents as lists of buckets, which are numbered anew from the rarest
+    on, each set of buckets that are in the same documents as one."""
+
+    def __init__(self, rows: list[np.ndarray], labels: np.ndarray, size: int):
+        at = np.concatenate([*rows, np.empty(0, np.int32)])
+        owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+        draw = np.random.default_rng(3).integers(0, 1 << 63, (2, len(rows)), dtype=np.uint64)
+        count, order = np.bincount(at, minlength=size), np.argsort(at, kind="stable")
+        marks = np.zeros((2, size), np.uint64)
+        held = np.flatnonzero(count)
+        if len(held):
+            marks[:, held] = np.add.reduceat(draw[:, owner[order]], (np.cumsum(count) - count)[held], axis=1)
+        keys, one, self.number = np.unique(np.stack((count.astype(np.uint64), *marks)), axis=1, return_index=True, return_inverse=True)
+        self.number = self.number.reshape(-1)  # of each bucket; the rarest have the smallest
+        keep = one[self.number[at]] == at
+        self.at, owner = self.number[at[keep]].astype(np.int32), owner[keep]
+        self.at = self.at[np.lexsort((self.at, owner))]
+        self.size, self.length, self.labels = len(one), np.bincount(owner, minlength=len(rows)), labels > 0
+        self._index()
+
+    def _index(self) -> None:
+        kind = np.int32 if len(self.at) < 1 << 31 else np.int64
+        owner = np.repeat(np.arange(len(self.length), dtype=np.int32), self.length)
+        self.place = np.argsort(self.at.astype(np.uint16) if self.size <= 1 << 16 else self.at, kind="stable").astype(kind)
+        owner = owner[self.place]
+        self.last, self.label = np.cumsum(self.length).astype(kind)[owner], self.labels[owner]
+        self.n = np.bincount(self.at, minlength=self.size)
+        self.ones = np.bincount(self.at[self.place[self.label]], minlength=self.size)
+        self.ends = np.cumsum(self.n)
+
+    def __getstate__(self) -> tuple:
+        # Steps between a document's buckets are small and pack well.
+        steps = np.diff(self.at, prepend=self.at[:1])
+        return self.size, self.length, self.labels, self.at[:1], zlib.compress(steps.tobytes(), 1)
+
+    def __setstate__(self, state: tuple) -> None:
+        self.size, self.length, self.labels, first, steps = state
+        self.at = np.frombuffer(zlib.decompress(steps), np.int32).cumsum(dtype=np.int32) + (first[0] if len(first) else 0)
+        self._index()
+
+    def found(self, k: int) -> np.ndarray:
+        """Buckets that tell the labels apart together with bucket ``k``, of
+        those numbered after it."""
+        mine = slice(self.ends[k] - self.n[k], self.ends[k])
+        first, last, label = self.place[mine].astype(np.int64) + 1, self.last[mine].astype(np.int64), self.label[mine]
+        both = [self._met(k, first[label == kind], last[label == kind]) for kind in (False, True)]
+        met = both[0] + both[1]
+        others = np.flatnonzero(met >= PAIR_DOCS)
+        met, ones = met[others], both[1][others]
+        good = _likelihood_ratio(ones, met, self.ones[k] - ones, self.n[k] - met) >= LEAST_PAIR
+        others, met, ones = others[good] + k, met[good], ones[good]
+        return others[_likelihood_ratio(ones, met, self.ones[others] - ones, self.n[others] - met) >= LEAST_PAIR]
+
+    def _met(self, k: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """How often each bucket from ``k`` on is in the places given."""
+        total, length = np.zeros(self.size - k, np.int64), last - first
+        portion = np.cumsum(length) // _PORTION
+        for some in np.split(np.arange(len(first)), np.flatnonzero(np.diff(portion)) + 1):
+            size = length[some]
+            shift = first[some] - (np.cumsum(size) - size)
+            total += np.bincount(self.at[np.repeat(shift, size) + np.arange(size.sum())] - k, minlength=self.size - k)
+        return total
+
+
+def _paired(rows: DataFrame, buckets: np.ndarray) -> np.ndarray:
+    """Which of ``buckets`` tell the labels apart together with another."""
+    spark = rows.sparkSession
+
+    def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Features(buckets)
+        for batch in batches:
+            held = [(a := found.of(t)[0])[: len(a) // 2].astype("<i4").tobytes() for t in batch.column(1).to_pylist()]
+            kinds = pa.array([int(x > 0) for x in batch.column(0).to_pylist()], pa.int32())
+            yield pa.RecordBatch.from_arrays([kinds, pa.array(held, pa.binary())], names=["label", "at"])
+
+    got = map_batches(rows, present, "label int, at binary").distinct().toArrow()
+    pairs = Pairs([np.frombuffer(a, "<i4") for a in got.column("at").to_pylist()], got.column("label").to_numpy(), len(buckets))
+    number, held = pairs.number, spark.sparkContext.broadcast(pairs)
+    del got, pairs
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for task in batch.column(0).to_pylist():
+                pairs, good = held.value, set()
+                for k in range(task, pairs.size, PAIR_TASKS):
+                    if len(others := pairs.found(k)):
+                        good.update((k, *others.tolist()))
+                yield pa.RecordBatch.from_arrays([pa.array(sorted(good), pa.int64())], names=["number"])
+
+    good = map_batches(spark.range(0, PAIR_TASKS, 1, PAIR_TASKS), look, "number bigint").toArrow().column(0).to_numpy()
+    held.destroy()
+    return buckets[np.isin(number, good)]
+
+
+def _choose(rows: DataFrame, features: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Buckets that tell the labels apart, alone or in pairs, their weights by
+    evidence, and the label counts."""
     size = 1 << HASH_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,42 +332,48 @@ def _choose(rows: DataFrame, features: int) -> tuple[np.ndarray, int, int]:
         columns = [np.concatenate(([-1], at)), np.concatenate((docs[:1], with_bucket[0, at])), np.concatenate((docs[1:], with_bucket[1, at]))]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "zeros", "ones"])
 
-    sums = map_batches(rows, count, "bucket bigint, zeros bigint, ones bigint").groupBy("bucket").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).cache()
-    total = sums.where("bucket = -1").first()
-    zeros, ones = (int(total["zeros"]), int(total["ones"])) if total else (0, 0)
+    sums = map_batches(rows, count, "bucket bigint, zeros bigint, ones bigint").groupBy("bucket").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
+    # At most a row for each bucket and one for all documents.
+    got = sums.where((F.col("bucket") < 0) | (F.col("zeros") + F.col("ones") >= LEAST_DOCS)).toArrow().sort_by("bucket")
+    bucket, with_zeros, with_ones = (got.column(c).to_numpy() for c in ("bucket", "zeros", "ones"))
+    zeros, ones = (int(with_zeros[0]), int(with_ones[0])) if len(bucket) else (0, 0)
     if not zeros or not ones:
-        sums.unpersist()
-        return np.empty(0, np.int64), zeros, ones
-    share = (F.col("zeros") + F.col("ones")) / (zeros + ones)
+        return np.empty(0, np.int64), np.empty(0), zeros, ones
+    bucket, with_zeros, with_ones = bucket[1:], with_zeros[1:], with_ones[1:]
+    docs = with_zeros + with_ones
+    share = docs / (zeros + ones)
     # Difference of the two shares, in standard deviations.
-    apart = F.abs(F.col("ones") / ones - F.col("zeros") / zeros) / F.sqrt(share * (1 - share) * (1 / ones + 1 / zeros) + 1e-12)
-    best = sums.where(F.col("bucket") >= 0).where(F.col("zeros") + F.col("ones") >= LEAST_DOCS).where(apart >= LEAST_APART).orderBy(apart.desc(), "bucket").limit(features)
-    found = np.array(sorted(r["bucket"] for r in best.select("bucket").collect()), np.int64)
-    sums.unpersist()
-    return found, zeros, ones
+    apart = np.abs(with_ones / ones - with_zeros / zeros) / np.sqrt(share * (1 - share) * (1 / ones + 1 / zeros) + 1e-12)
+    apart[np.isin(bucket, _paired(rows, bucket[docs >= PAIR_DOCS]))] = np.inf
+    best = np.lexsort((bucket, -apart))[:features]
+    best = np.sort(best[apart[best] >= LEAST_APART])
+    return bucket[best], np.minimum(1.0, apart[best] / FULL_APART) ** 3, zeros, ones
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS, features: int = FEATURES) -> tuple[np.ndarray, FactorizationMachine]:
     """Chosen buckets and the machine fitted on a bounded labelled sample."""
     known = sample(docs, labels, label_col, F.lit(True) if learn is None else learn, rows, id_col, text_col)
     ship(docs.sparkSession)
-    buckets, zeros, ones = _choose(known, features)
+    buckets, evidence, zeros, ones = _choose(known, features)
     prior = (ones + 0.5) / (zeros + ones + 1)
-    machine = FactorizationMachine(2 * len(buckets), prior)
+    weigh = np.concatenate((evidence, evidence))
+    machine = FactorizationMachine(2 * len(buckets), prior, paired=weigh >= 1)
     if not len(buckets):
         return buckets, machine
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Features(buckets)
         for batch in batches:
-            pairs = [found.of(t) for t in batch.column(1).to_pylist()]
+            pairs = [(a, v * weigh[a]) for a, v in map(found.of, batch.column(1).to_pylist())]
             at, value = (pa.array([p[k].astype(t).tobytes() for p in pairs], pa.binary()) for k, t in ((0, "<i4"), (1, "<f4")))
             yield pa.RecordBatch.from_arrays([batch.column(0), at, value], names=["label", "at", "value"])
 
     # About ``rows`` sparse rows of at most 2 * features values each.
     got = map_batches(known, encode, "label int, at binary, value binary").toArrow().sort_by([("at", "ascending"), ("value", "ascending"), ("label", "ascending")])
-    sparse = [(np.frombuffer(a, "<i4").astype(np.int64), np.frombuffer(v, "<f4").astype(float)) for a, v in zip(got.column("at").to_pylist(), got.column("value").to_pylist(), strict=True)]
+    sparse = [(np.frombuffer(a, "<i4"), np.frombuffer(v, "<f4")) for a, v in zip(got.column("at").to_pylist(), got.column("value").to_pylist(), strict=True)]
     machine.fit(sparse, (got.column("label").to_numpy() > 0).astype(float))
+    # Scoring has the plain values.
+    machine.weight *= weigh
     return buckets, machine
 
 
