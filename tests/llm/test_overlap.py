@@ -122,3 +122,12 @@ def test_license_edges(spark):
     assert [(r["doc_id"], r["license"]) for r in L.scan(docs, L.notices(spark)).collect()] == [(None, "mit")]
     assert L.scan(docs.limit(0), L.notices(spark)).count() == 0
     assert L.scan(docs, spark.createDataFrame([("x", None), ("y", "too short")], "license string, text string")).count() == 0
+
+
+def test_the_closest_notice_of_a_family_has_the_largest_containment(spark):
+    named = {"agpl-3.0", "gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0", "cc0-1.0", "isc", "unlicense", "cc-by-nd-4.0", "cc-by-nc-sa-4.0", "cc-by-nc-nd-4.0"}
+    docs = [(i, t, k) for i, (k, t) in enumerate(L.NOTICES) if k in named]
+    rows = L.scan(spark.createDataFrame([d[:2] for d in docs], "doc_id bigint, text string"), L.notices(spark)).collect()
+    for i, _, name in docs:
+        assert {r["license"] for r in rows if r["doc_id"] == i and r["containment"] == 1} == {name}
+    assert {d[2] for d in docs} == named

@@ -52,6 +52,25 @@ NOTICES = [
     ("mit", "Released under the MIT License."),
     ("mit", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction'),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("agpl-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("agpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("gpl-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("gpl-2.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version."),
+    ("lgpl-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("lgpl-2.1", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version."),
+    ("lgpl-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("lgpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("cc-by-nc-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc-by-nd-4.0", "Licensed under CC BY-ND 4.0."),
+    ("cc-by-nd-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("cc-by-nc-sa-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("cc-by-nc-sa-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("cc-by-nc-nd-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("cc-by-nc-nd-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("cc0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
 
