@@ -65,6 +65,35 @@ SELECT k.conv_id, t.turn >> 10 AS part, CAST(any_value(len(turns)) AS BIGINT) AS
 FROM kept k JOIN t USING (conv_id) GROUP BY 1, 2
 """
 
+ORACLE["op11_suffix_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), blocks AS (
+  SELECT r, base, substr(x, 2 * base + 1, 2 * (1024 + 399)) AS x
+  FROM (SELECT r, x, unnest(generate_series(0, length(x) // 2 - 400, 1024)) AS base FROM d WHERE length(x) >= 800)
+), windows AS (
+  SELECT r, base + j AS s, md5(substr(x, 2 * j + 1, 800)) AS h
+  FROM (SELECT r, base, x, unnest(generate_series(0, least(1023, length(x) // 2 - 400))) AS j FROM blocks)
+), starts AS (
+  SELECT r, s FROM windows SEMI JOIN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1) USING (h)
+), runs AS (
+  SELECT r, s, count(*) FILTER (new) OVER (PARTITION BY r ORDER BY s ROWS UNBOUNDED PRECEDING) AS run
+  FROM (SELECT r, s, coalesce(s > lag(s) OVER (PARTITION BY r ORDER BY s) + 400, true) AS new FROM starts)
+), spans AS (
+  SELECT r, run, min(s) AS low, max(s) + 400 AS high FROM runs GROUP BY r, run
+), pieces AS (
+  SELECT r, run, coalesce(lag(high) OVER (PARTITION BY r ORDER BY run), 0) AS low, low AS high FROM spans
+  UNION ALL SELECT r, count(*) + 1, max(high), 1000000000000 FROM spans GROUP BY r
+), kept AS (
+  SELECT r, string_agg(substr(d.x, 2 * low + 1, 2 * (high - low)), '' ORDER BY run) AS x FROM pieces JOIN d USING (r) GROUP BY r
+), cut AS (
+  SELECT r, CAST(sum(high - low) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r
+)
+SELECT doc_id, CAST(length(d.x) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.x, d.x))) AS kept_sha256
+FROM d LEFT JOIN cut USING (r) LEFT JOIN kept USING (r)
+"""
+
 
 def _license_sql() -> str:
     from tidewater.llm.licenses import LEAST, NOTICES

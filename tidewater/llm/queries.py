@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontaminate, html_text, licenses, packing, quality, sharding, simhash, topk, toxicity
+from tidewater.llm import chat, decontaminate, html_text, licenses, packing, quality, sharding, simhash, suffix_dedup, topk, toxicity
 from tidewater.llm.common import table
 from tidewater.llm.labelled import remainder
 
@@ -86,6 +86,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated 400-byte strings."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = suffix_dedup.remove_repeats(docs, text=False)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_topk": op2_topk,
@@ -97,4 +104,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op11_suffix_dedup": op11_suffix_dedup,
 }
