@@ -83,7 +83,7 @@ WITH d AS (
   SELECT r, run, min(s) AS low, max(s) + 400 AS high FROM runs GROUP BY r, run
 ), pieces AS (
   SELECT r, run, coalesce(lag(high) OVER (PARTITION BY r ORDER BY run), 0) AS low, low AS high FROM spans
-  UNION ALL SELECT r, count(*) + 1, max(high), 1000000000000 FROM spans GROUP BY r
+  UNION ALL SELECT r, count(*) + 1, max(high), 1000000000 FROM spans GROUP BY r
 ), kept AS (
   SELECT r, string_agg(substr(d.x, 2 * low + 1, 2 * (high - low)), '' ORDER BY run) AS x FROM pieces JOIN d USING (r) GROUP BY r
 ), cut AS (
@@ -95,6 +95,44 @@ FROM d LEFT JOIN cut USING (r) LEFT JOIN kept USING (r)
 """
 
 
+def _centroid_sql(rounds: int = 10) -> str:
+    """Every round written out: nearest centroids, then their new places."""
+    gap = "list_sum(list_transform(list_zip(v.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+  SELECT r, arg_min({{'k': k, 'd': d}}, d * 8 + k) AS a FROM (SELECT r, k, CAST({gap} AS BIGINT) AS d FROM v, c{i} c) GROUP BY r
+)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""c{i + 1} AS MATERIALIZED (
+  SELECT k, coalesce(m.e, c.e) AS e FROM c{i} c LEFT JOIN (
+    SELECT k, list(m ORDER BY j) AS e FROM (
+      SELECT a.k AS k, j, CAST(floor(sum(e[j]) / count(*)) AS BIGINT) AS m
+      FROM a{i} JOIN v USING (r), generate_series(1, 64) AS g(j) GROUP BY 1, 2
+    ) GROUP BY k
+  ) m USING (k)
+)"""
+            )
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h NULLS LAST, e) - 1 AS k, e
+  FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, e FROM v ORDER BY h NULLS LAST, e LIMIT 8)
+), {", ".join(steps)}
+SELECT vec_id, CAST(a.k AS INTEGER) AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN c{rounds} c ON c.k = a.k
+"""
+
+
+ORACLE["op12_centroids"] = _centroid_sql()
+
+
 def _license_sql() -> str:
     from tidewater.llm.licenses import LEAST, NOTICES
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontaminate, html_text, licenses, packing, quality, sharding, simhash, suffix_dedup, topk, toxicity
+from tidewater.llm import centroids, chat, decontaminate, html_text, licenses, packing, periodic, quality, sharding, simhash, suffix_dedup, topk, toxicity
 from tidewater.llm.common import table
 from tidewater.llm.labelled import remainder
 
@@ -93,6 +93,41 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every whole vector after ten rounds."""
+    found = centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _tiled(docs: DataFrame) -> DataFrame:
+    """The contract's input: the words of a tenth of the documents go on in
+    copies of a few of them from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(h / 10), F.size("words")
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    a = (F.col("g") % F.col("n")).cast("int")
+    p = (1 + F.floor((F.col("n") - a) / (3 + F.col("g") % 8))).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil((F.col("n") - a) / p).cast("int")))
+    tiled = F.array_join(F.concat(F.slice("words", 1, a), F.slice(tail, 1, F.col("n") - a)), " ")
+    some = docs.withColumn("words", F.when(h % 10 == 0, words)).withColumns({"g": g, "n": n})
+    return some.select("doc_id", F.when(F.col("n") > 0, tiled).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document."""
+    docs = _tiled(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.collapse_runs(docs)
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[F.col(f"strongest.{c}").alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * F.col("strongest.length") / F.col("strongest.period")).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(line, lambda r: F.concat(r, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_topk": op2_topk,
@@ -105,4 +140,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_centroids": op12_centroids,
+    "op13_periodic": op13_periodic,
 }
