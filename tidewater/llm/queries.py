@@ -122,7 +122,7 @@ def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.size("runs").cast("bigint").alias("n_runs"),
         *[F.col(f"strongest.{c}").alias(c) for c in ("start", "length", "period")],
-        F.floor(1000 * F.col("strongest.length") / F.col("strongest.period")).alias("exponent_milli"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
         F.sha2(F.concat_ws("", F.transform(line, lambda r: F.concat(r, F.lit("\n")))), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
