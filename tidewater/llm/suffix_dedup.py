@@ -392,9 +392,13 @@ def _repeated_windows(texts: DataFrame, whole: DataFrame, length: int, sizes: li
             parts = parts.join(hot, "key", "left_anti")
     found = _classes(parts, length)
     found = stage(found.unionByName(spans) if spans is not None else found, "repeated-windows")
-    moved = F.transform("spans", lambda s: F.struct((s["low"] + F.col("first")).alias("low"), (s["high"] + F.col("first")).alias("high")))
-    placed = cut.select("id", "first", "segment").join(found, "segment").select("id", F.explode(moved).alias("span"))
-    return placed.groupBy("id").agg(F.collect_list("span").alias("spans"))
+    # The places of a segment in one input partition travel as one row, so a
+    # segment that very many texts share is a few rows of bounded size.
+    at = F.collect_list(F.struct("id", "first")).alias("at")
+    places = cut.groupBy("segment", F.spark_partition_id().alias("part")).agg(at)
+    placed = places.join(found, "segment").select(F.explode("at").alias("at"), "spans")
+    moved = F.transform("spans", lambda s: F.struct((s["low"] + F.col("at.first")).alias("low"), (s["high"] + F.col("at.first")).alias("high")))
+    return placed.select(F.col("at.id").alias("id"), F.explode(moved).alias("span")).groupBy("id").agg(F.collect_list("span").alias("spans"))
 
 
 def _merged(spans: list[dict] | None, length: int) -> list[tuple[int, int]]:
