@@ -174,14 +174,6 @@ def union_all(*dfs: DataFrame) -> DataFrame:
     return out
 
 
-def exact_mean(col: Column | str, scale: int = 9) -> Column:
-    """Mean whose sum is exact (decimal), so the result does not
-    depend on how rows are split across partitions; returned as double."""
-    c = _col(col)
-    total = F.sum(c.cast(f"decimal(38,{scale})"))
-    return total.cast("double") / F.count(c)
-
-
 def money_mean(col: Column | str, kind: str = "decimal(22,6)") -> Column:
     """A8 for money: exact decimal sum over the count, as a decimal (the
     default is Spark's type for the mean of ``decimal(18,2)``)."""

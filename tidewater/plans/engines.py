@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.exprs import absolute, first_match, flag, per_hundred, round_half_up
-from tidewater.operators.analytics import exact_mean, sum_flag
+from tidewater.operators.analytics import sum_flag
 from tidewater.operators.cleaning import keep_positive
+from tidewater.operators.sums import SteadySums
 from tidewater.session import legacy_parquet_conf
 from tidewater.sinks.tables import save_external
 from tidewater.sources.files import read_parquet
@@ -43,7 +44,6 @@ PROFILE_COLUMNS = (
     ("avg_fuel_consumption_proxy", "avg", "fuel_consumption_proxy", 4),
 )
 
-_AGGS = {"avg": exact_mean, "max": F.max}
 
 
 def driving_mode(speed: str = SPEED, load: str = LOAD):
@@ -77,17 +77,23 @@ def engine_profile(df: DataFrame, sort: bool = True) -> DataFrame:
     averages and maxima, and the count of trim anomalies.
 
     One hash aggregate with partial aggregation: every task reduces its
-    rows to one buffer per group before the (tiny) shuffle.  Columns absent
-    from the input (e.g. a merged schema without bank 2) read as NULL.
+    rows to one buffer per group before the (tiny) shuffle.  A first pass
+    fixes the units in which the averages are summed (:class:`SteadySums`).
+    Columns absent from the input (e.g. a merged schema without bank 2) read
+    as NULL.
     """
     enriched = enrich(df)
     have = set(enriched.columns)
+    sums = SteadySums(enriched, [col for _, fn, col, _ in PROFILE_COLUMNS if fn == "avg" and col in have])
     aggs = [F.count(F.lit(1)).alias("record_count")]
     for name, fn, col, digits in PROFILE_COLUMNS:
-        src = F.col(col) if col in have else F.lit(None).cast("double")
-        aggs.append(round_half_up(_AGGS[fn](src), digits).alias(name))
+        if col not in have:
+            value = F.lit(None).cast("double")
+        else:
+            value = sums.mean(col) if fn == "avg" else F.max(col)
+        aggs.append(round_half_up(value, digits).alias(name))
     aggs.append(sum_flag("fuel_trim_anomaly").alias("fuel_trim_anomaly_count"))
-    out = enriched.groupBy(*GROUP_KEYS).agg(*aggs)
+    out = sums.frame.groupBy(*GROUP_KEYS).agg(*aggs)
     return out.orderBy(*GROUP_KEYS) if sort else out
 
 

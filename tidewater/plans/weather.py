@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tidewater.functions.exprs import day_of, parse_ts, round_half_even, year_of
-from tidewater.operators.analytics import exact_mean, percentile_band, top_n, union_all
+from tidewater.operators.analytics import percentile_band, top_n, union_all
 from tidewater.operators.cleaning import since
+from tidewater.operators.sums import SteadySums
 from tidewater.sinks.tables import append_incremental, append_table, full_refresh, table_exists
 from tidewater.sources.files import read_csv_by_name
 
@@ -58,8 +59,9 @@ def daily_extremes(
     if days is not None:
         x = since(x, "_ts", days, as_of)
     x = percentile_band(x, "temp", lo, hi, method=band_method)
-    daily = x.groupBy(day_of("_ts").alias("noted_date"), out_side).agg(
-        round_half_even(exact_mean("temp"), digits).alias("temp")
+    sums = SteadySums(x, ["temp"])
+    daily = sums.frame.groupBy(day_of("_ts").alias("noted_date"), out_side).agg(
+        round_half_even(sums.mean("temp"), digits).alias("temp")
     )
     daily = daily.withColumn("_year", year_of("noted_date"))
     hottest = top_n(daily, ["_year"], [F.col("temp").desc(), F.col("noted_date").asc()], n)
