@@ -296,6 +296,14 @@ def table_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     tsink.create_if_absent(supp.unionByName(supp), f"{db}.supplier_once")
     tsink.replace_table(orders.unionByName(orders), f"{db}.orders_replaced")
     tsink.replace_table(orders, f"{db}.orders_replaced")
+    # A rebuild that fails half-way leaves the rows it was to replace.
+    spoilt = orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 7 == 3, F.raise_error(F.lit("spoilt"))).otherwise(F.col("o_totalprice")))
+    for name, rebuild in ((f"{db}.orders_replaced", tsink.replace_table), (f"{db}.ext_customer", lambda df, t: tsink.save_external(df, t, scratch_path(spark, "ext_customer")))):
+        try:
+            rebuild(spoilt, name)
+        except Exception as failed:  # noqa: BLE001 - only the planted fault is expected
+            if "spoilt" not in str(failed):
+                raise
     parts = [
         ("external", f"{db}.ext_customer", "c_custkey", "c_acctbal"),
         ("if_absent", f"{db}.supplier_once", "s_suppkey", "s_acctbal"),

@@ -190,7 +190,7 @@ def replicate_collection(c: Collection, path: str | None = None, keep: bool = Fa
         column, ts = TARGET_PARTITIONS[base]
         main = main.withColumn(column, F.coalesce(year_of(ts).cast("string"), F.lit("default")))
     try:
-        replicate(main, c.table, path=path)
+        c.extra["rows"] = replicate(main, c.table, path=path)
     except Exception:
         if keep:
             prepared.unpersist()
@@ -228,15 +228,21 @@ def load_all(
     def where(name: str) -> str | None:
         return f"{location}/{name}" if location else None
 
+    # Rows are counted while they are written; a table that was not written
+    # is counted in the end.
+    written: dict[str, int] = {}
+
     def load_one(c: Collection) -> list[str]:
         with_actions = c.table == customers_table and "actions" in c.df.columns
         prepared = replicate_collection(c, where(c.table), keep=with_actions)
         done = [c.table]
+        if prepared is not None:
+            written[c.table] = c.extra["rows"]
         if with_actions and prepared is not None:
             try:
                 actions = customer_actions(prepared)
                 if not skip_if_empty(actions):  # no actions leave the table as it was (K15)
-                    replicate(actions, actions_table, path=where(actions_table))
+                    written[actions_table] = replicate(actions, actions_table, path=where(actions_table))
             finally:
                 prepared.unpersist()
             done.append(actions_table)
@@ -246,14 +252,10 @@ def load_all(
         loaded = list(pool.map(load_one, collections))
     names = [name for group in loaded for name in group]
 
-    rebuild_marts(spark, orders_table, marts, location, parallel)
+    written.update(rebuild_marts(spark, orders_table, marts, location, parallel))
     names.extend(marts)
-
-    counts = [spark.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n in names]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    counts = [(n, written[n] if n in written else spark.table(n).count()) for n in names]
+    return spark.createDataFrame(counts, "table_name string, row_count bigint")
 
 
 def key_report(spark: SparkSession, prefix: str = "") -> DataFrame:
@@ -268,12 +270,14 @@ def key_report(spark: SparkSession, prefix: str = "") -> DataFrame:
     return union_all(*[df.agg(bad).select(F.lit(name).alias("check_name"), "bad_rows") for name, df in checks])
 
 
-def rebuild_marts(spark: SparkSession, orders_table: str = "orders", marts: Sequence[str] = ("mart_customer_activity", "mart_restaurant_performance"), location: str | None = None, parallel: int = 2) -> None:
-    """Both marts from the loaded orders, concurrently."""
+def rebuild_marts(spark: SparkSession, orders_table: str = "orders", marts: Sequence[str] = ("mart_customer_activity", "mart_restaurant_performance"), location: str | None = None, parallel: int = 2) -> dict[str, int]:
+    """Both marts from the loaded orders, concurrently; the rows of
+    each."""
     orders = spark.table(orders_table)
     builds = [(customer_activity(orders), marts[0]), (restaurant_performance(orders), marts[1])]
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(builds)))) as pool:
-        list(pool.map(lambda b: replicate(b[0], b[1], path=f"{location}/{b[1]}" if location else None), builds))
+        rows = pool.map(lambda b: replicate(b[0], b[1], path=f"{location}/{b[1]}" if location else None), builds)
+        return dict(zip(marts, rows, strict=True))
 
 
 def preview_marts(spark: SparkSession, tables: Sequence[str], n: int = 10, order_by: Mapping[str, Sequence[str]] | None = None) -> dict[str, DataFrame | Exception]:

@@ -1,8 +1,9 @@
 """Catalog table sinks and load modes.
 
 Tables are Parquet data source tables.  On a cluster pass ``path`` on the
-shared store to make them external (the data outlives a DROP); without it
-they are managed tables under ``spark.sql.warehouse.dir``.
+shared store to make them external (the data outlives a DROP).  Whole
+replacements (K6, K8, K10, K12) are published as new versions
+(:mod:`tidewater.sinks.publish`): one that fails leaves the old rows.
 """
 
 from __future__ import annotations
@@ -15,18 +16,7 @@ from pyspark.sql.types import StructType
 
 from tidewater.operators.analytics import top_n
 from tidewater.session import scratch_path
-
-
-def _writer(df: DataFrame, mode: str, path: str | None, buckets: int | None = None, bucket_by: Sequence[str] | None = None):
-    if buckets and bucket_by:
-        # Rows of a bucket meet in one task, which writes one file for it.
-        df = df.repartition(buckets, *bucket_by)
-    writer = df.write.mode(mode).format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    if buckets and bucket_by:
-        writer = writer.bucketBy(buckets, *bucket_by)
-    return writer
+from tidewater.sinks.publish import layout, publish, replace_partitions, table_exists, table_writer
 
 
 def _staged(df: DataFrame, name: str) -> DataFrame:
@@ -37,13 +27,10 @@ def _staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def table_exists(spark: SparkSession, table: str) -> bool:
-    return spark.catalog.tableExists(table)
-
-
-def save_external(df: DataFrame, table: str, path: str) -> None:
-    """K6: external table at ``path``, overwritten."""
-    _writer(df, "overwrite", path).saveAsTable(table)
+def save_external(df: DataFrame, table: str, path: str) -> int:
+    """K6: external table under ``path``, its rows replaced as a whole.
+    Returns the rows written."""
+    return publish(df, table, path)
 
 
 def create_if_absent(df: DataFrame, table: str, path: str | None = None) -> bool:
@@ -51,13 +38,14 @@ def create_if_absent(df: DataFrame, table: str, path: str | None = None) -> bool
     refreshed).  Returns True when it was created."""
     if table_exists(df.sparkSession, table):
         return False
-    _writer(df, "ignore", path).saveAsTable(table)
+    table_writer(df, "ignore", path).saveAsTable(table)
     return True
 
 
-def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
-    """K8: drop and recreate the table from ``df``."""
-    _writer(df, "overwrite", path).saveAsTable(table)
+def replace_table(df: DataFrame, table: str, path: str | None = None) -> int:
+    """K8: the table anew from ``df``, with its columns; a rebuild that
+    fails leaves the old table.  Returns the rows written."""
+    return publish(df, table, path)
 
 
 def append_table(
@@ -74,12 +62,12 @@ def append_table(
     table's that the rows lack, raises."""
     if cols:
         df = df.select(*cols)
+    if buckets and bucket_by:
+        df = df.repartition(buckets, *bucket_by)
     if table_exists(df.sparkSession, table):
-        if buckets and bucket_by:
-            df = df.repartition(buckets, *bucket_by)
         _append_by_name(df, table)
     else:
-        _writer(df, "append", path, buckets, bucket_by).saveAsTable(table)
+        table_writer(df, "append", path, buckets, bucket_by).saveAsTable(table)
 
 
 def _append_by_name(df: DataFrame, table: str) -> None:
@@ -97,11 +85,12 @@ def full_refresh(
     path: str | None = None,
     buckets: int | None = None,
     bucket_by: Sequence[str] | None = None,
-) -> None:
-    """Empty the table, then load ``df``'s ``cols`` (an overwrite; on a
-    JDBC target use :func:`jdbc_options` with ``truncate=True``).  With
-    ``buckets`` the table is bucketed by ``bucket_by``."""
-    _writer(df.select(*cols), "overwrite", path, buckets, bucket_by).saveAsTable(table)
+) -> int:
+    """``df``'s ``cols`` in place of all the table's rows (on a JDBC
+    target use :func:`jdbc_options` with ``truncate=True``).  With
+    ``buckets`` the table is bucketed by ``bucket_by``.  A load that fails
+    leaves the old rows.  Returns the rows written."""
+    return publish(df.select(*cols), table, path, buckets, bucket_by)
 
 
 def new_rows(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -177,27 +166,33 @@ def load(
     return mode
 
 
-def replicate(df: DataFrame, table: str, types: Mapping[str, str] | None = None, path: str | None = None) -> None:
-    """Cast columns by a type map, then replace the table's rows.
+def replicate(df: DataFrame, table: str, types: Mapping[str, str] | None = None, path: str | None = None) -> int:
+    """Cast columns by a type map, then replace the table's rows;
+    returns how many there are.
 
-    A table that is there keeps its definition (columns, types, partitions):
-    the rows are cast to its columns, a column the rows lack is NULL, one the
-    table lacks raises.  The new rows are staged first, so a source that
-    fails leaves the old rows in place.  A table that is not there is made
-    from the rows."""
+    A table that is there keeps its definition (columns, types, partitions,
+    buckets): the rows are cast to its columns, a column the rows lack is
+    NULL, one the table lacks raises.  The new rows are published as a
+    whole, those of a partitioned table partition by partition, so a source
+    that fails leaves the old rows in place.  A table that is not there is
+    made from the rows."""
     if types:
         df = df.select(*[(F.col(c).cast(types[c]) if c in types else F.col(c)).alias(c) for c in df.columns])
     spark = df.sparkSession
     if not table_exists(spark, table):
-        _writer(df, "overwrite", path).saveAsTable(table)
-        return
+        return publish(df, table, path)
     target = spark.table(table).schema
     have = {c.lower(): c for c in df.columns}
     unknown = sorted(set(have) - {f.name.lower() for f in target})
     if unknown:
         raise ValueError(f"columns not declared in {table}: {unknown}")
     typed = [(F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in target]
-    _staged(df.select(*typed), "replicate").write.mode("overwrite").insertInto(table)
+    held = layout(spark, table)
+    if held.partitions:
+        return replace_partitions(df.select(*typed), table, drop_others=True)
+    buckets = int(held.buckets) if held.buckets else None
+    by = [c.strip("`[] ") for c in held.bucket_columns.split(",")] if buckets else None
+    return publish(df.select(*typed), table, path if held.external else None, buckets, by)
 
 
 def create_tables(spark: SparkSession, schemas: Mapping[str, StructType | str], location: str | None = None, replace: bool = True, partitions: Mapping[str, str] | None = None) -> None:
