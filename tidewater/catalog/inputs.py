@@ -159,8 +159,8 @@ def pet_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def food_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts packed into XML documents ``<nutrition><food>..</food>..``, 64
-    foods per document.  Each food repeats <name> (the first wins) and
-    leaves out fiber, vitamin C and iron (NULL) and the fat attribute on odd
+    foods per document.  Each food repeats <name> (the first with a text
+    wins, spelt in five ways), has escaped markup in <mfr>, and leaves out fiber, vitamin C and iron (NULL) and the fat attribute on odd
     sizes (NULL, not 0)."""
     part = table(spark, sf_dir, "part", spread_rows=True)
     size = F.col("p_size")
@@ -169,12 +169,28 @@ def food_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     def el(tag: str, value: Column) -> Column:
         return F.concat(F.lit(f"<{tag}>"), xml_escape(value), F.lit(f"</{tag}>"))
 
+    def spelt(tag: str, value: Column) -> Column:
+        """A text in the ways XML may spell it: plain, escaped, CDATA, and
+        followed by a child element or a comment that is not part of it."""
+        escaped = xml_escape(value)
+        ways = [
+            F.concat(F.lit("&lt;"), escaped, F.lit("&gt; 2")),
+            F.concat(F.lit("<![CDATA[a <tag> "), value, F.lit("]]>")),
+            F.concat(escaped, F.lit("<i>x</i>tail")),
+            F.concat(escaped, F.lit("<!-- c -->tail")),
+        ]
+        text = escaped
+        for i, way in enumerate(ways, 1):
+            text = F.when(size % 5 == i, way).otherwise(text)
+        return F.concat(F.lit(f"<{tag}>"), text, F.lit(f"</{tag}>"))
+
     fat_attr = F.when(size % 2 == 0, F.concat(F.lit(' fat="'), size.cast("string"), F.lit('"'))).otherwise(F.lit(""))
     food = F.concat(
         F.lit("<food>"),
-        el("name", F.col("p_name")),
+        F.lit("<name/>"),
+        spelt("name", F.col("p_name")),
         el("name", F.col("p_brand")),
-        el("mfr", F.col("p_brand")),
+        el("mfr", F.concat(F.col("p_brand"), F.lit(" <b>& co</b> "))),
         F.concat(F.lit('<serving units="'), xml_escape(F.col("p_type")), F.lit('">'), size.cast("string"), F.lit("</serving>")),
         F.concat(F.lit('<calories total="'), (size * 10).cast("string"), F.lit('"'), fat_attr, F.lit("/>")),
         el("total-fat", price.cast("string")),
@@ -239,25 +255,24 @@ def loan_layout() -> dict:
 
     Money and ratios are JSON numbers; a text flatten (``get_json_object``)
     returns them as Spark prints a double (``9295.3`` for ``9295.30``)."""
-    score = F.lit(300) + (F.col("o_custkey") % 551)
     return {
-        "application_id": F.format_string("loan_%07d", F.col("o_orderkey")),
+        "application_id": F.col("o_orderkey").cast("string"),
         "customer": {
-            "customer_id": F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")),
+            "customer_id": F.col("c_custkey").cast("string"),
             "region": F.col("n_name"),
-            "age": F.col("c_nationkey") + 18,
+            "age": F.col("c_nationkey"),
             "income": money("c_acctbal"),
-            "employment": F.lower(F.col("c_mktsegment")),
+            "employment": F.col("c_mktsegment"),
         },
         "loan": {
             "amount": money("o_totalprice"),
-            "term_months": (F.col("o_orderkey") % 9 + 1) * 12,
+            "term_months": F.datediff(F.lit("1999-01-01").cast("date"), F.col("o_orderdate")),
             "purpose": F.col("o_orderpriority"),
-            "currency": F.lit("USD"),
+            "currency": F.upper(F.substring("n_name", 1, 3)),
         },
         "scoring": {
-            "score": score,
-            "risk_level": F.when(score < 500, "high").when(score < 700, "medium").otherwise("low"),
+            "score": F.col("o_orderkey") % 97,
+            "risk_level": F.substring("o_orderpriority", 1, 1),
             "pd": (F.abs(F.col("c_acctbal")) / 100000 + 0.001).cast("decimal(10,4)"),
             "lgd": (F.col("o_totalprice") / 1000000 + 0.001).cast("decimal(10,4)"),
         },
@@ -266,7 +281,7 @@ def loan_layout() -> dict:
             F.struct(F.lit("priority").alias("type"), F.col("o_orderpriority").alias("status")),
         ),
         "decision_status": F.col("o_orderstatus"),
-        "submitted_at": F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        "submitted_at": F.date_format("o_orderdate", "dd.MM.yyyy"),
         "notes": F.col("c_name"),
     }
 
@@ -274,8 +289,8 @@ def loan_layout() -> dict:
 # --------------------------- delivery documents ----------------------------
 
 # Order status texts of the delivery documents (own choice).
-IN_TRANSIT = "В пути"
-CANCELLED = "Отменен"
+IN_TRANSIT = "Передан курьеру"
+CANCELLED = "Снят"
 
 
 def _oid(key: str) -> Column:

@@ -143,7 +143,8 @@ SELECT conv_id, role AS name, CAST(NULL AS VARCHAR) AS species,
 FROM conversations
 """,
     "xml_rows": """
-SELECT p_name AS name, p_brand AS manufacturer,
+SELECT CASE p_size % 5 WHEN 1 THEN '<' || p_name || '> 2' WHEN 2 THEN 'a <tag> ' || p_name ELSE p_name END AS name,
+       p_brand || ' <b>& co</b> ' AS manufacturer,
        CAST(p_size AS DECIMAL(18,4)) AS serving_value, p_type AS serving_units,
        CAST(p_size * 10 AS INTEGER) AS calories_total,
        CAST(CASE WHEN p_size % 2 = 0 THEN p_size END AS INTEGER) AS calories_fat,
@@ -160,23 +161,22 @@ FROM part
     # A text flatten prints JSON numbers as doubles: decimals lose trailing
     # zeros (values are kept >= 0.001, where both engines print plainly).
     "nested_messages": """
-SELECT printf('loan_%07d', o_orderkey) AS application_id,
-       'cust_' || CAST(c_custkey AS VARCHAR) AS customer_id,
+SELECT CAST(o_orderkey AS VARCHAR) AS application_id,
+       CAST(c_custkey AS VARCHAR) AS customer_id,
        n_name AS region,
-       CAST(c_nationkey + 18 AS VARCHAR) AS age,
+       CAST(c_nationkey AS VARCHAR) AS age,
        CAST(CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS VARCHAR) AS income,
-       lower(c_mktsegment) AS employment,
+       c_mktsegment AS employment,
        CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS VARCHAR) AS loan_amount,
-       CAST((o_orderkey % 9 + 1) * 12 AS VARCHAR) AS term_months,
+       CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '1999-01-01') AS VARCHAR) AS term_months,
        o_orderpriority AS loan_purpose,
-       'USD' AS currency,
-       CAST(300 + o_custkey % 551 AS VARCHAR) AS score,
-       CASE WHEN 300 + o_custkey % 551 < 500 THEN 'high'
-            WHEN 300 + o_custkey % 551 < 700 THEN 'medium' ELSE 'low' END AS risk_level,
+       upper(substr(n_name, 1, 3)) AS currency,
+       CAST(o_orderkey % 97 AS VARCHAR) AS score,
+       substr(o_orderpriority, 1, 1) AS risk_level,
        CAST(CAST(CAST(abs(c_acctbal) / 100000 + 0.001::DOUBLE AS DECIMAL(10,4)) AS DOUBLE) AS VARCHAR) AS pd,
        CAST(CAST(CAST(o_totalprice / 1000000 + 0.001::DOUBLE AS DECIMAL(10,4)) AS DOUBLE) AS VARCHAR) AS lgd,
        o_orderstatus AS decision_status,
-       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS submitted_at
+       strftime(o_orderdate, '%d.%m.%Y') AS submitted_at
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 """,
     "struct_rows": """
@@ -301,6 +301,14 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_i
 FROM events
 """,
     "stream_text": "SELECT conv_id, turn, text FROM conversations",
+    "rejected_input": """
+SELECT 'csv' AS source, 'read' AS outcome, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS key_sum FROM events WHERE event_id % 50 NOT IN (7, 8)
+UNION ALL SELECT 'csv', 'event_id is not bigint', count(*), CAST(sum(event_id) AS BIGINT) FROM events WHERE event_id % 50 = 7
+UNION ALL SELECT 'csv', 'more cells than the header', count(*), CAST(sum(event_id) AS BIGINT) FROM events WHERE event_id % 50 = 8
+UNION ALL SELECT 'json', 'read', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer WHERE c_custkey % 20 NOT IN (3, 4)
+UNION ALL SELECT 'json', 'not a JSON document', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer WHERE c_custkey % 20 = 3
+UNION ALL SELECT 'json', 'does not fit the schema', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer WHERE c_custkey % 20 = 4
+""",
     "csv_dates": "SELECT event_id, date_trunc('minute', ts) AS noted_date FROM events",
     "batch_flat": """
 SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,

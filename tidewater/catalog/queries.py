@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.catalog import inputs as I
@@ -225,6 +225,42 @@ def csv_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("event_id", weather.parse_ts("noted_date", weather.READING_FORMAT).alias("noted_date"))
 
 
+def rejected_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with bad rows: what is read, and what is rejected and
+    why.  In one CSV row of 50 the id is not a number, in one there is a cell
+    too many, and some are short; in 20 customers one JSON line is cut off
+    and one has a text where a number belongs."""
+    ev = I.table(spark, sf_dir, "events")
+    key, time = F.col("event_id"), F.date_format("ts", weather.READING_FORMAT)
+    spoilt_id = F.when(key % 50 == 7, F.concat(F.lit("x"), key)).otherwise(key.cast("string"))
+    line = F.when(key % 50 == 8, F.concat_ws(",", key, time, F.lit("extra"))).when(key % 50 == 9, spoilt_id).otherwise(F.concat_ws(",", spoilt_id, time))
+    # Every file begins with the header: it goes before each task's first row.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    csv = scratch_path(spark, "spoilt_csv")
+    fsink.write_text(ev.select(F.when(first, F.concat(F.lit("event_id,noted_date\n"), line)).otherwise(line)), csv)
+    layout = "event_id BIGINT, noted_date STRING"
+    customer = I.table(spark, sf_dir, "customer")
+    doc = F.to_json(F.struct(F.col("c_custkey").alias("id"), F.struct(F.col("c_name").alias("name")).alias("about")))
+    cut, misfit = F.substring(doc, 1, 25), F.format_string('{"id": "no %d"}', F.col("c_custkey"))
+    text = F.when(F.col("c_custkey") % 20 == 3, cut).when(F.col("c_custkey") % 20 == 4, misfit).otherwise(doc)
+    docs = scratch_path(spark, "spoilt_json")
+    fsink.write_text(customer.select(text), docs)
+    shape = "id BIGINT, about STRUCT<name: STRING>"
+
+    def total(rows: DataFrame, source: str, outcome: Column, key: Column) -> DataFrame:
+        sums = rows.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(key.cast("bigint")).alias("key_sum"))
+        return sums.select(F.lit(source).alias("source"), "outcome", "n_rows", "key_sum")
+
+    why = F.substring_index("reason", ":", 1)
+    parts = [
+        total(fsrc.read_csv_by_name(spark, csv, layout, bad="reject"), "csv", F.lit("read"), F.col("event_id")),
+        total(fsrc.rejected_csv(spark, csv, layout), "csv", why, F.regexp_extract("line", r"(\d+)", 1)),
+        total(fsrc.read_collection(spark, docs, shape, bad="reject"), "json", F.lit("read"), F.col("id")),
+        total(fsrc.rejected_documents(spark, docs, shape), "json", why, F.regexp_extract("line", r"(\d+)", 1)),
+    ]
+    return analytics.union_all(*parts)
+
+
 def collection_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders nested under their customer (blocks of 1024 order
     keys per document) as JSON lines, read back with a schema, published
@@ -490,6 +526,7 @@ QUERIES: dict[str, Query] = {
     "stream_flat": stream_flat,
     "stream_text": stream_text,
     "csv_dates": csv_dates,
+    "rejected_input": rejected_input,
     "batch_flat": batch_flat,
     "collection_rows": collection_rows,
     "message_values": message_values,

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 # Timestamp layouts used when rows go to JSON text and back.
 # The default layout keeps milliseconds only; these keep microseconds.
@@ -57,14 +57,28 @@ def explode_json(
 
     An empty, absent or NULL array gives no rows.  ``fields`` maps output
     name -> key in the element (a list uses the keys as names).  A document
-    that is not JSON raises; ``bad="skip"`` leaves it out instead (list such
-    documents with :func:`bad_json`).
+    that is not JSON, or holds something other than an array at ``path``,
+    raises; ``bad="skip"`` leaves it out instead (list documents that are
+    not JSON with :func:`bad_json`).
+
+    Under a plain dotted path a document is parsed once: Spark marks the
+    documents that do not fit, and only those are looked at again.
     """
     if not isinstance(fields, Mapping):
         fields = {f: f for f in fields}
-    doc = _fail_on(is_bad_json(col), col, "not a JSON document: ") if bad == "fail" else F.col(col)
-    arr = F.from_json(F.get_json_object(doc, path), "array<string>")
-    rows = df.select(*keep, F.explode(arr).alias(element))
+    if _SIMPLE_PATH.match(path):
+        steps = path[2:].split(".")
+        layout = StructType([_list_at(steps), StructField(_MARK, StringType())])
+        parsed = F.from_json(F.col(col), layout, {"columnNameOfCorruptRecord": _MARK})
+        found = F.col("_doc")
+        for step in steps:
+            found = found[step]
+        source = df.select(*keep, F.col(col).alias("_text"), parsed.alias("_doc"))
+        arr = F.when(F.col("_doc")[_MARK].isNull(), found).otherwise(_list_or_fail("_text", path, bad))
+    else:
+        source = df.select(*keep, F.col(col).alias("_text"))
+        arr = _list_or_fail("_text", path, bad)
+    rows = source.select(*keep, F.explode(arr).alias(element))
     keys = list(dict.fromkeys(fields.values()))
     if not all(_KEY.match(k) for k in keys):
         return rows.select(*keep, *[json_text(element, key).alias(name) for name, key in fields.items()])
@@ -76,6 +90,31 @@ def explode_json(
     return parsed.select(*keep, *[F.col("_el")[key].alias(name) for name, key in fields.items()])
 
 
+# Column that holds the text of a document that does not fit its layout.
+_MARK = "_unread"
+
+
+def _list_at(steps: Sequence[str]) -> StructField:
+    """The layout of a document with a list of texts under some keys."""
+    kind: ArrayType | StructType = ArrayType(StringType())
+    for step in reversed(steps[1:]):
+        kind = StructType([StructField(step, kind)])
+    return StructField(steps[0], kind)
+
+
+def _list_or_fail(col: str, path: str, bad: str) -> Column:
+    """The array at ``path``, with the reason raised if there is something
+    else."""
+    found = F.get_json_object(F.col(col), path)
+    arr = F.from_json(found, "array<string>")
+    other = found.isNotNull() & ~F.startswith(F.ltrim(found), F.lit("["))
+    if bad == "skip":
+        return F.when(~other, arr)
+    fault = F.when(is_bad_json(col), F.lit("not a JSON document: ")).when(other, F.lit(f"no array at {path}: "))
+    start = F.substring(F.col(col), 1, 80)
+    return F.when(fault.isNotNull(), F.raise_error(F.concat(fault, start)).cast("array<string>")).otherwise(arr)
+
+
 def is_bad_json(col: Column | str) -> Column:
     """Whether a text is there but is not a JSON document."""
     c = _c(col)
@@ -87,11 +126,6 @@ def bad_json(df: DataFrame, col: str) -> DataFrame:
     return df.where(is_bad_json(col))
 
 
-def _fail_on(cond: Column, col: str, message: str) -> Column:
-    start = F.substring(F.col(col), 1, 80)
-    return F.when(cond, F.raise_error(F.concat(F.lit(message), start)).cast("string")).otherwise(F.col(col))
-
-
 _SIMPLE_PATH = re.compile(r"^\$(\.[A-Za-z_][A-Za-z0-9_]*)+$")
 _KEY = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -207,36 +241,74 @@ def pack_rows(
 
 # -------------------------------- XML ------------------------------------
 
-# A start tag inside a text.
-_MARKUP = r"<[A-Za-z_][^<>]*>"
+# Fixed value: white space around a text is part of it.
+XML_OPTIONS = {"ignoreSurroundingSpaces": "false"}
 
 
 def explode_xml(df: DataFrame, col: str, row: str, schema: StructType | str, keep: Sequence[str] = (), name: str = "node", bad: str = "fail") -> DataFrame:
     """One row per ``row`` element of each XML document.
 
     ``schema`` describes the document's children; declare every element that
-    may repeat as an array (a scalar field keeps the last repeat).  A
-    document that is not XML raises; ``bad="skip"`` leaves it out instead.
+    may repeat as an array (a scalar field keeps the last repeat).  A text
+    (an ``ARRAY<STRING>`` element, or ``_VALUE`` beside attributes) is the
+    element's first one: it ends where a child element or a comment begins;
+    escaped signs and CDATA are part of it, and it is NULL if there is none.
+    A document that is not XML raises; ``bad="skip"`` leaves it out instead.
     """
-    doc = F.from_xml(F.col(col), schema, {"mode": "FAILFAST" if bad == "fail" else "PERMISSIVE"})
-    return df.select(*keep, F.explode(doc[row]).alias(name))
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    doc = F.from_xml(F.col(col), _texts_apart(declared), {**XML_OPTIONS, "mode": "FAILFAST" if bad == "fail" else "PERMISSIVE"})
+    rows = df.select(*keep, F.explode(doc[row]).alias(name))
+    return rows.select(*keep, _first_texts(F.col(name), declared[row].dataType.elementType).alias(name))
+
+
+# Spark reads an element with children into a text as its whole markup,
+# indistinguishable from escaped signs.  Read into a struct with an array
+# under ``_VALUE``, its texts are apart from its children.
+_TEXTS = StructType([StructField("_VALUE", ArrayType(StringType()))])
+
+
+def _texts_apart(kind: DataType) -> DataType:
+    """The layout in which every element's texts are an array."""
+    if isinstance(kind, ArrayType):
+        return ArrayType(_TEXTS if isinstance(kind.elementType, StringType) else _texts_apart(kind.elementType))
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, ArrayType(StringType()) if f.name == "_VALUE" else _texts_apart(f.dataType)) for f in kind])
+    return kind
+
+
+def _first_texts(c: Column, kind: DataType) -> Column:
+    """A value read with :func:`_texts_apart` as ``kind`` declares it."""
+    if isinstance(kind, StringType):
+        return F.get(c["_VALUE"], 0)
+    if isinstance(kind, ArrayType):
+        return F.transform(c, lambda e: _first_texts(e, kind.elementType))
+    if not isinstance(kind, StructType):
+        return c
+    fields = []
+    for f in kind:
+        field = c[f.name]
+        if f.name == "_VALUE":
+            field = F.get(field, 0)
+        elif isinstance(f.dataType, (ArrayType, StructType)):
+            field = _first_texts(field, f.dataType)
+        fields.append(field.alias(f.name))
+    return F.when(c.isNotNull(), F.struct(*fields))
 
 
 def xml_text(node: Column | str, path: str) -> Column:
     """First text under a child path ("a/b" = child a, then b); the
-    leaf must be declared as an array in the schema.  The text ends where a
-    child element of the leaf begins."""
+    leaf must be declared as an array in the schema.  Elements without text
+    are passed over."""
     steps = path.split("/")
     c = _c(node)
     for step in steps[:-1]:
         c = c[step]
-    leaf = F.get(c[steps[-1]], 0)
-    return F.when(leaf.rlike(_MARKUP), F.regexp_extract(leaf, rf"(?s)^(.*?){_MARKUP}", 1)).otherwise(leaf)
+    return F.get(F.filter(c[steps[-1]], lambda t: t.isNotNull()), 0)
 
 
 def xml_node_text(node: Column | str, path: str) -> Column:
     """J8 for an element that also has attributes: its text is ``_VALUE``."""
-    return F.get(_c(node)[path], 0)["_VALUE"]
+    return F.get(F.filter(_c(node)[path], lambda e: e["_VALUE"].isNotNull()), 0)["_VALUE"]
 
 
 def xml_attr(node: Column | str, path: str, attr: str) -> Column:

@@ -16,8 +16,8 @@ from tidewater.operators.analytics import count_where, money_mean, union_all
 from tidewater.operators.cleaning import clean_collection, drop_array_columns, drop_if_present, type_by_name
 from tidewater.operators.nested import explode_structs
 from tidewater.operators.quality import fk_orphan_counts, key_violations
-from tidewater.sinks.tables import create_tables, replicate, skip_if_empty
-from tidewater.sources.files import preview, read_collection
+from tidewater.sinks.tables import create_tables, replace_table, replicate, skip_if_empty
+from tidewater.sources.files import preview, read_collection, rejected_documents
 
 # The status that counts as a delivered order.
 DELIVERED = "Доставлен"
@@ -286,26 +286,40 @@ def preview_marts(spark: SparkSession, tables: Sequence[str], n: int = 10, order
     return preview(spark, tables, n=n, order_by=order_by)
 
 
-def read_collections(spark: SparkSession, folder: str, schemas: Mapping[str, str] | None = None, database: str | None = None) -> list[Collection]:
+def read_collections(spark: SparkSession, folder: str, schemas: Mapping[str, str] | None = None, database: str | None = None, bad: str = "fail") -> list[Collection]:
     """The five collections as JSON lines under ``folder/<Collection>``,
-    read with their declared layouts, each paired with its target table."""
+    read with their declared layouts, each paired with its target table.  A
+    bad line raises, or is left out (``bad="reject"``)."""
     schemas = schemas or COLLECTION_SCHEMAS
     prefix = f"{database}." if database else ""
     out = []
     for name, table, key in COLLECTIONS:
-        df = read_collection(spark, f"{folder.rstrip('/')}/{name}", schemas[name])
+        df = read_collection(spark, f"{folder.rstrip('/')}/{name}", schemas[name], bad=bad)
         out.append(Collection(df, f"{prefix}{table}", key=key, types=COLLECTION_TYPES.get(name)))
     return out
 
 
-def run_replication(spark: SparkSession, folder: str, database: str | None = None, location: str | None = None) -> DataFrame:
+def rejected_lines(spark: SparkSession, folder: str, schemas: Mapping[str, str] | None = None) -> DataFrame:
+    """The lines of all collections that cannot be read: ``collection``,
+    ``file``, ``line``, ``reason``."""
+    schemas = schemas or COLLECTION_SCHEMAS
+    parts = [rejected_documents(spark, f"{folder.rstrip('/')}/{name}", schemas[name]).select(F.lit(name).alias("collection"), "*") for name, _, _ in COLLECTIONS]
+    return union_all(*parts)
+
+
+def run_replication(spark: SparkSession, folder: str, database: str | None = None, location: str | None = None, rejects: str | None = None) -> DataFrame:
     """M18 end to end: create the target tables if absent, replicate the five
     collections read from ``folder`` (customer actions exploded on the way),
-    then rebuild both marts.  Returns the row count per table."""
+    then rebuild both marts.  A bad line stops the load before any table is
+    changed by its collection; with ``rejects`` the bad lines are that
+    table's rows and the others are loaded.  Returns the row count per
+    table."""
     prefix = f"{database}." if database else ""
+    if rejects:
+        replace_table(rejected_lines(spark, folder), f"{prefix}{rejects}")
     return load_all(
         spark,
-        read_collections(spark, folder, database=database),
+        read_collections(spark, folder, database=database, bad="reject" if rejects else "fail"),
         customers_table=f"{prefix}customers",
         actions_table=f"{prefix}customer_actions",
         orders_table=f"{prefix}orders",

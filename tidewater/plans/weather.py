@@ -10,8 +10,8 @@ from tidewater.functions.exprs import day_of, parse_ts, round_half_even, year_of
 from tidewater.operators.analytics import percentile_band, top_n, union_all
 from tidewater.operators.cleaning import since
 from tidewater.operators.sums import SteadySums
-from tidewater.sinks.tables import append_incremental, append_table, full_refresh, table_exists
-from tidewater.sources.files import read_csv_by_name
+from tidewater.sinks.tables import append_incremental, append_table, full_refresh, replace_table, table_exists
+from tidewater.sources.files import read_csv_by_name, rejected_csv
 
 # Reading format and defaults of the job.
 READING_FORMAT = "dd-MM-yyyy HH:mm"
@@ -69,16 +69,20 @@ def daily_extremes(
     return union_all(hottest, coldest).select("noted_date", "temp", out_side)
 
 
-def read_readings(spark: SparkSession, path: str, schema: str = READINGS_SCHEMA) -> DataFrame:
+def read_readings(spark: SparkSession, path: str, schema: str = READINGS_SCHEMA, rejects: str | None = None) -> DataFrame:
     """A sensor reading CSV with a header, read by the header's names;
-    ``noted_date`` stays text and is parsed by :func:`daily_extremes`."""
-    return read_csv_by_name(spark, path, schema)
+    ``noted_date`` stays text and is parsed by :func:`daily_extremes`.  A bad
+    row raises; with ``rejects`` the bad rows are that table's rows."""
+    if rejects is None:
+        return read_csv_by_name(spark, path, schema)
+    replace_table(rejected_csv(spark, path, schema), rejects)
+    return read_csv_by_name(spark, path, schema, bad="reject")
 
 
-def run_daily_extremes(spark: SparkSession, csv_path: str, table: str, path: str | None = None) -> DataFrame:
+def run_daily_extremes(spark: SparkSession, csv_path: str, table: str, path: str | None = None, rejects: str | None = None) -> DataFrame:
     """M3 end to end: readings file -> daily extremes -> appended to
     ``table`` (a rerun appends again, as the job does; D4)."""
-    out = daily_extremes(read_readings(spark, csv_path))
+    out = daily_extremes(read_readings(spark, csv_path, rejects=rejects))
     append_table(out, table, list(TARGET_COLUMNS), path)
     return out
 
@@ -93,6 +97,7 @@ def run_full_or_incremental(
     keys: list[str] | None = None,
     full_path: str | None = None,
     incremental_path: str | None = None,
+    rejects: str | None = None,
 ) -> str:
     """M5 with M3 / M4: the first run (``full_table`` absent or empty)
     replaces ``full_table`` with the extremes of all readings; later runs
@@ -100,7 +105,7 @@ def run_full_or_incremental(
     ``incremental_table`` (the band is computed on that window only, D5).
     ``keys`` makes the append idempotent.  Returns "full" or "incremental".
     """
-    readings = read_readings(spark, csv_path)
+    readings = read_readings(spark, csv_path, rejects=rejects)
     cols = list(TARGET_COLUMNS)
     if not table_exists(spark, full_table) or spark.table(full_table).isEmpty():
         full_refresh(daily_extremes(readings), full_table, cols, full_path)

@@ -53,6 +53,7 @@ def _parser() -> argparse.ArgumentParser:
     j.add_argument("--csv", required=True)
     j.add_argument("--table", required=True)
     j.add_argument("--location", help="folder for the table's files")
+    j.add_argument("--rejects", help="table for rows that cannot be read; without it they stop the job")
 
     j = sub.add_parser("temperature-load", help="M5: full load on the first run, last n days after")
     j.add_argument("--csv", required=True)
@@ -61,6 +62,7 @@ def _parser() -> argparse.ArgumentParser:
     j.add_argument("--days", type=int, default=3)
     j.add_argument("--key", nargs="+", help="key columns that make the incremental append idempotent")
     j.add_argument("--location", help="folder for the tables' files (a sub-folder each)")
+    j.add_argument("--rejects", help="table for rows that cannot be read; without it they stop the job")
 
     j = sub.add_parser("engine-profile", help="M12: engine readings -> external profile table")
     j.add_argument("--input", required=True)
@@ -81,6 +83,7 @@ def _parser() -> argparse.ArgumentParser:
     j.add_argument("--folder", required=True)
     j.add_argument("--database")
     j.add_argument("--location")
+    j.add_argument("--rejects", help="table for lines that cannot be read; without it they stop the job")
 
     j = sub.add_parser("rebuild-marts", help="M9, M10: both marts from the loaded orders")
     j.add_argument("--database")
@@ -140,13 +143,13 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "daily-extremes":
         from tidewater.plans.weather import run_daily_extremes
 
-        run_daily_extremes(spark, args.csv, args.table, args.location)
+        run_daily_extremes(spark, args.csv, args.table, args.location, rejects=args.rejects)
         result = args.table
     elif args.job == "temperature-load":
         from tidewater.plans.weather import run_full_or_incremental
 
         at = {f"{k}_path": f"{args.location.rstrip('/')}/{t}" for k, t in (("full", args.full_table), ("incremental", args.incremental_table))} if args.location else {}
-        result = run_full_or_incremental(spark, args.csv, args.full_table, args.incremental_table, days=args.days, keys=args.key, **at)
+        result = run_full_or_incremental(spark, args.csv, args.full_table, args.incremental_table, days=args.days, keys=args.key, rejects=args.rejects, **at)
     elif args.job == "engine-profile":
         from tidewater.plans.engines import run_engine_profile
 
@@ -168,7 +171,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "replicate":
         from tidewater.plans.delivery import run_replication
 
-        counts = run_replication(spark, args.folder, database=args.database, location=args.location)
+        counts = run_replication(spark, args.folder, database=args.database, location=args.location, rejects=args.rejects)
         result = {r["table_name"]: r["row_count"] for r in counts.collect()}
     elif args.job == "rebuild-marts":
         from tidewater.plans.delivery import rebuild_marts
