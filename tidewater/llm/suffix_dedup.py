@@ -14,11 +14,14 @@ is removed; windows are judged on the input.
    than their successors are sorted directly, the rest is induced by scanning
    the buckets), adjacent common prefixes are computed, and neighbours that
    share ``length`` bytes are one class.  A window is repeated if its class
-   counts two or more.
+   counts two or more.  The others are *single*: they lie in segments that
+   are there once, whose place travels with them, so no result is joined
+   back to the many places of a segment that very many texts share.
 3. **Hot keys.**  A key with more than ``BLOCK`` bytes of different segments
    is dealt again by longer grams, up to whole windows, where a key holds one
    string only.  So no task holds more than two blocks, whatever the data.
-4. **Cutting.**  The repeated windows of each text are merged into spans.
+4. **Cutting.**  The windows of each text's segments without the single
+   ones are merged into spans.
 
 Equal texts are one text with a count (partial aggregation before the
 shuffle), so copies cost nothing beyond the first.  Results go by a 128-bit
@@ -347,33 +350,64 @@ def _cut(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return map_batches(texts, run, "id binary, first bigint, key bigint, segment binary, bytes binary, n bigint")
 
 
-def _classes(parts: DataFrame, length: int) -> DataFrame:
-    """``(segment, spans)`` of the segments that hold repeated windows."""
+def _outside(spans: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
+    """What ranges (in order, apart) leave of ``n`` places."""
+    edges = [0, *[x for span in spans for x in span], n]
+    return [(a, b) for a, b in zip(edges[::2], edges[1::2], strict=True) if a < b]
 
-    def found(held: list[tuple[bytes, bytes, int]]) -> pa.RecordBatch:
-        spans = repeated([h[1] for h in held], np.array([h[2] for h in held], np.float64), length)
-        some = [i for i, s in enumerate(spans) if s]
-        return pa.RecordBatch.from_arrays([pa.array([held[i][0] for i in some], pa.binary()), _span_array([spans[i] for i in some])], names=["segment", "spans"])
+
+def _singles(parts: DataFrame, length: int) -> DataFrame:
+    """``(id, spans)`` of the windows that no other window equals, at their
+    places in the texts; ``parts(key, bytes, n, id, first)``."""
+
+    def found(held: list[tuple[bytes, int, bytes, int]]) -> pa.RecordBatch:
+        spans = repeated([h[0] for h in held], np.array([h[1] for h in held], np.float64), length)
+        ids, made = [], []
+        for (text, n, name, first), own in zip(held, spans, strict=True):
+            alone = _outside(own, len(text) - length + 1) if n == 1 else []
+            if alone:
+                ids.append(name)
+                made.append([(a + first, b + first) for a, b in alone])
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), _span_array(made)], names=["id", "spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
         for batch in batches:
-            for key, name, text, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if size >= BLOCK and key != last:
                     yield found(held)
                     held, size = [], 0
-                held.append((name, text, n))
-                size += len(text)
+                held.append(row)
+                size += len(row[0])
                 last = key
         if held:
             yield found(held)
 
-    dealt = parts.select("key", "segment", "bytes", "n").repartition("key").sortWithinPartitions("key")
-    return map_batches(dealt, run, f"segment binary, spans {_SPANS}")
+    dealt = parts.select("key", "bytes", "n", "id", "first").repartition("key").sortWithinPartitions("key")
+    return map_batches(dealt, run, f"id binary, spans {_SPANS}")
+
+
+def _hot_singles(hot: DataFrame, length: int, longer: list[int]) -> DataFrame:
+    """:func:`_singles` of segments with hot keys, dealt again."""
+    texts = stage(hot.select(F.col("segment").alias("id"), F.col("bytes").alias("text"), "n"), "hot-segments")
+    below = _repeated_windows(texts, texts, length, longer).withColumnRenamed("id", "segment")
+    once = hot.where("n = 1").select("segment", "id", "first", (F.length("bytes") - length + 1).alias("windows")).join(below, "segment", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, made = [], []
+            for name, first, n, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                alone = _outside([(s["low"], s["high"]) for s in spans or ()], n)
+                if alone:
+                    ids.append(name)
+                    made.append([(a + first, b + first) for a, b in alone])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), _span_array(made)], names=["id", "spans"])
+
+    return map_batches(once.select("id", "first", "windows", "spans"), run, f"id binary, spans {_SPANS}")
 
 
 def _repeated_windows(texts: DataFrame, whole: DataFrame, length: int, sizes: list[int]) -> DataFrame:
-    """``(id, spans)``: where repeated windows start in each text.
+    """``(id, spans)``: where repeated windows start in each text, in order.
 
     ``texts(id, text, n)`` may hold a text several times, ``whole`` holds
     each once, with its count."""
@@ -382,29 +416,38 @@ def _repeated_windows(texts: DataFrame, whole: DataFrame, length: int, sizes: li
     shared = keys.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
     wanted = keys.select("id", "key").join(shared, "key", "left_semi").groupBy("id").agg(F.collect_set("key").alias("keys"))
     cut = stage(_cut(whole.join(wanted, "id").select("id", "text", "n", "keys"), length, gram), "segments")
-    parts = stage(cut.groupBy("key", "segment").agg(F.first("bytes").alias("bytes"), F.sum("n").alias("n")), "distinct-segments")
-    spans = None
+    # The place is that of the only one if the count is one.
+    one = [F.first("bytes").alias("bytes"), F.sum("n").alias("n"), F.min("id").alias("id"), F.min("first").alias("first")]
+    parts = stage(cut.groupBy("key", "segment").agg(*one), "distinct-segments")
+    hot = None
     if longer:
         hot = stage(parts.groupBy("key").agg(F.sum(F.length("bytes")).alias("size")).where(F.col("size") > BLOCK).select("key"), "hot-keys")
-        if not hot.isEmpty():
-            again = parts.join(hot, "key", "left_semi").select(F.col("segment").alias("id"), F.col("bytes").alias("text"), "n")
-            spans = _repeated_windows(again, again, length, longer).withColumnRenamed("id", "segment")
-            parts = parts.join(hot, "key", "left_anti")
-    found = _classes(parts, length)
-    found = stage(found.unionByName(spans) if spans is not None else found, "repeated-windows")
-    # The places of a segment in one input partition travel as one row, so a
-    # segment that very many texts share is a few rows of bounded size.
-    at = F.collect_list(F.struct("id", "first")).alias("at")
-    places = cut.groupBy("segment", F.spark_partition_id().alias("part")).agg(at)
-    placed = places.join(found, "segment").select(F.explode("at").alias("at"), "spans")
-    moved = F.transform("spans", lambda s: F.struct((s["low"] + F.col("at.first")).alias("low"), (s["high"] + F.col("at.first")).alias("high")))
-    return placed.select(F.col("at.id").alias("id"), F.explode(moved).alias("span")).groupBy("id").agg(F.collect_list("span").alias("spans"))
-
-
-def _merged(spans: list[dict] | None, length: int) -> list[tuple[int, int]]:
-    """Removed byte runs of a text from the starts of its repeated windows."""
+    if hot is None or hot.isEmpty():
+        singles = _singles(parts, length)
+    else:
+        singles = _singles(parts.join(hot, "key", "left_anti"), length).unionByName(_hot_singles(parts.join(hot, "key", "left_semi"), length, longer))
+    here = F.array(F.struct(F.col("first").alias("low"), (F.col("first") + F.length("bytes") - length + 1).alias("high")))
+    none = F.lit(None).cast(_SPANS)
+    rows = cut.select("id", here.alias("held"), none.alias("alone")).unionByName(singles.select("id", none.alias("held"), F.col("spans").alias("alone")))
+    per_text = rows.groupBy("id").agg(F.flatten(F.collect_list("held")).alias("held"), F.flatten(F.collect_list("alone")).alias("alone"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, made = [], []
+            for name, held, alone in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                spans = _without(_merged(held), _merged(alone))
+                if spans:
+                    ids.append(name)
+                    made.append(spans)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), _span_array(made)], names=["id", "spans"])
+
+    return map_batches(per_text, run, f"id binary, spans {_SPANS}")
+
+
+def _merged(spans: list[dict], more: int = 0) -> list[tuple[int, int]]:
+    """Ranges in order, each ``more`` longer, joined where they meet."""
     out: list[tuple[int, int]] = []
-    for low, high in sorted((s["low"], s["high"] + length - 1) for s in spans or ()):
+    for low, high in sorted((s["low"], s["high"] + more) for s in spans):
         if out and low <= out[-1][1]:
             out[-1] = (out[-1][0], max(high, out[-1][1]))
         else:
@@ -412,6 +455,20 @@ def _merged(spans: list[dict] | None, length: int) -> list[tuple[int, int]]:
     return out
 
 
+def _without(spans: list[tuple[int, int]], holes: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """``spans`` without ``holes``, which lie within them."""
+    out, at = [], 0
+    for low, high in spans:
+        while at < len(holes) and holes[at][0] < high:
+            if low < holes[at][0]:
+                out.append((low, holes[at][0]))
+            low = holes[at][1]
+            at += 1
+        if low < high:
+            out.append((low, high))
+    return out
+
+
 def _results(whole: DataFrame, length: int, text: bool) -> DataFrame:
     """What is left of every text of ``whole(id, text, spans)``."""
     names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"] + ["kept"] * text
@@ -420,7 +477,7 @@ def _results(whole: DataFrame, length: int, text: bool) -> DataFrame:
         for batch in _portions(batches):
             rows = []
             for own, given in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                spans = _merged(given, length)
+                spans = _merged(given or [], length - 1)
                 kept = b"".join([own[a:b] for a, b in zip([0, *[e for _, e in spans]], [*[s for s, _ in spans], len(own)], strict=True)])
                 rows.append((len(own), sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept).hexdigest(), spans, kept))
             cols = list(zip(*rows, strict=True)) if rows else [()] * 6
