@@ -59,6 +59,77 @@ def test_a_pair_of_neutral_words_is_learnt_from_texts(spark):
     assert auc(got["score"].to_numpy(), got["toxic"].to_numpy()) > 0.95
 
 
+def test_a_pair_of_ten_training_documents_is_learnt(spark):
+    """Both words are common in clean texts; only together they are toxic."""
+    draw = np.random.default_rng(8)
+    noise = [f"{a}{b}{c}" for a in "bcdfgh" for b in "aeiou" for c in "klmnpr"]
+    rows = []
+    for i in range(640):
+        own = ["zork", "quum"] if i < 20 else [[], ["zork"], ["quum"]][i % 3] if i < 260 else []
+        rows.append((i, " ".join(draw.permutation([*draw.choice(noise, 12), *own])), int(i < 20 or i >= 600)))
+    rows = [(i, t if i < 600 else t + " vile", k) for i, t, k in rows]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    model = T.train(docs, labels, labels["doc_id"] % 2 == 0)
+    assert set(T.buckets_of(b"zork") + T.buckets_of(b"quum")) <= set(model[0].tolist())
+    got = {r["doc_id"]: r["score"] for r in T.score(docs, model).collect()}
+    assert min(got[i] for i in range(1, 20, 2)) > max(got[i] for i in range(21, 260, 2))
+
+
+def plain_words(text):
+    out, word = [], ""
+    for c in (text or "").lower():
+        if "a" <= c <= "z" or ord(c) >= 128:
+            word += c
+        elif word:
+            out.append(word)
+            word = ""
+    return out + [word] * bool(word)
+
+
+def test_scores_are_those_of_a_plain_machine(spark, monkeypatch):
+    """Term by term, pair by pair, whatever the parts the texts come in."""
+    draw = np.random.default_rng(11)
+    texts = [None, "", " .,! ", "Éclair naïve ÉCLAIR", "a" * 700 + " " + "b" * 3, "die" * 50, "\x00zero \ud800"[:6]]
+    texts += [" ".join(draw.choice(["one", "Two", "threefold", "Ünïcode", "fivefold", "x9y", "sixfold,", "七八九十百"], draw.integers(1, 60))) for _ in range(40)]
+    every = sorted({b for t in texts for w in plain_words(t) for b in T.buckets_of(w.encode())})
+    buckets = np.array(every[::2])
+    machine = T.FactorizationMachine(2 * len(buckets), 0.3, paired=draw.random(2 * len(buckets)) < 0.6)
+    machine.weight[:] = draw.normal(0, 0.2, len(machine.weight))
+    machine.factor[:] = draw.normal(0, 0.3, machine.factor.shape)
+    number = {int(b): i for i, b in enumerate(buckets)}
+    want = []
+    for text in texts:
+        words, count = plain_words(text), {}
+        for w in words:
+            for b in T.buckets_of(w.encode()):
+                if b in number:
+                    count[number[b]] = count.get(number[b], 0) + 1
+        value = {n: 1.0 for n in count} | {n + len(buckets): min(1.0, T.SHARE_SCALE * c / len(words)) for n, c in count.items()}
+        margin, names = machine.bias + sum(machine.weight[n] * v for n, v in value.items()), [n for n in value if machine.slot[n] >= 0]
+        for i, a in enumerate(names):
+            for b in names[:i]:
+                margin += value[a] * value[b] * float(machine.factor[machine.slot[a]] @ machine.factor[machine.slot[b]])
+        want.append(1 / (1 + np.exp(-np.clip(margin, -40, 40))))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for part in (T._PART, 64):
+        monkeypatch.setattr(T, "_PART", part)
+        got = T.score(docs, (buckets, machine)).orderBy("doc_id").collect() if part > 64 else None
+        found = T.Features(buckets)
+        alone = [machine.score(*found.of(t)) for t in texts]
+        assert np.allclose(alone, want, atol=1e-9)
+        if got:
+            assert np.allclose([r["score"] for r in got], want, atol=1e-9)
+            assert [r["predicted"] for r in got] == [int(s >= T.THRESHOLD) for s in want]
+
+
+def test_terms_are_words_and_prefixes_of_letters():
+    assert len(T.buckets_of(b"abc")) == 1 and len(T.buckets_of(b"abcdefg")) == 4
+    assert T.buckets_of("ünïcö".encode())[1] == T.buckets_of("ünïcxyz".encode())[1] and len(T.buckets_of("ünïcö".encode())) == 2
+    text, bucket, count, words = T.term_counts(["Bad bad, good", None, "bad"])
+    assert words.tolist() == [3, 0, 1] and count[bucket == T.buckets_of(b"bad")[0]].tolist() == [2, 1] and set(text.tolist()) == {0, 2}
+
+
 def test_pairs_are_counted_as_by_brute_force(monkeypatch):
     monkeypatch.setattr(T, "LEAST_PAIR", 4.0)
     monkeypatch.setattr(T, "_PORTION", 50)

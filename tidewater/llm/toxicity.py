@@ -27,6 +27,9 @@ count pairs, then its sparse features (bounded by the same number of rows)
 come to the driver, and the weights are fitted there.  The model has at most
 18 numbers a bucket whatever the input.  Scoring reads every whole text once.
 
+All words of many texts are hashed at once by a rolling hash over their
+bytes; there is no loop over words.
+
 Edge cases: a null or wordless text has the score of no features; without
 labels of both kinds every score is the share of label 1 (0.5 without any);
 repeated rows score alike; an empty table gives an empty result; columns
@@ -40,7 +43,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +56,7 @@ LEAST_DOCS = 3
 LEAST_APART = 1.0
 FULL_APART = 4.0
 PAIR_DOCS = 8
-LEAST_PAIR = 36.0
+LEAST_PAIR = 24.0
 PAIR_TASKS = 48
 PREFIXES = (4, 5, 6)
 FACTORS = 8
@@ -64,68 +66,131 @@ RATE = 0.1
 DECAY = 1e-5
 SHARE_SCALE = 25.0
 THRESHOLD = 0.7
-LONG = 256
-_CACHE = 500_000
-_SETS = 200_000
+_PART = 1 << 19
 _PORTION = 1 << 21
 
 _LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-
-
-def words_of(text: str | None) -> list[bytes]:
-    return text.lower().encode("utf-8", "replace").translate(_LETTERS).split() if text else []
+_BASE = 0x9E3779B97F4A7C15
+_MIX = np.uint64(0xD6E8FEB86659FD93)
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _up_and_down(n: int) -> list[np.ndarray]:
+    """Powers of the base of the rolling hash and of its inverse."""
+    if len(_powers[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(n, base, np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps)
+    return _powers
+
+
+def _mixed(h: np.ndarray, salt: int) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32)) ^ np.uint64(salt)) * _MIX
+    h = (h ^ (h >> np.uint64(29))) * _MIX
+    return (h >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+
+
+def _terms(letters: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the words of ``letters`` (words apart by spaces), and for
+    every term the number of its word and its bucket."""
+    data = np.frombuffer(letters, np.uint8)
+    inside = np.concatenate(([False], data != 32, [False]))
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edge[::2], edge[1::2]
+    up, down = _up_and_down(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    words, buckets = [np.arange(len(start))], [_mixed((sums[end] - sums[start]) * down[start], 0)]
+    # A prefix of k letters ends where the letter k after the first begins.
+    begins = np.flatnonzero((data & 0xC0) != 0x80)
+    at = np.searchsorted(begins, start)
+    size = np.searchsorted(begins, end) - at
+    for k in PREFIXES:
+        long = np.flatnonzero(size > k)
+        words.append(long)
+        first = start[long]
+        buckets.append(_mixed((sums[begins[at[long] + k]] - sums[first]) * down[first], k))
+    return start, np.concatenate(words), np.concatenate(buckets)
 
 
 def buckets_of(word: bytes) -> list[int]:
-    """Buckets of the word's terms."""
-    letters, size = word.decode("utf-8", "replace"), (1 << HASH_BITS) - 1
-    terms = [word, *(f"{letters[:k]}^{k}".encode() for k in PREFIXES if len(letters) > k)]
-    return [xxhash.xxh64_intdigest(t) & size for t in terms]
+    """Buckets of a word's terms."""
+    return _terms(word)[2].tolist()
+
+
+def _portions(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``_PART`` characters, or one text."""
+    first, size = 0, 0
+    for i, text in enumerate(texts):
+        n = len(text) if text else 0
+        if i > first and size + n > _PART:
+            yield first, i
+            first, size = i, 0
+        size += n
+    if len(texts) > first:
+        yield first, len(texts)
+
+
+def term_counts(texts: list[str | None], number: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every bucket that a text holds: the text, the bucket, and how
+    often; and the words of each text.  With ``number`` (one for each bucket)
+    buckets are renamed by it and those numbered -1 left out.
+
+    All words of many texts are hashed at once, in parts that end between
+    words, so that memory does not grow with a text."""
+    n_words = np.zeros(len(texts), np.int64)
+    keys: list[np.ndarray] = []
+    times: list[np.ndarray] = []
+    for low, high in _portions(texts):
+        some = [(t or "").lower().encode("utf-8", "replace") for t in texts[low:high]]
+        letters = b" ".join(some).translate(_LETTERS)
+        ends = np.cumsum([len(t) + 1 for t in some])
+        at = 0
+        while at < len(letters):
+            stop = len(letters)
+            if stop - at > _PART:
+                stop = letters.rfind(b" ", at, at + _PART) + 1 or letters.find(b" ", at + _PART) + 1 or stop
+            start, word, bucket = _terms(letters[at:stop])
+            text = low + np.searchsorted(ends, start + at, side="right")
+            n_words += np.bincount(text, minlength=len(texts))
+            if number is not None:
+                bucket = number[bucket]
+                word, bucket = word[bucket >= 0], bucket[bucket >= 0]
+            key = np.sort((text[word] << HASH_BITS) | bucket)
+            edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.empty(0, np.int64)
+            keys.append(key[edge])
+            times.append(np.diff(edge, append=len(key)))
+            at = stop
+    key, count = (np.concatenate([*x, np.empty(0, np.int64)]) for x in (keys, times))
+    # A text that came in parts has a bucket several times.
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order]
+    edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.empty(0, np.int64)
+    if len(edge):
+        key, count = key[edge], np.add.reduceat(count, edge)
+    return key >> HASH_BITS, key & (FEATURES - 1), count, n_words
 
 
 class Features:
-    """Chosen features of texts; remembers the words it has met."""
+    """Chosen features of texts: a bucket's presence, and its share of the
+    words."""
 
     def __init__(self, buckets: np.ndarray):
-        self.number = {int(b): i for i, b in enumerate(buckets)}
         self.size = len(buckets)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.sets: list[np.ndarray] = [np.empty(0, np.int64)]
-        self.set_number: dict[tuple[int, ...], int] = {(): 0}
-
-    def _learn(self, word: bytes) -> int:
-        found = tuple(sorted({self.number[b] for b in buckets_of(word) if b in self.number}))
-        if found not in self.set_number:
-            self.set_number[found] = len(self.sets)
-            self.sets.append(np.array(found, np.int64))
-        at = self.set_number[found]
-        if len(word) <= LONG:  # longer ones are not worth remembering
-            if len(self.known) >= _CACHE:
-                self.known.clear()
-            self.known[word] = at
-        return at
+        self.number = np.full(FEATURES, -1, np.int64)
+        self.number[buckets] = np.arange(self.size)
 
     def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Feature numbers and values: presence, then share of the words."""
-        words = words_of(text)
-        if len(self.sets) >= _SETS:
-            self._forget()
-        get, learn = self.known.get, self._learn
-        codes = np.array([get(w, -1) for w in words], np.int64)
-        for i in np.flatnonzero(codes < 0):
-            codes[i] = learn(words[i])
-        met, times = np.unique(codes[codes > 0], return_counts=True)
-        if not len(met):
-            return np.empty(0, np.int64), np.empty(0)
-        sets = [self.sets[m] for m in met]
-        each = np.concatenate(sets)
-        numbers, place = np.unique(each, return_inverse=True)
-        count = np.bincount(place, weights=np.repeat(times, [len(s) for s in sets]))
-        share = np.minimum(1.0, SHARE_SCALE * count / len(words))
-        return np.concatenate((numbers, numbers + self.size)), np.concatenate((np.ones(len(numbers)), share))
+        """Feature numbers and values of one text: presence, then share."""
+        _, number, share = self.of_texts([text])
+        return np.concatenate((number, number + self.size)), np.concatenate((np.ones(len(number)), share))
+
+    def of_texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, feature number (of the presence; the share's is ``size``
+        more) and share, by text and number."""
+        text, number, count, words = term_counts(texts, self.number)
+        return text, number, np.minimum(1.0, SHARE_SCALE * count / np.maximum(words[text], 1))
 
 
 def _by(owner: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
@@ -144,18 +209,20 @@ class FactorizationMachine:
         self.slot = np.arange(size) if paired is None else np.where(paired, np.cumsum(paired) - 1, -1)
         self.factor = draw.normal(0, 0.02, (int((self.slot >= 0).sum()), factors))
 
-    def margins(self, at: np.ndarray, value: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Margin of each row and the sums of its factors; no row is empty."""
-        owner = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(at)))
+    def margins(self, at: np.ndarray, value: np.ndarray, owner: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+        """Margin of each of ``rows`` rows and the sums of its factors; entry
+        ``i`` is the value of feature ``at[i]`` in row ``owner[i]``."""
         has = np.flatnonzero(self.slot[at] >= 0)
         scaled, mine = self.factor[self.slot[at[has]]] * value[has, None], owner[has]
-        sums = _by(mine, scaled, len(starts))
-        pairs = 0.5 * (sums**2 - _by(mine, scaled**2, len(starts))).sum(axis=1)
-        return self.bias + np.add.reduceat(self.weight[at] * value, starts) + pairs, sums
+        sums = _by(mine, scaled, rows)
+        pairs = 0.5 * (sums**2 - _by(mine, scaled**2, rows)).sum(axis=1)
+        return self.bias + np.bincount(owner, weights=self.weight[at] * value, minlength=rows) + pairs, sums
 
     def score(self, at: np.ndarray, value: np.ndarray) -> float:
-        margin = self.bias if not len(at) else float(self.margins(at, value, np.array([0]))[0][0])
-        return float(1 / (1 + np.exp(-np.clip(margin, -40, 40))))
+        return float(self.scores(at, value, np.zeros(len(at), np.int64), 1)[0])
+
+    def scores(self, at: np.ndarray, value: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.margins(at, value, owner, rows)[0], -40, 40)))
 
     def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> None:
         """AdaGrad over mini-batches of the sparse rows."""
@@ -171,8 +238,8 @@ class FactorizationMachine:
                 if full:
                     at, value = (np.concatenate([rows[r][k] for r in full]) for k in (0, 1))
                     count = np.array([len(rows[r][0]) for r in full])
-                    starts, owner = np.cumsum(count) - count, np.repeat(np.arange(len(full)), count)
-                    margin, sums = self.margins(at, value, starts)
+                    owner = np.repeat(np.arange(len(full)), count)
+                    margin, sums = self.margins(at, value, owner, len(full))
                     error = 1 / (1 + np.exp(-np.clip(margin, -40, 40))) - labels[full]
                     error_b += error.sum()
                     number[at] = 1
@@ -214,21 +281,19 @@ class Pairs:
     on, each set of buckets that are in the same documents as one."""
 
     def __init__(self, rows: list[np.ndarray], labels: np.ndarray, size: int):
-        at = np.concatenate([*rows, np.empty(0, np.int32)])
-        owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-        draw = np.random.default_rng(3).integers(0, 1 << 63, (2, len(rows)), dtype=np.uint64)
-        count, order = np.bincount(at, minlength=size), np.argsort(at, kind="stable")
-        marks = np.zeros((2, size), np.uint64)
-        held = np.flatnonzero(count)
-        if len(held):
-            marks[:, held] = np.add.reduceat(draw[:, owner[order]], (np.cumsum(count) - count)[held], axis=1)
-        keys, one, self.number = np.unique(np.stack((count.astype(np.uint64), *marks)), axis=1, return_index=True, return_inverse=True)
-        self.number = self.number.reshape(-1)  # of each bucket; the rarest have the smallest
-        keep = one[self.number[at]] == at
-        self.at, owner = self.number[at[keep]].astype(np.int32), owner[keep]
-        self.at = self.at[np.lexsort((self.at, owner))]
-        self.size, self.length, self.labels = len(one), np.bincount(owner, minlength=len(rows)), labels > 0
-        self._index()
+        draw = np.random.default_rng(3).integers(0, 1 << 63, (len(rows), 2), dtype=np.uint64)
+        # Row by row, since the index of all rows is made in the tasks.
+        marks = np.zeros((size, 3), np.uint64)
+        for row, mark in zip(rows, draw, strict=True):
+            marks[row] += np.array([1, *mark], np.uint64)
+        _, one, number = np.unique(marks, axis=0, return_index=True, return_inverse=True)
+        self.number = number.reshape(-1)  # of each bucket; the rarest have the smallest
+        del marks
+        lead = np.zeros(size, bool)
+        lead[one] = True
+        parts = [np.sort(self.number[r[lead[r]]]).astype(np.int32) for r in rows]
+        self.size, self.length, self.labels = len(one), np.array([len(r) for r in parts], np.int64), labels > 0
+        self.at = np.concatenate([*parts, np.empty(0, np.int32)])
 
     def _index(self) -> None:
         kind = np.int32 if len(self.at) < 1 << 31 else np.int64
@@ -248,11 +313,12 @@ class Pairs:
     def __setstate__(self, state: tuple) -> None:
         self.size, self.length, self.labels, first, steps = state
         self.at = np.frombuffer(zlib.decompress(steps), np.int32).cumsum(dtype=np.int32) + (first[0] if len(first) else 0)
-        self._index()
 
     def found(self, k: int) -> np.ndarray:
         """Buckets that tell the labels apart together with bucket ``k``, of
         those numbered after it."""
+        if not hasattr(self, "place"):
+            self._index()
         mine = slice(self.ends[k] - self.n[k], self.ends[k])
         first, last, label = self.place[mine].astype(np.int64) + 1, self.last[mine].astype(np.int64), self.label[mine]
         both = [self._met(k, first[label == kind], last[label == kind]) for kind in (False, True)]
@@ -274,6 +340,21 @@ class Pairs:
         return total
 
 
+def _rows(values: np.ndarray, owner: np.ndarray, n: int) -> list[np.ndarray]:
+    """``values``, sorted by owner, as one array for each of ``n`` owners."""
+    return np.split(values, np.searchsorted(owner, np.arange(1, n))) if n else []
+
+
+def _arrays(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
+    """Binary values as arrays over the buffers they came in."""
+    out: list[np.ndarray] = []
+    for chunk in column.chunks:
+        data = np.frombuffer(chunk.buffers()[2] or b"", np.uint8)
+        ends = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset : chunk.offset + len(chunk) + 1].tolist() if len(chunk) else []
+        out += [data[a:b].view(kind) for a, b in zip(ends, ends[1:], strict=False)]
+    return out
+
+
 def _paired(rows: DataFrame, buckets: np.ndarray) -> np.ndarray:
     """Which of ``buckets`` tell the labels apart together with another."""
     spark = rows.sparkSession
@@ -281,12 +362,13 @@ def _paired(rows: DataFrame, buckets: np.ndarray) -> np.ndarray:
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Features(buckets)
         for batch in batches:
-            held = [(a := found.of(t)[0])[: len(a) // 2].astype("<i4").tobytes() for t in batch.column(1).to_pylist()]
+            text, number, _ = found.of_texts(batch.column(1).to_pylist())
+            held = [r.tobytes() for r in _rows(number.astype("<i4"), text, batch.num_rows)]
             kinds = pa.array([int(x > 0) for x in batch.column(0).to_pylist()], pa.int32())
             yield pa.RecordBatch.from_arrays([kinds, pa.array(held, pa.binary())], names=["label", "at"])
 
     got = map_batches(rows, present, "label int, at binary").distinct().toArrow()
-    pairs = Pairs([np.frombuffer(a, "<i4") for a in got.column("at").to_pylist()], got.column("label").to_numpy(), len(buckets))
+    pairs = Pairs(_arrays(got.column("at"), "<i4"), got.column("label").to_numpy(), len(buckets))
     number, held = pairs.number, spark.sparkContext.broadcast(pairs)
     del got, pairs
 
@@ -310,23 +392,13 @@ def _choose(rows: DataFrame, features: int) -> tuple[np.ndarray, np.ndarray, int
     size = 1 << HASH_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with_bucket, docs, known = np.zeros((2, size), np.int64), np.zeros(2, np.int64), {}
+        with_bucket, docs = np.zeros((2, size), np.int64), np.zeros(2, np.int64)
         for batch in batches:
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                met: set[int] = set()
-                for word in set(words_of(text)):
-                    if word in known:
-                        met.update(known[word])
-                        continue
-                    buckets = buckets_of(word)
-                    met.update(buckets)
-                    if len(word) <= LONG:
-                        if len(known) >= _CACHE:
-                            known.clear()
-                        known[word] = buckets
-                kind = int(label > 0)
-                with_bucket[kind, np.fromiter(met, np.int64, len(met))] += 1
-                docs[kind] += 1
+            kind = (batch.column(0).to_numpy(zero_copy_only=False) > 0).astype(np.int64)
+            text, bucket, _, _ = term_counts(batch.column(1).to_pylist())
+            for k in (0, 1):
+                with_bucket[k] += np.bincount(bucket[kind[text] == k], minlength=size)
+            docs += np.bincount(kind, minlength=2)
         at = np.flatnonzero(with_bucket.any(axis=0))
         # Bucket -1 carries the number of documents.
         columns = [np.concatenate(([-1], at)), np.concatenate((docs[:1], with_bucket[0, at])), np.concatenate((docs[1:], with_bucket[1, at]))]
@@ -364,14 +436,23 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, label
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Features(buckets)
         for batch in batches:
-            pairs = [(a, v * weigh[a]) for a, v in map(found.of, batch.column(1).to_pylist())]
-            at, value = (pa.array([p[k].astype(t).tobytes() for p in pairs], pa.binary()) for k, t in ((0, "<i4"), (1, "<f4")))
-            yield pa.RecordBatch.from_arrays([batch.column(0), at, value], names=["label", "at", "value"])
-
-    # About ``rows`` sparse rows of at most 2 * features values each.
-    got = map_batches(known, encode, "label int, at binary, value binary").toArrow().sort_by([("at", "ascending"), ("value", "ascending"), ("label", "ascending")])
-    sparse = [(np.frombuffer(a, "<i4"), np.frombuffer(v, "<f4")) for a, v in zip(got.column("at").to_pylist(), got.column("value").to_pylist(), strict=True)]
-    machine.fit(sparse, (got.column("label").to_numpy() > 0).astype(float))
+            text, number, share = found.of_texts(batch.column(1).to_pylist())
+            at, value = (_rows(x.astype(t), text, batch.num_rows) for x, t in ((number, "<i4"), (share, "<f4")))
+            # Rows are put in the order of their content, so a fit does not
+            # depend on the partitions.
+            place = [zlib.crc32(v.tobytes(), zlib.crc32(a.tobytes())) for a, v in zip(at, value, strict=True)]
+            arrays = [pa.array([r.tobytes() for r in x], pa.binary()) for x in (at, value)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(place, pa.int64()), *arrays], names=["label", "place", "at", "value"])
+
+    # About ``rows`` sparse rows of at most ``features`` entries each.
+    got = map_batches(known, encode, "label int, place bigint, at binary, value binary").toArrow()
+    at, share = _arrays(got.column("at"), "<i4"), _arrays(got.column("value"), "<f4")
+    kinds = got.column("label").to_numpy()
+    order = np.lexsort((kinds, [len(a) for a in at], got.column("place").to_numpy()))
+    light = evidence.astype(np.float32)
+    sparse = [(np.concatenate((at[i], at[i] + len(buckets))), np.concatenate((light[at[i]], light[at[i]] * share[i]))) for i in order]
+    del got, at, share
+    machine.fit(sparse, (kinds[order] > 0).astype(float))
     # Scoring has the plain values.
     machine.weight *= weigh
     return buckets, machine
@@ -387,8 +468,12 @@ def score(docs: DataFrame, model: tuple[np.ndarray, FactorizationMachine], text_
             buckets, machine = held.value
             state["model"] = Features(buckets), machine
         found, machine = state["model"]
-        scores = [machine.score(*found.of(t)) for t in texts]
-        return [scores, [int(s >= threshold) for s in scores]]
+        scores = np.empty(len(texts))
+        for low, high in _portions(texts):
+            text, number, share = found.of_texts(texts[low:high])
+            at, value = np.concatenate((number, number + found.size)), np.concatenate((np.ones(len(share)), share))
+            scores[low:high] = machine.scores(at, value, np.concatenate((text, text)), high - low)
+        return [scores, (scores >= threshold).astype(np.int32)]
 
     return add_columns(docs, "score double, predicted int", run, text_col)
 
