@@ -15,7 +15,8 @@ tokens, and every level is staged in the shared folder.
 
 Tokenizing: text is cut at ASCII white space, which the vocabulary's own
 rules drop, and each distinct chunk is encoded once per worker and kept in a
-bounded cache.  Chunks of plain Latin-1 letters, digits and punctuation are
+bounded cache; the new chunks of some megabytes of text are encoded in one
+call.  Chunks of plain Latin-1 letters, digits and punctuation are
 split by the vocabulary's pattern before they are encoded; anything else
 (other scripts, combining marks, special tokens) goes through the whole
 tokenizer.
@@ -31,6 +32,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,7 @@ LEAST_GAIN = 0.002
 CACHE = 400_000
 LONG = 256
 PORTION = 1 << 16
+TEXTS = 1 << 21
 
 _PLAIN = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 # The vocabulary's own split pattern, for the plain characters above (fixed).
@@ -105,25 +108,39 @@ class ChunkTokenizer:
             self.chunks.clear()
         if len(self.words) > self.cache:
             self.words.clear()
-        split: dict[bytes, list[str]] = {}
-        new: dict[str, None] = {}
-        for chunk in chunks:
-            text = chunk.decode()
-            if len(chunk) <= LONG and (simple := _SIMPLE.fullmatch(text.lower())):
-                split[chunk] = parts = [simple[1], simple[2]] if simple[2] else [simple[1]]
-                new.update((p, None) for p in parts if p not in self.words)
-            elif len(chunk) > LONG or "<|" in text or not _PLAIN.fullmatch(text):
-                held = long if len(chunk) > LONG else self.chunks
-                held[chunk] = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        small = [c for c in chunks if len(c) <= LONG]
+        for chunk in chunks if len(small) < len(chunks) else ():
+            if len(chunk) > LONG:
+                long[chunk] = np.array(self.whole.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        # One call for all of them; a line of its own for each.
+        lowered = b"\n".join(small).decode().lower().split("\n") if small else []
+        split: dict[bytes, tuple[str, ...]] = {}
+        for chunk, low in zip(small, lowered, strict=True):
+            if low.isascii() and low.isalpha():
+                split[chunk] = (low,)
+            elif simple := _SIMPLE.fullmatch(low):
+                split[chunk] = simple.groups() if simple[2] else (simple[1],)
+            elif b"<|" in chunk or not _PLAIN.fullmatch(chunk.decode()):
+                self.chunks[chunk] = np.array(self.whole.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
             else:
-                split[chunk] = parts = _SPLIT.findall(text.lower())
-                new.update((p, None) for p in parts if p not in self.words)
+                split[chunk] = tuple(_SPLIT.findall(low))
+        new = set(chain.from_iterable(split.values())).difference(self.words)
         if new:
             self._encode_words(list(new))
         word = self.words.__getitem__
         for chunk, parts in split.items():
             self.chunks[chunk] = word(parts[0]) if len(parts) == 1 else b"".join(map(word, parts))
 
+    def prepare(self, texts: list[bytes | None]) -> None:
+        """Learn the chunks of many texts in one go (long ones later)."""
+        met = {c for c in set(chain.from_iterable(t.split() for t in texts if t)) if len(c) <= LONG}
+        missing = met.difference(self.chunks)
+        if len(self.chunks) + len(missing) > self.cache:
+            self.chunks.clear()
+            missing = met
+        if missing:
+            self._learn(list(missing), {})
+
     def encode(self, text: bytes | None) -> bytes:
         chunks = text.split() if text else []
         out: list[bytes] = []
@@ -159,10 +176,19 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sequ
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _tokenizer(vocabulary).encode
+        prepare = _tokenizer(vocabulary).prepare
         for batch in batches:
             row, number, start, length, crc = [], [], [], [], []
-            for at, text in enumerate(batch.column(1)):
-                ids = memoryview(encode(text.as_py()) + end)
+            texts, ready = batch.column(1).to_pylist(), 0
+            for at, text in enumerate(texts):
+                if at >= ready:
+                    size, first = 0, at
+                    while ready < len(texts) and (ready == first or size < TEXTS):
+                        size += len(texts[ready] or b"")
+                        ready += 1
+                    if size <= 2 * TEXTS:  # a very long text is learnt in portions
+                        prepare(texts[first:ready])
+                ids = memoryview(encode(text) + end)
                 total = len(ids) // 4
                 for k, first in enumerate(range(0, total, sequence)):
                     size = min(sequence, total - first)
