@@ -322,12 +322,16 @@ def _keys(texts: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _cut(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """The segments of ``texts(id, text, n, keys)`` with a key in ``keys``."""
-    names = ["id", "first", "key", "segment", "bytes", "n"]
+    """The segments of ``texts(id, text, n, keys)`` with a key in ``keys``.
+
+    A row for each text, with ``held``: the windows of all of these; and rows
+    for the segments themselves, equal ones of a portion counted as one (with
+    the place of one of them)."""
+    names = ["id", "held", "first", "key", "segment", "bytes", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _portions(batches, 1 << 22):
-            texts = batch.column(1).to_pylist()
+            ids, texts, weights = (batch.column(i).to_pylist() for i in (0, 1, 2))
             text, first, count, key, _ = segments(texts, length, gram, inner=False)
             wanted = batch.column(3)
             number = np.repeat(np.arange(batch.num_rows), np.diff(wanted.offsets.to_numpy()))
@@ -339,15 +343,31 @@ def _cut(texts: DataFrame, length: int, gram: int) -> DataFrame:
             for a, b, c, d in zip(low.tolist(), high.tolist(), begin.tolist(), stop.tolist(), strict=True):
                 if b > a:
                     keep[c:d] = np.isin(key[c:d].view(np.int64), pairs[1, a:b])
-            text, first, count, key = text[keep], first[keep], count[keep], key[keep]
-            cut = [texts[t][a : a + n + length - 1] for t, a, n in zip(text.tolist(), first.tolist(), count.tolist(), strict=True)]
-            made = [hashlib.blake2b(s, digest_size=16).digest() for s in cut]
-            rows = pa.array(text)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), pa.array(first), pa.array(key.view(np.int64)), pa.array(made, pa.binary()), pa.array(cut, pa.binary()), batch.column(2).take(rows)], names=names
-            )
-
-    return map_batches(texts, run, "id binary, first bigint, key bigint, segment binary, bytes binary, n bigint")
+            rows = zip(text[keep].tolist(), first[keep].tolist(), count[keep].tolist(), key[keep].view(np.int64).tolist(), strict=True)
+            held: list[list[tuple[int, int]]] = [[] for _ in ids]
+            made: dict[bytes, list] = {}
+            for t, a, n, k in rows:
+                if held[t] and held[t][-1][1] == a:
+                    held[t][-1] = (held[t][-1][0], a + n)
+                else:
+                    held[t].append((a, a + n))
+                piece = texts[t][a : a + n + length - 1]
+                name = hashlib.blake2b(piece, digest_size=16).digest()
+                if name in made:
+                    made[name][-1] += weights[t]
+                else:
+                    made[name] = [ids[t], a, k, name, piece, weights[t]]
+            some = [i for i, spans in enumerate(held) if spans]
+            none = [None] * len(some)
+            columns = list(zip(*made.values(), strict=True)) or [()] * 6
+            lists = [
+                pa.array([*(ids[i] for i in some), *columns[0]], pa.binary()),
+                pa.concat_arrays([_span_array([held[i] for i in some]), pa.nulls(len(made), _SPANS_ARROW)]),
+                *[pa.array([*none, *c], t) for c, t in zip(columns[1:], (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64()), strict=True)],
+            ]
+            yield pa.RecordBatch.from_arrays(lists, names=names)
+
+    return map_batches(texts, run, f"id binary, held {_SPANS}, first bigint, key bigint, segment binary, bytes binary, n bigint")
 
 
 def _outside(spans: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
@@ -418,7 +438,7 @@ def _repeated_windows(texts: DataFrame, whole: DataFrame, length: int, sizes: li
     cut = stage(_cut(whole.join(wanted, "id").select("id", "text", "n", "keys"), length, gram), "segments")
     # The place is that of the only one if the count is one.
     one = [F.first("bytes").alias("bytes"), F.sum("n").alias("n"), F.min("id").alias("id"), F.min("first").alias("first")]
-    parts = stage(cut.groupBy("key", "segment").agg(*one), "distinct-segments")
+    parts = stage(cut.where("key is not null").groupBy("key", "segment").agg(*one), "distinct-segments")
     hot = None
     if longer:
         hot = stage(parts.groupBy("key").agg(F.sum(F.length("bytes")).alias("size")).where(F.col("size") > BLOCK).select("key"), "hot-keys")
@@ -426,9 +446,8 @@ def _repeated_windows(texts: DataFrame, whole: DataFrame, length: int, sizes: li
         singles = _singles(parts, length)
     else:
         singles = _singles(parts.join(hot, "key", "left_anti"), length).unionByName(_hot_singles(parts.join(hot, "key", "left_semi"), length, longer))
-    here = F.array(F.struct(F.col("first").alias("low"), (F.col("first") + F.length("bytes") - length + 1).alias("high")))
     none = F.lit(None).cast(_SPANS)
-    rows = cut.select("id", here.alias("held"), none.alias("alone")).unionByName(singles.select("id", none.alias("held"), F.col("spans").alias("alone")))
+    rows = cut.where("key is null").select("id", "held", none.alias("alone")).unionByName(singles.select("id", none.alias("held"), F.col("spans").alias("alone")))
     per_text = rows.groupBy("id").agg(F.flatten(F.collect_list("held")).alias("held"), F.flatten(F.collect_list("alone")).alias("alone"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
