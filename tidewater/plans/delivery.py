@@ -14,6 +14,7 @@ from pyspark.sql.types import DecimalType, StructType
 from tidewater.functions.exprs import key_default, surrogate_id, try_timestamp, year_of
 from tidewater.operators.analytics import count_where, money_mean, union_all
 from tidewater.operators.cleaning import clean_collection, drop_array_columns, drop_if_present, type_by_name
+from tidewater.operators.ids import dense_ids
 from tidewater.operators.nested import explode_structs
 from tidewater.operators.quality import fk_orphan_counts, key_violations
 from tidewater.sinks.tables import create_tables, replace_table, replicate, skip_if_empty
@@ -102,11 +103,14 @@ def prepare_collection(
     return type_by_name(df, types)
 
 
-def customer_actions(customers: DataFrame, key: str = "customer_id") -> DataFrame:
+def customer_actions(customers: DataFrame, key: str = "customer_id", ids: str = "hash") -> DataFrame:
     """M8: one row per action of each customer.  A missing action name
-    gives "unknown"; customers with empty or NULL action lists give no rows;
-    ``action_id`` is a stable id from the row's content and its position in
-    the list, so equal actions of a customer differ."""
+    gives "unknown"; customers with empty or NULL action lists give no rows.
+
+    ``action_id`` with ``ids="hash"`` is a stable id from the row's content
+    and its position in the list, so equal actions of a customer differ; with
+    ``ids="dense"`` it counts the actions by customer and position, from 1 on
+    and without gaps, as a sequence does (one more pass; never collides)."""
     numbered = customers.select(key, F.transform("actions", lambda a, i: F.struct(a.alias("a"), i.alias("at"))).alias("actions"))
     item = F.col("_item")["a"]
     rows = explode_structs(
@@ -119,7 +123,10 @@ def customer_actions(customers: DataFrame, key: str = "customer_id") -> DataFram
             "_at": F.col("_item")["at"],
         },
     )
-    rows = rows.withColumn("action_id", surrogate_id(key, "_at", "action_type", "action_timestamp"))
+    if ids == "dense":
+        rows = dense_ids(rows, "action_id", [key, "_at"])
+    else:
+        rows = rows.withColumn("action_id", surrogate_id(key, "_at", "action_type", "action_timestamp"))
     return rows.select("action_id", key, "action_type", "action_timestamp")
 
 
@@ -240,8 +247,9 @@ def load_all(
             written[c.table] = c.extra["rows"]
         if with_actions and prepared is not None:
             try:
-                actions = customer_actions(prepared)
-                if not skip_if_empty(actions):  # no actions leave the table as it was (K15)
+                # No actions leave the table as it was.
+                if not skip_if_empty(customer_actions(prepared)):
+                    actions = customer_actions(prepared, ids="dense")
                     written[actions_table] = replicate(actions, actions_table, path=where(actions_table))
             finally:
                 prepared.unpersist()

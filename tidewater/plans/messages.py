@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from tidewater.operators.nested import text_schema, to_nested_value, to_value
 from tidewater.sinks.files import write_csv, write_text
 from tidewater.sinks.topic import write_topic
+from tidewater.streaming.batches import Output, drain_batches
 from tidewater.streaming.drain import drain_to_table
 
 # The loan message fields flattened to text, as
@@ -122,11 +123,19 @@ def run_stream_to_csv(
     view: str = "received_messages",
     timeout: float | None = None,
 ) -> DataFrame:
-    """M15 end to end: drain the stream once (checkpointed file sink), flatten
-    the drained table with SQL, write it as CSV with a header (K2)."""
-    flat = stream_flat(spark, sdf, drained_path, checkpoint, view=view, paths=paths, timeout=timeout)
-    write_csv(flat, out_path)
-    return flat
+    """M15 end to end: drain the stream once; every batch is added to the
+    drained table and, flattened with SQL, to the CSV files with a header
+    (K2), once each.  A rerun adds only what is new.  Returns the drained
+    table, flattened."""
+
+    def flatten(batch: DataFrame) -> DataFrame:
+        # The batch belongs to a session of its own, and so does its view.
+        return flat_messages(batch.sparkSession, batch, view=f"{view}_batch", paths=paths)
+
+    outputs = [Output(drained_path), Output(out_path, flatten, "csv", {"header": "true"})]
+    values = message_values(sdf)
+    drain_batches(values, outputs, checkpoint, timeout=timeout)
+    return flat_messages(spark, spark.read.schema(values.schema).parquet(drained_path), view=view, paths=paths)
 
 
 def run_stream_to_text(
