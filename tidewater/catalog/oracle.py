@@ -308,6 +308,29 @@ UNION ALL SELECT 'csv', 'more cells than the header', count(*), CAST(sum(event_i
 UNION ALL SELECT 'json', 'read', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer WHERE c_custkey % 20 NOT IN (3, 4)
 UNION ALL SELECT 'json', 'not a JSON document', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer WHERE c_custkey % 20 = 3
 UNION ALL SELECT 'json', 'does not fit the schema', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer WHERE c_custkey % 20 = 4
+""",
+    "wide_means": """
+SELECT l_linenumber, coalesce(bool_or(odd AND l_linenumber = 3), false) AS is_nan, coalesce(bool_or(odd AND l_linenumber = 4), false) AS is_infinite,
+       CASE WHEN NOT coalesce(bool_or(odd AND l_linenumber IN (3, 4)), false)
+            THEN round(avg(CAST(l_quantity AS DOUBLE)) FILTER (NOT (odd AND l_linenumber = 5)), 6) END AS mean
+FROM (SELECT *, l_orderkey % 100 = 1 AS odd FROM lineitem) GROUP BY l_linenumber
+""",
+    "dense_line_ids": """
+SELECT row_number() OVER (ORDER BY l_orderkey % 2, l_orderkey, l_linenumber) AS line_id, l_orderkey, l_linenumber FROM lineitem
+""",
+    "changed_years": """
+SELECT CAST(year(o_orderdate) AS VARCHAR) AS order_year, count(*) AS orders,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN year(o_orderdate) IN (1993, 1995) THEN 1 ELSE 0 END) AS DECIMAL(38,2)) AS total,
+       year(o_orderdate) NOT IN (1993, 1995) AS same_files
+FROM orders GROUP BY year(o_orderdate)
+""",
+    "file_increments": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders, CAST(sum(o_custkey) AS BIGINT) AS customers, (SELECT count(*) FROM orders) AS loaded
+FROM orders GROUP BY 1
+""",
+    "stream_batches": """
+SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, (SELECT count(*) FROM events) AS ledger_rows, CAST(2 AS BIGINT) AS batches
+FROM events GROUP BY event_type
 """,
     "csv_dates": "SELECT event_id, date_trunc('minute', ts) AS noted_date FROM events",
     "batch_flat": """

@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 
 from tidewater.catalog import inputs as I
 from tidewater.operators import analytics, cleaning, nested, quality
+from tidewater.operators.ids import dense_ids, next_id
+from tidewater.operators.sums import SteadySums
 from tidewater.plans import delivery, documents, engines, messages, passengers, weather
 from tidewater.session import scratch_path
 from tidewater.sinks import files as fsink
+from tidewater.sinks import increments
 from tidewater.sinks import tables as tsink
 from tidewater.sources import files as fsrc
-from tidewater.streaming import drain
+from tidewater.streaming import batches, drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -225,6 +228,77 @@ def csv_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("event_id", weather.parse_ts("noted_date", weather.READING_FORMAT).alias("noted_date"))
 
 
+def wide_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means by line number of values that differ by 40 orders of
+    magnitude from group to group, two groups with a NaN or an infinity."""
+    li = I.table(spark, sf_dir, "lineitem").select("l_linenumber", "l_orderkey", F.col("l_quantity").cast("double").alias("q"))
+    n, odd = F.col("l_linenumber"), F.col("l_orderkey") % 100 == 1
+    scale = F.when(n == 1, 1e-10).when(n == 2, 1e30).otherwise(1.0)
+    x = F.when((n == 3) & odd, float("nan")).when((n == 4) & odd, float("inf")).when((n == 5) & odd, F.lit(None)).otherwise(F.col("q") * scale)
+    sums = SteadySums(li.withColumns({"x": x, "scale": scale}), ["x"])
+    means = sums.frame.groupBy("l_linenumber").agg(sums.mean("x").alias("m"), F.max("scale").alias("scale"))
+    finite = F.abs("m") < float("inf")
+    return means.select("l_linenumber", F.isnan("m").alias("is_nan"), (F.col("m") == float("inf")).alias("is_infinite"), F.when(finite, F.round(F.col("m") / F.col("scale"), 6)).alias("mean"))
+
+
+def dense_line_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines numbered without gaps in their order, in two
+    loads, the second from the table's last id on."""
+    li = I.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    table, keys = f"{_database(spark)}.lines", ["l_orderkey", "l_linenumber"]
+    for odd in (0, 1):
+        tsink.append_table(dense_ids(li.where(F.col("l_orderkey") % 2 == odd), "line_id", keys, start=next_id(spark, table, "line_id")), table)
+    return spark.table(table)
+
+
+def changed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders partitioned by year, two years delivered anew with
+    other amounts: only their files change."""
+    o = I.table(spark, sf_dir, "orders").select("o_orderkey", I.money("o_totalprice").alias("amount"), F.year("o_orderdate").cast("string").alias("order_year"))
+    table = f"{_database(spark)}.orders"
+    tsink.create_tables(spark, {table: "o_orderkey BIGINT, amount DECIMAL(18,2), order_year STRING"}, partitions={table: "order_year"})
+    tsink.replicate(o, table)
+    path = F.input_file_name()
+    before = spark.table(table).select("order_year", path.alias("path")).distinct().groupBy("order_year").agg(F.sort_array(F.collect_list("path")).alias("before"))
+    before = spark.createDataFrame(before.collect(), before.schema)  # a list of file names
+    tsink.replace_partitions(o.where("order_year IN ('1993', '1995')").withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)")), table)
+    now = spark.table(table).select("*", path.alias("path"))
+    files = now.select("order_year", "path").distinct().groupBy("order_year").agg(F.sort_array(F.collect_list("path")).alias("after"))
+    totals = now.groupBy("order_year").agg(F.count(F.lit(1)).alias("orders"), F.sum("amount").cast("decimal(38,2)").alias("total"))
+    same = files.join(before, "order_year").select("order_year", (F.col("after") == F.col("before")).alias("same_files"))
+    return totals.join(same, "order_year")
+
+
+def file_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders delivered in three files' worth, the second with known
+    and late orders among the new; each file is read once, and the target is
+    looked up only from the lowest date of the new rows on."""
+    o = I.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    folder, table = scratch_path(spark, "deliveries"), f"{_database(spark)}.orders"
+    deliveries = ["o_orderkey % 3 = 0", "o_orderkey % 3 = 1 OR o_orderkey % 30 = 0", "o_orderkey % 3 = 2 OR o_orderkey % 50 = 1"]
+    loads = []
+    for i, which in enumerate(deliveries):
+        fsink.write_parquet(o.where(which), f"{folder}/delivery{i}")
+        loads.append(increments.load_new_files(spark, folder, lambda paths: spark.read.parquet(*[p for p in paths if p.endswith(".parquet")]), table, o.columns, ["o_orderkey"], "o_orderdate"))
+    again = increments.load_new_files(spark, folder, lambda paths: spark.read.parquet(*paths), table, o.columns, ["o_orderkey"], "o_orderdate")
+    return spark.table(table).groupBy(F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("orders"), F.sum("o_custkey").cast("bigint").alias("customers"), F.lit(sum(loads) + again).cast("bigint").alias("loaded"))
+
+
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events delivered in two goes and drained after each,
+    batch by batch: every event is there once, with the rows of the ledger."""
+    ev = I.table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    src, out, ckpt = (scratch_path(spark, n) for n in ("batches_in", "batches_out", "batches_ckpt"))
+    for go in (0, 1):
+        ev.where(F.col("event_id") % 2 == go).write.mode("append").parquet(src)
+        sdf = drain.file_stream(spark, src, "event_id BIGINT, event_type STRING, value DOUBLE")
+        batches.drain_batches(sdf, [batches.Output(out)], ckpt)
+    seen = batches.ledger(spark, out).agg(F.sum("rows").alias("ledger_rows"), F.count(F.lit(1)).alias("batches"))
+    rows = spark.read.parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").cast("bigint").alias("ids"))
+    total = seen.first()  # one row
+    return rows.select("*", F.lit(total["ledger_rows"]).cast("bigint").alias("ledger_rows"), F.lit(total["batches"]).cast("bigint").alias("batches"))
+
+
 def rejected_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files with bad rows: what is read, and what is rejected and
     why.  In one CSV row of 50 the id is not a number, in one there is a cell
@@ -527,6 +601,11 @@ QUERIES: dict[str, Query] = {
     "stream_text": stream_text,
     "csv_dates": csv_dates,
     "rejected_input": rejected_input,
+    "wide_means": wide_means,
+    "dense_line_ids": dense_line_ids,
+    "changed_years": changed_years,
+    "file_increments": file_increments,
+    "stream_batches": stream_batches,
     "batch_flat": batch_flat,
     "collection_rows": collection_rows,
     "message_values": message_values,
