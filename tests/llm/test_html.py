@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from tidewater.llm.html_text import extract, main_text
+import random
+import re
+import time
+
+from tidewater.llm.html_text import INLINE, SCOPE, Page, extract, main_text
 
 LONG = "This is a paragraph with commas, and with enough words, to count as running text in any page."
 
@@ -86,3 +90,71 @@ def test_link_lists_of_an_article_go_only_if_marked():
     got = main_text(page(f"<article><p>{LONG}</p><ul>{links}</ul><table>{rows}</table><ul class=page-nav>{links}</ul><nav>{links}</nav></article>"))
     assert got == " ".join([LONG, *(f"Source {i}" for i in range(4)), *(f"Row {i}" for i in range(4))])
     assert main_text(page(f"<main><p>{LONG}</p><div><ol>{links}</ol></div></main>")).endswith("Source 3")
+
+
+BLOCK = "<p>" + "This is a long sentence of the article, with commas, and more words. " * 4 + "</p>"
+
+
+def test_running_text_beside_an_article_in_main_stays():
+    lead, end = "A lead paragraph that tells what it is about.", "A closing paragraph that sums it up in a few words."
+    text = main_text(f"<main><p>{lead}</p><article>{BLOCK * 4}</article><p>{end}</p></main><footer>imprint</footer>")
+    assert text.startswith(lead) and text.endswith(end)
+    second = "A second short article in the main element here."
+    assert main_text(f"<main><article>{BLOCK * 6}</article><article><p>{second}</p></article></main>").endswith(second)
+    notice = "We use cookies on this site, please accept all of them now."
+    assert "cookies" not in main_text(f"<body><div>{notice}</div><article>{BLOCK * 3}</article><p>{notice}</p></body>")
+
+
+def test_furniture_words_in_names_of_subjects():
+    subjects = "".join(f"<section class='{c}'><p>The part on {c} is one of the article and stays in it.</p></section>" for c in ("market-share", "social-history", "related-work"))
+    parts = "".join(f"<div class='{c}'><p>The block of {c} is no part of the article and goes away.</p></div>" for c in ("social-share", "related-posts", "share-buttons", "copyright", "post-share"))
+    text = main_text(f"<article>{BLOCK}{subjects}{parts}</article>")
+    assert text.count("stays in it") == 3 and "goes away" not in text
+
+
+def test_work_is_linear_in_stray_and_nested_tags():
+    def seconds(source):
+        start = time.process_time()
+        main_text(source)
+        return time.process_time() - start
+
+    for make in (lambda n: "<div>" * n + "</section>" * n, lambda n: "<i><div>" + "<b>" * n + "</i>" * n, lambda n: "<p>" + "<b>" * n + "<li>" * n):
+        small, large = seconds(make(4000)), seconds(make(32000))
+        assert large < 0.5 or large < 24 * small
+
+
+def test_a_plain_parser_sees_the_same_elements():
+    """Against a stack searched from its top: ends that are there, stray ends,
+    inline ends that a block keeps apart."""
+    draw = random.Random(4)
+    for _ in range(300):
+        tags = [draw.choice(["div", "p", "b", "i", "section", "span", "em"]) for _ in range(40)]
+        source = "".join(f"</{t}>" if draw.random() < 0.45 else f"<{t}>" for t in tags) + "x"
+        page, stack, parents = Page(source), [(0, "#page")], [0]
+        for name in re.findall(r"</?\w+>", source):
+            tag = name.strip("</>")
+            if name[1] != "/":
+                if tag not in INLINE:
+                    for depth in range(len(stack) - 1, 0, -1):
+                        if stack[depth][1] == "p":
+                            del stack[depth:]
+                            break
+                        if stack[depth][1] in SCOPE:
+                            break
+                parents.append(stack[-1][0])
+                stack.append((len(parents) - 1, tag))
+                continue
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth][1] == tag:
+                    del stack[depth:]
+                    break
+                if tag in INLINE and stack[depth][1] not in INLINE:
+                    break
+        assert page.parent == parents and page.runs[-1] == (stack[-1][0], "x")
+
+
+def test_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "<p>Hello there, reader of this page.</p>", "a", "b", {"k": 1})], "page_id int, html string, source string, _html string, extra map<string,int>")
+    got = extract(pages)
+    assert got.columns == ["page_id", "html", "source", "_html", "extra", "text", "n_chars"]
+    assert got.first()["text"] == "Hello there, reader of this page." and got.first()["_html"] == "b"

@@ -142,3 +142,13 @@ def test_dedup_keeps_one_of_each_component(spark):
     assert S.dedup(docs.limit(0)).count() == 0
     unique = docs.where("doc_id < 400").dropDuplicates(["doc_id"])
     assert S.dedup(unique).count() == S.near_duplicates(unique).select("component_id").distinct().count()
+
+
+def test_dedup_keeps_columns_of_any_name_and_type(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, "a", "b", "c", "d", {"k": 1}, [1]), (1, text, "a", "b", "c", "d", {"k": 1}, [1]), (2, "other words stand here alone", "a", "b", "c", "d", None, None), (None, text, "x", "b", "c", "d", {}, [])]
+    schema = "doc_id bigint, text string, _id string, stays_id string, rank string, own_fp string, extra map<string,int>, list array<int>"
+    docs = spark.createDataFrame(rows, schema)
+    got = S.dedup(docs)
+    assert got.columns == docs.columns
+    assert sorted((r["doc_id"], r["rank"], r["extra"]) for r in got.collect()) == [(1, "c", {"k": 1}), (2, "c", None)]

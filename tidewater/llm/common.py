@@ -29,9 +29,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _staged.add(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_staged(spark: SparkSession, before: set[str], keep: str | None = None) -> None:
+    """Remove what :func:`stage` wrote since ``before`` (see :func:`staged`),
+    but for the folder ``keep``."""
+    for path in sorted(_staged - before - {keep}):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _staged.discard(path)
+
+
+def staged() -> set[str]:
+    """Folders that :func:`stage` has written and nobody removed."""
+    return set(_staged)
+
+
+_staged: set[str] = set()
 _shipped: set[str] = set()
 
 
@@ -65,6 +81,12 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def spare_names(taken: list[str], *names: str) -> list[str]:
+    """Each of ``names``, with a number if a column has it already."""
+    known = {t.lower() for t in taken}
+    return [next(n for n in (name, *(f"{name}_{i}" for i in range(len(known) + 1))) if n.lower() not in known) for name in names]
+
+
 def add_columns(df: DataFrame, columns: str, fn: Callable[[list], list[list]], source: str) -> DataFrame:
     """Add ``columns`` (a DDL string) computed batch by batch from ``source``.
 

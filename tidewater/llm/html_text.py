@@ -3,8 +3,10 @@
 Paragraphs earn points for their length and their commas; the points pass
 up to the ancestors (whole to the parent, half to the next, less above) and
 are discounted by the ancestor's link density.  If the best container stands
-in an ``article`` or ``main`` element, that whole element is the container,
-with siblings that score well beside it.  Else the best container is kept
+in an ``article`` or ``main`` element, that whole element is the container;
+an article in ``main`` has the running text beside it (lead and closing
+paragraphs, sections, other articles), others have the articles beside them.
+Else the best container is kept
 with the running text beside it: paragraphs, lists and sections by their own
 text and link density, headings of what is kept, loose text of the parent;
 and so on upwards while most of the text beside it is running text.  Menus,
@@ -20,7 +22,9 @@ blocks are joined in page order by one space.
 Edge cases: null or empty html gives an empty text; a page without any
 scored paragraph gives its ``article`` or ``main``, else all that is not left
 out; plain text without tags is its own text; repeated rows are kept; an
-empty table gives an empty result.  Work and memory are linear in the page.
+empty table gives an empty result; other columns are kept whatever their
+names, but one named ``text`` or ``n_chars`` is replaced.  Work and memory are
+linear in the page: open elements are found by name, not by a search of all.
 """
 
 from __future__ import annotations
@@ -38,7 +42,6 @@ from tidewater.llm.common import extended, map_batches, without
 LEAST_PARAGRAPH = 25
 CHARS_PER_POINT = 100
 MOST_LENGTH_POINTS = 3
-SIBLING_SHARE = 0.2
 LINK_LIST = 0.6
 #: A block with a larger share of linked text is no running text.
 MOST_LINKED = 0.5
@@ -68,13 +71,25 @@ HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
 #: Elements that an implied end does not reach beyond.
 SCOPE = {"ul", "ol", "dl", "table", "select", "article", "section", "div", "main", "body", "html", "td", "th", "blockquote", "nav", "aside", "header", "footer", "form"}
+#: Words for parts of any page.
+LAYOUT_PARTS = {
+    "a", "about", "after", "all", "and", "area", "article", "articles", "aside", "bar", "before", "block", "blog", "body", "bottom", "box", "btn", "button", "buttons", "by", "col", "column",
+    "container", "content", "contents", "count", "entries", "entry", "facebook", "feed", "floating", "follow", "for", "form", "group", "heading", "icon", "icons", "inner", "input", "item",
+    "items", "js", "label", "left", "legal", "link", "links", "list", "main", "media", "meta", "more", "news", "outer", "page", "pages", "panel", "post", "posts", "read", "reading", "right",
+    "row", "section", "side", "single", "site", "sticky", "stories", "story", "text", "the", "this", "title", "to", "tool", "tools", "top", "topics", "twitter", "us", "view", "with", "wrap",
+    "wrapper", "you", "your",
+}
 #: Words of class, id and role that mark page furniture.
 FURNITURE = {
-    "ad", "ads", "adsense", "advert", "advertisement", "adverts", "aside", "banner", "breadcrumb", "breadcrumbs", "complementary", "consent", "contentinfo", "cookie", "cookies", "dialog",
+    "ad", "ads", "adsense", "advert", "advertisement", "adverts", "aside", "banner", "breadcrumb", "breadcrumbs", "complementary", "consent", "contentinfo", "cookie", "cookies", "copyright", "dialog",
     "disclaimer", "footer", "gdpr", "header", "login", "masthead", "menu", "menubar", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "notification", "pager",
     "pagination", "popup", "promo", "promoted", "promotion", "recommended", "related", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored",
     "subscribe", "subscription", "tags", "toolbar", "widget", "widgets",
 }
+#: Of these, words that also name subjects: beside a word that is not one of
+#: ``PARTS`` (market-share, related-work) they mark nothing.
+SUBJECTS = {"notice", "notices", "promotion", "recommended", "related", "search", "share", "sharing", "skip", "social", "tags"}
+PARTS = FURNITURE | LAYOUT_PARTS
 READERS = {"comment", "commentlist", "comments", "discussion", "disqus", "replies", "reply", "respond", "responses"}
 #: A class of these words tells of the page's layout or the post's data, and
 #: its furniture words (with-sidebar, has-menu, category-social) mark nothing.
@@ -94,7 +109,7 @@ def _furniture(tag: str, attributes: str) -> bool:
         return False
     found = _attributes(attributes)
     names = [set(_NAME.findall(name)) for k in ("class", "id", "role") for name in found.get(k, "").split()]
-    words = set().union(*(n for n in names if not n & LAYOUT))
+    words = set().union(*(n - SUBJECTS if n - PARTS - READERS else n for n in names if not n & LAYOUT))
     if tag in ("html", "body", "main"):
         return False
     if words & READERS:
@@ -111,8 +126,33 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent, self.out = ["#page"], [0], [False]
         self.runs: list[tuple[int, str | None]] = []
+        # Places in the stack of the open elements, by name, of the blocks and
+        # of those that an implied end does not reach beyond.
+        self.opened: dict[str, list[int]] = {}
+        self.blocks, self.scopes = [0], [0]
         self._parse(source)
 
+    def _push(self, stack: list[int], node: int) -> None:
+        tag = self.tag[node]
+        self.opened.setdefault(tag, []).append(len(stack))
+        if tag not in INLINE:
+            self.blocks.append(len(stack))
+        if tag in SCOPE:
+            self.scopes.append(len(stack))
+        stack.append(node)
+
+    def _cut(self, stack: list[int], depth: int) -> None:
+        """Close the elements from ``depth`` on."""
+        while len(stack) > depth:
+            self.opened[self.tag[stack.pop()]].pop()
+        for held in (self.blocks, self.scopes):
+            while held[-1] >= depth:
+                held.pop()
+
+    def _innermost(self, tag: str) -> int:
+        held = self.opened.get(tag)
+        return held[-1] if held else 0
+
     def _parse(self, source: str) -> None:
         stack, at, end = [0], 0, len(source)
         while at < end:
@@ -138,7 +178,7 @@ class Page:
             else:
                 self._open(stack, tag, attributes)
                 if tag in VOID or attributes.rstrip().endswith("/") and tag not in INLINE and tag not in SCOPE:
-                    stack.pop()
+                    self._cut(stack, len(stack) - 1)
 
     def _text(self, node: int, text: str) -> None:
         self.runs.append((node, html.unescape(text) if "&" in text else text))
@@ -156,29 +196,22 @@ class Page:
         self.tag.append(tag)
         self.parent.append(stack[-1])
         self.out.append(self.out[stack[-1]] or _furniture(tag, attributes))
-        stack.append(len(self.tag) - 1)
+        self._push(stack, len(self.tag) - 1)
 
     def _end(self, stack: list[int], tags: set[str]) -> None:
         """Imply the end of the innermost open element of ``tags``."""
-        for depth in range(len(stack) - 1, 0, -1):
-            tag = self.tag[stack[depth]]
-            if tag in tags:
-                self._edge(stack[depth])
-                del stack[depth:]
-                return
-            if tag in SCOPE:
-                return
+        depth = max(map(self._innermost, tags))
+        if depth and depth >= self.scopes[-1]:
+            self._edge(stack[depth])
+            self._cut(stack, depth)
 
     def _close(self, stack: list[int], tag: str) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            open_ = self.tag[stack[depth]]
-            if open_ == tag:
-                if tag not in INLINE:
-                    self._edge(stack[depth])
-                del stack[depth:]
-                return
-            if tag in INLINE and open_ not in INLINE:
-                return
+        depth = self._innermost(tag)
+        if not depth or tag in INLINE and depth < self.blocks[-1]:
+            return
+        if tag not in INLINE:
+            self._edge(stack[depth])
+        self._cut(stack, depth)
 
     def text(self, kept: list[bool]) -> str:
         return " ".join("".join(" " if run is None else run for node, run in self.runs if kept[node]).split())
@@ -261,16 +294,25 @@ def _container(page: Page, best: int, score: list[float], chars: list[int], link
             named = at
         at = page.parent[at]
     if named is not None:
-        above, bar = page.parent[named], max(10.0, SIBLING_SHARE * score[named])
-        return {named} | {i for i in range(1, n) if page.parent[i] == above and not page.out[i] and score[i] >= bar}, set()
+        # Outside ``main`` (or another article) only other articles belong to it.
+        within = at_or_above(page, page.parent[named], ("article", "main"))
+        keep, loose = _beside(page, named, chars, linked, own, levels=1)
+        return {i for i in keep if i == named or within or page.tag[i] == "article"}, loose if within else set()
     return _beside(page, best, chars, linked, own)
 
 
-def _beside(page: Page, best: int, chars: list[int], linked: list[int], own: list[int]) -> tuple[set[int], set[int]]:
-    """The best container, and the running text beside it and above."""
+def at_or_above(page: Page, at: int, tags: tuple[str, ...]) -> bool:
+    while at and page.tag[at] not in tags:
+        at = page.parent[at]
+    return at > 0
+
+
+def _beside(page: Page, best: int, chars: list[int], linked: list[int], own: list[int], levels: int | None = None) -> tuple[set[int], set[int]]:
+    """The best container, and the running text beside it and above (in
+    ``levels`` of its ancestors at most)."""
     n = len(page.tag)
     path, at = set(), best
-    while at:
+    while at and (levels is None or len(path) < levels):
         at = page.parent[at]
         path.add(at)
     below: dict[int, list[int]] = {i: [] for i in path}
@@ -287,7 +329,7 @@ def _beside(page: Page, best: int, chars: list[int], linked: list[int], own: lis
             running[i] += own[i] * (own[i] >= least)
         running[above] += running[i]
     keep, loose, at = {best}, set(), best
-    while at:
+    while at and page.parent[at] in path:
         above, beside, headed = page.parent[at], 0, False
         for i in below[above]:  # the last one first
             if i == at:
@@ -324,14 +366,16 @@ def _is_text(tag: str, chars: int, linked: int, own: int, running: int) -> bool:
 def extract(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
     """``pages`` (or its columns ``keep``) with ``text`` and ``n_chars``."""
     kept = [c for c in (keep if keep is not None else pages.columns) if c.lower() not in ("text", "n_chars")]
-    source = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{html_col}`").cast("binary").alias("_html"))
+    taken = {c.lower() for c in kept}
+    name = next(n for n in ("source", *(f"source_{i}" for i in range(len(taken) + 1))) if n not in taken)
+    source = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{html_col}`").cast("binary").alias(name))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(None if (s := x.as_py()) is None else s.decode("utf-8", "replace")) for x in batch.column("_html")]
+            texts = [main_text(None if (s := x.as_py()) is None else s.decode("utf-8", "replace")) for x in batch.column(name)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=[*kept, "text", "n_chars"],
             )
 
-    return map_batches(source, run, extended(without(source, "_html").schema, "text string, n_chars bigint"))
+    return map_batches(source, run, extended(without(source, name).schema, "text string, n_chars bigint"))

@@ -23,7 +23,8 @@ Edge cases: null text and text without words have fingerprint zero, which
 links like any other; repeated rows are kept and share a component; a null
 id is kept but never the name of a component unless all its ids are null;
 an empty table gives an empty result.  Other input columns are not read by
-``fingerprints``; ``dedup`` keeps all columns of its input.
+``fingerprints``; ``dedup`` keeps all columns of its input, whatever their
+names and types.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import add_columns, extended, map_batches, stage
+from tidewater.llm.common import add_columns, extended, map_batches, spare_names, stage
 from tidewater.llm.components import components
 
 SHINGLE = 3
@@ -226,16 +227,24 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     smallest fingerprint, then the smallest other columns).
     """
     fps, of_fp = _classes(docs, id_col, text_col, shingle, radius, tree_nodes)
-    stays = of_fp.select(F.col("id").alias("_id"), F.col("id_fp").alias("_fp")).distinct()
-    odd = stage(fps.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("_id")), "odd-ids")
+    name, print_, text, own, rank = spare_names(docs.columns, "stays_id", "stays_fp", "raw", "own_fp", "rank")
+    here = F.col(f"`{id_col}`")
+    stays = of_fp.select(F.col("id").alias(name), F.col("id_fp").alias(print_)).distinct()
+    odd = stage(fps.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias(name)), "odd-ids")
     if odd.isEmpty():
-        return docs.join(stays, F.col(id_col) == F.col("_id"), "left_semi")
+        return docs.join(stays, here == F.col(name), "left_semi")
     # Null and repeated ids do not name one row: these rows are told apart by
     # their fingerprint, and exact repeats by a rank.
-    plain = docs.join(odd, F.col(id_col).eqNullSafe(F.col("_id")), "left_anti").join(stays, F.col(id_col) == F.col("_id"), "left_semi")
-    some = docs.join(odd, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
-    some = add_columns(some.withColumn("_text", F.col(text_col).cast("binary")), "_own bigint", lambda texts: [[_signed(fingerprint(t, shingle)) for t in texts]], "_text").drop("_text")
-    some = some.join(stays, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_fp")), "left_semi")
-    one = Window.partitionBy("_own", id_col).orderBy(*[F.col(f"`{c}`") for c in docs.columns])
-    some = some.withColumn("_rank", F.row_number().over(one)).where("_rank = 1")
-    return plain.unionByName(some.drop("_own", "_rank"))
+    plain = docs.join(odd, here.eqNullSafe(F.col(name)), "left_anti").join(stays, here == F.col(name), "left_semi")
+    some = docs.join(odd, here.eqNullSafe(F.col(name)), "left_semi")
+    some = add_columns(some.withColumn(text, F.col(f"`{text_col}`").cast("binary")), f"{own} bigint", lambda texts: [[_signed(fingerprint(t, shingle)) for t in texts]], text).drop(text)
+    some = some.join(stays, here.eqNullSafe(F.col(name)) & (F.col(own) == F.col(print_)), "left_semi")
+    one = Window.partitionBy(own, here).orderBy(*[_orderable(docs, c) for c in docs.columns])
+    some = some.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1)
+    return plain.unionByName(some.drop(own, rank))
+
+
+def _orderable(docs: DataFrame, column: str):
+    """The column, or its JSON text if its kind has no order (maps)."""
+    c, kind = F.col(f"`{column}`"), docs.schema[column].dataType.simpleString()
+    return F.to_json(F.struct(c)) if "map<" in kind or "variant" in kind else c
