@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import decontaminate, packing, quality, simhash, toxicity
-from tidewater.llm.common import stage, table
+from tidewater.llm.common import remove_staged, stage, staged, table
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +55,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``.  Once a stage's result is written, the
+    one before and its inner steps are removed; the last one's stay, since
+    the result is read from them."""
+    docs, before = table(spark, sf_dir, "documents"), staged()
     for number, (_, step) in enumerate(STAGES):
+        inner = staged()
         docs = stage(step(spark, docs, sf_dir), f"pipeline-stage-{number}")
+        own = next(iter(p for p in staged() - inner if f"/pipeline-stage-{number}-" in p))
+        remove_staged(spark, before, keep=own)
     return docs
