@@ -34,6 +34,14 @@ def test_tiny_huge_and_three_decimal_amounts_stay(spark):
     assert kept == {"1": Decimal("0.004"), "2": Decimal("99999999999999999.5"), "3": Decimal("12.345")}
 
 
+def test_the_caller_sets_the_type_of_numbers(spark):
+    df = spark.createDataFrame([("1", "12345678901234567890123456.5")], "order_id string, order_amount string")
+    got = delivery.prepare_collection(df, numbers=(38, 6))
+    assert dict(got.dtypes)["order_amount"] == "decimal(38,6)" and got.first()["order_amount"] == Decimal("12345678901234567890123456.5")
+    with pytest.raises(Exception, match="does not fit"):
+        delivery.prepare_collection(df).collect()
+
+
 @pytest.mark.parametrize("text", ["1e25", "-123456789012345678901234567890", "1e-30"])
 def test_a_readable_number_that_does_not_fit_raises(spark, text):
     df = spark.createDataFrame([(text,)], "t string")

@@ -22,8 +22,12 @@ def test_flatten_pets_edge_rows(spark):
         (2, '{"pets": []}'),
         (3, "{}"),
         (4, None),
-        (5, '{"pets": {"name": "not an array"}}'),
     ]
+    # An object where the list should be stops the job, as it does in the job
+    # this one follows; it once gave no rows.
+    odd = spark.createDataFrame([(5, '{"pets": {"name": "not an array"}}')], "id int, json_data string")
+    with pytest.raises(Exception, match="no array at"):
+        documents.flatten_pets(odd, keep=["id"]).collect()
     df = spark.createDataFrame(docs, "id int, json_data string")
     out = documents.flatten_pets(df, keep=["id"]).orderBy("name").collect()
     assert [r.id for r in out] == [1, 1]

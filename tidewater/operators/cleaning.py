@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType, VariantType
 
-from tidewater.functions.exprs import days_before, try_number, try_timestamp
+from tidewater.functions.exprs import NUMBER_PRECISION, NUMBER_SCALE, days_before, try_number, try_timestamp
 from tidewater.operators.analytics import top_n
 
 # Id texts (lower-cased, not trimmed) that count as missing.
@@ -130,12 +130,13 @@ def drop_array_columns(df: DataFrame) -> DataFrame:
     return df.select(*keep)
 
 
-def clean_collection(df: DataFrame, key: str | None = None, order_by: Sequence[Column | str] | None = None) -> DataFrame:
+def clean_collection(df: DataFrame, key: str | None = None, order_by: Sequence[Column | str] | None = None, numbers: tuple[int, int] = (NUMBER_PRECISION, NUMBER_SCALE)) -> DataFrame:
     """M6: the cleaning steps a replicated collection goes through.
 
     1. keyed dedup on ``key`` (first by ``order_by``), when the column exists;
-    2. ``order_amount`` and ``rating`` to exact numbers (bad text -> NULL, a
-       number that does not fit raises);
+    2. ``order_amount`` and ``rating`` to exact numbers of the precision and
+       scale in ``numbers`` (bad text -> NULL, a number that does not fit
+       raises);
     3. ``order_amount > 0`` when present, on the number as parsed;
     4. critical id columns: not NULL and not a placeholder text;
     5. NULL text -> "unknown".
@@ -143,7 +144,7 @@ def clean_collection(df: DataFrame, key: str | None = None, order_by: Sequence[C
     if key and present(df, [key]):
         df = dedup_keep_first(df, [key], order_by or [key])
     for c in present(df, NUMBER_COLUMNS):
-        df = df.withColumn(c, try_number(c))
+        df = df.withColumn(c, try_number(c, *numbers))
     df = keep_positive_if_present(df, "order_amount")
     ids = present(df, CRITICAL_IDS)
     if ids:
@@ -152,10 +153,11 @@ def clean_collection(df: DataFrame, key: str | None = None, order_by: Sequence[C
     return fill_text(df)
 
 
-def type_by_name(df: DataFrame, column_types: Mapping[str, str] | None = None) -> DataFrame:
+def type_by_name(df: DataFrame, column_types: Mapping[str, str] | None = None, numbers: tuple[int, int] = (NUMBER_PRECISION, NUMBER_SCALE)) -> DataFrame:
     """M7 typing: explicit ``column_types`` first; else by name - a time word
     or an ``_at`` suffix gives a timestamp (bad text -> NULL), the number
-    columns give decimals, everything else stays as it is."""
+    columns give decimals (``numbers``: precision and scale), everything else
+    stays as it is."""
     out = []
     for f in df.schema.fields:
         name, low = f.name, f.name.lower()
@@ -168,7 +170,7 @@ def type_by_name(df: DataFrame, column_types: Mapping[str, str] | None = None) -
         elif any(w in low for w in TIME_WORDS) or low.endswith("_at"):
             out.append(try_timestamp(name).alias(name))
         elif low in NUMBER_COLUMNS:
-            out.append(try_number(name).alias(name))
+            out.append(try_number(name, *numbers).alias(name))
         else:
             out.append(F.col(name))
     return df.select(*out)

@@ -61,42 +61,40 @@ def explode_json(
     raises; ``bad="skip"`` leaves it out instead (list documents that are
     not JSON with :func:`bad_json`).
 
-    Under a plain dotted path a document is parsed once: Spark marks the
-    documents that do not fit, and only those are looked at again.
+    Under a plain dotted path a document is parsed once, down to the fields:
+    Spark marks the documents that do not fit, and only those are looked at
+    again.
     """
     if not isinstance(fields, Mapping):
         fields = {f: f for f in fields}
+    keys = list(dict.fromkeys(fields.values()))
+    # The text each field gets is the one get_json_object gives; a repeated
+    # key keeps its last value; an element that is not an object has NULLs.
+    layout = StructType([StructField(k, StringType()) for k in keys]) if all(_KEY.match(k) for k in keys) else None
+    source = df.select(*keep, F.col(col).alias("_text"))
+    checked = _list_or_fail("_text", path, bad)
+    if layout is not None:
+        checked = F.transform(checked, lambda e: F.from_json(e, layout))
     if _SIMPLE_PATH.match(path):
         steps = path[2:].split(".")
-        layout = StructType([_list_at(steps), StructField(_MARK, StringType())])
-        parsed = F.from_json(F.col(col), layout, {"columnNameOfCorruptRecord": _MARK})
+        whole = StructType([_list_at(steps, layout or StringType()), StructField(_MARK, StringType())])
+        source = source.withColumn("_doc", F.from_json("_text", whole, {"columnNameOfCorruptRecord": _MARK}))
         found = F.col("_doc")
         for step in steps:
             found = found[step]
-        source = df.select(*keep, F.col(col).alias("_text"), parsed.alias("_doc"))
-        arr = F.when(F.col("_doc")[_MARK].isNull(), found).otherwise(_list_or_fail("_text", path, bad))
-    else:
-        source = df.select(*keep, F.col(col).alias("_text"))
-        arr = _list_or_fail("_text", path, bad)
-    rows = source.select(*keep, F.explode(arr).alias(element))
-    keys = list(dict.fromkeys(fields.values()))
-    if not all(_KEY.match(k) for k in keys):
-        return rows.select(*keep, *[json_text(element, key).alias(name) for name, key in fields.items()])
-    # One parse per element against an all-text layout (the text each field
-    # gets is the one get_json_object gives; a repeated key keeps its last
-    # value); an element that is not an object gives NULL fields.
-    layout = StructType([StructField(k, StringType()) for k in keys])
-    parsed = rows.select(*keep, F.from_json(F.col(element), layout).alias("_el"))
-    return parsed.select(*keep, *[F.col("_el")[key].alias(name) for name, key in fields.items()])
+        checked = F.when(F.col("_doc")[_MARK].isNull(), found).otherwise(checked)
+    rows = source.select(*keep, F.explode(checked).alias(element))
+    field = (lambda key: F.col(element)[key]) if layout is not None else (lambda key: json_text(element, key))
+    return rows.select(*keep, *[field(key).alias(name) for name, key in fields.items()])
 
 
 # Column that holds the text of a document that does not fit its layout.
 _MARK = "_unread"
 
 
-def _list_at(steps: Sequence[str]) -> StructField:
-    """The layout of a document with a list of texts under some keys."""
-    kind: ArrayType | StructType = ArrayType(StringType())
+def _list_at(steps: Sequence[str], element: DataType) -> StructField:
+    """The layout of a document with a list under some keys."""
+    kind: ArrayType | StructType = ArrayType(element)
     for step in reversed(steps[1:]):
         kind = StructType([StructField(step, kind)])
     return StructField(steps[0], kind)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructType
 
-from tidewater.functions.exprs import key_default, surrogate_id, try_timestamp, year_of
+from tidewater.functions.exprs import NUMBER_PRECISION, NUMBER_SCALE, key_default, surrogate_id, try_timestamp, year_of
 from tidewater.operators.analytics import count_where, money_mean, union_all
 from tidewater.operators.cleaning import clean_collection, drop_array_columns, drop_if_present, type_by_name
 from tidewater.operators.ids import dense_ids
@@ -95,12 +95,14 @@ def prepare_collection(
     key: str | None = None,
     order_by: Sequence[Column | str] | None = None,
     types: Mapping[str, str] | None = None,
+    numbers: tuple[int, int] = (NUMBER_PRECISION, NUMBER_SCALE),
 ) -> DataFrame:
     """M7 without the write: ids to text, ``_id`` dropped, cleaned (M6),
-    typed by schema or by column name."""
+    typed by schema or by column name; ``numbers`` is the precision and scale
+    of numbers that come as text."""
     df = drop_if_present(ids_to_text(df), ["_id"])
-    df = clean_collection(df, key, order_by)
-    return type_by_name(df, types)
+    df = clean_collection(df, key, order_by, numbers)
+    return type_by_name(df, types, numbers)
 
 
 def customer_actions(customers: DataFrame, key: str = "customer_id", ids: str = "hash") -> DataFrame:
@@ -174,6 +176,7 @@ class Collection:
     order_by: Sequence[Column | str] | None = None
     types: Mapping[str, str] | None = None
     columns: Sequence[str] | None = None
+    numbers: tuple[int, int] = (NUMBER_PRECISION, NUMBER_SCALE)
     extra: dict = field(default_factory=dict)
 
 
@@ -186,7 +189,7 @@ def replicate_collection(c: Collection, path: str | None = None, keep: bool = Fa
     and deduplicated twice; the caller unpersists them."""
     if skip_if_empty(c.df):
         return None
-    prepared = prepare_collection(c.df, c.key, c.order_by, c.types)
+    prepared = prepare_collection(c.df, c.key, c.order_by, c.types, c.numbers)
     if keep:
         prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     main = drop_array_columns(prepared)
