@@ -37,6 +37,13 @@ def test_a_hot_id_does_not_fill_a_shard(spark):
     assert max(load) <= 1.05 * min(load)
 
 
+def test_places_do_not_depend_on_partitions(spark):
+    docs = [(1, "same row")] * 900 + [(None, "no id")] * 400 + [(2, f"text {i}") for i in range(500)] + [(i, f"row {i}") for i in range(3, 900)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    placed = [sorted(map(str, S.assign_shards(f, shards=8).drop("map_version").collect())) for f in (frame.coalesce(1), frame.repartition(7), frame.orderBy("text").repartition(3))]
+    assert placed[0] == placed[1] == placed[2]
+
+
 def test_empty_table(spark):
     assert S.assign_shards(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 

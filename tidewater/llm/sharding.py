@@ -10,8 +10,9 @@ Edge cases: a null id hashes like any other value; a null text counts no
 bytes and its checksum is that of no bytes; repeated rows are kept, each with
 its own place.  A slot that alone would hold more than an eighth of a shard
 (one repeated or null id, say) has its rows dealt over all slots by their
-staged row number, so one hot key cannot fill a shard.  An empty table gives
-an empty result.  Input columns other than the id and the text are not read.
+content, and equal ones by their rank, so one hot key cannot fill a shard and
+the places do not depend on files or partitions.  An empty table gives an
+empty result.  Input columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -142,12 +143,26 @@ def slot_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     share = sum(size) / max(1, shards) / HOT_PART_OF_A_SHARD
     hot = [s for s in range(slots) if size[s] > share and count[s] > 1]
     if hot:
-        dealt = F.pmod(F.xxhash64("doc_id", "row_no"), F.lit(slots)).cast("int")
-        rows = rows.withColumn("virtual_slot", F.when(F.col("virtual_slot").isin(hot), dealt).otherwise(F.col("virtual_slot")))
+        rows = rows.where(~F.col("virtual_slot").isin(hot)).unionByName(_dealt(rows.where(F.col("virtual_slot").isin(hot)), slots))
+        rows = stage(rows, "dealt-rows")
         size, count = _sums(rows, slots)
     return rows, size, count
 
 
+def _dealt(rows: DataFrame, slots: int) -> DataFrame:
+    """Rows of hot slots dealt over all slots by their content, equal ones by
+    their rank: which slots get how many of them depends on the rows alone,
+    not on files or partitions.  The rank is counted within a partition and
+    shifted by the partitions before, so no task gathers equal rows."""
+    ranked = rows.select("*", F.xxhash64("doc_id", "text_crc32", "size").alias("content"), F.shiftrightunsigned("row_no", 33).alias("part"))
+    within = Window.partitionBy("content", "part").orderBy("row_no")
+    earlier = Window.partitionBy("content").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranked.groupBy("content", "part").agg(F.count(F.lit(1)).alias("n"))
+    shift = counts.select("content", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    placed = ranked.withColumn("place", F.row_number().over(within)).join(shift, ["content", "part"])
+    return placed.withColumn("virtual_slot", F.pmod(F.pmod("content", F.lit(slots)) + F.col("before") + F.col("place"), F.lit(slots)).cast("int")).select(*rows.columns)
+
+
 def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS, shards: int = SHARDS, slot_map: SlotMap | None = None, map_path: str | None = None) -> DataFrame:
     """Shard and place in it for every record.
 
