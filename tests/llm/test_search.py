@@ -76,3 +76,21 @@ def test_bounds_discard_only_what_cannot_qualify(seed):
         scores = x @ x[q]
         order = [i for i in np.lexsort((np.arange(600), -scores)) if i != q][:10]
         assert best.ids[q].tolist() == order
+
+
+def test_reading_goes_on_until_few_can_qualify():
+    """Blocks smaller than k, ties, own rows, earlier blocks' scores."""
+    draw = np.random.default_rng(0)
+    for _ in range(120):
+        n, dims, k = (int(draw.integers(1, high)) for high in (200, 7, 12))
+        x = draw.integers(-draw.choice([1, 3, 1000]), 4, (n, dims)).astype(float)
+        ids, rows, queries = draw.permutation(n), np.arange(n), np.arange(0, n, 3)
+        best = topk.Best(len(queries), k)
+        for a in range(0, n, 70):
+            topk.search_block(best, np.arange(len(queries)), x[queries], rows[queries], x[a : a + 70], rows[a : a + 70], ids[a : a + 70])
+        for j, i in enumerate(queries):
+            scores = x @ x[i]
+            assert best.ids[j].tolist() == [ids[c] for c in np.lexsort((ids, -scores)) if c != i][:k]
+    steps = topk.depths(4096, 10)
+    assert steps[:4] == [512, 2048, 3072, 3584] and steps[-1] == 4096 and steps == sorted(set(steps))
+    assert topk.depths(5, 10) == [5]

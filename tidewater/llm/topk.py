@@ -8,7 +8,9 @@ components at the far end of their list) and an upper bound (unread
 components at the list's frontier).  Candidates whose upper bound is under
 the k-th best lower bound (or the k-th score of earlier blocks) cannot
 qualify; reading stops for a query once few are left, and their final scores
-are resolved.  Up to ``QUERY_ROWS`` queries are bounded together, as matrix
+are resolved.  Else reading goes on, each time through half of what is unread
+(or of the first depths), to the lists' ends if need be, where both bounds
+are the score.  Up to ``QUERY_ROWS`` queries are bounded together, as matrix
 products over the clipped lists.
 
 Queries are broadcast in blocks of at most ``query_bytes`` each, however
@@ -44,7 +46,8 @@ BLOCK = 4096
 QUERY_BYTES = 16 << 20
 QUERY_ROWS = 512
 FEW = 64
-DEPTHS = (0.125, 0.5)
+#: Least share of the lists that is read at last in a step of its own.
+LAST = 1 / 64
 _EXACT = 2.0**52
 
 
@@ -84,30 +87,34 @@ def search_block(best: Best, at: np.ndarray, q: np.ndarray, q_rows: np.ndarray,
     mine = [own.get(int(r), -1) for r in q_rows]
     floor = best.floor()[at]
     live = np.arange(len(q))
-    for part in DEPTHS:
-        depth = int(n * part)
-        if depth < 2 * k or not len(live):
-            continue
+    for depth in depths(n, k):
         top, bottom = ranked[n - depth], ranked[depth - 1]
         upper = up[live] @ np.maximum(x, top).T + down[live] @ np.minimum(x, bottom).T
         lower = up[live] @ np.where(x >= top, x, ranked[0]).T + down[live] @ np.where(x <= bottom, x, ranked[-1]).T
         for i, query in enumerate(live):
             if mine[query] >= 0:
                 upper[i, mine[query]] = lower[i, mine[query]] = -np.inf
-        bar = np.maximum(floor[live], np.partition(lower, n - k, axis=1)[:, n - k])
-        in_play = upper >= bar[:, None]
-        done = in_play.sum(axis=1) <= FEW
+        bar = floor[live]
+        if n >= k:
+            bar = np.maximum(bar, np.partition(lower, n - k, axis=1)[:, n - k])
+        in_play = (upper >= bar[:, None]) & (upper > -np.inf)
+        done = (in_play.sum(axis=1) <= FEW) | (depth == n)
         for i in np.flatnonzero(done):
             rest = np.flatnonzero(in_play[i])
             if len(rest):
                 best.add(at[live[i]], (x[rest] @ q[live[i]]).astype(np.int64), x_ids[rest])
         live = live[~done]
-    if len(live):
-        scores = q[live] @ x.T  # the lists read to their ends
-        for i, query in enumerate(live):
-            rest = np.flatnonzero(scores[i] >= max(floor[query], np.partition(scores[i], n - k - 1)[n - k - 1] if n > k else -np.inf))
-            rest = rest[rest != mine[query]]
-            best.add(at[query], scores[i, rest].astype(np.int64), x_ids[rest])
+        if not len(live):
+            return
+
+
+def depths(n: int, k: int) -> list[int]:
+    """How far the lists of a block of ``n`` are read, step by step."""
+    out, unread = [n // 8], n // 2
+    while unread > max(2 * k, LAST * n):
+        out.append(n - unread)
+        unread //= 2
+    return [d for d in out if d >= 2 * k] + [n]
 
 
 def _exact_block(best: Best, at: np.ndarray, q: np.ndarray, q_rows: np.ndarray, x: np.ndarray, x_rows: np.ndarray, x_ids: np.ndarray) -> None:
