@@ -263,7 +263,7 @@ class FactorizationMachine:
                 place, push = slots_seen[mine], error[row] * x
                 slots_seen[slots] = 0
                 g_v = np.stack([np.bincount(place, weights=push * sums[row, f], minlength=len(slots)) for f in range(self.factor.shape[1])], axis=1)
-                g_v -= self.factor[slots] * np.bincount(place, weights=push * x, minlength=len(slots))[:, None]
+                g_v = g_v - self.factor[slots] * np.bincount(place, weights=push * x, minlength=len(slots))[:, None]
                 g_v = g_v / len(some) + DECAY * self.factor[slots]
                 seen_w[met] += g_w**2
                 seen_v[slots] += g_v**2
