@@ -34,8 +34,7 @@ def test_same_bits_under_any_partitioning_and_close_to_exact(spark, width):
     assert all(s == seen[0] for s in seen)
     for k, (m, s) in got.items():
         values = [Fraction(x) for j, x in rows if j == k]
-        assert s == pytest.approx(float(sum(values)), rel=1e-15)
-        assert m == pytest.approx(float(sum(values) / len(values)), rel=1e-15)
+        assert s == float(sum(values)) and m == float(sum(values) / len(values))
 
 
 @pytest.mark.parametrize(
@@ -52,7 +51,7 @@ def test_same_bits_under_any_partitioning_and_close_to_exact(spark, width):
         ([5e-324, 5e-324], 5e-324),
         ([5e-324, -1.7e308, 1.7e308], 0.0),
         ([0.0, -0.0], 0.0),
-        ([0.1, 0.2, 0.3, None], pytest.approx(0.2, rel=1e-15)),
+        ([0.1, 0.2, 0.3, None], 0.2),
         ([None, None], None),
     ],
 )

@@ -36,7 +36,22 @@ _ENGINE_AGGS = [
     ("avg_fuel_consumption_proxy", "avg", "proxy", 4),
 ]
 
-_AGG = {"avg": "CAST(SUM(CAST({0} AS DECIMAL(38,9))) AS DOUBLE) / COUNT({0})", "max": "max({0})"}
+def _exact_mean(x: str) -> str:
+    """The mean of the doubles themselves, exact until it is rounded once:
+    the sum of whole multiples of 2**-60, divided, with a last bit that tells
+    of a remainder, in a number that a double's rounding reads as it is."""
+    total, count = f"SUM(CAST({x} * {1 << 60} AS HUGEINT))", f"COUNT({x})"
+    whole = f"(abs({total}) // {count})"
+
+    def rounded(bits: int) -> str:
+        more = f"CAST(abs({total}) % {count} <> 0 OR {whole} % {1 << bits} <> 0 AS BIGINT)"
+        return f"CAST(CAST({whole} // {1 << bits} AS BIGINT) | {more} AS DOUBLE) * {1 << bits}"
+
+    size = f"CASE WHEN {whole} < {1 << 62} THEN {rounded(0)} WHEN {whole} < {1 << 70} THEN {rounded(8)} ELSE {rounded(16)} END"
+    return f"CASE WHEN {total} < 0 THEN -1 ELSE 1 END * ({size}) / {1 << 60}"
+
+
+_AGG = {"avg": _exact_mean("{0}"), "max": "max({0})"}
 
 ENGINE_PROFILE = f"""
 WITH r AS (
@@ -75,7 +90,7 @@ band AS (
 kept AS (SELECT src.* FROM src, band WHERE src.temp >= band.lo AND src.temp <= band.hi),
 daily AS (
   SELECT CAST(ts AS DATE) AS noted_date, out_in,
-         round_even(CAST(SUM(CAST(temp AS DECIMAL(38,9))) AS DOUBLE) / COUNT(temp) * 1000, 0) / 1000 AS temp
+         round_even({_exact_mean("temp")} * 1000, 0) / 1000 AS temp
   FROM kept GROUP BY 1, 2
 ),
 ranked AS (

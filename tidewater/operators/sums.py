@@ -7,8 +7,8 @@ no step rounds, so the parts of a sum are the same in any order.
 
 One pass finds the greatest and the least magnitude of every column and the
 number of rows; they fix the powers of two.  Each part keeps as many bits of
-a value as leave room for that many rows in a long (42 for a million rows, 25
-for a hundred billion), and there are as many parts as it takes to keep every
+a value as leave room for that many rows in a long (50 for a few rows, 42 for
+a million, 25 for a hundred billion), and there are as many parts as it takes to keep every
 bit of every value: two for values within five orders of magnitude, more for
 wider columns.  The second pass is the caller's own aggregate.
 
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 _BITS = 53
 _LEAST = -1074
 _LONG = 62
+_WHOLE = 50
 _STEP = 1000
 
 
@@ -42,7 +43,7 @@ def _units(top: float, least: float, rows: int) -> list[int]:
     """Powers of two of the parts, greatest first."""
     high = math.frexp(top)[1]
     low = max(math.frexp(least)[1] - _BITS, _LEAST)
-    step = _LONG - rows.bit_length()
+    step = min(_WHOLE, _LONG - rows.bit_length())
     if step < 1:
         raise OverflowError(f"{rows} rows are too many for sums in longs")
     return [max(high - j * step, low) for j in range(1, max(1, math.ceil((high - low) / step)) + 1)]
@@ -89,24 +90,41 @@ class SteadySums:
         x = F.col(f"`{column}`").cast("double")
         return F.sum(F.when(F.abs(x) < float("inf"), 0.0).otherwise(x))
 
-    def _total(self, column: str, share: Column | None) -> Column:
-        """The parts put together from the least on, each over ``share``."""
-        out = None
-        for level in reversed(range(len(self._of[column]))):
-            part = F.coalesce(F.sum(self._part(column, level)), F.lit(0)).cast("double")
-            part = _times(part if share is None else part / share, self._of[column][level])
-            out = part if out is None else out + part
-        out = F.lit(0.0) if out is None else out
+    def _sums(self, column: str) -> list[tuple[Column, int]]:
+        """The exact parts of the sum, greatest first, and their units."""
+        zero = F.lit(0).cast("bigint")
+        return [(F.coalesce(F.sum(self._part(column, i)), zero), unit) for i, unit in enumerate(self._of[column])]
+
+    def _together(self, column: str, terms: list[Column]) -> Column:
+        """Terms, each exact or far below the first, added from the last on."""
+        out = F.lit(0.0)
+        for term in reversed(terms):
+            out = out + term
         return out + self._odd_sum(column) if self._odd[column] else out
 
     def sum(self, column: str) -> Column:
         """Sum of ``column``; NULL if there is no value."""
-        return F.when(F.count(F.col(f"`{column}`")) > 0, self._total(column, None))
+        terms = []
+        for part, unit in self._sums(column):
+            # A long in two halves that a double holds.
+            terms.append(_times(F.shiftright(part, 30).cast("double"), unit + 30))
+            terms.append(_times(part.bitwiseAND(F.lit((1 << 30) - 1)).cast("double"), unit))
+        return F.when(F.count(F.col(f"`{column}`")) > 0, self._together(column, terms))
 
     def mean(self, column: str) -> Column:
-        """Mean of ``column``; NULL if there is no value."""
-        n = F.count(F.col(f"`{column}`"))
-        return F.when(n > 0, self._total(column, n))
+        """Mean of ``column``, rounded once; NULL if there is no value.
+
+        A long division of the parts by the count: what one part leaves over
+        goes to the next."""
+        n, terms, left = F.count(F.col(f"`{column}`")), [], None
+        for part, unit in self._sums(column):
+            if left is not None:
+                part = left * F.lit(1 << (above - unit)) + part
+            terms.append(_times(F.call_function("div", part, n).cast("double"), unit))
+            left, above = part % n, unit
+        if left is not None:
+            terms.append(_times(left.cast("double") / n, above))
+        return F.when(n > 0, self._together(column, terms))
 
 
 def _bounds(df: DataFrame, names: Mapping[str, str]) -> dict[str, dict]:
