@@ -235,8 +235,8 @@ class FactorizationMachine:
         number, slots_seen = np.zeros(size, np.int64), np.zeros(len(self.factor), np.int64)
         seen_w, seen_v, seen_b = np.full(size, 1e-8), np.full(self.factor.shape, 1e-8), 1e-8
         # The entries that have factors, found once.
-        held = [np.flatnonzero(self.slot[at] >= 0) for at, _ in rows]
-        paired = [(self.slot[at[h]], value[h].astype(float)) for (at, value), h in zip(rows, held, strict=True)]
+        slot = self.slot.astype(np.int32)
+        paired = [(slot[at[h]], value[h]) for at, value in rows for h in [slot[at] >= 0]]
         side = np.where(labels > 0, 1.0, -1.0)
         for _ in range(epochs):
             order, least = draw.permutation(len(rows)), np.inf
@@ -309,9 +309,12 @@ class Pairs:
         del marks
         lead = np.zeros(size, bool)
         lead[one] = True
-        parts = [np.sort(self.number[r[lead[r]]]).astype(np.int32) for r in rows]
-        self.size, self.length, self.labels = len(one), np.array([len(r) for r in parts], np.int64), labels > 0
-        self.at = np.concatenate([*parts, np.empty(0, np.int32)])
+        self.size, self.labels = len(one), labels > 0
+        self.length = np.array([int(lead[r].sum()) for r in rows], np.int64)
+        self.at, end = np.empty(int(self.length.sum()), np.int32), 0
+        for row, n in zip(rows, self.length.tolist(), strict=True):
+            self.at[end : end + n] = np.sort(self.number[row[lead[row]]])
+            end += n
 
     def _index(self) -> None:
         kind = np.int32 if len(self.at) < 1 << 31 else np.int64
@@ -324,13 +327,18 @@ class Pairs:
         self.ends = np.cumsum(self.n)
 
     def __getstate__(self) -> tuple:
-        # Steps between a document's buckets are small and pack well.
-        steps = np.diff(self.at, prepend=self.at[:1])
-        return self.size, self.length, self.labels, self.at[:1], zlib.compress(steps.tobytes(), 1)
+        # Steps between a document's buckets are small and pack well; they
+        # are packed in portions, so that no second copy of all is made.
+        pack, packed, before = zlib.compressobj(1), [], 0
+        for i in range(0, len(self.at), _PORTION):
+            part = self.at[i : i + _PORTION]
+            packed.append(pack.compress(np.diff(part, prepend=np.int32(before)).tobytes()))
+            before = part[-1]
+        return self.size, self.length, self.labels, b"".join([*packed, pack.flush()])
 
     def __setstate__(self, state: tuple) -> None:
-        self.size, self.length, self.labels, first, steps = state
-        self.at = np.frombuffer(zlib.decompress(steps), np.int32).cumsum(dtype=np.int32) + (first[0] if len(first) else 0)
+        self.size, self.length, self.labels, steps = state
+        self.at = np.cumsum(np.frombuffer(zlib.decompress(steps), np.int32), dtype=np.int32)
 
     def found(self, k: int) -> np.ndarray:
         """Buckets that tell the labels apart together with bucket ``k``, of
@@ -387,8 +395,9 @@ def _paired(rows: DataFrame, buckets: np.ndarray) -> np.ndarray:
 
     got = map_batches(rows, present, "label int, at binary").distinct().toArrow()
     pairs = Pairs(_arrays(got.column("at"), "<i4"), got.column("label").to_numpy(), len(buckets))
+    del got
     number, held = pairs.number, spark.sparkContext.broadcast(pairs)
-    del got, pairs
+    del pairs
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -468,7 +477,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, label
     kinds = got.column("label").to_numpy()
     order = np.lexsort((kinds, [len(a) for a in at], got.column("place").to_numpy()))
     light = evidence.astype(np.float32)
-    sparse = [(np.concatenate((at[i], at[i] + len(buckets))), np.concatenate((light[at[i]], light[at[i]] * share[i]))) for i in order]
+    sparse = [(np.concatenate((at[i], at[i] + np.int32(len(buckets)))), np.concatenate((light[at[i]], light[at[i]] * share[i]))) for i in order]
     del got, at, share
     machine.fit(sparse, (kinds[order] > 0).astype(float))
     # Scoring has the plain values.
