@@ -31,12 +31,16 @@ _WHOLE = 50
 _STEP = 1000
 
 
-def _times(c: Column, power: int) -> Column:
-    """``c * 2**power``, in steps that a double can hold."""
+def _times(c: str, power: int) -> str:
+    """SQL of ``c * 2**power``, in steps that a double can hold."""
     while abs(power) > _STEP:
         step = _STEP if power > 0 else -_STEP
-        c, power = c * F.lit(2.0**step), power - step
-    return c * F.lit(2.0**power) if power else c
+        c, power = f"({c} * {2.0**step!r}D)", power - step
+    return f"({c} * {2.0**power!r}D)" if power else c
+
+
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
 
 def _units(top: float, least: float, rows: int) -> list[int]:
@@ -66,65 +70,63 @@ class SteadySums:
         self._odd = {c: b["odd"] for c, b in bounds.items()}
         self._of: dict[str, list[int]] = {c: _units(b["top"], b["least"], b["rows"]) if b["top"] else [] for c, b in bounds.items()}
         for level in range(max(map(len, self._of.values()), default=0)):
-            df = df.withColumns({self._rest(c, level): self._remainder(c, level) for c, units in self._of.items() if level < len(units)})
+            df = df.withColumns({self._rest(c, level): F.expr(self._remainder(c, level)) for c, units in self._of.items() if level < len(units)})
         self.frame = df
 
+    # Expressions are written as SQL: there are dozens of steps for a column.
+
     def _rest(self, column: str, level: int) -> str:
         return f"{self._helpers[column]}_{level}"
 
-    def _finite(self, column: str) -> Column:
-        x = F.col(f"`{column}`").cast("double")
-        return F.when(F.abs(x) < float("inf"), x) if self._odd[column] else x
-
-    def _part(self, column: str, level: int) -> Column:
+    def _part(self, column: str, level: int) -> str:
         """Whole multiples of the unit of ``level`` left at that level."""
-        return _times(F.col(self._rest(column, level)), -self._of[column][level]).cast("long")
+        return f"CAST({_times(_name(self._rest(column, level)), -self._of[column][level])} AS BIGINT)"
 
-    def _remainder(self, column: str, level: int) -> Column:
+    def _remainder(self, column: str, level: int) -> str:
         if not level:
-            return self._finite(column)
-        before = F.col(self._rest(column, level - 1))
-        return before - _times(self._part(column, level - 1).cast("double"), self._of[column][level - 1])
-
-    def _odd_sum(self, column: str) -> Column:
-        x = F.col(f"`{column}`").cast("double")
-        return F.sum(F.when(F.abs(x) < float("inf"), 0.0).otherwise(x))
+            x = f"CAST({_name(column)} AS DOUBLE)"
+            return f"CASE WHEN abs({x}) < double('Infinity') THEN {x} END" if self._odd[column] else x
+        before = _times(f"CAST({self._part(column, level - 1)} AS DOUBLE)", self._of[column][level - 1])
+        return f"{_name(self._rest(column, level - 1))} - {before}"
 
-    def _sums(self, column: str) -> list[tuple[Column, int]]:
+    def _sums(self, column: str) -> list[tuple[str, int]]:
         """The exact parts of the sum, greatest first, and their units."""
-        zero = F.lit(0).cast("bigint")
-        return [(F.coalesce(F.sum(self._part(column, i)), zero), unit) for i, unit in enumerate(self._of[column])]
+        return [(f"coalesce(sum({self._part(column, i)}), 0L)", unit) for i, unit in enumerate(self._of[column])]
 
-    def _together(self, column: str, terms: list[Column]) -> Column:
-        """Terms, each exact or far below the first, added from the last on."""
-        out = F.lit(0.0)
+    def _together(self, column: str, terms: list[str]) -> Column:
+        """Terms, each exact or far below the first, added from the last on;
+        NULL if there is no value."""
+        total = "0.0D"
         for term in reversed(terms):
-            out = out + term
-        return out + self._odd_sum(column) if self._odd[column] else out
+            total = f"({total} + {term})"
+        x = f"CAST({_name(column)} AS DOUBLE)"
+        if self._odd[column]:
+            total += f" + sum(CASE WHEN abs({x}) < double('Infinity') THEN 0.0D ELSE {x} END)"
+        return F.expr(f"CASE WHEN count({_name(column)}) > 0 THEN {total} END")
 
     def sum(self, column: str) -> Column:
         """Sum of ``column``; NULL if there is no value."""
         terms = []
         for part, unit in self._sums(column):
             # A long in two halves that a double holds.
-            terms.append(_times(F.shiftright(part, 30).cast("double"), unit + 30))
-            terms.append(_times(part.bitwiseAND(F.lit((1 << 30) - 1)).cast("double"), unit))
-        return F.when(F.count(F.col(f"`{column}`")) > 0, self._together(column, terms))
+            terms.append(_times(f"CAST(shiftright({part}, 30) AS DOUBLE)", unit + 30))
+            terms.append(_times(f"CAST(({part} & {(1 << 30) - 1}L) AS DOUBLE)", unit))
+        return self._together(column, terms)
 
     def mean(self, column: str) -> Column:
         """Mean of ``column``, rounded once; NULL if there is no value.
 
         A long division of the parts by the count: what one part leaves over
         goes to the next."""
-        n, terms, left = F.count(F.col(f"`{column}`")), [], None
+        n, terms, left, above = f"count({_name(column)})", [], None, 0
         for part, unit in self._sums(column):
             if left is not None:
-                part = left * F.lit(1 << (above - unit)) + part
-            terms.append(_times(F.call_function("div", part, n).cast("double"), unit))
-            left, above = part % n, unit
+                part = f"({left} * {1 << (above - unit)}L + {part})"
+            terms.append(_times(f"CAST(({part} div {n}) AS DOUBLE)", unit))
+            left, above = f"({part} % {n})", unit
         if left is not None:
-            terms.append(_times(left.cast("double") / n, above))
-        return F.when(n > 0, self._together(column, terms))
+            terms.append(_times(f"(CAST({left} AS DOUBLE) / {n})", above))
+        return self._together(column, terms)
 
 
 def _bounds(df: DataFrame, names: Mapping[str, str]) -> dict[str, dict]:
