@@ -146,7 +146,7 @@ def test_pairs_are_counted_as_by_brute_force(monkeypatch):
         for b in range(a):
             both, one, other = held[:, a] & held[:, b], held[:, a] & ~held[:, b], held[:, b] & ~held[:, a]
             ratio = [T._likelihood_ratio(*(np.array([f(m)]) for m in (both, x) for f in (lambda m: labels[m].sum(), np.sum)))[0] for x in (one, other)]
-            if both.sum() >= T.PAIR_DOCS and min(ratio) >= 4:
+            if both.sum() >= T.PAIR_DOCS and min(ratio) >= made.least():
                 want.add(tuple(sorted((int(pairs.number[a]), int(pairs.number[b])))))
     assert got == want and tuple(sorted(pairs.number[:2].tolist())) in got and pairs.number[13] == pairs.number[2]
 

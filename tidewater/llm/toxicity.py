@@ -14,7 +14,9 @@ alone, also where neither tells anything alone.
 
 A pair counts if the documents with both differ from those with the first
 alone and from those with the second alone, by a likelihood ratio of
-``LEAST_PAIR`` in each case; equal documents count once.  All pairs that meet
+``LEAST_PAIR`` in each case, or of twice the logarithm of the number of
+pairs if that is more, which by chance hardly any pair reaches; equal
+documents count once.  All pairs that meet
 in ``PAIR_DOCS`` documents are counted exactly, bucket by bucket in Spark
 tasks (buckets of the same documents are one); the work is the sum of the
 squares of the terms of the sample's documents, the memory of a task the
@@ -351,9 +353,14 @@ class Pairs:
         met = both[0] + both[1]
         others = np.flatnonzero(met >= PAIR_DOCS)
         met, ones = met[others], both[1][others]
-        good = _likelihood_ratio(ones, met, self.ones[k] - ones, self.n[k] - met) >= LEAST_PAIR
+        least = self.least()
+        good = _likelihood_ratio(ones, met, self.ones[k] - ones, self.n[k] - met) >= least
         others, met, ones = others[good] + k, met[good], ones[good]
-        return others[_likelihood_ratio(ones, met, self.ones[others] - ones, self.n[others] - met) >= LEAST_PAIR]
+        return others[_likelihood_ratio(ones, met, self.ones[others] - ones, self.n[others] - met) >= least]
+
+    def least(self) -> float:
+        """Likelihood ratio that hardly any of all pairs reaches by chance."""
+        return max(LEAST_PAIR, 2 * np.log(max(1, self.size * (self.size - 1) // 2)))
 
     def _met(self, k: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """How often each bucket from ``k`` on is in the places given."""
