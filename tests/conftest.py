@@ -40,3 +40,14 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="tidewater-case-")
+
+
+@pytest.fixture(scope="module", autouse=True)
+def no_views_left():
+    """Drop the temporary views that the tests of a module and the queries
+    they ran have left; the catalog lists them in every database."""
+    yield
+    session = SparkSession.getActiveSession()
+    for t in session.catalog.listTables() if session else ():
+        if t.isTemporary:
+            session.catalog.dropTempView(t.name)

@@ -7,6 +7,7 @@ import decimal
 
 from pyspark.sql import functions as F
 
+from tidewater.catalog import inputs
 from tidewater.plans import delivery, engines, passengers
 from tidewater.sinks import files as fsink
 from tidewater.sources import files as fsrc
@@ -122,6 +123,30 @@ def test_marts(spark):
     assert (act["c1"].total_orders, act["c1"].total_spent, act["c1"].avg_check) == (2, decimal.Decimal("30.00"), 15.0)
 
 
+def test_marts_of_totals_beyond_the_amounts_digits(spark):
+    """All orders without a customer share one key, so its total outgrows
+    the 20 digits that an amount has before the point."""
+    big, odd = "99999999999999999999.500000000000000001", "0.000000004"
+    df = orders(spark, [("unknown", "r1", None, "x")]).drop("order_amount").crossJoin(spark.range(3000))
+    df = df.withColumn("order_amount", F.when(F.col("id") < 2000, F.lit(big)).otherwise(F.lit(odd)).cast("decimal(38,18)"))
+    with decimal.localcontext(prec=60):
+        total = 2000 * decimal.Decimal(big) + 1000 * decimal.Decimal(odd)
+        spent, mean = total.quantize(decimal.Decimal("1e-8")), (total / 3000).quantize(decimal.Decimal("1e-6"))
+    (act,), (perf,) = delivery.customer_activity(df).collect(), delivery.restaurant_performance(df).collect()
+    assert (act.total_orders, act.total_spent, act.avg_check) == (3000, spent, mean)
+    assert (perf.total_orders, perf.total_revenue) == (3000, spent)
+
+
+def test_restaurant_documents_of_any_key(spark, tmp_dir):
+    """A rating between two hundredths goes up, as in the SQL; keys may be
+    greater than an int."""
+    rows = [(561, "a", 1, 1430.0), (10**10, "b", 2, 1000.0), (None, "c", 3, None)]
+    spark.createDataFrame(rows, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_dir}/supplier.parquet")
+    got = {r.restaurant_id: r for r in inputs.restaurant_docs(spark, tmp_dir).collect()}
+    assert {k: r.rating for k, r in got.items()} == {"561": "3.22", str(10**10): "3.00", None: None}
+    assert got["561"].created_at == "2024-01-01 09:21:00" and got[str(10**10)].created_at is not None
+
+
 def test_load_all_and_empty_collection(spark, tmp_dir):
     db = "tw_test_loads"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")

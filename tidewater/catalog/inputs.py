@@ -298,8 +298,10 @@ def _oid(key: str) -> Column:
 
 
 def _minutes_after(base: str, minutes: Column) -> Column:
+    """A time of day and year for any long (an interval's minutes are an
+    int; from 2**31 on they start again)."""
     start = F.lit(base).cast("timestamp_ntz")
-    return F.date_format(start + F.make_dt_interval(mins=minutes), "yyyy-MM-dd HH:mm:ss")
+    return F.date_format(start + F.make_dt_interval(mins=(minutes % (1 << 31)).cast("int")), "yyyy-MM-dd HH:mm:ss")
 
 
 def restaurant_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +315,8 @@ def restaurant_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_name").alias("name"),
         F.col("s_nationkey").cast("string").alias("city"),
         F.when(k % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("cuisine_"), (k % 7).cast("string"))).alias("cuisine"),
-        F.format_number(F.col("s_acctbal") / 2000 + 2.5, 2).alias("rating"),
+        # Rounded first: of itself the format cuts 3.215, a little less in binary, to 3.21.
+        F.format_number(F.round(F.col("s_acctbal") / 2000 + 2.5, 2), 2).alias("rating"),
         _minutes_after("2024-01-01 00:00:00", k).alias("created_at"),
     )
 

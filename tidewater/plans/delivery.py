@@ -132,16 +132,44 @@ def customer_actions(customers: DataFrame, key: str = "customer_id", ids: str =
     return rows.select("action_id", key, "action_type", "action_timestamp")
 
 
+def _decimals(kind: DecimalType) -> int:
+    """Decimals of a total: with ten more digits before the point than the
+    column has, as Spark's sums have, what is left of 38; six at least."""
+    return min(kind.scale, max(38 - (kind.precision - kind.scale) - 10, 6))
+
+
+def _parts(col: str, whole_digits: int) -> tuple[Column, Column]:
+    """Exact sums of the whole units and of the fractions of a decimal
+    column; the sum of the column itself has no digit more than a value."""
+    one = F.lit(1).cast("decimal(1,0)")
+    return F.sum(F.floor(col)).cast(f"decimal({whole_digits},0)"), F.sum(F.pmod(F.col(col), one))
+
+
 def _money_total(df: DataFrame, col: str) -> Column:
-    """Exact sum with the scale of the column."""
+    """Exact sum with the scale of the column, or with as many decimals as
+    leave room for the total; it is rounded once, in the end."""
     kind = df.schema[col].dataType
-    return F.sum(col).cast(f"decimal(38,{getattr(kind, 'scale', 2)})")
+    if not isinstance(kind, DecimalType) or _decimals(kind) == kind.scale:
+        return F.sum(col).cast(f"decimal(38,{getattr(kind, 'scale', 2)})")
+    scale = _decimals(kind)
+    whole, fraction = _parts(col, 37 - scale)
+    return (whole + fraction.cast(f"decimal({scale + 11},{scale})")).cast(f"decimal(38,{scale})")
 
 
-def _mean_type(df: DataFrame, col: str) -> str:
-    """Six decimals, and as many digits before them as the column has."""
+def _money_mean(df: DataFrame, col: str) -> Column:
+    """Mean with six decimals, and as many digits before them as the column
+    has; of a wide column by long division of the exact parts of its sum."""
     kind = df.schema[col].dataType
-    return f"decimal({min(38, kind.precision - kind.scale + 6)},6)" if isinstance(kind, DecimalType) else "decimal(38,6)"
+    if not isinstance(kind, DecimalType):
+        return money_mean(col, "decimal(38,6)")
+    digits = kind.precision - kind.scale
+    if _decimals(kind) == kind.scale:
+        return money_mean(col, f"decimal({min(38, digits + 6)},6)")
+    n = F.count(col).cast("decimal(19,0)")
+    whole, fraction = _parts(col, 37 - _decimals(kind))
+    left = (whole % n).cast("decimal(19,0)")
+    units = ((whole - left) / n).cast(f"decimal({digits},0)")
+    return (units + ((left + fraction) / n).cast("decimal(7,6)")).cast(f"decimal({min(38, digits + 6)},6)")
 
 
 def customer_activity(orders: DataFrame) -> DataFrame:
@@ -151,7 +179,7 @@ def customer_activity(orders: DataFrame) -> DataFrame:
     return paid.groupBy("customer_id").agg(
         F.count("order_id").alias("total_orders"),
         _money_total(paid, "order_amount").alias("total_spent"),
-        money_mean("order_amount", _mean_type(paid, "order_amount")).alias("avg_check"),
+        _money_mean(paid, "order_amount").alias("avg_check"),
         F.max("order_time").alias("last_order_timestamp"),
     )
 
