@@ -50,6 +50,29 @@ def test_full_cache_is_emptied_within_a_text(by_chunk, whole):
     assert by_chunk(text) == whole(text)
 
 
+@pytest.mark.parametrize("portion", [P.TEXTS, 700, 1])
+def test_many_texts_encode_as_each_does(monkeypatch, whole, portion):
+    """In groups, and a text too long for one by portions."""
+    monkeypatch.setattr(P, "TEXTS", portion)
+    monkeypatch.setattr(P, "PORTION", 64)
+    tokenizer = P.ChunkTokenizer(P.default_vocabulary(), cache=150)
+    texts = [*ODD, *ODD[::-1], None, "", "y " * 400, "x" * 300 + " <|x|> " + "z" * 300]
+    got = tokenizer.encode_all([None if t is None else t.encode() for t in texts])
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [whole(t) for t in texts]
+    with pytest.raises(ValueError):
+        list(tokenizer.encode_all([b"a \xff b", b"c"]))
+
+
+def test_words_met_before_the_cache_was_full_are_not_encoded_again(monkeypatch):
+    tokenizer = P.ChunkTokenizer(P.default_vocabulary(), cache=200)
+    first, second = (" ".join(f"{a}{b}c" for b in "abcdefghijklmnopqrstuvwxyz" for a in part).encode() for part in ("abcd", "efghij"))
+    met = []
+    encode = tokenizer._encode_words
+    monkeypatch.setattr(tokenizer, "_encode_words", lambda words: (met.extend(words), encode(words)))
+    ids = [tokenizer.encode(t) for t in (first, second, first)]
+    assert ids[0] == ids[2] and len(met) == len(set(met)) == 260
+
+
 def check(rows, docs, encode, sequence):
     """Pieces cover the documents, places are gapless, no sequence overflows."""
     by_doc, by_sequence = defaultdict(list), defaultdict(list)

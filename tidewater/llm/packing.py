@@ -32,7 +32,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -53,12 +54,15 @@ LONG = 256
 PORTION = 1 << 16
 TEXTS = 1 << 21
 
-_PLAIN = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
-# The vocabulary's own split pattern, for the plain characters above (fixed).
-_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z\xdf-\xf6\xf8-\xff0-9]+")
-
-# Most chunks: one word, perhaps with a point or a comma.
-_SIMPLE = re.compile(r"([a-z\xdf-\xf6\xf8-\xff]+)([.,]?)")
+# All but plain Latin-1 letters, digits and punctuation, and special tokens.
+_ODD = re.compile(r"[^!-~\xc0-\xd6\xd8-\xf6\xf8-\xff\n]|<\|")
+# The vocabulary's own split pattern, for the plain characters above (fixed);
+# a line is a chunk, its end a word of its own.
+_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z\xdf-\xf6\xf8-\xff0-9\n]+|\n")
+# Stands for the end of a line or a text among ids; no id has these bytes.
+_LINE = b"\xff\xff\xff\xff"
+# Stands for the end of a text among chunks; no text has this byte.
+_TEXT = b"\xff"
 
 PIECES = "doc_id {id}, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -86,8 +90,11 @@ class ChunkTokenizer:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         for token, number in vocab.items():
             self.ends[number] = token.endswith("</w>")
-        self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        # What was met since a cache was last full, and before that.
+        self.chunks: dict[bytes, bytes] = {_TEXT: _LINE}
+        self.old_chunks: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {"\n": _LINE}
+        self.old_words: dict[str, bytes] = {}
         self.cache = cache
 
     def _encode_words(self, words: list[str]) -> None:
@@ -96,68 +103,75 @@ class ChunkTokenizer:
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(words):
             raise ValueError("the vocabulary does not mark the ends of words")
-        start = 0
-        for word, stop in zip(words, stops.tolist(), strict=True):
-            self.words[word] = ids[start:stop].tobytes()
-            start = stop
-
-    def _learn(self, chunks: list[bytes], long: dict[bytes, bytes]) -> None:
-        """Encode ``chunks``; ones over ``LONG`` bytes go to ``long``, for
-        the text at hand only, so the cache stays small."""
-        if len(self.chunks) + len(chunks) > self.cache:
-            self.chunks.clear()
-        if len(self.words) > self.cache:
-            self.words.clear()
-        small = [c for c in chunks if len(c) <= LONG]
-        for chunk in chunks if len(small) < len(chunks) else ():
-            if len(chunk) > LONG:
-                long[chunk] = np.array(self.whole.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        # One call for all of them; a line of its own for each.
-        lowered = b"\n".join(small).decode().lower().split("\n") if small else []
-        split: dict[bytes, tuple[str, ...]] = {}
-        for chunk, low in zip(small, lowered, strict=True):
-            if low.isascii() and low.isalpha():
-                split[chunk] = (low,)
-            elif simple := _SIMPLE.fullmatch(low):
-                split[chunk] = simple.groups() if simple[2] else (simple[1],)
-            elif b"<|" in chunk or not _PLAIN.fullmatch(chunk.decode()):
-                self.chunks[chunk] = np.array(self.whole.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-            else:
-                split[chunk] = tuple(_SPLIT.findall(low))
-        new = set(chain.from_iterable(split.values())).difference(self.words)
-        if new:
-            self._encode_words(list(new))
-        word = self.words.__getitem__
-        for chunk, parts in split.items():
-            self.chunks[chunk] = word(parts[0]) if len(parts) == 1 else b"".join(map(word, parts))
-
-    def prepare(self, texts: list[bytes | None]) -> None:
-        """Learn the chunks of many texts in one go (long ones later)."""
-        met = {c for c in set(chain.from_iterable(t.split() for t in texts if t)) if len(c) <= LONG}
-        missing = met.difference(self.chunks)
-        if len(self.chunks) + len(missing) > self.cache:
-            self.chunks.clear()
-            missing = met
+        raw, stops = ids.tobytes(), (4 * stops).tolist()
+        self.words.update(zip(words, map(raw.__getitem__, map(slice, [0, *stops], stops)), strict=False))
+
+    def _learn(self, chunks: str) -> list[bytes]:
+        """Encode plain chunks, one a line, all of them in one go."""
+        words = _SPLIT.findall(chunks.lower())
+        new = set(words).difference(self.words)
+        if len(self.words) + len(new) > self.cache:
+            self.old_words, self.words = self.words, {"\n": _LINE}
+            new = set(words).difference(self.words)
+        held = list(filter(self.old_words.__contains__, new))
+        self.words.update(zip(held, map(self.old_words.__getitem__, held), strict=True))
+        if len(held) < len(new):
+            self._encode_words(list(new.difference(held)))
+        return b"".join(map(self.words.__getitem__, words)).split(_LINE)
+
+    def _find(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of chunks that are not in ``self.chunks``, which takes all up
+        to ``LONG`` bytes, so it stays small."""
+        held = list(filter(self.old_chunks.__contains__, chunks))
+        found = dict(zip(held, map(self.old_chunks.__getitem__, held), strict=True))
+        rest = list(chunks.difference(held)) if len(held) < len(chunks) else []
+        text, longest = b"\n".join(rest).decode(), len(max(rest, key=len, default=b""))
+        if longest > LONG or _ODD.search(text):
+            odd = {c for c in rest if len(c) > LONG or _ODD.search(c.decode())}
+            found.update((c, np.array(self.whole.encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()) for c in odd)
+            rest = [c for c in rest if c not in odd]
+            text = b"\n".join(rest).decode()
+        if rest:
+            found.update(zip(rest, self._learn(text), strict=True))
+        if len(self.chunks) + len(found) > self.cache:
+            self.old_chunks, self.chunks = self.chunks, {_TEXT: _LINE}
+        if len(found) <= self.cache:
+            self.chunks.update(found if longest <= LONG else {c: ids for c, ids in found.items() if len(c) <= LONG})
+        return found
+
+    def _ids(self, chunks: list[bytes]) -> list[bytes]:
+        got = list(map(self.chunks.get, chunks))
+        missing = list(compress(range(len(got)), map(not_, got)))
         if missing:
-            self._learn(list(missing), {})
+            found = self._find({chunks[i] for i in missing})
+            for i in missing:
+                got[i] = found[chunks[i]]
+        return got
 
     def encode(self, text: bytes | None) -> bytes:
         chunks = text.split() if text else []
-        out: list[bytes] = []
-        for i in range(0, len(chunks), PORTION):
-            part, long = chunks[i : i + PORTION], {}
-            while True:
-                try:
-                    out.append(b"".join(map(self.chunks.__getitem__, part)))
-                    break
-                except KeyError:
-                    missing = [c for c in dict.fromkeys(part) if c not in self.chunks and c not in long]
-                if missing:
-                    self._learn(missing, long)
-                elif long:
-                    out.append(b"".join([long[c] if c in long else self.chunks[c] for c in part]))
-                    break
-        return b"".join(out)
+        ids = b"".join([b"".join(self._ids(chunks[i : i + PORTION])) for i in range(0, len(chunks), PORTION)])
+        if _LINE in ids:
+            raise ValueError("a text is not UTF-8")
+        return ids
+
+    def encode_all(self, texts: list[bytes | None]) -> Iterator[bytes]:
+        """The ids of each text; what is new in texts of ``TEXTS`` bytes
+        together is learnt in one go, a longer text in portions."""
+        at = 0
+        while at < len(texts):
+            size, first = 0, at
+            while at < len(texts) and (at == first or size < TEXTS):
+                size += len(texts[at] or b"")
+                at += 1
+            if size > 2 * TEXTS:
+                yield from map(self.encode, texts[first:at])
+                continue
+            chunks = b" \xff ".join([t or b"" for t in texts[first:at]]).split()
+            ids = b"".join(self._ids(chunks)).split(_LINE)
+            if len(ids) != at - first:
+                raise ValueError("a text is not UTF-8")
+            yield from ids
 
 
 _tokenizers: dict[str, ChunkTokenizer] = {}
@@ -175,20 +189,11 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sequ
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _tokenizer(vocabulary).encode
-        prepare = _tokenizer(vocabulary).prepare
+        tokenizer = _tokenizer(vocabulary)
         for batch in batches:
             row, number, start, length, crc = [], [], [], [], []
-            texts, ready = batch.column(1).to_pylist(), 0
-            for at, text in enumerate(texts):
-                if at >= ready:
-                    size, first = 0, at
-                    while ready < len(texts) and (ready == first or size < TEXTS):
-                        size += len(texts[ready] or b"")
-                        ready += 1
-                    if size <= 2 * TEXTS:  # a very long text is learnt in portions
-                        prepare(texts[first:ready])
-                ids = memoryview(encode(text) + end)
+            for at, ids in enumerate(tokenizer.encode_all(batch.column(1).to_pylist())):
+                ids = memoryview(ids + end)
                 total = len(ids) // 4
                 for k, first in enumerate(range(0, total, sequence)):
                     size = min(sequence, total - first)
