@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pickle
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -151,6 +152,34 @@ def test_pairs_are_counted_as_by_brute_force(monkeypatch):
     assert got == want and tuple(sorted(pairs.number[:2].tolist())) in got and pairs.number[13] == pairs.number[2]
 
 
+def test_a_task_indexes_only_its_own_buckets(monkeypatch):
+    monkeypatch.setattr(T, "LEAST_PAIR", 4.0)
+    monkeypatch.setattr(T, "_PORTION", 1 << 12)
+    draw = np.random.default_rng(4)
+    held = [np.sort(draw.choice(3000, n, False)).astype(np.int32) for n in draw.integers(0, 600, 300)]
+    held[7] = held[8] = held[7][:0]
+    made = T.Pairs(held, draw.integers(0, 2, 300), 3000)
+    packed, size = pickle.dumps(made), len(made.at)
+    made.take(0)
+    want = [made.found(k).tolist() for k in range(made.size)]
+    got, places = {}, 0
+    for task in range(8):
+        tracemalloc.start()
+        pairs = pickle.loads(packed)
+        pairs.take(task, 8)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        # The documents' buckets, packed and not, and an eighth of the places.
+        assert most < 12 * size
+        places += len(pairs.place)
+        got |= {k: pairs.found(k).tolist() for k in range(task, pairs.size, 8)}
+    assert places == size and [got[k] for k in range(made.size)] == want
+    assert made.n.tolist() == np.bincount(made.at, minlength=made.size).tolist()
+    wide = T.Pairs(held, made.labels, 70_000)
+    wide.at, wide.size = wide.at.astype(np.int32) + 66_000, 70_000  # numbers over 65,535
+    assert (pickle.loads(pickle.dumps(wide)).at == wide.at).all()
+
+
 def test_rare_cues_of_a_small_balanced_sample_are_features(spark):
     rows = [(i, f"common words here {'vileness' if i in (1, 3, 5) else 'other'}", i % 2) for i in range(24)]
     docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")

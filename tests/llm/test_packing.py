@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import gc
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidewater.llm import packing as P
+from tidewater.llm.common import drop_kept, kept, map_batches
 
 ODD = [
     None, "", " \t\n", "Hello, world!! It's we'll 'tis don't 3rd 2024.", "ÀÉÎ õü ß ÿ Ÿ Œuvre ÷ × µ ª º",
@@ -135,3 +138,26 @@ def test_best_fit_never_overfills(sizes):
         assert all(f + size > 64 or f <= fill[bin_] for b, f in fill.items()) or not fill[bin_]
         fill[bin_] += size
     assert all(f <= 64 for f in fill.values())
+
+
+def test_what_one_step_keeps_is_dropped_by_the_next():
+    made = []
+    for _ in range(2):
+        assert kept("one", lambda: made.append(1) or [1]) == [1]
+        drop_kept(("one", "two"))
+    assert made == [1]
+    drop_kept()
+    assert kept("one", lambda: [2]) == [2]
+    drop_kept()
+
+
+def test_tokenizers_do_not_outlive_their_step(spark):
+    """Workers go on with other steps, which need the memory."""
+    assert P.pieces(spark.range(40).selectExpr("id AS doc_id", "'some words' AS text")).count() == 40
+
+    def held(batches):
+        for _ in batches:
+            gc.collect()
+            yield pa.RecordBatch.from_arrays([pa.array([sum(type(x).__name__ == "ChunkTokenizer" for x in gc.get_objects())])], names=["n"])
+
+    assert {r["n"] for r in map_batches(spark.range(0, 16, 1, 16), held, "n bigint").collect()} == {0}

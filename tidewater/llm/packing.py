@@ -15,11 +15,11 @@ tokens, and every level is staged in the shared folder.
 
 Tokenizing: text is cut at ASCII white space, which the vocabulary's own
 rules drop, and each distinct chunk is encoded once per worker and kept in a
-bounded cache; the new chunks of some megabytes of text are encoded in one
-call.  Chunks of plain Latin-1 letters, digits and punctuation are
-split by the vocabulary's pattern before they are encoded; anything else
-(other scripts, combining marks, special tokens) goes through the whole
-tokenizer.
+bounded cache, which goes when the worker gets a task of another step; the
+new chunks of some megabytes of text are encoded in one call.  Chunks of
+plain Latin-1 letters, digits and punctuation are split by the vocabulary's
+pattern before they are encoded; anything else (other scripts, combining
+marks, special tokens) goes through the whole tokenizer.
 
 Edge cases: a null text is an empty one; an empty document is its closing id
 alone; repeated rows are packed each; a null id is kept; an empty table
@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import map_batches, stage
+from tidewater.llm.common import kept, map_batches, stage
 
 SEQUENCE = 2048
 END_ID = 0
@@ -83,8 +83,7 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(vocabulary)
-        self.bare = Tokenizer.from_file(vocabulary)
-        self.bare.normalizer = None
+        self.bare = Tokenizer(self.whole.model)  # the same model, not a copy
         self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.whole.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -174,22 +173,17 @@ class ChunkTokenizer:
             yield from ids
 
 
-_tokenizers: dict[str, ChunkTokenizer] = {}
-
-
-def _tokenizer(vocabulary: str) -> ChunkTokenizer:
-    if vocabulary not in _tokenizers:
-        _tokenizers[vocabulary] = ChunkTokenizer(vocabulary)
-    return _tokenizers[vocabulary]
+def _tokenizer(name: str, vocabulary: str) -> ChunkTokenizer:
+    return kept(name, lambda: ChunkTokenizer(vocabulary))
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sequence: int = SEQUENCE, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)`` of every document."""
     vocabulary = vocabulary or default_vocabulary()
-    end = int(end_id).to_bytes(4, "little")
+    end, name = int(end_id).to_bytes(4, "little"), f"tokenizer {vocabulary}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(vocabulary)
+        tokenizer = _tokenizer(name, vocabulary)
         for batch in batches:
             row, number, start, length, crc = [], [], [], [], []
             for at, ids in enumerate(tokenizer.encode_all(batch.column(1).to_pylist())):
@@ -208,7 +202,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sequ
             )
 
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return map_batches(source, run, PIECES.format(id=source.schema["doc_id"].dataType.simpleString()))
+    return map_batches(source, run, PIECES.format(id=source.schema["doc_id"].dataType.simpleString()), keeps=(name,))
 
 
 def best_fit(sizes: list[int], sequence: int) -> list[int]:

@@ -70,7 +70,7 @@ CLEAR = 4.0
 SHARE_SCALE = 25.0
 THRESHOLD = 0.7
 _PART = 1 << 19
-_PORTION = 1 << 21
+_PORTION = 1 << 20
 
 _LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _BASE = 0x9E3779B97F4A7C15
@@ -302,53 +302,62 @@ class Pairs:
 
     def __init__(self, rows: list[np.ndarray], labels: np.ndarray, size: int):
         draw = np.random.default_rng(3).integers(0, 1 << 63, (len(rows), 2), dtype=np.uint64)
-        # Row by row, since the index of all rows is made in the tasks.
+        # Row by row, since the sample's terms are many.
         marks = np.zeros((size, 3), np.uint64)
         for row, mark in zip(rows, draw, strict=True):
             marks[row] += np.array([1, *mark], np.uint64)
-        _, one, number = np.unique(marks, axis=0, return_index=True, return_inverse=True)
+        kinds, one, number = np.unique(marks, axis=0, return_index=True, return_inverse=True)
         self.number = number.reshape(-1)  # of each bucket; the rarest have the smallest
-        del marks
+        self.n = kinds[:, 0].astype(np.int64)
+        del marks, kinds
         lead = np.zeros(size, bool)
         lead[one] = True
         self.size, self.labels = len(one), labels > 0
         self.length = np.array([int(lead[r].sum()) for r in rows], np.int64)
-        self.at, end = np.empty(int(self.length.sum()), np.int32), 0
-        for row, n in zip(rows, self.length.tolist(), strict=True):
-            self.at[end : end + n] = np.sort(self.number[row[lead[row]]])
+        self.at, end = np.empty(int(self.length.sum()), np.uint16 if self.size <= 1 << 16 else np.int32), 0
+        self.ones = np.zeros(self.size, np.int64)
+        for row, n, label in zip(rows, self.length.tolist(), self.labels.tolist(), strict=True):
+            self.at[end : end + n] = held = np.sort(self.number[row[lead[row]]])
+            self.ones[held] += label
             end += n
+        self.ends = np.cumsum(self.length)
 
-    def _index(self) -> None:
-        kind = np.int32 if len(self.at) < 1 << 31 else np.int64
-        owner = np.repeat(np.arange(len(self.length), dtype=np.int32), self.length)
-        self.place = np.argsort(self.at.astype(np.uint16) if self.size <= 1 << 16 else self.at, kind="stable").astype(kind)
-        owner = owner[self.place]
-        self.last, self.label = np.cumsum(self.length).astype(kind)[owner], self.labels[owner]
-        self.n = np.bincount(self.at, minlength=self.size)
-        self.ones = np.bincount(self.at[self.place[self.label]], minlength=self.size)
-        self.ends = np.cumsum(self.n)
+    def take(self, first: int, step: int = 1) -> None:
+        """Make the index of the buckets ``first``, ``first + step`` and so
+        on: where in the documents they are.  There is no index of all, which
+        would be larger than the documents, in any task."""
+        self.first, self.step, found = first, step, []
+        for i in range(0, len(self.at), _PORTION):
+            found.append(i + np.flatnonzero(self.at[i : i + _PORTION] % self.at.dtype.type(step) == first))
+        place = np.concatenate([*found, np.empty(0, np.int64)])
+        self.place = place[np.argsort(self.at[place], kind="stable")]
+        self.stops = np.cumsum(self.n[first::step])
 
     def __getstate__(self) -> tuple:
         # Steps between a document's buckets are small and pack well; they
-        # are packed in portions, so that no second copy of all is made.
-        pack, packed, before = zlib.compressobj(1), [], 0
-        for i in range(0, len(self.at), _PORTION):
-            part = self.at[i : i + _PORTION]
-            packed.append(pack.compress(np.diff(part, prepend=np.int32(before)).tobytes()))
-            before = part[-1]
-        return self.size, self.length, self.labels, b"".join([*packed, pack.flush()])
+        # are packed and unpacked in portions, so that no second copy of all
+        # is made.
+        packed = [zlib.compress(np.diff(part, prepend=part.dtype.type(0)).tobytes(), 1) for i in range(0, len(self.at), _PORTION) for part in [self.at[i : i + _PORTION]]]
+        return self.size, self.n, self.ones, self.length, self.labels, self.at.dtype.str, packed
 
     def __setstate__(self, state: tuple) -> None:
-        self.size, self.length, self.labels, steps = state
-        self.at = np.cumsum(np.frombuffer(zlib.decompress(steps), np.int32), dtype=np.int32)
+        self.size, self.n, self.ones, self.length, self.labels, kind, packed = state
+        self.ends = np.cumsum(self.length)
+        self.at, end = np.empty(int(self.length.sum()), kind), 0
+        for part in packed:
+            steps = np.frombuffer(zlib.decompress(part), kind)
+            np.cumsum(steps, dtype=kind, out=self.at[end : end + len(steps)])
+            end += len(steps)
 
     def found(self, k: int) -> np.ndarray:
         """Buckets that tell the labels apart together with bucket ``k``, of
         those numbered after it."""
-        if not hasattr(self, "place"):
-            self._index()
-        mine = slice(self.ends[k] - self.n[k], self.ends[k])
-        first, last, label = self.place[mine].astype(np.int64) + 1, self.last[mine].astype(np.int64), self.label[mine]
+        if not hasattr(self, "place") or k % self.step != self.first:
+            self.take(0)
+        stop = self.stops[(k - self.first) // self.step]
+        first = self.place[stop - self.n[k] : stop] + 1
+        owner = np.searchsorted(self.ends, first)
+        last, label = self.ends[owner], self.labels[owner]
         both = [self._met(k, first[label == kind], last[label == kind]) for kind in (False, True)]
         met = both[0] + both[1]
         others = np.flatnonzero(met >= PAIR_DOCS)
@@ -410,6 +419,7 @@ def _paired(rows: DataFrame, buckets: np.ndarray) -> np.ndarray:
         for batch in batches:
             for task in batch.column(0).to_pylist():
                 pairs, good = held.value, set()
+                pairs.take(task, PAIR_TASKS)
                 for k in range(task, pairs.size, PAIR_TASKS):
                     if len(others := pairs.found(k)):
                         good.update((k, *others.tolist()))
